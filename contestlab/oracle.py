@@ -45,7 +45,7 @@ sides as (
 
 PLAYS = """
 plays0 as (
-  select l.l_orderkey as contest_id, k.season, k.week, k.game_id, k.home_team, k.away_team,
+  select l.l_orderkey as contest_id, k.season, k.week, k.game_id, k.home_team, k.away_team, k.line, k.div_game, k.home_score, k.away_score,
          cast(row_number() over (partition by l.l_orderkey
               order by l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_extendedprice, l.l_quantity, l.l_discount,
                        l.l_tax, l.l_returnflag, l.l_linestatus, l.l_shipdate) as bigint) as play_id,
@@ -126,3 +126,158 @@ select season, week, cast(gameday as varchar) as gameday, contest_id, game_id, t
        {r('coalesce(' + div('away_win', 'away_games') + ', 0.0)', 3)} as away_win_pct
 from run
 """
+
+REG = "reg as (select * from plays where period <= 4 and off_team is not null and off_team <> '')"
+DREG = "dreg as (select * from plays where period <= 4 and def_team is not null and def_team <> '')"
+
+SQL["offense_stats"] = with_ctes(CONTESTS, PLAYS, REG) + f"""
+, spans as (
+  select contest_id, off_team, period,
+         case when count(*) > 1 then arg_max(off_score_post, play_id) - arg_min(off_score_post, play_id) end as pts
+  from reg group by contest_id, off_team, period
+), dp as (
+  select contest_id, off_team, drive, period, max(drive_scored) as mx from reg group by contest_id, off_team, drive, period
+), d as (
+  select contest_id, off_team, drive, arg_min(mx, period) as flag from dp group by contest_id, off_team, drive
+), ds as (
+  select contest_id, off_team, count(*) as ndrives, cast(sum(flag) as bigint) as score_drives from d group by contest_id, off_team
+), m as (
+  select contest_id, off_team, any_value(season) as season, any_value(week) as week, any_value(game_id) as game_id,
+         cast(max(case when off_team = home_team then 1 else 0 end) as bigint) as home,
+         max(div_game) as div_game, sum(converted) as conv, sum(failed) as fail,
+         cast(sum(lost_ball) as bigint) as turnovers, {r('avg(value_added)', 3)} as value_added,
+         any_value(case when off_team = home_team then home_score - away_score
+                        when off_team = away_team then away_score - home_score end) as score_diff
+  from reg group by contest_id, off_team
+)
+select m.season, m.week, m.contest_id, m.game_id, m.off_team as team, m.home, m.div_game,
+       {r(div('m.conv', 'm.conv + m.fail'), 3)} as third_down_pct, m.turnovers, m.value_added,
+       s1.pts as qtr_pts_1, s2.pts as qtr_pts_2, s3.pts as qtr_pts_3, s4.pts as qtr_pts_4,
+       s1.pts + s2.pts + s3.pts + s4.pts as pts_scored, m.score_diff,
+       ds.ndrives, ds.score_drives, {r(div('ds.score_drives', 'ds.ndrives'), 3)} as score_drives_pct
+from m
+left join spans s1 on s1.contest_id = m.contest_id and s1.off_team = m.off_team and s1.period = 1
+left join spans s2 on s2.contest_id = m.contest_id and s2.off_team = m.off_team and s2.period = 2
+left join spans s3 on s3.contest_id = m.contest_id and s3.off_team = m.off_team and s3.period = 3
+left join spans s4 on s4.contest_id = m.contest_id and s4.off_team = m.off_team and s4.period = 4
+left join ds on ds.contest_id = m.contest_id and ds.off_team = m.off_team
+"""
+
+SQL["defense_stats"] = with_ctes(CONTESTS, PLAYS, DREG) + f"""
+, spans as (
+  select contest_id, def_team, period,
+         case when count(*) > 1 then arg_max(off_score_post, play_id) - arg_min(off_score_post, play_id) end as pts
+  from dreg group by contest_id, def_team, period
+), dp as (
+  select contest_id, def_team, drive, period, max(drive_scored) as mx from dreg group by contest_id, def_team, drive, period
+), d as (
+  select contest_id, def_team, drive, arg_min(mx, period) as flag from dp group by contest_id, def_team, drive
+), ds as (
+  select contest_id, def_team, count(*) as ndrives, cast(sum(flag) as bigint) as score_drives from d group by contest_id, def_team
+), m as (
+  select contest_id, def_team, any_value(season) as season, any_value(week) as week, any_value(game_id) as game_id,
+         sum(converted) as conv, sum(failed) as fail,
+         cast(sum(lost_ball) as bigint) as def_turnovers, {r('avg(value_added)', 3)} as def_value_added
+  from dreg group by contest_id, def_team
+)
+select m.season, m.week, m.contest_id, m.game_id, m.def_team as team,
+       s1.pts as def_qtr_pts_1, s2.pts as def_qtr_pts_2, s3.pts as def_qtr_pts_3, s4.pts as def_qtr_pts_4,
+       m.def_value_added, {r(div('m.conv', 'm.conv + m.fail'), 3)} as def_third_down_pct, m.def_turnovers,
+       ds.ndrives as def_ndrives, ds.score_drives as def_score_drives,
+       {r(div('ds.score_drives', 'ds.ndrives'), 3)} as def_score_drives_pct
+from m
+left join spans s1 on s1.contest_id = m.contest_id and s1.def_team = m.def_team and s1.period = 1
+left join spans s2 on s2.contest_id = m.contest_id and s2.def_team = m.def_team and s2.period = 2
+left join spans s3 on s3.contest_id = m.contest_id and s3.def_team = m.def_team and s3.period = 3
+left join spans s4 on s4.contest_id = m.contest_id and s4.def_team = m.def_team and s4.period = 4
+left join ds on ds.contest_id = m.contest_id and ds.def_team = m.def_team
+"""
+
+SQL["unit_score_rate"] = with_ctes(CONTESTS, PLAYS, REG) + f"""
+, dp as (
+  select contest_id, off_team, drive, period, max(drive_scored) as mx from reg group by contest_id, off_team, drive, period
+), d as (
+  select contest_id, off_team, drive, arg_min(mx, period) as flag from dp group by contest_id, off_team, drive
+)
+select contest_id, off_team as team, count(*) as ndrives, cast(sum(flag) as bigint) as score_drives,
+       {r(div('sum(flag)', 'count(*)'), 3)} as score_drives_pct
+from d group by contest_id, off_team
+"""
+
+SQL["period_delta"] = with_ctes(CONTESTS, PLAYS, REG) + """
+, pm as (
+  select contest_id, off_team, period, any_value(season) as season, any_value(week) as week, any_value(game_id) as game_id,
+         max(case when off_team = home_team then total_home_score else total_away_score end) as v
+  from reg group by contest_id, off_team, period
+), lg as (
+  select *, v - lag(v) over (partition by contest_id, off_team order by period) as dv from pm
+)
+select any_value(season) as season, any_value(week) as week, contest_id, any_value(game_id) as game_id, off_team as team,
+       max(case when period = 1 then v end) as qtr_pts_1,
+       max(case when period = 2 then dv end) as qtr_pts_2,
+       max(case when period = 3 then dv end) as qtr_pts_3,
+       max(case when period = 4 then dv end) as qtr_pts_4
+from lg group by contest_id, off_team
+"""
+
+SQL["period_margin"] = with_ctes(CONTESTS, PLAYS, REG) + f"""
+, pm as (
+  select contest_id, off_team, period, any_value(season) as season, any_value(week) as week, any_value(game_id) as game_id,
+         avg(off_score_post - def_score_post) as a,
+         case when count(*) > 1 then arg_max(off_score_post - def_score_post, play_id)
+                                   - arg_min(off_score_post - def_score_post, play_id) end as dd
+  from reg group by contest_id, off_team, period
+)
+select any_value(season) as season, any_value(week) as week, contest_id, any_value(game_id) as game_id, off_team as team,
+       {r('avg(a)', 3)} as score_diff,
+       {r('max(case when period = 1 then a end)', 3)} as score_diff_qtr_1,
+       {r('max(case when period = 2 then a end)', 3)} as score_diff_qtr_2,
+       {r('max(case when period = 3 then a end)', 3)} as score_diff_qtr_3,
+       {r('max(case when period = 4 then a end)', 3)} as score_diff_qtr_4,
+       max(case when period = 1 then dd end) as dscore_diff_qtr_1,
+       max(case when period = 2 then dd end) as dscore_diff_qtr_2,
+       max(case when period = 3 then dd end) as dscore_diff_qtr_3,
+       max(case when period = 4 then dd end) as dscore_diff_qtr_4
+from pm group by contest_id, off_team
+"""
+
+SQL["possession_share"] = with_ctes(CONTESTS, PLAYS, REG) + f"""
+, pd as (
+  select contest_id, off_team, period, drive,
+         avg(try_cast(split_part(possession_clock, ':', 1) as bigint) * 60
+             + try_cast(split_part(possession_clock, ':', 2) as bigint)) as top
+  from reg group by contest_id, off_team, period, drive
+), side as (
+  select contest_id, off_team, sum(top) as possession_sec from pd group by contest_id, off_team
+)
+select contest_id, off_team as team, {r('possession_sec', 4)} as possession_sec,
+       {r(div('possession_sec', 'sum(possession_sec) over (partition by contest_id)'), 4)} as possession_pct
+from side
+"""
+
+SQL["first_line"] = with_ctes(CONTESTS, PLAYS) + """
+, one as (
+  select contest_id, any_value(season) as season, any_value(week) as week, arg_min(line, play_id) as line,
+         arg_min(home_team, play_id) as home_team, arg_min(away_team, play_id) as away_team
+  from plays group by contest_id
+)
+select contest_id, season, week, line, 'home' as home_away, home_team as team from one
+union all
+select contest_id, season, week, line, 'away' as home_away, away_team as team from one
+"""
+
+SQL["pass_splits"] = with_ctes(CONTESTS, PLAYS) + f"""
+, p as (
+  select *, sum(value_added) over (partition by contest_id, off_team order by play_id
+                                   rows between unbounded preceding and current row) as cum
+  from plays where off_team is not null
+)
+select contest_id, off_team as team, any_value(season) as season, any_value(week) as week, any_value(game_id) as game_id,
+       cast(sum(case when air_yards >= 15 then 1 else 0 end) as bigint) as deep_pass_attempt,
+       cast(sum(case when air_yards >= 15 then completed else 0 end) as bigint) as deep_pass_complete,
+       cast(sum(case when air_yards < 15 then 1 else 0 end) as bigint) as short_pass_attempt,
+       cast(sum(case when air_yards < 15 then completed else 0 end) as bigint) as short_pass_complete,
+       cast(max(cum) as bigint) as max_value, count(*) as total_plays,
+       {r('cast(max(cum) as double) / count(*)', 4)} as value_per_play
+from p group by contest_id, off_team
+"""

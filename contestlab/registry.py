@@ -33,3 +33,50 @@ def register(name: str):
 @register("team_record")
 def q_team_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.team_record(adapters.contests(spark, sf_dir))
+
+
+from .operators import side_stats  # noqa: E402
+
+
+def _plays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return adapters.plays(spark, sf_dir)
+
+
+@register("offense_stats")
+def q_offense_stats(spark, sf_dir):
+    return side_stats.offense_stats(_plays(spark, sf_dir))
+
+
+@register("defense_stats")
+def q_defense_stats(spark, sf_dir):
+    return side_stats.defense_stats(_plays(spark, sf_dir))
+
+
+@register("unit_score_rate")
+def q_unit_score_rate(spark, sf_dir):
+    return side_stats.drive_stats(_plays(spark, sf_dir)).withColumnRenamed("off_team", "team")
+
+
+@register("period_delta")
+def q_period_delta(spark, sf_dir):
+    return side_stats.period_points(_plays(spark, sf_dir))
+
+
+@register("period_margin")
+def q_period_margin(spark, sf_dir):
+    return side_stats.period_margin(_plays(spark, sf_dir))
+
+
+@register("possession_share")
+def q_possession_share(spark, sf_dir):
+    return side_stats.possession_share(_plays(spark, sf_dir))
+
+
+@register("first_line")
+def q_first_line(spark, sf_dir):
+    return side_stats.closing_line(_plays(spark, sf_dir))
+
+
+@register("pass_splits")
+def q_pass_splits(spark, sf_dir):
+    return side_stats.pass_splits(_plays(spark, sf_dir))

@@ -72,13 +72,13 @@ def contests(spark: SparkSession, sf_dir: str) -> DataFrame:
 def plays(spark: SparkSession, sf_dir: str, contest_df: DataFrame | None = None) -> DataFrame:
     """One row per play (event inside a contest).
 
-    ``contest_id, season, week, game_id, home_team, away_team, play_id, period, off_team, def_team, drive,
+    ``contest_id, season, week, game_id, home_team, away_team, line, div_game, play_id, period, off_team, def_team, drive,
     drive_scored, points, lost_ball, converted, failed, value_added, possession_clock, air_yards, completed,
     off_score_post, def_score_post, total_home_score, total_away_score``.
     Periods above 4 play the part of overtime.
     """
     k = contest_df if contest_df is not None else contests(spark, sf_dir)
-    k = k.select("contest_id", "season", "week", "game_id", "home_team", "away_team")
+    k = k.select("contest_id", "season", "week", "game_id", "home_team", "away_team", "line", "div_game", "home_score", "away_score")
     li = read_table(
         spark,
         sf_dir,
@@ -94,7 +94,7 @@ def plays(spark: SparkSession, sf_dir: str, contest_df: DataFrame | None = None)
     home_off = F.col("l_returnflag") != F.lit("R")
     scored = F.col("l_tax") > F.lit(0.04)
     p = j.select(
-        "contest_id", "season", "week", "game_id", "home_team", "away_team",
+        "contest_id", "season", "week", "game_id", "home_team", "away_team", "line", "div_game", "home_score", "away_score",
         F.row_number().over(w_play).cast("bigint").alias("play_id"),
         F.col("l_linenumber").cast("bigint").alias("period"),
         F.when(home_off, F.col("home_team")).otherwise(F.col("away_team")).alias("off_team"),
