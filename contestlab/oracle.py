@@ -281,3 +281,115 @@ select contest_id, off_team as team, any_value(season) as season, any_value(week
        {r('cast(max(cum) as double) / count(*)', 4)} as value_per_play
 from p group by contest_id, off_team
 """
+
+RECORD = f"""
+rec0 as (
+  select *, cast(case when own_score > opp_score then 1 when own_score <= opp_score then 0 end as bigint) as win
+  from sides
+), rec1 as (
+  select *,
+         count(*) over ({RUN}) as games,
+         sum(win) over ({RUN}) as win_total,
+         sum(is_home) over ({RUN}) as home_games,
+         sum(win * is_home) over ({RUN}) as home_win,
+         sum(1 - is_home) over ({RUN}) as away_games,
+         sum(win * (1 - is_home)) over ({RUN}) as away_win,
+         lag(gameday) over ({PREV}) as prev_gameday
+  from rec0
+), record as (
+  select season, week, gameday, contest_id, game_id, team, opponent, home_away, is_home,
+         cast(coalesce(datediff('day', prev_gameday, gameday), 7) as bigint) as rest_days,
+         win, own_score, opp_score, own_score - opp_score as spread,
+         cast(games as bigint) as games, cast(win_total as bigint) as win_total,
+         cast(home_win as bigint) as home_win, cast(away_win as bigint) as away_win,
+         {r(div('win_total', 'games'), 3)} as win_pct,
+         {r('coalesce(' + div('home_win', 'home_games') + ', 0.0)', 3)} as home_win_pct,
+         {r('coalesce(' + div('away_win', 'away_games') + ', 0.0)', 3)} as away_win_pct
+  from rec1
+)"""
+
+BEFORE = "partition by season, team order by gameday, contest_id rows between unbounded preceding and 1 preceding"
+
+
+def strict_prev_mean(col: str, digits: int = 3, frame: str = BEFORE) -> str:
+    return r(f"case when count(*) over ({frame}) = count({col}) over ({frame}) then avg({col}) over ({frame}) end", digits)
+
+
+SQL["season_to_date_mean"] = with_ctes(CONTESTS, SIDES, RECORD) + f"""
+select season, team, contest_id, cast(gameday as varchar) as gameday,
+       {strict_prev_mean('spread')} as spread, {strict_prev_mean('own_score')} as own_score,
+       {strict_prev_mean('opp_score')} as opp_score
+from record
+"""
+
+SQL["lagged_record"] = with_ctes(CONTESTS, SIDES, RECORD) + f"""
+select season, team, contest_id, cast(gameday as varchar) as gameday,
+       {r(f'lag(win_pct) over ({PREV})', 4)} as win_pct,
+       {r(f'lag(home_win_pct) over ({PREV})', 4)} as home_win_pct,
+       {r(f'lag(away_win_pct) over ({PREV})', 4)} as away_win_pct
+from record
+"""
+
+SQL["margin"] = with_ctes(CONTESTS, SIDES, RECORD) + f"""
+select season, team, opponent, contest_id, cast(gameday as varchar) as gameday, home_away, spread,
+       {r(f'lag(win_pct) over ({PREV})', 4)} as win_pct,
+       {r(f'lag(home_win_pct) over ({PREV})', 4)} as home_win_pct,
+       {r(f'lag(away_win_pct) over ({PREV})', 4)} as away_win_pct,
+       {strict_prev_mean('spread', 4)} as spread_lag
+from record
+"""
+
+SQL["locf"] = with_ctes(CONTESTS, SIDES, RECORD) + f"""
+, h as (
+  select *, case when is_home = 1 then {div('home_win', 'games - win_total + win_total')} end as home_row_value
+  from record
+)
+select season, team, contest_id, cast(gameday as varchar) as gameday, home_row_value,
+       last_value(home_row_value ignore nulls) over ({RUN}) as home_row_value_locf
+from h
+"""
+
+SQL["rest_days"] = with_ctes(CONTESTS, SIDES, RECORD) + """
+select season, team, contest_id, cast(gameday as varchar) as gameday, rest_days,
+       case when rest_days < 7 then 'short' when rest_days = 7 then 'normal' when rest_days > 7 then 'long' end as rest
+from record
+"""
+
+SQL["wlt_pct"] = with_ctes(CONTESTS, SIDES) + f"""
+, t as (
+  select *,
+         cast(case when own_score > opp_score then 1 else 0 end as bigint) as win,
+         cast(case when own_score < opp_score then 1 else 0 end as bigint) as loss,
+         case when own_score = opp_score then 0.5 else 0.0 end as tie
+  from sides
+), c as (
+  select *, count(*) over ({RUN}) as games_played, sum(win) over ({RUN}) as win_csum,
+         sum(loss) over ({RUN}) as loss_csum, sum(tie) over ({RUN}) as tie_csum
+  from t
+)
+select season, team, opponent, contest_id, cast(gameday as varchar) as gameday, home_away, win, loss, tie,
+       cast(games_played as bigint) as games_played, cast(win_csum as bigint) as win_csum,
+       cast(loss_csum as bigint) as loss_csum, {r('(win_csum + tie_csum) / games_played', 4)} as win_pct
+from c
+"""
+
+TEAM_RUN8 = "partition by team order by season, gameday, contest_id rows between 8 preceding and 1 preceding"
+SQL["lag_win_pct"] = with_ctes(CONTESTS, SIDES, RECORD) + f"""
+, t as (select *, {r(f'avg(win_pct) over ({TEAM_RUN8})', 4)} as m from record)
+select season, team, contest_id, cast(gameday as varchar) as gameday, win_pct,
+       case when m is null and win_pct = 1 then 1.0 when m is null and win_pct = 0 then 0.0 else m end as win_pct_rmean
+from t
+"""
+
+
+def _player_roll(col: str, p: int) -> str:
+    return r(f"avg({col}) over (partition by player_id order by ts, event_id rows between {p} preceding and 1 preceding)", 4)
+
+
+SQL["trailing_mean_p"] = """
+with pe as (
+  select user_id as player_id, ts, event_id, value, cast(json_extract_string(props, '$.k') as bigint) as k from events
+)
+select player_id, cast(ts as varchar) as ts, event_id, value, k, """ + ",\n       ".join(
+    f"{_player_roll(c, p)} as {c}_lag1_roll_{p}" for c in ("value", "k") for p in (1, 2, 4, 8, 16)
+) + "\nfrom pe\n"

@@ -80,3 +80,71 @@ def q_first_line(spark, sf_dir):
 @register("pass_splits")
 def q_pass_splits(spark, sf_dir):
     return side_stats.pass_splits(_plays(spark, sf_dir))
+
+
+from .operators import rolling  # noqa: E402
+from .operators.scan import GroupOrder, day_bucket  # noqa: E402
+
+
+def _record(spark, sf_dir):
+    return records.with_margin(records.team_record(adapters.contests(spark, sf_dir)))
+
+
+def _season_team():
+    return records.season_order()
+
+
+@register("season_to_date_mean")
+def q_season_to_date_mean(spark, sf_dir):
+    rec = _record(spark, sf_dir).select("season", "team", "contest_id", "gameday", "spread", "own_score", "opp_score")
+    return rolling.season_to_date_mean(rec, _season_team(), ["spread", "own_score", "opp_score"], digits=3)
+
+
+@register("lagged_record")
+def q_lagged_record(spark, sf_dir):
+    rec = _record(spark, sf_dir).select("season", "team", "contest_id", "gameday", "win_pct", "home_win_pct", "away_win_pct")
+    return rolling.lagged(rec, _season_team(), ["win_pct", "home_win_pct", "away_win_pct"], digits=4)
+
+
+@register("margin")
+def q_margin(spark, sf_dir):
+    rec = _record(spark, sf_dir).select(
+        "season", "team", "opponent", "contest_id", "gameday", "home_away", "spread", "win_pct", "home_win_pct", "away_win_pct"
+    )
+    out = rolling.lagged(rec, _season_team(), ["win_pct", "home_win_pct", "away_win_pct"], digits=4)
+    out = out.withColumn("spread_lag", F.col("spread"))
+    return rolling.season_to_date_mean(out, _season_team(), ["spread_lag"], digits=4)
+
+
+@register("locf")
+def q_locf(spark, sf_dir):
+    rec = _record(spark, sf_dir)
+    rec = rec.select(
+        "season", "team", "contest_id", "gameday",
+        F.when(F.col("home_away") == "home", F.col("home_win") / F.col("games")).alias("home_row_value"),
+    )
+    return rolling.carry_forward(rec, _season_team(), ["home_row_value"])
+
+
+@register("rest_days")
+def q_rest_days(spark, sf_dir):
+    rec = _record(spark, sf_dir)
+    return rec.select("season", "team", "contest_id", "gameday", "rest_days", records.rest_bucket().alias("rest"))
+
+
+@register("wlt_pct")
+def q_wlt_pct(spark, sf_dir):
+    return records.wlt_record(adapters.contests(spark, sf_dir))
+
+
+@register("lag_win_pct")
+def q_lag_win_pct(spark, sf_dir):
+    rec = _record(spark, sf_dir).select("season", "team", "contest_id", "gameday", "win_pct")
+    return rolling.lag_win_pct(rec, periods=8)
+
+
+@register("trailing_mean_p")
+def q_trailing_mean_p(spark, sf_dir):
+    ev = adapters.player_events(spark, sf_dir).select("player_id", "ts", "event_id", "value", "k")
+    go = GroupOrder(keys=["player_id"], order=["ts", "event_id"], bucket=day_bucket("ts"))
+    return rolling.trailing_means(ev, go, ["value", "k"], periods=(1, 2, 4, 8, 16), digits=4)
