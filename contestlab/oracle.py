@@ -393,3 +393,48 @@ with pe as (
 select player_id, cast(ts as varchar) as ts, event_id, value, k, """ + ",\n       ".join(
     f"{_player_roll(c, p)} as {c}_lag1_roll_{p}" for c in ("value", "k") for p in (1, 2, 4, 8, 16)
 ) + "\nfrom pe\n"
+
+ELO = """
+g as (
+  select season, contest_id, home_team, away_team,
+         case when home_score > away_score then 1.0 else 0.0 end as w,
+         cast(case when away_score > home_score then 1 else 0 end as bigint) as aw,
+         row_number() over (partition by season order by gameday, contest_id) as rn
+  from contests
+), tm as (
+  select team, cast(row_number() over (order by team) as integer) as ti
+  from (select home_team as team from contests union select away_team from contests)
+), g2 as (
+  select g.*, h.ti as hi, a.ti as ai from g join tm h on h.team = g.home_team join tm a on a.team = g.away_team
+), walk(season, rn, ratings, rh, ra) as (
+  select season, cast(0 as bigint), list_transform(range((select count(*) from tm)), lambda x: 1500.0::double),
+         cast(null as double), cast(null as double)
+  from (select distinct season from g2)
+  union all
+  select season, rn, list_transform(ratings, lambda x, i: case when i = hi then x + d when i = ai then x - d else x end),
+         ratings[hi] + d, ratings[ai] - d
+  from (
+    select w.season, w.rn + 1 as rn, w.ratings, g2.hi, g2.ai,
+           20.0 * (g2.w - 1.0 / (1.0 + pow(10.0, (w.ratings[g2.ai] - w.ratings[g2.hi]) / 400.0))) as d
+    from walk w join g2 on g2.season = w.season and g2.rn = w.rn + 1
+  )
+), elo as (
+  select g2.season, g2.contest_id, g2.home_team as team, g2.away_team as opponent, 'home' as home_away,
+         cast(g2.w as bigint) as win, walk.rh as elo
+  from g2 join walk on walk.season = g2.season and walk.rn = g2.rn
+  union all
+  select g2.season, g2.contest_id, g2.away_team as team, g2.home_team as opponent, 'away' as home_away,
+         g2.aw as win, walk.ra as elo
+  from g2 join walk on walk.season = g2.season and walk.rn = g2.rn
+)"""
+
+SQL["elo"] = "with recursive " + CONTESTS.strip() + ",\n" + ELO.strip() + f"""
+select season, contest_id, team, opponent, home_away, win, {r('elo', 4)} as elo from elo
+"""
+
+SQL["elo_top20"] = "with recursive " + CONTESTS.strip() + ",\n" + ELO.strip() + f"""
+, m as (select season, team, {r('avg(elo)', 4)} as mean_elo from elo group by season, team)
+select * from (select 'best' as side, season, team, mean_elo from m order by mean_elo desc, season, team limit 20)
+union all
+select * from (select 'worst' as side, season, team, mean_elo from m order by mean_elo asc, season, team limit 20)
+"""

@@ -148,3 +148,17 @@ def q_trailing_mean_p(spark, sf_dir):
     ev = adapters.player_events(spark, sf_dir).select("player_id", "ts", "event_id", "value", "k")
     go = GroupOrder(keys=["player_id"], order=["ts", "event_id"], bucket=day_bucket("ts"))
     return rolling.trailing_means(ev, go, ["value", "k"], periods=(1, 2, 4, 8, 16), digits=4)
+
+
+from .operators import ratings, stats  # noqa: E402
+
+
+@register("elo")
+def q_elo(spark, sf_dir):
+    return ratings.elo_ratings(adapters.contests(spark, sf_dir))
+
+
+@register("elo_top20")
+def q_elo_top20(spark, sf_dir):
+    elo = ratings.elo_ratings(adapters.contests(spark, sf_dir), digits=None)
+    return stats.best_and_worst(elo, ["season", "team"], "elo", "mean_elo", n=20, digits=4)
