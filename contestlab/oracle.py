@@ -50,8 +50,8 @@ plays0 as (
               order by l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_extendedprice, l.l_quantity, l.l_discount,
                        l.l_tax, l.l_returnflag, l.l_linestatus, l.l_shipdate) as bigint) as play_id,
          cast(l.l_linenumber as bigint) as period,
-         case when l.l_returnflag <> 'R' then k.home_team else k.away_team end as off_team,
-         case when l.l_returnflag <> 'R' then k.away_team else k.home_team end as def_team,
+         case when (l.l_linenumber + l.l_orderkey) % 2 = 0 then k.home_team else k.away_team end as off_team,
+         case when (l.l_linenumber + l.l_orderkey) % 2 = 0 then k.away_team else k.home_team end as def_team,
          l.l_partkey % 8 as drive,
          cast(case when l.l_tax > 0.04 then 1 else 0 end as bigint) as drive_scored,
          cast(case when l.l_tax > 0.04 then 3 + l.l_suppkey % 5 else 0 end as bigint) as points,
@@ -130,8 +130,8 @@ from run
 REG = "reg as (select * from plays where period <= 4 and off_team is not null and off_team <> '')"
 DREG = "dreg as (select * from plays where period <= 4 and def_team is not null and def_team <> '')"
 
-SQL["offense_stats"] = with_ctes(CONTESTS, PLAYS, REG) + f"""
-, spans as (
+OFFENSE_Q = f"""
+spans as (
   select contest_id, off_team, period,
          case when count(*) > 1 then arg_max(off_score_post, play_id) - arg_min(off_score_post, play_id) end as pts
   from reg group by contest_id, off_team, period
@@ -163,8 +163,11 @@ left join spans s4 on s4.contest_id = m.contest_id and s4.off_team = m.off_team
 left join ds on ds.contest_id = m.contest_id and ds.off_team = m.off_team
 """
 
-SQL["defense_stats"] = with_ctes(CONTESTS, PLAYS, DREG) + f"""
-, spans as (
+SQL["offense_stats"] = with_ctes(CONTESTS, PLAYS, REG) + ", " + OFFENSE_Q
+OFF_CTE = f"off as (with {OFFENSE_Q})"
+
+DEFENSE_Q = f"""
+spans as (
   select contest_id, def_team, period,
          case when count(*) > 1 then arg_max(off_score_post, play_id) - arg_min(off_score_post, play_id) end as pts
   from dreg group by contest_id, def_team, period
@@ -193,6 +196,9 @@ left join spans s4 on s4.contest_id = m.contest_id and s4.def_team = m.def_team
 left join ds on ds.contest_id = m.contest_id and ds.def_team = m.def_team
 """
 
+SQL["defense_stats"] = with_ctes(CONTESTS, PLAYS, DREG) + ", " + DEFENSE_Q
+DEF_CTE = f"deff as (with {DEFENSE_Q})"
+
 SQL["unit_score_rate"] = with_ctes(CONTESTS, PLAYS, REG) + f"""
 , dp as (
   select contest_id, off_team, drive, period, max(drive_scored) as mx from reg group by contest_id, off_team, drive, period
@@ -438,3 +444,84 @@ select * from (select 'best' as side, season, team, mean_elo from m order by mea
 union all
 select * from (select 'worst' as side, season, team, mean_elo from m order by mean_elo asc, season, team limit 20)
 """
+
+OFFENSE_MEANS = ["third_down_pct", "turnovers", "value_added", "score_drives_pct", "score_diff"]
+DEFENSE_MEANS = ["def_third_down_pct", "def_turnovers", "def_value_added", "def_score_drives_pct"]
+RECORD_LAGS = ["win_pct", "home_win_pct", "away_win_pct"]
+
+FEATURE_BASE = "with recursive " + ",\n".join(
+    c.strip() for c in (CONTESTS, SIDES, PLAYS, REG, DREG, RECORD, ELO, OFF_CTE, DEF_CTE)
+) + """,
+st as (
+  select rc.*, k.line, """ + ", ".join(f"o.{c}" for c in OFFENSE_MEANS) + ", " + ", ".join(f"d.{c}" for c in DEFENSE_MEANS) + """, e.elo
+  from record rc
+  left join contests k on k.contest_id = rc.contest_id
+  left join off o on o.contest_id = rc.contest_id and o.team = rc.team
+  left join deff d on d.contest_id = rc.contest_id and d.team = rc.team
+  left join elo e on e.contest_id = rc.contest_id and e.team = rc.team
+)"""
+
+
+def scaled_prev_mean(col: str, digits: int = 3, input_digits: int = 3, frame: str = BEFORE) -> str:
+    scale = 10 ** input_digits
+    num = f"sum(cast(round({col} * {scale}) as bigint)) over ({frame})"
+    return r(f"{div(num, f'count({col}) over ({frame})')} / {float(scale)}", digits)
+
+
+def _prior_select(mean_cols: list[str], lag_cols: list[str]) -> str:
+    parts = [f"{scaled_prev_mean(c, 3)} as {c}" for c in mean_cols]
+    parts += [f"{r(f'lag({c}) over ({PREV})', 4)} as {c}" for c in lag_cols]
+    return ",\n         ".join(parts)
+
+
+def _matchup_sql(base_cols: list[str], feats: list[str], opp_feats: list[str]) -> str:
+    sel = ["h.season", "h.week", "cast(h.gameday as varchar) as gameday", "h.contest_id", "h.game_id", "h.team",
+           "h.opponent", "h.win"] + [f"h.{c}" for c in feats] + [f"a.{c} as opp_{c}" for c in opp_feats]
+    conds = [f"h.{c} is not null" for c in feats] + [f"a.{c} is not null" for c in opp_feats]
+    return (
+        "select " + ",\n       ".join(sel)
+        + "\nfrom fl h left join fl a on a.contest_id = h.contest_id and a.home_away = 'away'\n"
+        + "where h.home_away = 'home' and " + " and ".join(conds) + "\n"
+    )
+
+
+PREGAME_FEATURES = ["line", "home_fav", "abs_spread_line", "rest_days", *RECORD_LAGS, "elo", *OFFENSE_MEANS, *DEFENSE_MEANS]
+OPP_FEATURES = ["rest_days", *RECORD_LAGS, "elo", *OFFENSE_MEANS, *DEFENSE_MEANS]
+
+SQL["pregame_features"] = FEATURE_BASE + f""",
+pr as (
+  select season, week, gameday, contest_id, game_id, team, opponent, home_away, win, line, rest_days,
+         {_prior_select(OFFENSE_MEANS + DEFENSE_MEANS, RECORD_LAGS + ['elo'])}
+  from st
+), fl as (
+  select *, cast(case when line > 0 then 1 else 0 end as bigint) as home_fav, abs(line) as abs_spread_line from pr
+)
+""" + _matchup_sql([], PREGAME_FEATURES, OPP_FEATURES)
+
+REDUCED = ["spread", "turnovers", *RECORD_LAGS, "elo"]
+SQL["reduced_features"] = FEATURE_BASE + f""",
+fl as (
+  select season, week, gameday, contest_id, game_id, team, opponent, home_away, win,
+         {_prior_select(['spread', 'turnovers'], RECORD_LAGS + ['elo'])}
+  from st
+)
+""" + _matchup_sql([], REDUCED, REDUCED)
+
+_POST_FEATS = ["win_pct", "elo", *OFFENSE_MEANS, *DEFENSE_MEANS]
+SQL["postgame_features"] = FEATURE_BASE + """,
+t as (
+  select season, week, contest_id, team, opponent, home_away, win, own_score as points_for, opp_score as points_against,
+         spread, line, win_pct, """ + r("elo", 4) + " as elo, " + ", ".join(OFFENSE_MEANS + DEFENSE_MEANS) + """
+  from st
+)
+select t.*, """ + ", ".join(f"o.{c} as opp_{c}" for c in _POST_FEATS) + """
+from t left join t o on o.contest_id = t.contest_id and o.team = t.opponent
+"""
+
+SQL["favorite_flags"] = with_ctes(CONTESTS, SIDES) + """
+select contest_id, team, home_away, line,
+       cast(case when line > 0 then 1 else 0 end as bigint) as home_fav,
+       cast(case when home_away = 'home' and line > 0 then 1 when home_away = 'away' and line < 0 then 1 else 0 end as bigint) as fav,
+       abs(line) as abs_spread_line
+from sides
+"""

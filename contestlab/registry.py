@@ -162,3 +162,31 @@ def q_elo(spark, sf_dir):
 def q_elo_top20(spark, sf_dir):
     elo = ratings.elo_ratings(adapters.contests(spark, sf_dir), digits=None)
     return stats.best_and_worst(elo, ["season", "team"], "elo", "mean_elo", n=20, digits=4)
+
+
+from .plans import features  # noqa: E402
+
+
+@register("pregame_features")
+def q_pregame_features(spark, sf_dir):
+    k = adapters.contests(spark, sf_dir)
+    return features.pregame_features(k, adapters.plays(spark, sf_dir, k))
+
+
+@register("reduced_features")
+def q_reduced_features(spark, sf_dir):
+    k = adapters.contests(spark, sf_dir)
+    return features.reduced_features(k, adapters.plays(spark, sf_dir, k))
+
+
+@register("postgame_features")
+def q_postgame_features(spark, sf_dir):
+    k = adapters.contests(spark, sf_dir)
+    return features.postgame_features(k, adapters.plays(spark, sf_dir, k))
+
+
+@register("favorite_flags")
+def q_favorite_flags(spark, sf_dir):
+    from .operators.reshape import sides
+    s = sides(adapters.contests(spark, sf_dir)).select("contest_id", "team", "home_away", "line")
+    return features.favorite_flags(s)

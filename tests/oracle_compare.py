@@ -31,8 +31,10 @@ def _norm(v):
         if math.isnan(v):
             return "NULL"
         if v == int(v) and abs(v) < 1e15:
-            return repr(float(int(v)))
+            return str(int(v))
         return repr(v)
+    if isinstance(v, (int,)) or type(v).__name__.startswith(("int", "uint")):
+        return str(int(v))
     if hasattr(v, "isoformat"):
         return v.isoformat()[:10] if type(v).__name__ == "date" else v.isoformat()
     if isinstance(v, (list, tuple)):
