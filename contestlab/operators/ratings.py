@@ -28,7 +28,7 @@ SCALE = 400.0
 DEFAULT_CHUNK_ROWS = 2_000_000
 
 RATING_SCHEMA = (
-    "kind string, season bigint, contest_id bigint, seq bigint, team string, opponent string, "
+    "kind string, season bigint, contest_id bigint, gameday date, seq bigint, team string, opponent string, "
     "home_away string, win bigint, elo double"
 )
 
@@ -41,22 +41,34 @@ def _fold(k: float, start: float, scale: float):
         out = []
         hs, as_, ws = games["home_team"].tolist(), games["away_team"].tolist(), games["w"].tolist()
         cids, seqs, aws = games["contest_id"].tolist(), games["seq"].tolist(), games["aw"].tolist()
-        for cid, seq, h, a, w, aw in zip(cids, seqs, hs, as_, ws, aws):
+        days = games["gameday"].tolist()
+        for cid, day, seq, h, a, w, aw in zip(cids, days, seqs, hs, as_, ws, aws):
             rh = ratings.get(h, start)
             ra = ratings.get(a, start)
             p = 1.0 / (1.0 + math.pow(10.0, (ra - rh) / scale))
             d = k * (w - p)
             rh, ra = rh + d, ra - d
             ratings[h], ratings[a] = rh, ra
-            out.append(("rating", season, cid, seq, h, a, "home", int(w), rh))
-            out.append(("rating", season, cid, seq, a, h, "away", int(aw), ra))
+            out.append(("rating", season, cid, day, seq, h, a, "home", int(w), rh))
+            out.append(("rating", season, cid, day, seq, a, h, "away", int(aw), ra))
         for t, v in ratings.items():
-            out.append(("state", season, None, None, t, None, None, None, v))
-        return pd.DataFrame(out, columns=["kind", "season", "contest_id", "seq", "team", "opponent", "home_away", "win", "elo"])
+            out.append(("state", season, None, None, None, t, None, None, None, v))
+        cols = ["kind", "season", "contest_id", "gameday", "seq", "team", "opponent", "home_away", "win", "elo"]
+        return pd.DataFrame(out, columns=cols)
 
     return run
 
 
+def pregame_ratings(elo: DataFrame, start: float = START_RATING) -> DataFrame:
+    """Rating each side takes into a contest: its previous post-contest rating in the season (``start`` before the
+    first), via a bucketed lag per (season, team)."""
+    from .records import season_order
+    from .scan import scan
+
+    r = scan(elo, season_order(), lags={"__prev": "elo"})
+    return r.withColumn("pre_elo", F.coalesce(F.col("__prev"), F.lit(start))).drop("__prev")
+
+
 def elo_ratings(
     contests: DataFrame,
     order: tuple[str, ...] = ("gameday", "contest_id"),
@@ -65,7 +77,7 @@ def elo_ratings(
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
     digits: int | None = 4,
 ) -> DataFrame:
-    """Post-contest rating of both sides: ``season, contest_id, team, opponent, home_away, win, elo``.
+    """Post-contest rating of both sides: ``season, contest_id, gameday, team, opponent, home_away, win, elo``.
 
     ``order`` is the fold order inside a season (default chronological ``(gameday, contest_id)``). Any other order
     runs as a single chunk per season. ``win`` is the side's own result (tie = 0).
@@ -82,7 +94,7 @@ def elo_ratings(
     # chunk width in days so that a (season, chunk) holds about chunk_rows contests
     stats = slim.groupBy("season").agg(F.count(F.lit(1)).alias("n"), F.min("gameday").alias("d0"), F.max("gameday").alias("d1")).collect()
     if not stats:
-        return spark.createDataFrame([], "season bigint, contest_id bigint, team string, opponent string, home_away string, win bigint, elo double")
+        return spark.createDataFrame([], "season bigint, contest_id bigint, gameday date, team string, opponent string, home_away string, win bigint, elo double")
     width = None
     for row in stats:
         span = (row["d1"] - row["d0"]).days + 1
@@ -121,6 +133,6 @@ def elo_ratings(
 
     allr = spark.read.parquet(*outs).where(F.col("kind") == "rating")
     return allr.select(
-        "season", "contest_id", "team", "opponent", "home_away", "win",
+        "season", "contest_id", "gameday", "team", "opponent", "home_away", "win",
         round_half_up(F.col("elo"), digits).alias("elo") if digits is not None else F.col("elo"),
     )

@@ -402,7 +402,7 @@ select player_id, cast(ts as varchar) as ts, event_id, value, k, """ + ",\n
 
 ELO = """
 g as (
-  select season, contest_id, home_team, away_team,
+  select season, contest_id, gameday, home_team, away_team,
          case when home_score > away_score then 1.0 else 0.0 end as w,
          cast(case when away_score > home_score then 1 else 0 end as bigint) as aw,
          row_number() over (partition by season order by gameday, contest_id) as rn
@@ -425,17 +425,17 @@ g as (
     from walk w join g2 on g2.season = w.season and g2.rn = w.rn + 1
   )
 ), elo as (
-  select g2.season, g2.contest_id, g2.home_team as team, g2.away_team as opponent, 'home' as home_away,
+  select g2.season, g2.contest_id, g2.gameday, g2.home_team as team, g2.away_team as opponent, 'home' as home_away,
          cast(g2.w as bigint) as win, walk.rh as elo
   from g2 join walk on walk.season = g2.season and walk.rn = g2.rn
   union all
-  select g2.season, g2.contest_id, g2.away_team as team, g2.home_team as opponent, 'away' as home_away,
+  select g2.season, g2.contest_id, g2.gameday, g2.away_team as team, g2.home_team as opponent, 'away' as home_away,
          g2.aw as win, walk.ra as elo
   from g2 join walk on walk.season = g2.season and walk.rn = g2.rn
 )"""
 
 SQL["elo"] = "with recursive " + CONTESTS.strip() + ",\n" + ELO.strip() + f"""
-select season, contest_id, team, opponent, home_away, win, {r('elo', 4)} as elo from elo
+select season, contest_id, cast(gameday as varchar) as gameday, team, opponent, home_away, win, {r('elo', 4)} as elo from elo
 """
 
 SQL["elo_top20"] = "with recursive " + CONTESTS.strip() + ",\n" + ELO.strip() + f"""
@@ -525,3 +525,143 @@ select contest_id, team, home_away, line,
        abs(line) as abs_spread_line
 from sides
 """
+
+PRED = f"""
+eg as (select * from elo),
+pre as (
+  select contest_id, team, home_away,
+         coalesce(lag(elo) over (partition by season, team order by gameday, contest_id), 1500.0) as pre_elo
+  from eg
+), pred0 as (
+  select k.season, k.week, k.contest_id, k.home_team as team, k.line, h.pre_elo as home_pre, a.pre_elo as away_pre,
+         cast(case when k.home_score > k.away_score then 1 else 0 end as bigint) as truth,
+         cast(case when k.line > 0 then 1 else 0 end as bigint) as fav_pick,
+         {r('1.0 / (1.0 + pow(10.0, (a.pre_elo - h.pre_elo) / 400.0))', 6)} as prob,
+         k.home_score - k.away_score as actual_margin,
+         {r('(h.pre_elo - a.pre_elo) / 25.0', 4)} as model_margin
+  from contests k
+  join pre h on h.contest_id = k.contest_id and h.home_away = 'home'
+  join pre a on a.contest_id = k.contest_id and a.home_away = 'away'
+), pred as (
+  select *, cast(case when prob >= 0.5 then 1 else 0 end as bigint) as model_pick from pred0
+)"""
+
+PRED_BASE = "with recursive " + ",\n".join(c.strip() for c in (CONTESTS, ELO, PRED)) + "\n"
+
+SQL["confusion"] = PRED_BASE + f"""
+, cells as (select model_pick as pred, truth, count(*) as n from pred group by model_pick, truth)
+select pred, truth, n, {r('n / sum(n) over ()', 6)} as share,
+       case when pred = truth then 'good' else 'bad' end as outcome
+from cells
+"""
+
+_CM = f"""
+, c as (
+  select cast(sum(case when model_pick = 1 and truth = 1 then 1 else 0 end) as bigint) as tp,
+         cast(sum(case when model_pick = 1 and truth = 0 then 1 else 0 end) as bigint) as fp,
+         cast(sum(case when model_pick = 0 and truth = 1 then 1 else 0 end) as bigint) as fn,
+         cast(sum(case when model_pick = 0 and truth = 0 then 1 else 0 end) as bigint) as tn
+  from pred
+), d as (
+  select *, cast(tp as double) as dtp, cast(fp as double) as dfp, cast(fn as double) as dfn, cast(tn as double) as dtn from c
+), e as (
+  select *, dtp + dfp + dfn + dtn as dn,
+         {div('dtp + dtn', 'dtp + dfp + dfn + dtn')} as acc,
+         {div('(dtp + dfp) * (dtp + dfn) + (dfn + dtn) * (dfp + dtn)', '(dtp + dfp + dfn + dtn) * (dtp + dfp + dfn + dtn)')} as pe,
+         {div('dtp', 'dtp + dfn')} as sens, {div('dtn', 'dtn + dfp')} as spec
+  from d
+)
+select tp, fp, fn, tn, tp + fp + fn + tn as n,
+       {r('acc', 6)} as accuracy, {r('1 - acc', 6)} as misclassification,
+       {r(div('acc - pe', '1 - pe'), 6)} as kappa, {r('sens', 6)} as sensitivity, {r('spec', 6)} as specificity,
+       {r(div('dtp', 'dtp + dfp'), 6)} as precision, {r(div('dtn', 'dtn + dfn'), 6)} as npv,
+       {r('sens + spec - 1', 6)} as j_index
+from e
+"""
+SQL["class_metrics"] = PRED_BASE + _CM
+
+SQL["log_loss"] = PRED_BASE + f"""
+select count(*) as n,
+       {r("avg(case when truth = 1 then -ln(least(greatest(prob, 1e-15), 1 - 1e-15)) else -ln(1 - least(greatest(prob, 1e-15), 1 - 1e-15)) end)", 6)} as log_loss
+from pred
+"""
+
+SQL["roc_points"] = PRED_BASE + f"""
+, st as (
+  select prob as score, cast(sum(case when truth = 1 then 1 else 0 end) as bigint) as pos,
+         cast(sum(case when truth = 0 then 1 else 0 end) as bigint) as neg
+  from pred group by prob
+), cum as (
+  select score, sum(pos) over (order by score desc rows between unbounded preceding and current row) as tp,
+         sum(neg) over (order by score desc rows between unbounded preceding and current row) as fp,
+         sum(pos) over () as P, sum(neg) over () as N
+  from st
+)
+select score as threshold, cast(tp as bigint) as tp, cast(fp as bigint) as fp,
+       {r(div('tp', 'P'), 6)} as tpr, {r(div('fp', 'N'), 6)} as fpr
+from cum
+"""
+
+SQL["roc_auc"] = PRED_BASE + f"""
+, pos as (select prob from pred where truth = 1), neg as (select prob from pred where truth = 0),
+st as (
+  select prob as score, sum(case when truth = 1 then 1 else 0 end) as p, sum(case when truth = 0 then 1 else 0 end) as n
+  from pred group by prob
+), cum as (
+  select *, sum(n) over (order by score rows between unbounded preceding and 1 preceding) as below from st
+)
+select cast(sum(p) as bigint) as positives, cast(sum(n) as bigint) as negatives,
+       {r(div('sum(p * coalesce(below, 0)) + sum(p * n) / 2.0', 'sum(p) * sum(n)'), 6)} as roc_auc
+from cum
+"""
+
+SQL["pick_accuracy"] = PRED_BASE + f"""
+select season, count(*) as n,
+       cast(sum(case when model_pick = truth then 1 else 0 end) as bigint) as model_correct,
+       cast(sum(case when fav_pick = truth then 1 else 0 end) as bigint) as favourite_correct,
+       {r('sum(case when model_pick = truth then 1 else 0 end) / count(*)', 6)} as model_acc,
+       {r('sum(case when fav_pick = truth then 1 else 0 end) / count(*)', 6)} as favourite_acc
+from pred group by season
+"""
+
+SQL["disagreement"] = PRED_BASE + """
+select season, week, contest_id, team, line, truth, fav_pick, model_pick, prob,
+       case when model_pick = truth then 'model_right' else 'favourite_right' end as who
+from pred where (model_pick = truth) <> (fav_pick = truth)
+"""
+
+SQL["closer_to_margin"] = PRED_BASE + f"""
+, e as (
+  select season, week, {r('abs(actual_margin - line)', 4)} as line_error, {r('abs(actual_margin - model_margin)', 4)} as model_error
+  from pred
+), c as (
+  select *, case when model_error < line_error then 'model' when model_error > line_error then 'line' else 'tie' end as closer from e
+)
+select season, week, count(*) as n,
+       cast(sum(case when closer = 'model' then 1 else 0 end) as bigint) as model_closer,
+       cast(sum(case when closer = 'line' then 1 else 0 end) as bigint) as line_closer,
+       {r('sum(cast(round(line_error * 10000) as bigint)) / count(*) / 10000.0', 4)} as mean_line_error,
+       {r('sum(cast(round(model_error * 10000) as bigint)) / count(*) / 10000.0', 4)} as mean_model_error,
+       {r('sum(case when closer = ' + "'model'" + ' then 1 else 0 end) / count(*)', 6)} as model_closer_share
+from c group by season, week
+"""
+
+SQL["favourite_outcomes"] = PRED_BASE + f"""
+, fo as (
+  select season,
+         cast(sum(case when fav_pick = 1 and truth = 1 then 1 else 0 end) as bigint) as tp,
+         cast(sum(case when fav_pick = 1 and truth = 0 then 1 else 0 end) as bigint) as fp,
+         cast(sum(case when fav_pick = 0 and truth = 1 then 1 else 0 end) as bigint) as fn,
+         cast(sum(case when fav_pick = 0 and truth = 0 then 1 else 0 end) as bigint) as tn
+  from pred group by season
+)
+select *, {r('(tp + tn) / (tp + fp + fn + tn)', 6)} as accuracy from fo
+"""
+
+SQL["correct_picks_week"] = PRED_BASE + """
+select season, week, 'model' as predictor, cast(sum(case when model_pick = truth then 1 else 0 end) as bigint) as correct
+from pred group by season, week
+union all
+select season, week, 'favourite' as predictor, cast(sum(case when fav_pick = truth then 1 else 0 end) as bigint) as correct
+from pred group by season, week
+"""

@@ -190,3 +190,62 @@ def q_favorite_flags(spark, sf_dir):
     from .operators.reshape import sides
     s = sides(adapters.contests(spark, sf_dir)).select("contest_id", "team", "home_away", "line")
     return features.favorite_flags(s)
+
+
+from .operators import evaluation  # noqa: E402
+from .plans import predictions  # noqa: E402
+
+
+def _pred(spark, sf_dir):
+    return predictions.rating_predictions(adapters.contests(spark, sf_dir))
+
+
+@register("confusion")
+def q_confusion(spark, sf_dir):
+    return evaluation.confusion(_pred(spark, sf_dir), pred="model_pick", truth="truth")
+
+
+@register("class_metrics")
+def q_class_metrics(spark, sf_dir):
+    return evaluation.class_metrics(_pred(spark, sf_dir), pred="model_pick", truth="truth")
+
+
+@register("log_loss")
+def q_log_loss(spark, sf_dir):
+    return evaluation.log_loss(_pred(spark, sf_dir), prob="prob", truth="truth")
+
+
+@register("roc_points")
+def q_roc_points(spark, sf_dir):
+    return evaluation.roc_points(_pred(spark, sf_dir), prob="prob", truth="truth")
+
+
+@register("roc_auc")
+def q_roc_auc(spark, sf_dir):
+    return evaluation.roc_auc(_pred(spark, sf_dir), prob="prob", truth="truth")
+
+
+@register("pick_accuracy")
+def q_pick_accuracy(spark, sf_dir):
+    return evaluation.pick_accuracy(_pred(spark, sf_dir), ["season"], {"model": "model_pick", "favourite": "fav_pick"})
+
+
+@register("disagreement")
+def q_disagreement(spark, sf_dir):
+    p = _pred(spark, sf_dir).select("season", "week", "contest_id", "team", "line", "truth", "fav_pick", "model_pick", "prob")
+    return evaluation.disagreements(p, "model_pick", "fav_pick")
+
+
+@register("closer_to_margin")
+def q_closer_to_margin(spark, sf_dir):
+    return evaluation.closer_to_margin(_pred(spark, sf_dir), ["season", "week"], "line", "model_margin", "actual_margin")
+
+
+@register("favourite_outcomes")
+def q_favourite_outcomes(spark, sf_dir):
+    return evaluation.outcome_cells(_pred(spark, sf_dir), ["season"], pred="fav_pick", truth="truth")
+
+
+@register("correct_picks_week")
+def q_correct_picks_week(spark, sf_dir):
+    return evaluation.correct_long(_pred(spark, sf_dir), ["season", "week"], {"model": "model_pick", "favourite": "fav_pick"})
