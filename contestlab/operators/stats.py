@@ -20,3 +20,124 @@ def best_and_worst(df: DataFrame, by: list[str], value: str, name: str, n: int =
     best = m.orderBy(F.col(name).desc(), *by).limit(n).select(F.lit("best").alias("side"), *by, name)
     worst = m.orderBy(F.col(name).asc(), *by).limit(n).select(F.lit("worst").alias("side"), *by, name)
     return best.unionByName(worst)
+
+
+def corr_long(df: DataFrame, cols: list[str], digits: int = 4, pairwise: bool = True) -> DataFrame:
+    """Correlation matrix in long form ``(var1, var2, value)``.
+
+    All pairs come out of one aggregate (each ``corr`` is a partial/final combinable statistic), then the single row
+    is unpivoted. ``pairwise=True`` uses every row where both values are present (Spark's ``corr`` skips a pair with a
+    NULL); ``pairwise=False`` first keeps complete rows only.
+    """
+    src = df if pairwise else df.na.drop(subset=cols)
+    aggs = []
+    names = []
+    for a in cols:
+        for b in cols:
+            name = f"{a}__{b}"
+            names.append(name)
+            aggs.append((F.lit(1.0) if a == b else F.corr(a, b)).alias(name))
+    one = src.agg(*aggs)
+    long = one.unpivot([], names, "pair", "value")
+    return long.select(
+        F.split_part("pair", F.lit("__"), F.lit(1)).alias("var1"),
+        F.split_part("pair", F.lit("__"), F.lit(2)).alias("var2"),
+        round_half_up(F.col("value"), digits).alias("value"),
+    )
+
+
+def corr_with_target(df: DataFrame, cols: list[str], target: str, digits: int = 4) -> DataFrame:
+    """Absolute correlation of each column with a target (feature screen), one row per column."""
+    one = df.agg(*[F.corr(c, target).alias(c) for c in cols])
+    long = one.unpivot([], cols, "variable", "corr")
+    return long.select("variable", round_half_up(F.col("corr"), digits).alias("corr"), round_half_up(F.abs("corr"), digits).alias("abs_corr"))
+
+
+def histogram(df: DataFrame, col: str, width: float, by: list[str] | None = None) -> DataFrame:
+    """Counts per bin ``[k * width, (k + 1) * width)`` (map-side partial counts, then a small final aggregate)."""
+    b = (F.floor(F.col(col) / F.lit(width)) * F.lit(width)).alias("bin_start")
+    return df.groupBy(*(by or []), b).agg(F.count(F.lit(1)).alias("n"))
+
+
+def class_share(df: DataFrame, col: str, digits: int = 4) -> DataFrame:
+    """Count per value and its share of all rows. The per-value counts are a small table; the total is one more
+    aggregate over it (no unpartitioned window over the raw rows)."""
+    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+    total = counts.agg(F.sum("n").alias("__total")).withColumn("__k", F.lit(1))
+    out = counts.withColumn("__k", F.lit(1)).join(F.broadcast(total), "__k").drop("__k")
+    return out.select(col, "n", round_half_up(F.col("n") / F.col("__total"), digits).alias("share"))
+
+
+def nested_mean(df: DataFrame, inner: list[str], outer: list[str], value: str, name: str, digits: int = 4) -> DataFrame:
+    """Sum ``value`` per ``inner`` group, then average those sums per ``outer`` group (e.g. season wins per team,
+    then mean wins per season for each team)."""
+    s = df.groupBy(*inner).agg(F.sum(value).alias("__s"))
+    return s.groupBy(*outer).agg(round_half_up(F.avg("__s"), digits).alias(name), F.count(F.lit(1)).alias("groups"))
+
+
+def quantiles(df: DataFrame, by: list[str], value: str, tiebreak: list[str], probs=(0.0, 0.25, 0.5, 0.75, 1.0),
+              digits: int = 4) -> DataFrame:
+    """Exact quantiles per group (linear interpolation between order statistics, R's default type 7).
+
+    Rows are ranked by a bucketed scan (no group is gathered into one task or one buffer), the two order statistics
+    around each ``h = (n - 1) p`` are picked by position and interpolated.
+    """
+    from .scan import GroupOrder, positions
+
+    base = df.where(F.col(value).isNotNull()).select(*by, value, *tiebreak)
+    go = GroupOrder(keys=by, order=[value, *tiebreak], bucket={"__bk": F.floor(F.col(value))})
+    ranked = positions(base, go, "__pos")
+    sizes = base.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
+    wanted = []
+    for i, p in enumerate(probs):
+        wanted.append(F.struct(F.lit(i).alias("qi"), F.lit(float(p)).alias("p")))
+    targets = sizes.select(*by, "__n", F.inline(F.array(*wanted)))
+    targets = targets.withColumns({
+        "__h": (F.col("__n") - 1) * F.col("p"),
+    }).withColumns({
+        "__lo": F.floor("__h").cast("bigint") + 1,
+        "__frac": F.col("__h") - F.floor("__h"),
+    }).withColumn("__hi", F.least(F.col("__lo") + 1, F.col("__n")))
+    lo = targets.join(ranked.select(*by, F.col("__pos").alias("__lo"), F.col(value).alias("__xlo")), [*by, "__lo"])
+    both = lo.join(ranked.select(*by, F.col("__pos").alias("__hi"), F.col(value).alias("__xhi")), [*by, "__hi"])
+    q = F.col("__xlo") + F.col("__frac") * (F.col("__xhi") - F.col("__xlo"))
+    return both.select(*by, F.col("p").alias("prob"), round_half_up(q, digits).alias("value"))
+
+
+def favourite_win_rates(contests: DataFrame, digits: int = 4) -> DataFrame:
+    """Per season: home win %, favourite win % overall and when the favourite plays at home or away.
+
+    A positive line favours the home side; a zero line has no favourite.
+    """
+    ln = F.col("line")
+    venue = F.when(ln > 0, "home").when(ln < 0, "away").otherwise("none")
+    fav_won = ((ln > 0) & (F.col("home_score") > F.col("away_score"))) | ((ln < 0) & (F.col("away_score") > F.col("home_score")))
+    c = contests.select("season", venue.alias("v"), fav_won.cast("int").alias("fw"), (F.col("home_score") > F.col("away_score")).cast("int").alias("hw"))
+    g = c.groupBy("season").agg(
+        F.count(F.lit(1)).alias("games"),
+        F.sum("hw").alias("home_wins"),
+        F.sum(F.when(F.col("v") != "none", F.col("fw")).otherwise(0)).alias("fav_wins"),
+        F.sum(F.when(F.col("v") != "none", 1).otherwise(0)).alias("fav_games"),
+        F.sum(F.when(F.col("v") == "home", F.col("fw")).otherwise(0)).alias("hf_wins"),
+        F.sum(F.when(F.col("v") == "home", 1).otherwise(0)).alias("hf_games"),
+        F.sum(F.when(F.col("v") == "away", F.col("fw")).otherwise(0)).alias("af_wins"),
+        F.sum(F.when(F.col("v") == "away", 1).otherwise(0)).alias("af_games"),
+    )
+    return g.select(
+        "season", "games",
+        round_half_up(F.col("home_wins") / F.col("games"), digits).alias("home_win_pct"),
+        round_half_up(F.try_divide(F.col("fav_wins"), F.col("fav_games")), digits).alias("fav_win_pct"),
+        round_half_up(F.try_divide(F.col("hf_wins"), F.col("hf_games")), digits).alias("home_fav_win_pct"),
+        round_half_up(F.try_divide(F.col("af_wins"), F.col("af_games")), digits).alias("away_fav_win_pct"),
+    )
+
+
+def simple_regression(df: DataFrame, y: str, x: str, digits: int = 4) -> DataFrame:
+    """Least-squares line ``y ~ x``: slope, intercept and R-squared from combinable aggregates."""
+    d = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+    return d.agg(
+        F.count(F.lit(1)).alias("n"),
+        round_half_up(F.regr_slope(y, x), digits).alias("slope"),
+        round_half_up(F.regr_intercept(y, x), digits).alias("intercept"),
+        round_half_up(F.regr_r2(y, x), digits).alias("r2"),
+    )

@@ -665,3 +665,88 @@ union all
 select season, week, 'favourite' as predictor, cast(sum(case when fav_pick = truth then 1 else 0 end) as bigint) as correct
 from pred group by season, week
 """
+
+_CORR_COLS = ["third_down_pct", "turnovers", "value_added", "score_drives_pct", "score_diff", "ndrives"]
+
+
+def _corr_rows(cols: list[str]) -> str:
+    rows = []
+    for a in cols:
+        for b in cols:
+            if a == b:
+                rows.append(f"select '{a}' as var1, '{b}' as var2, {r('1.0', 4)} as value")
+            else:
+                rows.append(f"select '{a}' as var1, '{b}' as var2, {r(f'corr({a}, {b})', 4)} as value from off")
+    return "\nunion all\n".join(rows)
+
+
+SQL["corr_long"] = with_ctes(CONTESTS, PLAYS, REG, OFF_CTE) + _corr_rows(_CORR_COLS) + "\n"
+
+SQL["corr_target"] = with_ctes(CONTESTS, PLAYS, REG, OFF_CTE) + ", t as (select o.*, cast(case when o.score_diff > 0 then 1 else 0 end as bigint) as won from off o)\n" + "\nunion all\n".join(
+    f"select '{c}' as variable, {r(f'corr({c}, won)', 4)} as corr, {r(f'abs(corr({c}, won))', 4)} as abs_corr from t"
+    for c in _CORR_COLS
+) + "\n"
+
+SQL["histogram"] = with_ctes(CONTESTS) + """
+select season, floor((home_score - away_score) / 5.0) * 5.0 as bin_start, count(*) as n
+from contests group by season, floor((home_score - away_score) / 5.0) * 5.0
+"""
+
+SQL["class_balance"] = with_ctes(CONTESTS) + f"""
+, c as (select cast(case when home_score > away_score then 1 else 0 end as bigint) as home_win, count(*) as n from contests group by 1)
+select home_win, n, {r('n / sum(n) over ()', 4)} as share from c
+"""
+
+SQL["season_means"] = with_ctes(CONTESTS, SIDES, RECORD) + f"""
+, s as (select season, team, sum(win) as w from record group by season, team)
+select team, {r('avg(w)', 4)} as mean_wins, count(*) as groups from s group by team
+"""
+
+SQL["five_number"] = with_ctes(CONTESTS, SIDES) + f"""
+, q as (
+  select season, quantile_cont(own_score - opp_score, [0.0, 0.25, 0.5, 0.75, 1.0]) as qs from sides group by season
+)
+select season, unnest([0.0, 0.25, 0.5, 0.75, 1.0]) as prob, {r('unnest(qs)', 4)} as value from q
+"""
+
+SQL["home_away_wins"] = with_ctes(CONTESTS) + """
+, w as (
+  select season,
+         cast(sum(case when home_score > away_score then 1 else 0 end) as bigint) as home_wins,
+         cast(sum(case when away_score > home_score then 1 else 0 end) as bigint) as away_wins
+  from contests group by season
+)
+select season, 'home_wins' as venue, home_wins as wins from w
+union all
+select season, 'away_wins' as venue, away_wins as wins from w
+"""
+
+SQL["home_fav_pct"] = with_ctes(CONTESTS) + f"""
+, c as (
+  select season,
+         case when line > 0 then 'home' when line < 0 then 'away' else 'none' end as fav_venue,
+         case when (line > 0 and home_score > away_score) or (line < 0 and away_score > home_score) then 1 else 0 end as fav_won,
+         case when home_score > away_score then 1 else 0 end as home_won
+  from contests
+), v as (
+  select season, fav_venue, count(*) as n, cast(sum(fav_won) as bigint) as fav_wins from c where fav_venue <> 'none' group by season, fav_venue
+), s as (
+  select season, count(*) as games, cast(sum(home_won) as bigint) as home_wins,
+         cast(sum(case when fav_venue <> 'none' then fav_won else 0 end) as bigint) as fav_wins_all,
+         sum(case when fav_venue <> 'none' then 1 else 0 end) as fav_games
+  from c group by season
+)
+select s.season, s.games, {r('s.home_wins / s.games', 4)} as home_win_pct,
+       {r(div('s.fav_wins_all', 's.fav_games'), 4)} as fav_win_pct,
+       {r(div('h.fav_wins', 'h.n'), 4)} as home_fav_win_pct,
+       {r(div('a.fav_wins', 'a.n'), 4)} as away_fav_win_pct
+from s
+left join v h on h.season = s.season and h.fav_venue = 'home'
+left join v a on a.season = s.season and a.fav_venue = 'away'
+"""
+
+SQL["simple_lm"] = with_ctes(CONTESTS, PLAYS, REG, OFF_CTE) + f"""
+select count(*) as n, {r('regr_slope(score_diff, value_added)', 4)} as slope,
+       {r('regr_intercept(score_diff, value_added)', 4)} as intercept, {r('regr_r2(score_diff, value_added)', 4)} as r2
+from off
+"""

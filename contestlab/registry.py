@@ -249,3 +249,61 @@ def q_favourite_outcomes(spark, sf_dir):
 @register("correct_picks_week")
 def q_correct_picks_week(spark, sf_dir):
     return evaluation.correct_long(_pred(spark, sf_dir), ["season", "week"], {"model": "model_pick", "favourite": "fav_pick"})
+
+
+_CORR_COLS = ["third_down_pct", "turnovers", "value_added", "score_drives_pct", "score_diff", "ndrives"]
+
+
+@register("corr_long")
+def q_corr_long(spark, sf_dir):
+    return stats.corr_long(side_stats.offense_stats(_plays(spark, sf_dir)), _CORR_COLS)
+
+
+@register("corr_target")
+def q_corr_target(spark, sf_dir):
+    off = side_stats.offense_stats(_plays(spark, sf_dir)).withColumn("won", (F.col("score_diff") > 0).cast("bigint"))
+    return stats.corr_with_target(off, _CORR_COLS, "won")
+
+
+@register("histogram")
+def q_histogram(spark, sf_dir):
+    k = adapters.contests(spark, sf_dir).withColumn("margin", F.col("home_score") - F.col("away_score"))
+    return stats.histogram(k, "margin", 5.0, by=["season"])
+
+
+@register("class_balance")
+def q_class_balance(spark, sf_dir):
+    k = adapters.contests(spark, sf_dir).withColumn("home_win", (F.col("home_score") > F.col("away_score")).cast("bigint"))
+    return stats.class_share(k, "home_win")
+
+
+@register("season_means")
+def q_season_means(spark, sf_dir):
+    return stats.nested_mean(_record(spark, sf_dir), ["season", "team"], ["team"], "win", "mean_wins")
+
+
+@register("five_number")
+def q_five_number(spark, sf_dir):
+    from .operators.reshape import sides
+    s = sides(adapters.contests(spark, sf_dir)).withColumn("margin", F.col("own_score") - F.col("opp_score"))
+    return stats.quantiles(s, ["season"], "margin", ["contest_id", "team"])
+
+
+@register("home_away_wins")
+def q_home_away_wins(spark, sf_dir):
+    k = adapters.contests(spark, sf_dir)
+    w = k.groupBy("season").agg(
+        F.sum(F.when(F.col("home_score") > F.col("away_score"), 1).otherwise(0)).cast("bigint").alias("home_wins"),
+        F.sum(F.when(F.col("away_score") > F.col("home_score"), 1).otherwise(0)).cast("bigint").alias("away_wins"),
+    )
+    return w.unpivot(["season"], ["home_wins", "away_wins"], "venue", "wins")
+
+
+@register("home_fav_pct")
+def q_home_fav_pct(spark, sf_dir):
+    return stats.favourite_win_rates(adapters.contests(spark, sf_dir))
+
+
+@register("simple_lm")
+def q_simple_lm(spark, sf_dir):
+    return stats.simple_regression(side_stats.offense_stats(_plays(spark, sf_dir)), "score_diff", "value_added")
