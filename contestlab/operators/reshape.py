@@ -14,7 +14,7 @@ def sides(contests: DataFrame, keep: list[str] | None = None) -> DataFrame:
     Output adds ``team, opponent, home_away ('home'|'away'), is_home, own_score, opp_score``. Built with one
     ``inline`` generator, so it is a map-side step with no shuffle.
     """
-    keep = keep if keep is not None else [c for c in contests.columns if c not in ("home_team", "away_team")]
+    keep = keep if keep is not None else [c for c in contests.columns if c not in ("home_team", "away_team", "home_score", "away_score")]
     home = F.struct(
         F.col("home_team").alias("team"), F.col("away_team").alias("opponent"), F.lit("home").alias("home_away"),
         F.lit(1).cast("bigint").alias("is_home"), F.col("home_score").alias("own_score"), F.col("away_score").alias("opp_score"),
@@ -31,14 +31,17 @@ def longer(df: DataFrame, ids: list[str], values: list[str], name: str = "name",
     return df.unpivot(ids, values, name, value)
 
 
-def wider(df: DataFrame, ids: list[str], names_from: str, values_from: str | list[str], names: list, glue: str | None = None) -> DataFrame:
+def wider(df: DataFrame, ids: list[str], names_from: str, values_from: str | list[str], names: list, glue: str | None = None,
+          agg: str = "first") -> DataFrame:
     """``pivot_wider``: ``(name, value)`` rows to columns.
 
     ``names`` is the explicit list of pivot values (no extra pass to discover them). ``glue`` formats the output
-    column name from ``{name}`` (pivot value) and ``{value}`` (value column), e.g. ``"{value}_{name}"``.
+    column name from ``{name}`` (pivot value) and ``{value}`` (value column), e.g. ``"{value}_{name}"``. ``agg`` combines
+    several rows that land in one cell (``first`` for one value per cell, or ``sum``).
     """
     vals = [values_from] if isinstance(values_from, str) else list(values_from)
-    out = df.groupBy(*ids).pivot(names_from, names).agg(*[F.first(v, ignorenulls=True).alias(v) for v in vals])
+    fn = {"first": lambda v: F.first(v, ignorenulls=True), "sum": F.sum, "max": F.max, "min": F.min}[agg]
+    out = df.groupBy(*ids).pivot(names_from, names).agg(*[fn(v).alias(v) for v in vals])
     renames = {}
     for n in names:
         for v in vals:

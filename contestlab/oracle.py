@@ -750,3 +750,111 @@ select count(*) as n, {r('regr_slope(score_diff, value_added)', 4)} as slope,
        {r('regr_intercept(score_diff, value_added)', 4)} as intercept, {r('regr_r2(score_diff, value_added)', 4)} as r2
 from off
 """
+
+SQL["sides_long"] = with_ctes(CONTESTS, SIDES) + """
+select season, week, cast(gameday as varchar) as gameday, contest_id, game_id, line, div_game, team, opponent, home_away,
+       is_home, own_score, opp_score
+from sides
+"""
+
+SQL["key_parse"] = with_ctes(CONTESTS) + """
+, p as (
+  select contest_id, season, week, home_team, away_team, game_id,
+         cast(substr(game_id, 1, 4) as bigint) as key_season, cast(substr(game_id, 6, 2) as bigint) as key_week,
+         split_part(substr(game_id, 9), '_', 1) as key_away, split_part(substr(game_id, 9), '_', 2) as key_home
+  from contests
+)
+select contest_id, game_id, key_season, key_week, key_away, key_home,
+       cast(case when key_season = season and key_week = week and key_away = away_team and key_home = home_team then 1 else 0 end as bigint) as round_trip
+from p
+"""
+
+SQL["clock_seconds"] = with_ctes(CONTESTS, PLAYS) + """
+select contest_id, play_id, possession_clock,
+       try_cast(split_part(possession_clock, ':', 1) as bigint) * 60 + try_cast(split_part(possession_clock, ':', 2) as bigint) as seconds
+from plays
+"""
+
+SQL["period_points_wide"] = with_ctes(CONTESTS, PLAYS) + "select contest_id, off_team as team, " + ", ".join(
+    f"sum(case when period = {k} then points end) as pts_p{k}" for k in range(1, 8)
+) + "\nfrom plays group by contest_id, off_team\n"
+
+SQL["fill_rules"] = with_ctes(CONTESTS, PLAYS, REG) + """
+, pm as (
+  select contest_id, off_team, period, max(case when off_team = home_team then total_home_score else total_away_score end) as v
+  from reg group by contest_id, off_team, period
+), lg as (
+  select *, v - lag(v) over (partition by contest_id, off_team order by period) as dv from pm
+), w as (
+  select contest_id, off_team as team,
+         max(case when period = 1 then v end) as q1, max(case when period = 2 then dv end) as q2,
+         max(case when period = 3 then dv end) as q3, max(case when period = 4 then dv end) as q4
+  from lg group by contest_id, off_team
+)
+select contest_id, team, coalesce(q1, 0) as qtr_pts_1, coalesce(q2, 0) as qtr_pts_2, coalesce(q3, 0) as qtr_pts_3,
+       coalesce(q4, 0) as qtr_pts_4,
+       cast((q1 is null)::int + (q2 is null)::int + (q3 is null)::int + (q4 is null)::int as bigint) as n_missing
+from w
+"""
+
+SQL["roster_names"] = """
+select c_custkey as player_id, replace(lower(regexp_replace(c_name, '[^[:alnum:]]+', ' ', 'g')), ' ', '_') as name from customer
+"""
+
+_LI = '<li><a href="([^"]*)">([^<]*)</a></li>'
+SQL["html_rows"] = f"""
+with items as (
+  select page_id, regexp_extract_all(html, '{_LI}', 1) as hrefs, regexp_extract_all(html, '{_LI}', 2) as texts from pages
+), ex as (
+  select page_id, hrefs, texts, unnest(generate_series(1, len(hrefs))) as pos from items
+)
+select page_id, cast(pos as bigint) as pos, hrefs[pos] as href, texts[pos] as text from ex
+"""
+
+SQL["json_stats"] = """
+with e as (select event_type, try_cast(json_extract_string(props, '$.k') as bigint) as v from events)
+select event_type, count(*) as n, count(v) as n_present, cast(sum(v) as bigint) as sum_k, min(v) as min_k, max(v) as max_k
+from e group by event_type
+"""
+
+SQL["standings_rank"] = with_ctes(CONTESTS, SIDES) + f"""
+, rec as (
+  select season, team,
+         cast(sum(case when own_score > opp_score then 1 else 0 end) as bigint) as wins,
+         cast(sum(case when own_score < opp_score then 1 else 0 end) as bigint) as losses,
+         cast(sum(case when own_score = opp_score then 1 else 0 end) as bigint) as ties,
+         count(*) as games
+  from sides where own_score is not null and opp_score is not null group by season, team
+), rec2 as (
+  select rec.*, {r('(wins + 0.5 * ties) / games', 4)} as win_pct, t.n_regionkey as league
+  from rec left join teams t on t.team = rec.team
+), rk as (
+  select *, cast(row_number() over (partition by season, league order by win_pct desc, wins desc, team) as bigint) as seed
+  from rec2
+), lead as (select season, league, wins as lw, losses as ll from rk where seed = 1)
+select rk.team, rk.season, rk.wins, rk.losses, rk.ties, rk.games, rk.win_pct, rk.league, rk.seed,
+       ((lead.lw - rk.wins) + (rk.losses - lead.ll)) / 2.0 as games_behind,
+       printf('%d-%d', rk.wins, rk.losses) as record
+from rk join lead on lead.season = rk.season and lead.league = rk.league
+"""
+
+SQL["next_matchups"] = "with recursive " + CONTESTS.strip() + """,
+contests_s as (select * from contests where season = 1998),
+""" + ELO.strip().replace("from contests\n", "from contests_s\n").replace("from contests union select away_team from contests)", "from contests_s union select away_team from contests_s)") + ",\n" + SIDES.strip().replace("from contests", "from contests_s") + ",\n" + RECORD.strip() + f"""
+, t as (select rc.*, e.elo from record rc left join elo e on e.contest_id = rc.contest_id and e.team = rc.team where rc.week < 27),
+lastrow as (
+  select *, row_number() over (partition by team order by gameday desc, contest_id desc) as rn,
+         {r('avg(spread) over (partition by team)', 4)} as mean_margin
+  from t
+), snap as (
+  select team, games, win_pct, home_win_pct, away_win_pct, {r('elo', 4)} as elo, mean_margin from lastrow where rn = 1
+)
+select fx.away_team, fx.home_team, fx.season, fx.week, fx.contest_id, fx.game_id, fx.line,
+       h.games, h.win_pct, h.home_win_pct, h.away_win_pct, h.elo, h.mean_margin,
+       a.games as opp_games, a.win_pct as opp_win_pct, a.home_win_pct as opp_home_win_pct,
+       a.away_win_pct as opp_away_win_pct, a.elo as opp_elo, a.mean_margin as opp_mean_margin
+from contests_s fx
+left join snap h on h.team = fx.home_team
+left join snap a on a.team = fx.away_team
+where fx.week = 27
+"""

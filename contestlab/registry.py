@@ -307,3 +307,73 @@ def q_home_fav_pct(spark, sf_dir):
 @register("simple_lm")
 def q_simple_lm(spark, sf_dir):
     return stats.simple_regression(side_stats.offense_stats(_plays(spark, sf_dir)), "score_diff", "value_added")
+
+
+from .functions import nulls as nullf  # noqa: E402
+from .functions.text import clean_name, clock_to_seconds  # noqa: E402
+from .operators import nested, reshape  # noqa: E402
+from .sources.tables import bounded_broadcast, read_table  # noqa: E402
+
+
+@register("sides_long")
+def q_sides_long(spark, sf_dir):
+    return reshape.sides(adapters.contests(spark, sf_dir))
+
+
+@register("key_parse")
+def q_key_parse(spark, sf_dir):
+    k = adapters.contests(spark, sf_dir).select("contest_id", "season", "week", "home_team", "away_team",
+                                                 reshape.contest_key(F.col("season"), F.col("week"), F.col("away_team"), F.col("home_team")).alias("game_id"))
+    p = k.withColumns(reshape.parse_contest_key(F.col("game_id")))
+    ok = (F.col("key_season") == F.col("season")) & (F.col("key_week") == F.col("week")) & (F.col("key_away") == F.col("away_team")) & (F.col("key_home") == F.col("home_team"))
+    return p.select("contest_id", "game_id", "key_season", "key_week", "key_away", "key_home", ok.cast("bigint").alias("round_trip"))
+
+
+@register("clock_seconds")
+def q_clock_seconds(spark, sf_dir):
+    p = _plays(spark, sf_dir)
+    return p.select("contest_id", "play_id", "possession_clock", clock_to_seconds(F.col("possession_clock")).alias("seconds"))
+
+
+@register("period_points_wide")
+def q_period_points_wide(spark, sf_dir):
+    p = _plays(spark, sf_dir).select("contest_id", F.col("off_team").alias("team"), "period", "points")
+    return reshape.wider(p, ["contest_id", "team"], "period", "points", list(range(1, 8)), glue="pts_p{name}", agg="sum")
+
+
+@register("fill_rules")
+def q_fill_rules(spark, sf_dir):
+    pp = side_stats.period_points(_plays(spark, sf_dir))
+    qcols = [f"qtr_pts_{k}" for k in side_stats.REGULAR_PERIODS]
+    n_missing = sum((F.col(c).isNull().cast("bigint") for c in qcols), F.lit(0).cast("bigint"))
+    out = pp.select("contest_id", "team", *qcols, n_missing.alias("n_missing"))
+    return out.fillna(0, subset=qcols)
+
+
+@register("roster_names")
+def q_roster_names(spark, sf_dir):
+    c = read_table(spark, sf_dir, "customer", ["c_custkey", "c_name"])
+    return c.select(F.col("c_custkey").alias("player_id"), clean_name(F.col("c_name")).alias("name"))
+
+
+@register("html_rows")
+def q_html_rows(spark, sf_dir):
+    return nested.list_items(read_table(spark, sf_dir, "pages", ["page_id", "html"]))
+
+
+@register("json_stats")
+def q_json_stats(spark, sf_dir):
+    return nested.json_field_stats(read_table(spark, sf_dir, "events", ["event_type", "props"]), "props", "k", ["event_type"])
+
+
+@register("standings_rank")
+def q_standings_rank(spark, sf_dir):
+    from .plans.standings import standings
+    k = adapters.contests(spark, sf_dir)
+    return standings(k, bounded_broadcast(adapters.teams(spark, sf_dir), adapters.DIM_MAX_ROWS))
+
+
+@register("next_matchups")
+def q_next_matchups(spark, sf_dir):
+    from .plans.matchups import next_matchups
+    return next_matchups(adapters.contests(spark, sf_dir), season=1998, week=27)
