@@ -858,3 +858,23 @@ left join snap h on h.team = fx.home_team
 left join snap a on a.team = fx.away_team
 where fx.week = 27
 """
+
+_SPLIT = """
+t as (
+  select contest_id, cast(case when home_score > away_score then 1 else 0 end as bigint) as home_win,
+         md5(cast(contest_id as varchar) || '-234') as h
+  from contests
+), rk as (
+  select *, row_number() over (partition by home_win order by h, contest_id) as pos,
+         count(*) over (partition by home_win) as n
+  from t
+), sp as (
+  select contest_id, home_win, h, case when pos <= floor(0.75 * n + 0.5) then 'train' else 'test' end as split from rk
+)"""
+
+SQL["stratified_split"] = with_ctes(CONTESTS, _SPLIT) + "select contest_id, home_win, split from sp\n"
+
+SQL["fold_counts"] = with_ctes(CONTESTS, _SPLIT) + """
+, tr as (select *, row_number() over (partition by home_win order by h, contest_id) as fpos from sp where split = 'train')
+select cast((fpos - 1) % 10 as integer) as fold, home_win, count(*) as n from tr group by 1, 2
+"""

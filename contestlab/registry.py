@@ -377,3 +377,77 @@ def q_standings_rank(spark, sf_dir):
 def q_next_matchups(spark, sf_dir):
     from .plans.matchups import next_matchups
     return next_matchups(adapters.contests(spark, sf_dir), season=1998, week=27)
+
+
+from .operators import ml  # noqa: E402
+from .plans import models  # noqa: E402
+
+
+def _home_wins(spark, sf_dir):
+    k = adapters.contests(spark, sf_dir)
+    return k.select("contest_id", (F.col("home_score") > F.col("away_score")).cast("bigint").alias("home_win"))
+
+
+@register("stratified_split")
+def q_stratified_split(spark, sf_dir):
+    return ml.stratified_split(_home_wins(spark, sf_dir), ["home_win"], "contest_id", prop=0.75, seed=234)
+
+
+@register("fold_counts")
+def q_fold_counts(spark, sf_dir):
+    s = ml.stratified_split(_home_wins(spark, sf_dir), ["home_win"], "contest_id", prop=0.75, seed=234)
+    f = ml.stratified_folds(s.where(F.col("split") == "train"), ["home_win"], "contest_id", k=10, seed=234)
+    return f.groupBy("fold", "home_win").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _model_table(spark, sf_dir):
+    k = adapters.contests(spark, sf_dir)
+    return models.model_table(k, adapters.plays(spark, sf_dir, k))
+
+
+@register("fit_logistic")
+def q_fit_logistic(spark, sf_dir):
+    return models.fit_and_score(_model_table(spark, sf_dir), "logistic")
+
+
+@register("fit_gbt")
+def q_fit_gbt(spark, sf_dir):
+    return models.fit_and_score(_model_table(spark, sf_dir), "gbt")
+
+
+@register("tune_logistic")
+def q_tune_logistic(spark, sf_dir):
+    rows = models.tune_logistic(_model_table(spark, sf_dir))
+    return spark.createDataFrame(rows, "candidate long, reg_param double, elastic_net double, mean_auc double, rank long")
+
+
+@register("holdout_scores")
+def q_holdout_scores(spark, sf_dir):
+    t = _model_table(spark, sf_dir)
+    last = t.agg(F.max("season")).first()[0]
+    return models.holdout_scores(spark, t, int(last))
+
+
+def _emb(spark, sf_dir):
+    return models.embedding_table(read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"]))
+
+
+@register("knn_vote")
+def q_knn_vote(spark, sf_dir):
+    e = ml.stratified_split(_emb(spark, sf_dir), ["label"], "id", prop=0.75, seed=234)
+    train, test = e.where(F.col("split") == "train"), e.where(F.col("split") == "test")
+    pred = ml.knn_predict(train, test, "label", k=5)
+    return test.select("id", "label").join(pred, "id", "left")
+
+
+@register("smote_counts")
+def q_smote_counts(spark, sf_dir):
+    e = _emb(spark, sf_dir).withColumn("label", (F.col("label") == 0).cast("int"))
+    out = ml.smote(e, "label", 1, ratio=0.9, k=5)
+    return out.groupBy("label", "synthetic").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("upsample_counts")
+def q_upsample_counts(spark, sf_dir):
+    e = _emb(spark, sf_dir).withColumn("label", (F.col("label") == 0).cast("int"))
+    return ml.upsample(e, "label", 1, ratio=1.0).groupBy("label").agg(F.count(F.lit(1)).alias("n"))

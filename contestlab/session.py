@@ -51,3 +51,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A unique path under the shared checkpoint folder for a written intermediate table."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize_scratch(df, name: str):
+    """Write ``df`` as parquet under the shared checkpoint folder and read it back: cuts the lineage so iterative
+    consumers (model fits, several passes) read the stored rows instead of recomputing the plan, and a lost
+    executor never re-runs the upstream stages."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
