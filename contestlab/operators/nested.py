@@ -49,7 +49,7 @@ def html_tables(pages: DataFrame, id_col: str = "page_id", html: str = "html", h
     if width is not None:
         cells = cells.withColumn(
             "cells",
-            F.transform(F.sequence(F.lit(1), F.lit(width)), lambda i: F.element_at(F.col("cells"), i)),
+            F.transform(F.sequence(F.lit(1), F.lit(width)), lambda i: F.try_element_at(F.col("cells"), i)),
         )
     return cells
 
@@ -103,8 +103,8 @@ STANDINGS_SCHEMA = T.StructType([
 
 
 def standings_from_json(docs: DataFrame, json_col: str = "json") -> DataFrame:
-    """Standings document -> one row per team: conference, team fields, first logo, and one column per stat type
-    (``stat_<type>``), with the ``"W-L"`` overall record split into wins and losses."""
+    """Standings document -> one row per team: conference, season, team fields, first logo, the overall ``"W-L"``
+    record split into ``wins`` and ``losses``, and the win % (missing stats give NULL)."""
     parsed = docs.select(F.from_json(F.col(json_col), STANDINGS_SCHEMA).alias("doc"))
     conf = parsed.select(F.explode_outer("doc.children").alias("c"))
     ent = conf.select(
@@ -121,8 +121,8 @@ def standings_from_json(docs: DataFrame, json_col: str = "json") -> DataFrame:
     stat_map = F.map_from_entries(F.transform("stats", lambda s: F.struct(s["type"], s["displayValue"])))
     out = teams.withColumn("__m", stat_map)
     out = out.withColumns({
-        "overall": F.col("__m")["total"],
-        "win_pct": F.col("__m")["winpercent"].try_cast("double"),
+        "overall": F.try_element_at(F.col("__m"), F.lit("total")),
+        "win_pct": F.try_element_at(F.col("__m"), F.lit("winpercent")).try_cast("double"),
     }).withColumns({
         "wins": F.split_part(F.col("overall"), F.lit("-"), F.lit(1)).try_cast("bigint"),
         "losses": F.split_part(F.col("overall"), F.lit("-"), F.lit(2)).try_cast("bigint"),

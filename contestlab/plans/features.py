@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.nulls import drop_incomplete, round_half_up
 from ..operators import ratings, records, side_stats
 from ..operators.scan import scan
+from ..session import materialize_scratch
 
 KEYS = ["contest_id", "team"]
 # Season-to-date inputs. Period points are left out by default: with a handful of plays per contest most periods
@@ -122,7 +123,8 @@ def pregame_features(contests: DataFrame, plays: DataFrame, elo: DataFrame | Non
     season have no history).
     """
     elo = elo if elo is not None else ratings.elo_ratings(contests, digits=None)
-    t = side_table(contests, plays, elo)
+    # the side table is the join of four side-level inputs; the bucketed scan reads it twice, so store it once
+    t = materialize_scratch(side_table(contests, plays, elo), "side_table")
     t = prior_values(t, OFFENSE_MEANS + DEFENSE_MEANS, RECORD_LAGS + ["elo"])
     t = favorite_flags(t)
     ids = ["season", "week", "gameday", "contest_id", "game_id", "team", "opponent"]
@@ -154,6 +156,7 @@ def reduced_features(contests: DataFrame, plays: DataFrame, elo: DataFrame | Non
     rec = records.with_margin(records.team_record(contests))
     off = side_stats.offense_stats(plays).select("contest_id", "team", "turnovers")
     t = rec.join(off, KEYS, "left").join(elo.select("contest_id", "team", "elo"), KEYS, "left")
+    t = materialize_scratch(t, "reduced_side_table")
     t = prior_values(t, ["spread", "turnovers"], RECORD_LAGS + ["elo"])
     ids = ["season", "week", "gameday", "contest_id", "game_id", "team", "opponent"]
     m = matchup_rows(t, ids, REDUCED)

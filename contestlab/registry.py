@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators import records
-from .sources import adapters
+from .sources import adapters, prepared
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -32,14 +32,14 @@ def register(name: str):
 
 @register("team_record")
 def q_team_record(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return records.team_record(adapters.contests(spark, sf_dir))
+    return records.team_record(prepared.contests(spark, sf_dir))
 
 
 from .operators import side_stats  # noqa: E402
 
 
 def _plays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return adapters.plays(spark, sf_dir)
+    return prepared.plays(spark, sf_dir)
 
 
 @register("offense_stats")
@@ -87,7 +87,7 @@ from .operators.scan import GroupOrder, day_bucket  # noqa: E402
 
 
 def _record(spark, sf_dir):
-    return records.with_margin(records.team_record(adapters.contests(spark, sf_dir)))
+    return records.with_margin(records.team_record(prepared.contests(spark, sf_dir)))
 
 
 def _season_team():
@@ -134,7 +134,7 @@ def q_rest_days(spark, sf_dir):
 
 @register("wlt_pct")
 def q_wlt_pct(spark, sf_dir):
-    return records.wlt_record(adapters.contests(spark, sf_dir))
+    return records.wlt_record(prepared.contests(spark, sf_dir))
 
 
 @register("lag_win_pct")
@@ -155,12 +155,12 @@ from .operators import ratings, stats  # noqa: E402
 
 @register("elo")
 def q_elo(spark, sf_dir):
-    return ratings.elo_ratings(adapters.contests(spark, sf_dir))
+    return ratings.elo_ratings(prepared.contests(spark, sf_dir))
 
 
 @register("elo_top20")
 def q_elo_top20(spark, sf_dir):
-    elo = ratings.elo_ratings(adapters.contests(spark, sf_dir), digits=None)
+    elo = ratings.elo_ratings(prepared.contests(spark, sf_dir), digits=None)
     return stats.best_and_worst(elo, ["season", "team"], "elo", "mean_elo", n=20, digits=4)
 
 
@@ -169,26 +169,26 @@ from .plans import features  # noqa: E402
 
 @register("pregame_features")
 def q_pregame_features(spark, sf_dir):
-    k = adapters.contests(spark, sf_dir)
-    return features.pregame_features(k, adapters.plays(spark, sf_dir, k))
+    k = prepared.contests(spark, sf_dir)
+    return features.pregame_features(k, prepared.plays(spark, sf_dir))
 
 
 @register("reduced_features")
 def q_reduced_features(spark, sf_dir):
-    k = adapters.contests(spark, sf_dir)
-    return features.reduced_features(k, adapters.plays(spark, sf_dir, k))
+    k = prepared.contests(spark, sf_dir)
+    return features.reduced_features(k, prepared.plays(spark, sf_dir))
 
 
 @register("postgame_features")
 def q_postgame_features(spark, sf_dir):
-    k = adapters.contests(spark, sf_dir)
-    return features.postgame_features(k, adapters.plays(spark, sf_dir, k))
+    k = prepared.contests(spark, sf_dir)
+    return features.postgame_features(k, prepared.plays(spark, sf_dir))
 
 
 @register("favorite_flags")
 def q_favorite_flags(spark, sf_dir):
     from .operators.reshape import sides
-    s = sides(adapters.contests(spark, sf_dir)).select("contest_id", "team", "home_away", "line")
+    s = sides(prepared.contests(spark, sf_dir)).select("contest_id", "team", "home_away", "line")
     return features.favorite_flags(s)
 
 
@@ -197,7 +197,7 @@ from .plans import predictions  # noqa: E402
 
 
 def _pred(spark, sf_dir):
-    return predictions.rating_predictions(adapters.contests(spark, sf_dir))
+    return predictions.rating_predictions(prepared.contests(spark, sf_dir))
 
 
 @register("confusion")
@@ -267,13 +267,13 @@ def q_corr_target(spark, sf_dir):
 
 @register("histogram")
 def q_histogram(spark, sf_dir):
-    k = adapters.contests(spark, sf_dir).withColumn("margin", F.col("home_score") - F.col("away_score"))
+    k = prepared.contests(spark, sf_dir).withColumn("margin", F.col("home_score") - F.col("away_score"))
     return stats.histogram(k, "margin", 5.0, by=["season"])
 
 
 @register("class_balance")
 def q_class_balance(spark, sf_dir):
-    k = adapters.contests(spark, sf_dir).withColumn("home_win", (F.col("home_score") > F.col("away_score")).cast("bigint"))
+    k = prepared.contests(spark, sf_dir).withColumn("home_win", (F.col("home_score") > F.col("away_score")).cast("bigint"))
     return stats.class_share(k, "home_win")
 
 
@@ -285,13 +285,13 @@ def q_season_means(spark, sf_dir):
 @register("five_number")
 def q_five_number(spark, sf_dir):
     from .operators.reshape import sides
-    s = sides(adapters.contests(spark, sf_dir)).withColumn("margin", F.col("own_score") - F.col("opp_score"))
+    s = sides(prepared.contests(spark, sf_dir)).withColumn("margin", F.col("own_score") - F.col("opp_score"))
     return stats.quantiles(s, ["season"], "margin", ["contest_id", "team"])
 
 
 @register("home_away_wins")
 def q_home_away_wins(spark, sf_dir):
-    k = adapters.contests(spark, sf_dir)
+    k = prepared.contests(spark, sf_dir)
     w = k.groupBy("season").agg(
         F.sum(F.when(F.col("home_score") > F.col("away_score"), 1).otherwise(0)).cast("bigint").alias("home_wins"),
         F.sum(F.when(F.col("away_score") > F.col("home_score"), 1).otherwise(0)).cast("bigint").alias("away_wins"),
@@ -301,7 +301,7 @@ def q_home_away_wins(spark, sf_dir):
 
 @register("home_fav_pct")
 def q_home_fav_pct(spark, sf_dir):
-    return stats.favourite_win_rates(adapters.contests(spark, sf_dir))
+    return stats.favourite_win_rates(prepared.contests(spark, sf_dir))
 
 
 @register("simple_lm")
@@ -317,12 +317,12 @@ from .sources.tables import bounded_broadcast, read_table  # noqa: E402
 
 @register("sides_long")
 def q_sides_long(spark, sf_dir):
-    return reshape.sides(adapters.contests(spark, sf_dir))
+    return reshape.sides(prepared.contests(spark, sf_dir))
 
 
 @register("key_parse")
 def q_key_parse(spark, sf_dir):
-    k = adapters.contests(spark, sf_dir).select("contest_id", "season", "week", "home_team", "away_team",
+    k = prepared.contests(spark, sf_dir).select("contest_id", "season", "week", "home_team", "away_team",
                                                  reshape.contest_key(F.col("season"), F.col("week"), F.col("away_team"), F.col("home_team")).alias("game_id"))
     p = k.withColumns(reshape.parse_contest_key(F.col("game_id")))
     ok = (F.col("key_season") == F.col("season")) & (F.col("key_week") == F.col("week")) & (F.col("key_away") == F.col("away_team")) & (F.col("key_home") == F.col("home_team"))
@@ -369,14 +369,14 @@ def q_json_stats(spark, sf_dir):
 @register("standings_rank")
 def q_standings_rank(spark, sf_dir):
     from .plans.standings import standings
-    k = adapters.contests(spark, sf_dir)
+    k = prepared.contests(spark, sf_dir)
     return standings(k, bounded_broadcast(adapters.teams(spark, sf_dir), adapters.DIM_MAX_ROWS))
 
 
 @register("next_matchups")
 def q_next_matchups(spark, sf_dir):
     from .plans.matchups import next_matchups
-    return next_matchups(adapters.contests(spark, sf_dir), season=1998, week=27)
+    return next_matchups(prepared.contests(spark, sf_dir), season=1998, week=27)
 
 
 from .operators import ml  # noqa: E402
@@ -384,7 +384,7 @@ from .plans import models  # noqa: E402
 
 
 def _home_wins(spark, sf_dir):
-    k = adapters.contests(spark, sf_dir)
+    k = prepared.contests(spark, sf_dir)
     return k.select("contest_id", (F.col("home_score") > F.col("away_score")).cast("bigint").alias("home_win"))
 
 
@@ -401,8 +401,8 @@ def q_fold_counts(spark, sf_dir):
 
 
 def _model_table(spark, sf_dir):
-    k = adapters.contests(spark, sf_dir)
-    return models.model_table(k, adapters.plays(spark, sf_dir, k))
+    k = prepared.contests(spark, sf_dir)
+    return models.model_table(k, prepared.plays(spark, sf_dir))
 
 
 @register("fit_logistic")
