@@ -520,6 +520,8 @@ from t left join t o on o.contest_id = t.contest_id and o.team = t.opponent
 
 SQL["favorite_flags"] = with_ctes(CONTESTS, SIDES) + """
 select contest_id, team, home_away, line,
+       case when line = 0 then 'even' when (home_away = 'home' and line > 0) or (home_away = 'away' and line < 0) then 'favourite'
+            else 'underdog' end as fav_label,
        cast(case when line > 0 then 1 else 0 end as bigint) as home_fav,
        cast(case when home_away = 'home' and line > 0 then 1 when home_away = 'away' and line < 0 then 1 else 0 end as bigint) as fav,
        abs(line) as abs_spread_line
@@ -878,3 +880,62 @@ SQL["fold_counts"] = with_ctes(CONTESTS, _SPLIT) + """
 , tr as (select *, row_number() over (partition by home_win order by h, contest_id) as fpos from sp where split = 'train')
 select cast((fpos - 1) % 10 as integer) as fold, home_win, count(*) as n from tr group by 1, 2
 """
+
+
+def scaled_prev_mean_strict(col: str, digits: int = 3, input_digits: int = 3, frame: str = BEFORE) -> str:
+    scale = 10 ** input_digits
+    num = f"sum(cast(round({col} * {scale}) as bigint)) over ({frame})"
+    cond = f"count(*) over ({frame}) = count({col}) over ({frame}) and count({col}) over ({frame}) > 0"
+    return r(f"case when {cond} then {num} / (count({col}) over ({frame})) / {float(scale)} end", digits)
+
+
+_OFF_ROLL = ["third_down_pct", "turnovers", "value_added", "score_drives_pct", "score_diff"]
+_DEF_ROLL = ["def_third_down_pct", "def_turnovers", "def_value_added", "def_score_drives_pct"]
+
+SQL["rolling_offense"] = with_ctes(CONTESTS, PLAYS, REG, OFF_CTE) + """
+, t as (select o.*, k.gameday from off o join contests k on k.contest_id = o.contest_id)
+select season, team, contest_id, cast(gameday as varchar) as gameday, """ + ", ".join(
+    f"{scaled_prev_mean_strict(c)} as {c}" for c in _OFF_ROLL) + "\nfrom t\n"
+
+SQL["rolling_defense"] = with_ctes(CONTESTS, PLAYS, DREG, DEF_CTE) + """
+, t as (select d.*, k.gameday from deff d join contests k on k.contest_id = d.contest_id)
+select season, team, contest_id, cast(gameday as varchar) as gameday, """ + ", ".join(
+    f"{scaled_prev_mean_strict(c)} as {c}" for c in _DEF_ROLL) + "\nfrom t\n"
+
+SQL["rolling_elo"] = "with recursive " + CONTESTS.strip() + ",\n" + ELO.strip() + f"""
+select season, contest_id, cast(gameday as varchar) as gameday, team, home_away,
+       {r(f'lag(elo) over ({PREV})', 4)} as elo
+from elo
+"""
+
+
+def _group_roll(col: str, p: int) -> str:
+    return r(f"avg({col}) over (partition by player_id, event_type order by ts, event_id rows between {p} preceding and 1 preceding)", 4)
+
+
+SQL["trailing_mean_group"] = """
+with pe as (select user_id as player_id, event_type, ts, event_id, value from events)
+select player_id, event_type, cast(ts as varchar) as ts, event_id, value, """ + ", ".join(
+    f"{_group_roll('value', p)} as value_lag1_roll_{p}" for p in (1, 2, 4, 8, 16)
+) + "\nfrom pe\n"
+
+SQL["player_model_input"] = f"""
+with pe as (
+  select user_id as player_id, ts, event_id, event_type, value, cast(json_extract_string(props, '$.k') as bigint) as k from events
+), t as (
+  select player_id, ts, event_id, event_type, value,
+         {_player_roll('value', 4)} as value_roll, {_player_roll('k', 4)} as k_roll
+  from pe
+)
+select player_id, cast(ts as varchar) as ts, event_id, cast(case when value > 50 then 1 else 0 end as bigint) as label,
+       value_roll as value, k_roll as k
+from t where event_type = 'purchase'
+"""
+
+SQL["regression_metrics"] = PRED_BASE + f"""
+select count(*) as n,
+       {r('sqrt(avg((model_margin - actual_margin) * (model_margin - actual_margin)))', 6)} as rmse,
+       {r('avg(abs(model_margin - actual_margin))', 6)} as mae,
+       {r('pow(corr(model_margin, actual_margin), 2)', 6)} as rsq
+from pred
+"""

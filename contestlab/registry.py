@@ -189,7 +189,7 @@ def q_postgame_features(spark, sf_dir):
 def q_favorite_flags(spark, sf_dir):
     from .operators.reshape import sides
     s = sides(prepared.contests(spark, sf_dir)).select("contest_id", "team", "home_away", "line")
-    return features.favorite_flags(s)
+    return features.favorite_flags(s).withColumn("fav_label", evaluation.favourite_label())
 
 
 from .operators import evaluation  # noqa: E402
@@ -451,3 +451,51 @@ def q_smote_counts(spark, sf_dir):
 def q_upsample_counts(spark, sf_dir):
     e = _emb(spark, sf_dir).withColumn("label", (F.col("label") == 0).cast("int"))
     return ml.upsample(e, "label", 1, ratio=1.0).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+
+
+_OFF_ROLL = ["third_down_pct", "turnovers", "value_added", "score_drives_pct", "score_diff"]
+_DEF_ROLL = ["def_third_down_pct", "def_turnovers", "def_value_added", "def_score_drives_pct"]
+
+
+def _with_day(spark, sf_dir, df):
+    return df.join(prepared.contests(spark, sf_dir).select("contest_id", "gameday"), "contest_id")
+
+
+@register("rolling_offense")
+def q_rolling_offense(spark, sf_dir):
+    off = _with_day(spark, sf_dir, side_stats.offense_stats(_plays(spark, sf_dir)).select("season", "team", "contest_id", *_OFF_ROLL))
+    return features.prior_values(off, _OFF_ROLL, [], strict=True).select("season", "team", "contest_id", "gameday", *_OFF_ROLL)
+
+
+@register("rolling_defense")
+def q_rolling_defense(spark, sf_dir):
+    d = _with_day(spark, sf_dir, side_stats.defense_stats(_plays(spark, sf_dir)).select("season", "team", "contest_id", *_DEF_ROLL))
+    return features.prior_values(d, _DEF_ROLL, [], strict=True).select("season", "team", "contest_id", "gameday", *_DEF_ROLL)
+
+
+@register("rolling_elo")
+def q_rolling_elo(spark, sf_dir):
+    elo = ratings.elo_ratings(prepared.contests(spark, sf_dir), digits=None)
+    return rolling.lagged(elo.select("season", "contest_id", "gameday", "team", "home_away", "elo"), _season_team(), ["elo"], digits=4)
+
+
+@register("trailing_mean_group")
+def q_trailing_mean_group(spark, sf_dir):
+    ev = adapters.player_events(spark, sf_dir).select("player_id", "event_type", "ts", "event_id", "value")
+    go = GroupOrder(keys=["player_id", "event_type"], order=["ts", "event_id"], bucket=day_bucket("ts"))
+    return rolling.trailing_means(ev, go, ["value"], periods=(1, 2, 4, 8, 16), digits=4)
+
+
+@register("player_model_input")
+def q_player_model_input(spark, sf_dir):
+    ev = adapters.player_events(spark, sf_dir).select("player_id", "ts", "event_id", "event_type", "value", "k")
+    go = GroupOrder(keys=["player_id"], order=["ts", "event_id"], bucket=day_bucket("ts"))
+    t = rolling.trailing_means(ev, go, ["value", "k"], periods=(4,), digits=4)
+    t = t.where(F.col("event_type") == "purchase").withColumn("label", (F.col("value") > 50).cast("bigint"))
+    keep = ["player_id", "ts", "event_id", "label"] + reshape.columns_like(t, "_roll_4")
+    return reshape.strip_suffix(t.select(*keep), r"_lag1_roll_4$")
+
+
+@register("regression_metrics")
+def q_regression_metrics(spark, sf_dir):
+    return evaluation.regression_metrics(_pred(spark, sf_dir), pred="model_margin", actual="actual_margin")
