@@ -83,3 +83,16 @@ def nan_mask(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     numeric = [c for c, t in df.dtypes if t in ("double", "float")]
     cols = [c for c in (columns or numeric) if c in numeric]
     return df.select(*[F.isnan(F.col(c)).alias(c) for c in cols])
+
+
+def drop_matching(df: DataFrame, col: str, pattern: str) -> DataFrame:
+    """``filter(!grepl(pattern, col))``: drop rows whose column matches a regex (NULL rows are kept out too)."""
+    return df.where(~F.col(col).rlike(pattern))
+
+
+def clamp_week(season: Column, week: Column, min_season: int = 2002) -> Column:
+    """Validity rule for a requested week: 2..18 from 2021 on, 2..17 before (season is clamped up to ``min_season``
+    first)."""
+    s = F.greatest(season, F.lit(min_season))
+    top = F.when(s >= 2021, 18).otherwise(17)
+    return F.least(F.greatest(week, F.lit(2)), top)

@@ -194,3 +194,20 @@ def pass_splits(plays: DataFrame, digits: int = 4) -> DataFrame:
     )
     g = g.withColumn("value_per_play", round_half_up(F.col("max_value") / F.col("total_plays"), digits))
     return g.withColumnRenamed("off_team", "team")
+
+
+def yards_long(plays: DataFrame) -> DataFrame:
+    """Passing (completed) and running (not completed) yards per season and attacking side, in long form."""
+    g = plays.where(F.col("off_team").isNotNull()).groupBy("season", F.col("off_team").alias("team")).agg(
+        F.sum(F.when(F.col("completed") == 1, F.col("air_yards")).otherwise(0)).cast("bigint").alias("pass_yards"),
+        F.sum(F.when(F.col("completed") == 0, F.col("air_yards")).otherwise(0)).cast("bigint").alias("run_yards"),
+    )
+    return g.unpivot(["season", "team"], ["pass_yards", "run_yards"], "kind", "yards")
+
+
+def game_stats(plays: DataFrame) -> DataFrame:
+    """Wide per-side contest table: offence roll-up, possession time and share, period margins and their change."""
+    off = offense_stats(plays)
+    poss = possession_share(plays)
+    marg = period_margin(plays).drop("season", "week", "game_id", "score_diff").withColumnRenamed("team", "team")
+    return off.join(poss, ["contest_id", "team"], "left").join(marg, ["contest_id", "team"], "left")

@@ -141,3 +141,52 @@ def simple_regression(df: DataFrame, y: str, x: str, digits: int = 4) -> DataFra
         round_half_up(F.regr_intercept(y, x), digits).alias("intercept"),
         round_half_up(F.regr_r2(y, x), digits).alias("r2"),
     )
+
+
+def metric_by_wins(side_rows: DataFrame, metric: str, digits: int = 4) -> DataFrame:
+    """Metric against outcome: per (season, team) the wins and the mean metric, then per win total the mean of
+    those team means and the number of team seasons."""
+    per = side_rows.groupBy("season", "team").agg(F.sum("win").cast("bigint").alias("wins"), F.avg(metric).alias("__m"))
+    return per.groupBy("wins").agg(round_half_up(F.avg("__m"), digits).alias(f"mean_{metric}"), F.count(F.lit(1)).alias("team_seasons"))
+
+
+def half_ppr(df: DataFrame, by: list[str], points: str, receptions: str, digits: int = 4) -> DataFrame:
+    """Half-point-per-reception scoring (points + 0.5 x receptions), total and mean per group, in long form."""
+    pts = F.col(points) + 0.5 * F.col(receptions)
+    g = df.groupBy(*by).agg(
+        round_half_up(F.sum(pts), digits).alias("total"),
+        round_half_up(F.avg(pts), digits).alias("mean"),
+    )
+    return g.unpivot(by, ["total", "mean"], "measure", "half_ppr")
+
+
+def spread_summary(df: DataFrame, col: str, by: list[str] | None = None, digits: int = 4) -> DataFrame:
+    """Sample standard deviation, mean and the mean scaled by the deviation."""
+    g = df.groupBy(*(by or [])).agg(F.stddev_samp(col).alias("sd"), F.avg(col).alias("mean"))
+    return g.select(*(by or []), round_half_up(F.col("sd"), digits).alias("sd"), round_half_up(F.col("mean"), digits).alias("mean"),
+                    round_half_up(F.try_divide(F.col("mean"), F.col("sd")), digits).alias("scaled_mean"))
+
+
+def numeric_totals(df: DataFrame, by: list[str], how: str = "sum") -> DataFrame:
+    """Sum (or mean) of every numeric non-key column per group."""
+    num = [c for c, t in df.dtypes if c not in by and (t in ("bigint", "int", "double", "float", "smallint") or t.startswith("decimal"))]
+    fn = F.sum if how == "sum" else F.avg
+    return df.groupBy(*by).agg(*[fn(c).alias(c) for c in num])
+
+
+def second_to_last(df: DataFrame, by: list[str], order: str, value: str, name: str = "second_last") -> DataFrame:
+    """Value on the second-to-last row of each group (``nth(value, -2)``): the last order value per group, then the
+    latest row before it. Two aggregations and a join, so no group is sorted in one task."""
+    last = df.groupBy(*by).agg(F.max(order).alias("__last"))
+    rest = df.join(last, by).where(F.col(order) < F.col("__last"))
+    return rest.groupBy(*by).agg(F.max_by(value, order).alias(name))
+
+
+def group_ids(df: DataFrame, keys: list[str], name: str = "group_id") -> DataFrame:
+    """``cur_group_id()``: a dense 1-based id per distinct key, in key order. The distinct keys are ranked with the
+    bucketed global scan (bucket = first key), then joined back."""
+    from .scan import GroupOrder, scan
+
+    distinct = df.select(*keys).distinct()
+    ranked = scan(distinct, GroupOrder(keys=[], order=keys, bucket={"__bk": F.col(keys[0])}), sums={name: F.lit(1)})
+    return df.join(ranked, keys, "left")

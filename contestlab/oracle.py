@@ -474,9 +474,9 @@ def _prior_select(mean_cols: list[str], lag_cols: list[str]) -> str:
     return ",\n         ".join(parts)
 
 
-def _matchup_sql(base_cols: list[str], feats: list[str], opp_feats: list[str]) -> str:
+def _matchup_sql(base_cols: list[str], feats: list[str], opp_feats: list[str], label: str = "win") -> str:
     sel = ["h.season", "h.week", "cast(h.gameday as varchar) as gameday", "h.contest_id", "h.game_id", "h.team",
-           "h.opponent", "h.win"] + [f"h.{c}" for c in feats] + [f"a.{c} as opp_{c}" for c in opp_feats]
+           "h.opponent", f"h.{label}"] + [f"h.{c}" for c in feats] + [f"a.{c} as opp_{c}" for c in opp_feats]
     conds = [f"h.{c} is not null" for c in feats] + [f"a.{c} is not null" for c in opp_feats]
     return (
         "select " + ",\n       ".join(sel)
@@ -939,3 +939,69 @@ select count(*) as n,
        {r('pow(corr(model_margin, actual_margin), 2)', 6)} as rsq
 from pred
 """
+
+_PRE_REG = with_ctes(CONTESTS, PLAYS, REG)
+POSS_CTE = "poss as (with " + SQL["possession_share"][len(_PRE_REG):].lstrip().lstrip(",") + ")"
+MARG_CTE = "marg as (with " + SQL["period_margin"][len(_PRE_REG):].lstrip().lstrip(",") + ")"
+
+SQL["game_stats"] = with_ctes(CONTESTS, PLAYS, REG, OFF_CTE, POSS_CTE, MARG_CTE) + """
+select o.*, p.possession_sec, p.possession_pct, """ + ", ".join(
+    [f"m.score_diff_qtr_{k}" for k in range(1, 5)] + [f"m.dscore_diff_qtr_{k}" for k in range(1, 5)]
+) + """
+from off o
+left join poss p on p.contest_id = o.contest_id and p.team = o.team
+left join marg m on m.contest_id = o.contest_id and m.team = o.team
+"""
+
+SQL["yards_long"] = with_ctes(CONTESTS, PLAYS) + """
+, g as (
+  select season, off_team as team,
+         cast(sum(case when completed = 1 then air_yards else 0 end) as bigint) as pass_yards,
+         cast(sum(case when completed = 0 then air_yards else 0 end) as bigint) as run_yards
+  from plays where off_team is not null group by season, off_team
+)
+select season, team, 'pass_yards' as kind, pass_yards as yards from g
+union all
+select season, team, 'run_yards' as kind, run_yards as yards from g
+"""
+
+SQL["half_ppr"] = f"""
+with e as (select user_id as player_id, event_type, value + 0.5 * cast(json_extract_string(props, '$.k') as bigint) as pts from events),
+g as (select player_id, event_type, {r('sum(pts)', 4)} as total, {r('avg(pts)', 4)} as mean from e group by player_id, event_type)
+select player_id, event_type, 'total' as measure, total as half_ppr from g
+union all
+select player_id, event_type, 'mean' as measure, mean as half_ppr from g
+"""
+
+SQL["metric_by_wins"] = with_ctes(CONTESTS, SIDES, RECORD, PLAYS, REG, OFF_CTE) + f"""
+, j as (select rc.season, rc.team, rc.win, o.turnovers from record rc left join off o on o.contest_id = rc.contest_id and o.team = rc.team),
+per as (select season, team, cast(sum(win) as bigint) as wins, avg(turnovers) as m from j group by season, team)
+select wins, {r('avg(m)', 4)} as mean_turnovers, count(*) as team_seasons from per group by wins
+"""
+
+SQL["season_value_total"] = with_ctes(CONTESTS, PLAYS) + f"""
+, p as (
+  select *, sum(value_added) over (partition by contest_id, off_team order by play_id
+                                   rows between unbounded preceding and current row) as cum
+  from plays where off_team is not null
+), g as (
+  select contest_id, off_team as team, any_value(season) as season, cast(max(cum) as bigint) as max_value from p group by contest_id, off_team
+), d as (select g.*, k.gameday from g join contests k on k.contest_id = g.contest_id)
+select season, team, contest_id, cast(gameday as varchar) as gameday, max_value,
+       cast(sum(max_value) over ({RUN}) as bigint) as season_total
+from d
+"""
+
+SPREAD_MEANS = [*OFFENSE_MEANS, *DEFENSE_MEANS, "spread_lag"]
+SPREAD_FEATURES = ["line", "rest", *RECORD_LAGS, *SPREAD_MEANS]
+SPREAD_OPP = ["rest", *RECORD_LAGS, *SPREAD_MEANS]
+
+SQL["spread_features"] = FEATURE_BASE + f""",
+pr as (
+  select season, week, gameday, contest_id, game_id, team, opponent, home_away, spread, line,
+         case when rest_days < 7 then 'short' when rest_days = 7 then 'normal' when rest_days > 7 then 'long' end as rest,
+         {_prior_select(OFFENSE_MEANS + DEFENSE_MEANS, RECORD_LAGS)},
+         {scaled_prev_mean('spread', 3)} as spread_lag
+  from st
+), fl as (select * from pr)
+""" + _matchup_sql([], SPREAD_FEATURES, SPREAD_OPP, label="spread")

@@ -162,3 +162,21 @@ def reduced_features(contests: DataFrame, plays: DataFrame, elo: DataFrame | Non
     m = matchup_rows(t, ids, REDUCED)
     cols = ids + ["win"] + REDUCED + [f"opp_{c}" for c in REDUCED]
     return drop_incomplete(m.select(*cols), subset=REDUCED + [f"opp_{c}" for c in REDUCED])
+
+
+SPREAD_MEANS = [*OFFENSE_MEANS, *DEFENSE_MEANS, "spread_lag"]
+SPREAD_FEATURES = ["line", "rest", *RECORD_LAGS, *SPREAD_MEANS]
+SPREAD_OPP = ["rest", *RECORD_LAGS, *SPREAD_MEANS]
+
+
+def spread_features(contests: DataFrame, plays: DataFrame) -> DataFrame:
+    """Margin model table: home margin as label, line, rest category, lagged record, season-to-date offence,
+    defence and margin (``spread_lag``), with the away side's values as ``opp_*``."""
+    t = side_table(contests, plays).withColumn("spread_lag", F.col("spread"))
+    t = materialize_scratch(t, "spread_side_table")
+    t = prior_values(t, SPREAD_MEANS, RECORD_LAGS)
+    t = t.withColumn("rest", records.rest_bucket())
+    ids = ["season", "week", "gameday", "contest_id", "game_id", "team", "opponent"]
+    m = matchup_rows(t, ids, [c for c in SPREAD_FEATURES if c != "line"] + ["line"], label="spread").drop("opp_line")
+    cols = ids + ["spread"] + SPREAD_FEATURES + [f"opp_{c}" for c in SPREAD_OPP]
+    return drop_incomplete(m.select(*cols), subset=SPREAD_FEATURES + [f"opp_{c}" for c in SPREAD_OPP])

@@ -83,7 +83,7 @@ def q_pass_splits(spark, sf_dir):
 
 
 from .operators import rolling  # noqa: E402
-from .operators.scan import GroupOrder, day_bucket  # noqa: E402
+from .operators.scan import GroupOrder, day_bucket, scan  # noqa: E402
 
 
 def _record(spark, sf_dir):
@@ -499,3 +499,47 @@ def q_player_model_input(spark, sf_dir):
 @register("regression_metrics")
 def q_regression_metrics(spark, sf_dir):
     return evaluation.regression_metrics(_pred(spark, sf_dir), pred="model_margin", actual="actual_margin")
+
+
+@register("spread_features")
+def q_spread_features(spark, sf_dir):
+    return features.spread_features(prepared.contests(spark, sf_dir), prepared.plays(spark, sf_dir))
+
+
+@register("game_stats")
+def q_game_stats(spark, sf_dir):
+    return side_stats.game_stats(_plays(spark, sf_dir))
+
+
+@register("yards_long")
+def q_yards_long(spark, sf_dir):
+    return side_stats.yards_long(_plays(spark, sf_dir))
+
+
+@register("half_ppr")
+def q_half_ppr(spark, sf_dir):
+    ev = adapters.player_events(spark, sf_dir)
+    return stats.half_ppr(ev, ["player_id", "event_type"], "value", "k")
+
+
+@register("metric_by_wins")
+def q_metric_by_wins(spark, sf_dir):
+    rec = _record(spark, sf_dir).select("season", "team", "contest_id", "win")
+    off = side_stats.offense_stats(_plays(spark, sf_dir)).select("contest_id", "team", "turnovers")
+    return stats.metric_by_wins(rec.join(off, ["contest_id", "team"], "left"), "turnovers")
+
+
+@register("season_value_total")
+def q_season_value_total(spark, sf_dir):
+    ps = _with_day(spark, sf_dir, side_stats.pass_splits(_plays(spark, sf_dir)).select("season", "team", "contest_id", "max_value"))
+    out = scan(ps, _season_team(), sums={"season_total": F.col("max_value")})
+    return out.select("season", "team", "contest_id", "gameday", "max_value", F.col("season_total").cast("bigint").alias("season_total"))
+
+
+@register("variable_importance")
+def q_variable_importance(spark, sf_dir):
+    t = _model_table(spark, sf_dir)
+    est = ml.classifiers("label")["gbt"]
+    model = ml.workflow(ml.preprocess_stages(models.FEATURE_COLS, drop_zero_variance=False), est).fit(t)
+    rows = ml.importance(model, models.FEATURE_COLS)
+    return spark.createDataFrame(rows, "feature string, importance double")
