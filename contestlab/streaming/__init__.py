@@ -1 +1,4 @@
-"""contestlab package."""
+"""No streaming operators: the analysis has no streams, windows over event time, watermarks or stateful operators.
+
+Weekly scoring is a batch over a new season partition (see ``contestlab.plans.models.holdout_scores``).
+"""
