@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.nulls import round_half_up, safe_div
-from .scan import GroupOrder, scan
+from .scan import GroupOrder, numeric_levels, scan
 
-SCORE_BUCKETS = 10_000
+SCORE_WIDTHS = (1e-4, 1e-2, 1.0)  # bucket levels over the score
 
 
 def confusion(df: DataFrame, pred: str = "pred", truth: str = "truth") -> DataFrame:
@@ -79,7 +79,7 @@ def _score_table(df: DataFrame, prob: str, truth: str) -> DataFrame:
 def roc_points(df: DataFrame, prob: str = "prob", truth: str = "truth", digits: int = 6) -> DataFrame:
     """ROC curve: for each distinct score used as threshold (predict 1 when score >= threshold), TPR and FPR."""
     st = _score_table(df, prob, truth).withColumn("__neg_score", -F.col("score"))
-    go = GroupOrder(keys=[], order=["__neg_score"], bucket={"__bk": F.floor(F.col("__neg_score") * SCORE_BUCKETS)})
+    go = GroupOrder(keys=[], order=["__neg_score"], levels=numeric_levels("__neg_score", SCORE_WIDTHS))
     cum = scan(st, go, sums={"tp": F.col("pos"), "fp": F.col("neg")})
     totals = st.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).withColumn("__k", F.lit(1))
     cum = cum.withColumn("__k", F.lit(1)).join(F.broadcast(totals), "__k").drop("__k")  # one-row table
@@ -95,7 +95,7 @@ def roc_auc(df: DataFrame, prob: str = "prob", truth: str = "truth", digits: int
     """Area under the ROC curve as the Mann-Whitney statistic: P(score of a positive > score of a negative) plus
     half the probability of a tie."""
     st = _score_table(df, prob, truth)
-    go = GroupOrder(keys=[], order=["score"], bucket={"__bk": F.floor(F.col("score") * SCORE_BUCKETS)})
+    go = GroupOrder(keys=[], order=["score"], levels=numeric_levels("score", SCORE_WIDTHS))
     cum = scan(st, go, sums={"neg_upto": F.col("neg")})
     contrib = cum.select(
         (F.col("pos") * (F.col("neg_upto") - F.col("neg"))).alias("below"),

@@ -35,9 +35,9 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .scan import GroupOrder, scan
+from .scan import GroupOrder, prefix_levels, scan
 
-HASH_BUCKET_CHARS = 3  # 16^3 buckets per stratum for the rank scan
+HASH_PREFIXES = (5, 3, 1)  # bucket levels of the rank scan: 16^5, 16^3 and 16 hash prefixes per stratum
 
 
 def _hash(id_col: str, seed: int) -> Column:
@@ -46,7 +46,7 @@ def _hash(id_col: str, seed: int) -> Column:
 
 def _rank_in_strata(df: DataFrame, strata: list[str], id_col: str, seed: int) -> DataFrame:
     h = df.withColumn("__h", _hash(id_col, seed))
-    go = GroupOrder(keys=strata, order=["__h", id_col], bucket={"__hb": F.substring("__h", 1, HASH_BUCKET_CHARS)})
+    go = GroupOrder(keys=strata, order=["__h", id_col], levels=prefix_levels("__h", HASH_PREFIXES))
     ranked = scan(h, go, sums={"__pos": F.lit(1)})
     sizes = h.groupBy(*strata).agg(F.count(F.lit(1)).alias("__n"))
     return ranked.join(sizes, strata, "left")
@@ -142,10 +142,12 @@ def workflow_set(pre: dict[str, list], models: dict) -> dict[str, Pipeline]:
 
 
 def tune(pipeline: Pipeline, grid: list, train: DataFrame, label: str, fold_col: str = "fold", metric: str = "areaUnderROC",
-         parallelism: int = 4) -> tuple[PipelineModel, list[float]]:
-    """Grid search with cross-validation on precomputed folds; returns the refit best model and mean metrics."""
+         parallelism: int = 4, k: int = 10) -> tuple[PipelineModel, list[float]]:
+    """Grid search with cross-validation on precomputed folds ``0..k-1``; returns the refit best model and the mean
+    metric of every candidate."""
     ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction", metricName=metric)
-    cv = CrossValidator(estimator=pipeline, estimatorParamMaps=grid, evaluator=ev, foldCol=fold_col, parallelism=parallelism)
+    cv = CrossValidator(estimator=pipeline, estimatorParamMaps=grid, evaluator=ev, foldCol=fold_col, numFolds=k,
+                        parallelism=parallelism)
     m = cv.fit(train)
     return m.bestModel, list(m.avgMetrics)
 

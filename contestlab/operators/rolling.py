@@ -74,14 +74,19 @@ def trailing_means(
 
 
 def lag_win_pct(record: DataFrame, periods: int = 8, digits: int = 4, chunk_rows: int = DEFAULT_CHUNK_ROWS,
-                id_width: int = 1 << 20) -> DataFrame:
+                id_width: int = 1 << 16) -> DataFrame:
     """Trailing mean of the lagged win % over ``periods`` contests per team across seasons.
 
     When no earlier contest exists the value falls back to the current win % if that is exactly 1 or 0.
     """
-    from .scan import day_bucket
-
-    go = GroupOrder(keys=["team"], order=["season", "gameday", "contest_id"], bucket={"__bk_season": F.col("season"), **day_bucket("gameday", "contest_id", id_width)})
+    day = F.col("gameday").cast("date")
+    levels = [
+        {"__lv_s0": F.col("season"), "__lv_d0": day, "__lv_id": F.floor(F.col("contest_id") / F.lit(id_width))},
+        {"__lv_s1": F.col("season"), "__lv_d1": day},
+        {"__lv_s2": F.col("season"), "__lv_m2": F.trunc(day, "month")},
+        {"__lv_s3": F.col("season")},
+    ]
+    go = GroupOrder(keys=["team"], order=["season", "gameday", "contest_id"], levels=levels)
     t = trailing_means(record, go, ["win_pct"], periods=(periods,), digits=digits, chunk_rows=chunk_rows)
     m = F.col(f"win_pct_lag1_roll_{periods}")
     return t.withColumn(

@@ -1,19 +1,24 @@
 """Ordered per-group scans (running sums, lag, carry-forward, trailing frames) that never put one group in one task.
 
-A plain ``Window.partitionBy(group).orderBy(...)`` sends every row of a group to a single task. When a single team or
-user holds a large share of all rows that task becomes the whole job. Here the rows of a group are split into
-*buckets*: columns that never decrease along the sort order (for contests: the day, plus the contest id divided by a
-width). The scan then runs in three cheap steps:
+A plain ``Window.partitionBy(group).orderBy(...)`` sends every row of a group to a single task; when one team or
+user holds a large share of all rows, that task is the whole job. Here the rows of a group are split into *buckets*:
+columns that never decrease along the sort order (for contests: the day plus an id range). Buckets come in levels,
+each a coarsening of the one before (id range within a day -> day -> month). Every scan is built from two associative
+operations, ``sum`` and ``max`` of a struct keyed by the sort order, evaluated as *exclusive* prefixes:
 
-1. a window over ``(group, bucket)`` computes the local running values (bounded task size);
-2. one pre-aggregated summary row per ``(group, bucket)`` (totals, last row, last non-null value) is scanned per
-   group; this table is the data divided by the bucket size;
-3. the summary offsets are joined back on ``(group, bucket)``, which is the partitioning the local window already
-   has, so the big side is not shuffled again.
+    prefix(row) = combine(prefix of the earlier buckets, prefix of the earlier rows in the same bucket)
 
-Bounded frames (``rowsBetween(-p, -1)``) use exact row positions from step 1-3, cut each group into chunks of
-``chunk_rows`` rows and copy the last ``p`` rows of each chunk into the next one as a halo, so every frame is
-complete inside one chunk.
+The in-bucket part is a window over ``(group, bucket)``. The part over earlier buckets is the same problem one level
+up, on a pre-aggregated summary with one row per bucket, solved recursively; only the coarsest summary (a few rows per
+group) is scanned with a window over the group alone. The offsets are joined back on ``(group, bucket)``, the
+partitioning the in-bucket window already has. No task holds more than one bucket of one level.
+
+From the two prefixes: running sum = exclusive sum + own value; lag = the value inside the exclusive max of
+``struct(order, value)``; carry-forward = own value, else the exclusive max over non-NULL values.
+
+Bounded frames (``rowsBetween(-p, -1)``) use exact row positions from a scan, cut each group into chunks of
+``chunk_rows`` rows and copy the last ``p`` rows of each chunk into the next one as a halo, so every frame is complete
+inside one chunk.
 
 All order columns are ascending and together unique within a group.
 """
@@ -21,31 +26,97 @@ All order columns are ascending and together unique within a group.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from itertools import count
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_CHUNK_ROWS = 1 << 20
+_ids = count()
 
 
 @dataclass
 class GroupOrder:
-    """How rows are grouped and ordered: ``keys`` (group), ``order`` (unique sort key), ``bucket`` (monotone split)."""
+    """``keys`` (group), ``order`` (unique ascending sort key), ``levels`` (bucket columns, finest first)."""
 
     keys: list[str]
     order: list[str]
-    bucket: dict[str, Column] = field(default_factory=dict)
+    levels: list[dict[str, Column]] = field(default_factory=list)
 
-    def bucket_names(self) -> list[str]:
-        return list(self.bucket)
 
-
-def day_bucket(date_col: str, id_col: str | None = None, id_width: int = 1 << 20) -> dict[str, Column]:
-    """Buckets for the order ``(date, id)``: the day and, inside it, the id divided by ``id_width``."""
-    b = {"__bk_day": F.col(date_col).cast("date")}
+def date_levels(date_col: str, id_col: str | None = None, id_width: int = 1 << 16) -> list[dict[str, Column]]:
+    """Levels for the order ``(date, id)``: id range within the day, the day, the month."""
+    day = F.col(date_col).cast("date")
+    levels = []
     if id_col is not None:
-        b["__bk_id"] = F.floor(F.col(id_col) / F.lit(id_width))
-    return b
+        levels.append({"__lv_day0": day, "__lv_id": F.floor(F.col(id_col) / F.lit(id_width))})
+    levels.append({"__lv_day": day})
+    levels.append({"__lv_month": F.trunc(day, "month")})
+    return levels
+
+
+def time_levels(ts_col: str) -> list[dict[str, Column]]:
+    """Levels for an order that starts with a timestamp: second, day, month."""
+    ts = F.col(ts_col)
+    return [
+        {"__lv_sec": F.date_trunc("second", ts)},
+        {"__lv_day": F.to_date(ts)},
+        {"__lv_month": F.trunc(F.to_date(ts), "month")},
+    ]
+
+
+def numeric_levels(col: str, widths: tuple[float, ...], then_id: str | None = None, id_width: int = 1 << 16) -> list[dict[str, Column]]:
+    """Levels for an order that starts with a number: ``floor(x / widths[0])``, then each coarser level divides the
+    previous bucket number by ``widths[i] / widths[i - 1]`` (a whole ratio), so every level is an exact function of
+    the finer one. With ``then_id`` the finest level also splits equal values by an id range (order ``(x, id, ...)``)."""
+    levels = []
+    if then_id is not None:
+        levels.append({"__lv_x0": F.col(col), "__lv_id": F.floor(F.col(then_id) / F.lit(id_width))})
+    prev = F.floor(F.col(col) / F.lit(float(widths[0])))
+    levels.append({"__lv_x1": prev})
+    for i in range(1, len(widths)):
+        ratio = round(widths[i] / widths[i - 1])
+        prev = F.floor(F.col(f"__lv_x{i}") / F.lit(ratio))
+        levels.append({f"__lv_x{i + 1}": prev})
+    return levels
+
+
+def prefix_levels(col: str, lengths: tuple[int, ...] = (5, 3, 1)) -> list[dict[str, Column]]:
+    """Levels for an order that starts with a string (e.g. a hex hash): shrinking prefixes."""
+    return [{f"__lv_p{n}": F.substring(F.col(col), 1, n)} for n in lengths]
+
+
+def _exclusive(rows: DataFrame, keys: list[str], order: list[str], levels: list[dict[str, Column]],
+               sums: dict[str, Column], maxes: dict[str, Column], tag: str) -> DataFrame:
+    """Add ``{tag}s_{n}`` (sum over earlier rows of the group) and ``{tag}m_{n}`` (max over earlier rows)."""
+    if not levels:
+        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        return rows.withColumns(
+            {**{f"{tag}s_{n}": F.sum(e).over(w) for n, e in sums.items()}, **{f"{tag}m_{n}": F.max(e).over(w) for n, e in maxes.items()}}
+        )
+    bcols = list(levels[0])
+    upper = [c for lv in levels[1:] for c in lv]
+    w = Window.partitionBy(*keys, *bcols).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    local = rows.withColumns(
+        {**{f"{tag}ls_{n}": F.sum(e).over(w) for n, e in sums.items()}, **{f"{tag}lm_{n}": F.max(e).over(w) for n, e in maxes.items()}}
+    )
+    summ = rows.groupBy(*keys, *bcols, *upper).agg(
+        *[F.sum(e).alias(f"{tag}ts_{n}") for n, e in sums.items()], *[F.max(e).alias(f"{tag}tm_{n}") for n, e in maxes.items()]
+    )
+    inner = f"{tag}u{next(_ids)}_"
+    up = _exclusive(summ, keys, bcols, levels[1:], {n: F.col(f"{tag}ts_{n}") for n in sums},
+                    {n: F.col(f"{tag}tm_{n}") for n in maxes}, inner)
+    offs = up.select(*keys, *bcols, *[F.col(f"{inner}s_{n}").alias(f"{tag}os_{n}") for n in sums],
+                     *[F.col(f"{inner}m_{n}").alias(f"{tag}om_{n}") for n in maxes])
+    out = local.join(offs, keys + bcols, "left")
+    out = out.withColumns(
+        {
+            **{f"{tag}s_{n}": F.coalesce(F.col(f"{tag}os_{n}"), F.lit(0)) + F.coalesce(F.col(f"{tag}ls_{n}"), F.lit(0)) for n in sums},
+            **{f"{tag}m_{n}": F.greatest(F.col(f"{tag}om_{n}"), F.col(f"{tag}lm_{n}")) for n in maxes},
+        }
+    )
+    helpers = [f"{tag}{p}{n}" for n in sums for p in ("ls_", "os_")] + [f"{tag}{p}{n}" for n in maxes for p in ("lm_", "om_")]
+    return out.drop(*helpers)
 
 
 def scan(
@@ -64,54 +135,22 @@ def scan(
     sums = sums or {}
     lags = lags or {}
     carry = carry or {}
-    bnames = go.bucket_names()
-    part = go.keys + bnames
-    b = df.withColumns(go.bucket) if go.bucket else df
-
-    w_rows = Window.partitionBy(*part).orderBy(*go.order)
-    w_run = w_rows.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    order_struct = F.struct(*[F.col(c) for c in go.order])
-
-    # 1. local running values inside each (group, bucket)
-    local: dict[str, Column] = {}
-    for name, expr in sums.items():
-        local[f"__ls_{name}"] = F.sum(F.coalesce(expr, F.lit(0))).over(w_run)
-    for name, c in lags.items():
-        local[f"__ll_{name}"] = F.lag(F.col(c)).over(w_rows)
-    for name, c in carry.items():
-        local[f"__lc_{name}"] = F.last(F.col(c), ignorenulls=True).over(w_run)
-    if lags:
-        local["__first"] = F.row_number().over(w_rows) == 1
-    b = b.withColumns(local)
-
-    # 2. one summary row per (group, bucket), scanned per group
-    summary_aggs = [F.sum(F.coalesce(expr, F.lit(0))).alias(f"__t_{n}") for n, expr in sums.items()]
-    if lags:
-        summary_aggs.append(F.max_by(F.struct(*[F.col(c).alias(n) for n, c in lags.items()]), order_struct).alias("__last"))
-    for name, c in carry.items():
-        summary_aggs.append(F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order_struct)).alias(f"__tc_{name}"))
-    # aggregated from the already (group, bucket)-partitioned rows, so this needs no extra exchange
-    summ = b.groupBy(*part).agg(*summary_aggs)
-    w_prev = Window.partitionBy(*go.keys).orderBy(*bnames).rowsBetween(Window.unboundedPreceding, -1)
-    w_b = Window.partitionBy(*go.keys).orderBy(*bnames)
-    offs: dict[str, Column] = {}
-    for name in sums:
-        offs[f"__o_{name}"] = F.coalesce(F.sum(F.col(f"__t_{name}")).over(w_prev), F.lit(0))
-    if lags:
-        offs["__prev_last"] = F.lag(F.col("__last")).over(w_b)
-    for name in carry:
-        offs[f"__oc_{name}"] = F.last(F.col(f"__tc_{name}"), ignorenulls=True).over(w_prev)
-    summ = summ.select(*part, *[v.alias(k) for k, v in offs.items()])
-
-    # 3. join the offsets back on (group, bucket)
-    out = b.join(summ, on=part, how="left")
+    rows = df
+    for lv in go.levels:
+        rows = rows.withColumns(lv)
+    ordkey = F.struct(*[F.col(c) for c in go.order])
+    s_exprs = {n: F.coalesce(e, F.lit(0)) for n, e in sums.items()}
+    m_exprs = {f"lag_{n}": F.struct(ordkey.alias("o"), F.col(c).alias("v")) for n, c in lags.items()}
+    m_exprs.update({f"car_{n}": F.when(F.col(c).isNotNull(), F.struct(ordkey.alias("o"), F.col(c).alias("v"))) for n, c in carry.items()})
+    tag = f"__x{next(_ids)}_"
+    out = _exclusive(rows, go.keys, go.order, go.levels, s_exprs, m_exprs, tag)
     final: dict[str, Column] = {}
-    for name in sums:
-        final[name] = F.col(f"__ls_{name}") + F.col(f"__o_{name}")
-    for name in lags:
-        final[name] = F.when(F.col("__first"), F.col("__prev_last").getField(name)).otherwise(F.col(f"__ll_{name}"))
-    for name in carry:
-        final[name] = F.coalesce(F.col(f"__lc_{name}"), F.col(f"__oc_{name}"))
+    for n in sums:
+        final[n] = F.coalesce(F.col(f"{tag}s_{n}"), F.lit(0)) + s_exprs[n]
+    for n in lags:
+        final[n] = F.col(f"{tag}m_lag_{n}").getField("v")
+    for n, c in carry.items():
+        final[n] = F.coalesce(F.col(c), F.col(f"{tag}m_car_{n}").getField("v"))
     out = out.withColumns(final)
     keep = list(df.columns) + [c for c in final if c not in df.columns]
     return out.select(*keep)

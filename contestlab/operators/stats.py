@@ -82,10 +82,10 @@ def quantiles(df: DataFrame, by: list[str], value: str, tiebreak: list[str], pro
     Rows are ranked by a bucketed scan (no group is gathered into one task or one buffer), the two order statistics
     around each ``h = (n - 1) p`` are picked by position and interpolated.
     """
-    from .scan import GroupOrder, positions
+    from .scan import GroupOrder, numeric_levels, positions
 
     base = df.where(F.col(value).isNotNull()).select(*by, value, *tiebreak)
-    go = GroupOrder(keys=by, order=[value, *tiebreak], bucket={"__bk": F.floor(F.col(value))})
+    go = GroupOrder(keys=by, order=[value, *tiebreak], levels=numeric_levels(value, (1.0, 64.0, 4096.0), then_id=tiebreak[0]))
     ranked = positions(base, go, "__pos")
     sizes = base.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
     wanted = []
@@ -185,8 +185,10 @@ def second_to_last(df: DataFrame, by: list[str], order: str, value: str, name: s
 def group_ids(df: DataFrame, keys: list[str], name: str = "group_id") -> DataFrame:
     """``cur_group_id()``: a dense 1-based id per distinct key, in key order. The distinct keys are ranked with the
     bucketed global scan (bucket = first key), then joined back."""
-    from .scan import GroupOrder, scan
+    from .scan import GroupOrder, numeric_levels, prefix_levels, scan
 
     distinct = df.select(*keys).distinct()
-    ranked = scan(distinct, GroupOrder(keys=[], order=keys, bucket={"__bk": F.col(keys[0])}), sums={name: F.lit(1)})
+    numeric = dict(distinct.dtypes)[keys[0]] in ("bigint", "int", "smallint", "double", "float")
+    levels = numeric_levels(keys[0], (1.0, 1024.0, float(1 << 20))) if numeric else prefix_levels(keys[0], (6, 3, 1))
+    ranked = scan(distinct, GroupOrder(keys=[], order=keys, levels=levels), sums={name: F.lit(1)})
     return df.join(ranked, keys, "left")

@@ -43,8 +43,9 @@ def tune_logistic(table: DataFrame, seed: int = 234, k: int = 10, parallelism: i
     folded = ml.stratified_folds(s, ["win"], "contest_id", k=k, seed=seed)
     est = ml.classifiers("label")["logistic"]
     pipe = ml.workflow(ml.preprocess_stages(FEATURE_COLS), est)
-    grid = ParamGridBuilder().addGrid(est.regParam, [0.001, 0.01, 0.1]).addGrid(est.elasticNetParam, [0.0, 0.5]).build()
-    _, metrics = ml.tune(pipe, grid, folded, "label", fold_col="fold", parallelism=parallelism)
+    grid = ParamGridBuilder().addGrid(est.regParam, [0.001, 0.1]).addGrid(est.elasticNetParam, [0.0, 0.5]).build()
+    folded = materialize_scratch(folded, "folds")  # every candidate and fold reads this table
+    _, metrics = ml.tune(pipe, grid, folded, "label", fold_col="fold", parallelism=parallelism, k=k)
     rows = [(i, float(g[est.regParam]), float(g[est.elasticNetParam]), float(m)) for i, (g, m) in enumerate(zip(grid, metrics))]
     order = sorted(rows, key=lambda r: -r[3])
     rank = {r[0]: n + 1 for n, r in enumerate(order)}

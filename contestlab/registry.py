@@ -83,7 +83,7 @@ def q_pass_splits(spark, sf_dir):
 
 
 from .operators import rolling  # noqa: E402
-from .operators.scan import GroupOrder, day_bucket, scan  # noqa: E402
+from .operators.scan import GroupOrder, scan, time_levels  # noqa: E402
 
 
 def _record(spark, sf_dir):
@@ -146,7 +146,7 @@ def q_lag_win_pct(spark, sf_dir):
 @register("trailing_mean_p")
 def q_trailing_mean_p(spark, sf_dir):
     ev = adapters.player_events(spark, sf_dir).select("player_id", "ts", "event_id", "value", "k")
-    go = GroupOrder(keys=["player_id"], order=["ts", "event_id"], bucket=day_bucket("ts"))
+    go = GroupOrder(keys=["player_id"], order=["ts", "event_id"], levels=time_levels("ts"))
     return rolling.trailing_means(ev, go, ["value", "k"], periods=(1, 2, 4, 8, 16), digits=4)
 
 
@@ -482,14 +482,14 @@ def q_rolling_elo(spark, sf_dir):
 @register("trailing_mean_group")
 def q_trailing_mean_group(spark, sf_dir):
     ev = adapters.player_events(spark, sf_dir).select("player_id", "event_type", "ts", "event_id", "value")
-    go = GroupOrder(keys=["player_id", "event_type"], order=["ts", "event_id"], bucket=day_bucket("ts"))
+    go = GroupOrder(keys=["player_id", "event_type"], order=["ts", "event_id"], levels=time_levels("ts"))
     return rolling.trailing_means(ev, go, ["value"], periods=(1, 2, 4, 8, 16), digits=4)
 
 
 @register("player_model_input")
 def q_player_model_input(spark, sf_dir):
     ev = adapters.player_events(spark, sf_dir).select("player_id", "ts", "event_id", "event_type", "value", "k")
-    go = GroupOrder(keys=["player_id"], order=["ts", "event_id"], bucket=day_bucket("ts"))
+    go = GroupOrder(keys=["player_id"], order=["ts", "event_id"], levels=time_levels("ts"))
     t = rolling.trailing_means(ev, go, ["value", "k"], periods=(4,), digits=4)
     t = t.where(F.col("event_type") == "purchase").withColumn("label", (F.col("value") > 50).cast("bigint"))
     keep = ["player_id", "ts", "event_id", "label"] + reshape.columns_like(t, "_roll_4")

@@ -21,8 +21,14 @@ def rows(spark):
 
 
 @pytest.mark.parametrize("width", [1, 7, 1000])
-def test_scan_matches_windows(spark, rows, width):
-    go = GroupOrder(keys=["g"], order=["t", "id"], bucket={"__b1": F.col("t"), "__b2": F.floor(F.col("id") / width)})
+@pytest.mark.parametrize("depth", [0, 1, 3])
+def test_scan_matches_windows(spark, rows, width, depth):
+    levels = [
+        {"__b1": F.col("t"), "__b2": F.floor(F.col("id") / width)},
+        {"__c1": F.col("t")},
+        {"__d1": F.floor(F.col("t") / 10)},
+    ][:depth]
+    go = GroupOrder(keys=["g"], order=["t", "id"], levels=levels)
     got = scan(rows, go, sums={"s": F.col("v"), "n": F.lit(1)}, lags={"prev": "v"}, carry={"last_v": "v"})
     w = Window.partitionBy("g").orderBy("t", "id")
     run = w.rowsBetween(Window.unboundedPreceding, 0)
@@ -40,7 +46,7 @@ def test_scan_matches_windows(spark, rows, width):
 
 @pytest.mark.parametrize("chunk", [4, 16, 1 << 20])
 def test_framed_matches_windows(spark, rows, chunk):
-    go = GroupOrder(keys=["g"], order=["t", "id"], bucket={"__b": F.col("t")})
+    go = GroupOrder(keys=["g"], order=["t", "id"], levels=[{"__b": F.col("t")}, {"__c": F.floor(F.col("t") / 8)}])
 
     def build(w):
         return {"m3": F.avg("v").over(w.rowsBetween(-3, -1)), "s1": F.sum("v").over(w.rowsBetween(-1, -1))}
@@ -54,7 +60,7 @@ def test_framed_matches_windows(spark, rows, chunk):
 
 
 def test_global_scan_without_keys(spark, rows):
-    go = GroupOrder(keys=[], order=["t", "id"], bucket={"__b": F.col("t")})
+    go = GroupOrder(keys=[], order=["t", "id"], levels=[{"__b": F.col("t")}, {"__c": F.floor(F.col("t") / 8)}])
     got = scan(rows, go, sums={"n": F.lit(1)})
     exp = rows.select("id", F.row_number().over(Window.orderBy("t", "id")).alias("n"))
     assert {r.id: r.n for r in got.collect()} == {r.id: r.n for r in exp.collect()}
