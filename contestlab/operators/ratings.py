@@ -2,7 +2,7 @@
 
 Elo is not a combinable aggregate: each result moves two ratings and the next expected score depends on them. What
 can be split is the *data*: every season is independent (so seasons run in parallel), and within a season the
-contests are cut into time chunks. Chunk ``c`` of every season runs as one grouped pandas fold per season, seeded
+contests are cut into chunks of consecutive contests (exact positions from a bucketed scan). Chunk ``c`` of every season runs as one grouped pandas fold per season, seeded
 with the ratings the previous chunk ended with. The carried state is one row per (season, team); chunk outputs are
 written to the shared checkpoint folder, so a lost executor only redoes the current chunk and no task ever holds
 more than one chunk of one season.
@@ -79,8 +79,9 @@ def elo_ratings(
 ) -> DataFrame:
     """Post-contest rating of both sides: ``season, contest_id, gameday, team, opponent, home_away, win, elo``.
 
-    ``order`` is the fold order inside a season (default chronological ``(gameday, contest_id)``). Any other order
-    runs as a single chunk per season. ``win`` is the side's own result (tie = 0).
+    ``order`` is the fold order inside a season (default chronological ``(gameday, contest_id)``; it must be unique
+    within a season). ``win`` is the side's own result (tie = 0). Each season is cut into chunks of ``chunk_rows``
+    consecutive contests, folded one chunk after another with the ratings carried between them.
     """
     spark: SparkSession = contests.sparkSession
     w = F.when(F.col("home_score") > F.col("away_score"), 1.0).otherwise(0.0)
@@ -91,32 +92,21 @@ def elo_ratings(
     )
     slim = slim.select(*dict.fromkeys(slim.columns))
 
-    # chunk width in days so that a (season, chunk) holds about chunk_rows contests
-    stats = slim.groupBy("season").agg(F.count(F.lit(1)).alias("n"), F.min("gameday").alias("d0"), F.max("gameday").alias("d1")).collect()
-    if not stats:
-        return spark.createDataFrame([], "season bigint, contest_id bigint, gameday date, team string, opponent string, home_away string, win bigint, elo double")
-    width = None
-    for row in stats:
-        span = (row["d1"] - row["d0"]).days + 1
-        per_day = row["n"] / span
-        wd = max(1, int(chunk_rows / max(per_day, 1e-9)))
-        width = wd if width is None else min(width, wd)
-    n_chunks = max(int(math.ceil(((r["d1"] - r["d0"]).days + 1) / width)) for r in stats)
-    if order[0] != "gameday":
-        # a non-chronological fold order (e.g. the home-team order used for the published example) cannot be cut
-        # into time chunks; it runs as one chunk per season
-        width, n_chunks = 1 << 30, 1
-
-    starts = slim.groupBy("season").agg(F.min("gameday").alias("__d0"))
-    # one sequence number per contest inside its season: the position in the fold order within the chunk is enough,
-    # since chunks are folded one after another; seq orders contests inside a chunk
-    chunked = slim.join(starts, "season").withColumn("__chunk", F.floor(F.datediff("gameday", "__d0") / F.lit(width)).cast("int"))
-    w_seq = Window.partitionBy("season", "__chunk").orderBy(*order)
-    chunked = chunked.withColumn("seq", F.row_number().over(w_seq).cast("bigint")).drop("__d0")
+    # exact fold positions inside each season (bucketed scan, so a huge season is ranked by many tasks), then
+    # chunks of chunk_rows consecutive contests; the driver only learns the number of chunks
+    from .scan import GroupOrder, date_levels, positions
+
+    levels = date_levels("gameday", "contest_id") if tuple(order) == ("gameday", "contest_id") else []
+    ranked = positions(slim, GroupOrder(keys=["season"], order=list(order), levels=levels), "seq")
+    chunked = ranked.withColumn("__chunk", F.floor((F.col("seq") - 1) / F.lit(chunk_rows)).cast("int"))
 
     base = scratch_path(spark, "elo")
     games_path = f"{base}/games"
     chunked.write.mode("overwrite").partitionBy("__chunk").parquet(games_path)
+    last_chunk = spark.read.parquet(games_path).agg(F.max("__chunk")).first()[0]
+    if last_chunk is None:
+        return spark.createDataFrame([], "season bigint, contest_id bigint, gameday date, team string, opponent string, home_away string, win bigint, elo double")
+    n_chunks = int(last_chunk) + 1
 
     state = spark.createDataFrame([], "season bigint, team string, elo double")
     outs = []

@@ -9,9 +9,10 @@ operations, ``sum`` and ``max`` of a struct keyed by the sort order, evaluated a
     prefix(row) = combine(prefix of the earlier buckets, prefix of the earlier rows in the same bucket)
 
 The in-bucket part is a window over ``(group, bucket)``. The part over earlier buckets is the same problem one level
-up, on a pre-aggregated summary with one row per bucket, solved recursively; only the coarsest summary (a few rows per
-group) is scanned with a window over the group alone. The offsets are joined back on ``(group, bucket)``, the
-partitioning the in-bucket window already has. No task holds more than one bucket of one level.
+up, on a pre-aggregated summary with one row per bucket (aggregated straight from the input, one partial+final
+aggregate per level); only the coarsest summary (a few rows per group) is scanned with a window over the group
+alone. The offsets are combined from the coarsest level down and joined back on ``(group, bucket)``, the partitioning
+the in-bucket window already has. No task holds more than one bucket of one level.
 
 From the two prefixes: running sum = exclusive sum + own value; lag = the value inside the exclusive max of
 ``struct(order, value)``; carry-forward = own value, else the exclusive max over non-NULL values.
@@ -21,6 +22,10 @@ Bounded frames (``rowsBetween(-p, -1)``) use exact row positions from a scan, cu
 inside one chunk.
 
 All order columns are ascending and together unique within a group.
+
+When a size check (one aggregate) shows that the largest group holds at most ``contestlab.scan.maxGroupRows`` rows
+(default 2,000,000), the scan is a single window per group instead: that is the cheaper plan while every group fits
+in one task, the same way a broadcast is only chosen behind a size check.
 """
 
 from __future__ import annotations
@@ -32,9 +37,30 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_CHUNK_ROWS = 1 << 20
+# A group is scanned by one plain window only when a size check shows it holds at most this many rows; larger (or
+# unknown) groups take the bucketed path. Session conf ``contestlab.scan.maxGroupRows`` overrides it (0 = always
+# bucketed).
+MAX_GROUP_ROWS_CONF = "contestlab.scan.maxGroupRows"
+DEFAULT_MAX_GROUP_ROWS = 2_000_000
 _ids = count()
 
 
+def _largest_group(df: DataFrame, keys: list[str]) -> int:
+    """Rows in the largest group (one aggregate; only this number reaches the driver)."""
+    if not keys:
+        return df.count()
+    row = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()
+    return int(row[0] or 0)
+
+
+def needs_buckets(df: DataFrame, keys: list[str]) -> bool:
+    """True unless the largest group was checked to fit one task (see ``MAX_GROUP_ROWS_CONF``)."""
+    limit = int(df.sparkSession.conf.get(MAX_GROUP_ROWS_CONF, str(DEFAULT_MAX_GROUP_ROWS)))
+    if limit <= 0:
+        return True
+    return _largest_group(df, keys) > limit
+
+
 @dataclass
 class GroupOrder:
     """``keys`` (group), ``order`` (unique ascending sort key), ``levels`` (bucket columns, finest first)."""
@@ -88,35 +114,48 @@ def prefix_levels(col: str, lengths: tuple[int, ...] = (5, 3, 1)) -> list[dict[s
 
 def _exclusive(rows: DataFrame, keys: list[str], order: list[str], levels: list[dict[str, Column]],
                sums: dict[str, Column], maxes: dict[str, Column], tag: str) -> DataFrame:
-    """Add ``{tag}s_{n}`` (sum over earlier rows of the group) and ``{tag}m_{n}`` (max over earlier rows)."""
-    if not levels:
-        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-        return rows.withColumns(
-            {**{f"{tag}s_{n}": F.sum(e).over(w) for n, e in sums.items()}, **{f"{tag}m_{n}": F.max(e).over(w) for n, e in maxes.items()}}
-        )
-    bcols = list(levels[0])
-    upper = [c for lv in levels[1:] for c in lv]
-    w = Window.partitionBy(*keys, *bcols).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    local = rows.withColumns(
-        {**{f"{tag}ls_{n}": F.sum(e).over(w) for n, e in sums.items()}, **{f"{tag}lm_{n}": F.max(e).over(w) for n, e in maxes.items()}}
-    )
-    summ = rows.groupBy(*keys, *bcols, *upper).agg(
-        *[F.sum(e).alias(f"{tag}ts_{n}") for n, e in sums.items()], *[F.max(e).alias(f"{tag}tm_{n}") for n, e in maxes.items()]
-    )
-    inner = f"{tag}u{next(_ids)}_"
-    up = _exclusive(summ, keys, bcols, levels[1:], {n: F.col(f"{tag}ts_{n}") for n in sums},
-                    {n: F.col(f"{tag}tm_{n}") for n in maxes}, inner)
-    offs = up.select(*keys, *bcols, *[F.col(f"{inner}s_{n}").alias(f"{tag}os_{n}") for n in sums],
-                     *[F.col(f"{inner}m_{n}").alias(f"{tag}om_{n}") for n in maxes])
-    out = local.join(offs, keys + bcols, "left")
-    out = out.withColumns(
-        {
-            **{f"{tag}s_{n}": F.coalesce(F.col(f"{tag}os_{n}"), F.lit(0)) + F.coalesce(F.col(f"{tag}ls_{n}"), F.lit(0)) for n in sums},
-            **{f"{tag}m_{n}": F.greatest(F.col(f"{tag}om_{n}"), F.col(f"{tag}lm_{n}")) for n in maxes},
-        }
-    )
-    helpers = [f"{tag}{p}{n}" for n in sums for p in ("ls_", "os_")] + [f"{tag}{p}{n}" for n in maxes for p in ("lm_", "om_")]
-    return out.drop(*helpers)
+    """Add ``{tag}s_{n}`` (sum over earlier rows of the group) and ``{tag}m_{n}`` (max over earlier rows).
+
+    Level ``k`` has one summary row per level-``k-1`` bucket, aggregated straight from ``rows`` (so each level costs
+    one partial+final aggregate of the input, never a recomputation of another level). Its in-bucket exclusive
+    prefix is a window over ``(group, level-k bucket)``; the offsets are combined from the coarsest level down and
+    joined to the rows once, on ``(group, level-0 bucket)``.
+    """
+    agg_cols = lambda d: {**{f"s_{n}": e for n, e in sums.items()}, **{f"m_{n}": e for n, e in maxes.items()}}
+    cols = agg_cols(None)
+
+    def windowed(df: DataFrame, part: list[str], order_cols: list[str], src: dict[str, Column], prefix: str) -> DataFrame:
+        w = Window.partitionBy(*part).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
+        return df.withColumns({f"{prefix}{c}": (F.sum if c.startswith("s_") else F.max)(e).over(w) for c, e in src.items()})
+
+    def combine(off: str, loc: str) -> dict[str, Column]:
+        out = {}
+        for c in cols:
+            if c.startswith("s_"):
+                out[f"{tag}{c}"] = F.coalesce(F.col(f"{off}{c}"), F.lit(0)) + F.coalesce(F.col(f"{loc}{c}"), F.lit(0))
+            else:
+                out[f"{tag}{c}"] = F.greatest(F.col(f"{off}{c}"), F.col(f"{loc}{c}"))
+        return out
+
+    buckets = [list(lv) for lv in levels]
+    n = len(buckets)
+    part0 = keys + (buckets[0] if n else [])
+    base = windowed(rows, part0, order, cols, f"{tag}l")
+    if n == 0:
+        return base.withColumnsRenamed({f"{tag}l{c}": f"{tag}{c}" for c in cols})
+
+    offs = None
+    for k in range(n, 0, -1):
+        own, upper = buckets[k - 1], (buckets[k] if k < n else [])
+        tk = rows.groupBy(*keys, *own, *upper).agg(*[(F.sum if c.startswith("s_") else F.max)(e).alias(f"{tag}t{c}") for c, e in cols.items()])
+        tk = windowed(tk, keys + upper, own, {c: F.col(f"{tag}t{c}") for c in cols}, f"{tag}l")
+        if offs is not None:
+            tk = tk.join(offs, keys + upper, "left").withColumns(combine(f"{tag}o", f"{tag}l"))
+        else:
+            tk = tk.withColumnsRenamed({f"{tag}l{c}": f"{tag}{c}" for c in cols})
+        offs = tk.select(*keys, *own, *[F.col(f"{tag}{c}").alias(f"{tag}o{c}") for c in cols])
+    out = base.join(offs, keys + buckets[0], "left").withColumns(combine(f"{tag}o", f"{tag}l"))
+    return out.drop(*[f"{tag}{p}{c}" for c in cols for p in ("l", "o")])
 
 
 def scan(
@@ -143,7 +182,8 @@ def scan(
     m_exprs = {f"lag_{n}": F.struct(ordkey.alias("o"), F.col(c).alias("v")) for n, c in lags.items()}
     m_exprs.update({f"car_{n}": F.when(F.col(c).isNotNull(), F.struct(ordkey.alias("o"), F.col(c).alias("v"))) for n, c in carry.items()})
     tag = f"__x{next(_ids)}_"
-    out = _exclusive(rows, go.keys, go.order, go.levels, s_exprs, m_exprs, tag)
+    levels = go.levels if (go.levels and needs_buckets(df, go.keys)) else []
+    out = _exclusive(rows, go.keys, go.order, levels, s_exprs, m_exprs, tag)
     final: dict[str, Column] = {}
     for n in sums:
         final[n] = F.coalesce(F.col(f"{tag}s_{n}"), F.lit(0)) + s_exprs[n]
@@ -151,7 +191,8 @@ def scan(
         final[n] = F.col(f"{tag}m_lag_{n}").getField("v")
     for n, c in carry.items():
         final[n] = F.coalesce(F.col(c), F.col(f"{tag}m_car_{n}").getField("v"))
-    out = out.withColumns(final)
+    drop = [f"{tag}s_{n}" for n in s_exprs] + [f"{tag}m_{n}" for n in m_exprs]
+    out = out.withColumns(final).drop(*drop)
     keep = list(df.columns) + [c for c in final if c not in df.columns]
     return out.select(*keep)
 
@@ -175,6 +216,9 @@ def framed(
     """
     if chunk_rows < max(1, halo):
         raise ValueError("chunk_rows must be at least the halo size")
+    if not needs_buckets(df, go.keys):
+        # every group was checked to fit one task: one window over the group
+        return df.withColumns(exprs_builder(Window.partitionBy(*go.keys).orderBy(*go.order)))
     p = positions(df, go, "__pos")
     p = p.withColumn("__chunk", F.floor((F.col("__pos") - 1) / F.lit(chunk_rows)))
     base = p.withColumn("__halo", F.lit(False))

@@ -6,7 +6,15 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from contestlab.operators.scan import GroupOrder, framed, scan
+from contestlab.operators.scan import MAX_GROUP_ROWS_CONF, GroupOrder, framed, scan
+
+
+@pytest.fixture(autouse=True, params=["bucketed", "checked"])
+def path(spark, request):
+    """Run every test on the bucketed path (limit 0) and on the size-checked single-window path."""
+    spark.conf.set(MAX_GROUP_ROWS_CONF, "0" if request.param == "bucketed" else "1000000")
+    yield request.param
+    spark.conf.unset(MAX_GROUP_ROWS_CONF)
 
 
 @pytest.fixture(scope="module")
