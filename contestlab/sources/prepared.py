@@ -4,7 +4,8 @@ bucketed by ``contest_id``.
 ``contests`` and ``plays`` feed most queries, often several times inside one plan (a bucketed scan reads its input
 twice; offence and defence both read plays). Building them means shuffle joins of the large source tables, so they
 are written once and read back, the way a pipeline keeps its intermediate tables. The folder name carries a
-fingerprint of the source files (path, size, modification time), so changed inputs get a fresh build; a lost
+fingerprint of the source files (path, size, modification time) and of the adapter code, so changed inputs or
+rules get a fresh build; a lost
 executor re-reads the stored table instead of re-running the joins.
 """
 
@@ -23,6 +24,12 @@ CONTEST_SOURCES = ("orders", "customer", "nation")
 PLAY_SOURCES = ("orders", "customer", "nation", "lineitem")
 
 
+def _code_version() -> str:
+    """Hash of the adapter rules, so a changed mapping never reads tables built by an older one."""
+    with open(adapters.__file__, "rb") as fh:
+        return hashlib.sha1(fh.read()).hexdigest()[:12]
+
+
 def _fingerprint(spark: SparkSession, sf_dir: str, names: tuple[str, ...]) -> str:
     jvm = spark._jvm  # noqa: SLF001 - file status only
     conf = spark._jsc.hadoopConfiguration()  # noqa: SLF001
@@ -35,7 +42,7 @@ def _fingerprint(spark: SparkSession, sf_dir: str, names: tuple[str, ...]) -> st
             total += st.getLen()
             latest = max(latest, st.getModificationTime())
         parts.append(f"{n}:{total}:{latest}")
-    key = sf_dir + "|" + "|".join(parts)
+    key = sf_dir + "|" + _code_version() + "|" + "|".join(parts)
     return hashlib.sha1(key.encode()).hexdigest()[:16]
 
 
