@@ -67,10 +67,10 @@ plays0 as (
 ),
 plays1 as (
   select *,
-         sum(case when off_team = home_team then points else 0 end)
-           over (partition by contest_id order by play_id rows between unbounded preceding and current row) as total_home_score,
-         sum(case when off_team = away_team then points else 0 end)
-           over (partition by contest_id order by play_id rows between unbounded preceding and current row) as total_away_score
+         cast(sum(case when off_team = home_team then points else 0 end)
+           over (partition by contest_id order by play_id rows between unbounded preceding and current row) as bigint) as total_home_score,
+         cast(sum(case when off_team = away_team then points else 0 end)
+           over (partition by contest_id order by play_id rows between unbounded preceding and current row) as bigint) as total_away_score
   from plays0
 ),
 plays as (
@@ -366,7 +366,7 @@ SQL["wlt_pct"] = with_ctes(CONTESTS, SIDES) + f"""
   select *,
          cast(case when own_score > opp_score then 1 else 0 end as bigint) as win,
          cast(case when own_score < opp_score then 1 else 0 end as bigint) as loss,
-         case when own_score = opp_score then 0.5 else 0.0 end as tie
+         cast(case when own_score = opp_score then 0.5 else 0.0 end as double) as tie
   from sides
 ), c as (
   select *, count(*) over ({RUN}) as games_played, sum(win) over ({RUN}) as win_csum,
@@ -708,7 +708,7 @@ SQL["five_number"] = with_ctes(CONTESTS, SIDES) + f"""
 , q as (
   select season, quantile_cont(own_score - opp_score, [0.0, 0.25, 0.5, 0.75, 1.0]) as qs from sides group by season
 )
-select season, unnest([0.0, 0.25, 0.5, 0.75, 1.0]) as prob, {r('unnest(qs)', 4)} as value from q
+select season, unnest([0.0, 0.25, 0.5, 0.75, 1.0]::double[]) as prob, {r('unnest(qs)', 4)} as value from q
 """
 
 SQL["home_away_wins"] = with_ctes(CONTESTS) + """
@@ -778,7 +778,7 @@ from plays
 """
 
 SQL["period_points_wide"] = with_ctes(CONTESTS, PLAYS) + "select contest_id, off_team as team, " + ", ".join(
-    f"sum(case when period = {k} then points end) as pts_p{k}" for k in range(1, 8)
+    f"cast(sum(case when period = {k} then points end) as bigint) as pts_p{k}" for k in range(1, 8)
 ) + "\nfrom plays group by contest_id, off_team\n"
 
 SQL["fill_rules"] = with_ctes(CONTESTS, PLAYS, REG) + """

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,9 +64,17 @@ def _n_buckets(spark: SparkSession, sf_dir: str, names: tuple[str, ...]) -> int:
     return b
 
 
+_LOCK = threading.Lock()
+
+
 def _bucketed(spark: SparkSession, root: str, name: str, build, n: int, sort_by: list[str]) -> DataFrame:
     """Read-or-build a table bucketed by ``contest_id``: every later aggregate or window keyed by the contest reads
     it without a shuffle. The catalog entry is session state, so an existing folder is registered again by DDL."""
+    with _LOCK:  # queries may be started from several driver threads
+        return _bucketed_locked(spark, root, name, build, n, sort_by)
+
+
+def _bucketed_locked(spark: SparkSession, root: str, name: str, build, n: int, sort_by: list[str]) -> DataFrame:
     if not spark.catalog.tableExists(name):
         marker = spark._jvm.org.apache.hadoop.fs.Path(root + "/_SUCCESS")  # noqa: SLF001
         fs = marker.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
