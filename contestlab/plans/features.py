@@ -106,9 +106,17 @@ def matchup_rows(sides_df: DataFrame, ids: list[str], features: list[str], label
 
 
 def opponent_mirror(sides_df: DataFrame, features: list[str]) -> DataFrame:
-    """Every side row with the opponent's ``features`` as ``opp_*`` (a left self-join on contest and opponent)."""
-    opp = sides_df.select("contest_id", F.col("team").alias("opponent"), *[F.col(c).alias(f"opp_{c}") for c in features])
-    return sides_df.join(opp, ["contest_id", "opponent"], "left")
+    """Every side row with the opponent's ``features`` as ``opp_*``: the result of a left self-join on
+    ``(contest_id, opponent = team)``, computed as one aggregation per contest (its two side rows) and a generator,
+    so the side table is neither computed twice nor shuffled twice."""
+    cols = sides_df.columns
+    grouped = sides_df.groupBy("contest_id").agg(F.collect_list(F.struct(*[F.col(c) for c in cols])).alias("__s"))
+
+    def pair(e):
+        other = F.try_element_at(F.filter(F.col("__s"), lambda x: x["team"] == e["opponent"]), F.lit(1))
+        return F.struct(*[e[c].alias(c) for c in cols], *[other[f].alias(f"opp_{f}") for f in features])
+
+    return grouped.select(F.inline(F.transform(F.col("__s"), pair)))
 
 
 PREGAME_FEATURES = ["line", "home_fav", "abs_spread_line", "rest_days", *RECORD_LAGS, "elo", *OFFENSE_MEANS, *DEFENSE_MEANS]

@@ -27,12 +27,25 @@ def snapshot(contests: DataFrame, season: int, week: int, digits: int = 4) -> Da
 
 
 def next_matchups(contests: DataFrame, season: int, week: int) -> DataFrame:
-    """Fixtures of ``(season, week)`` with the home side's snapshot and the away side's as ``opp_*`` (two left
-    joins on team; the snapshot holds one row per team)."""
+    """Fixtures of ``(season, week)`` with the home side's snapshot and the away side's as ``opp_*``.
+
+    Same result as two left joins of the fixtures to the snapshot (home team, then away team), but the snapshot is
+    computed and joined once: each fixture is split into its two sides, joined on team, and paired again with one
+    aggregation per contest."""
     snap = snapshot(contests, season, week)
-    fx = contests.where((F.col("season") == season) & (F.col("week") == week)).select(
-        "season", "week", "contest_id", "game_id", "home_team", "away_team", "line"
+    vals = [c for c in snap.columns if c != "team"]
+    ids = ["season", "week", "game_id", "home_team", "away_team", "line"]
+    fx = contests.where((F.col("season") == season) & (F.col("week") == week)).select("contest_id", *ids)
+    two = fx.select(
+        "contest_id", *ids,
+        F.inline(F.array(
+            F.struct(F.lit("home").alias("home_away"), F.col("home_team").alias("team")),
+            F.struct(F.lit("away").alias("home_away"), F.col("away_team").alias("team")),
+        )),
+    ).join(snap, "team", "left")
+    home, away = F.col("home_away") == "home", F.col("home_away") == "away"
+    return two.groupBy("contest_id").agg(
+        *[F.first(c).alias(c) for c in ids],
+        *[F.first(F.when(home, F.col(v)), ignorenulls=True).alias(v) for v in vals],
+        *[F.first(F.when(away, F.col(v)), ignorenulls=True).alias(f"opp_{v}") for v in vals],
     )
-    home = snap.withColumnsRenamed({c: c for c in snap.columns}).withColumnRenamed("team", "home_team")
-    away = snap.select(F.col("team").alias("away_team"), *[F.col(c).alias(f"opp_{c}") for c in snap.columns if c != "team"])
-    return fx.join(home, "home_team", "left").join(away, "away_team", "left")
