@@ -102,32 +102,78 @@ STANDINGS_SCHEMA = T.StructType([
 ])
 
 
+# Standings stat type -> output column name (two types share ``record_div``)
+STAT_NAMES = [
+    ("playoffseed", "seed"),
+    ("wins", "wins"),
+    ("losses", "losses"),
+    ("winpercent", "win_pct"),
+    ("gamesbehind", "g_behind"),
+    ("ties", "ties"),
+    ("pointsfor", "pts_for"),
+    ("pointsagainst", "pts_against"),
+    ("differential", "pts_diff"),
+    ("streak", "streak"),
+    ("clincher", "div_clincher"),
+    ("divisionrecord", "record_div"),
+    ("divisionwins", "div_wins"),
+    ("divisionties", "div_ties"),
+    ("divisionlosses", "div_losses"),
+    ("total", "record"),
+    ("home", "record_home"),
+    ("road", "record_away"),
+    ("vsdiv", "record_div"),
+    ("vsconf", "record_conf"),
+]
+RECORD_SPLITS = [("record_home", "home"), ("record_away", "away"), ("record_div", "div"), ("record_conf", "conf")]
+NUMERIC_STATS = ["seed", "wins", "losses", "win_pct", "g_behind", "ties", "pts_for", "pts_against", "pts_diff", "streak",
+                 "div_wins", "div_ties", "div_losses"]
+
+
 def standings_from_json(docs: DataFrame, json_col: str = "json") -> DataFrame:
-    """Standings document -> one row per team: conference, season, team fields, first logo, the overall ``"W-L"``
-    record split into ``wins`` and ``losses``, and the win % (missing stats give NULL)."""
+    """Standings document -> one row per team: conference, season, team fields, first logo, one column per known
+    stat type (renamed by ``STAT_NAMES``), ``"W-L"`` records split into wins and losses, numeric stats as doubles,
+    and ``seed`` = rank inside the conference by win % (desc) then games behind."""
+    spark = docs.sparkSession
     parsed = docs.select(F.from_json(F.col(json_col), STANDINGS_SCHEMA).alias("doc"))
     conf = parsed.select(F.explode_outer("doc.children").alias("c"))
     ent = conf.select(
-        F.col("c.abbreviation").alias("conference"),
+        F.col("c.abbreviation").alias("conf"),
         F.col("c.standings.season").alias("season"),
         F.explode_outer("c.standings.entries").alias("e"),
     )
     teams = ent.select(
-        "conference", "season",
-        F.col("e.team.*"),
-        F.col("e.team.logos")[0]["href"].alias("logo"),
-        F.col("e.stats").alias("stats"),
-    ).drop("logos")
-    stat_map = F.map_from_entries(F.transform("stats", lambda s: F.struct(s["type"], s["displayValue"])))
-    out = teams.withColumn("__m", stat_map)
-    out = out.withColumns({
-        "overall": F.try_element_at(F.col("__m"), F.lit("total")),
-        "win_pct": F.try_element_at(F.col("__m"), F.lit("winpercent")).try_cast("double"),
-    }).withColumns({
-        "wins": F.split_part(F.col("overall"), F.lit("-"), F.lit(1)).try_cast("bigint"),
-        "losses": F.split_part(F.col("overall"), F.lit("-"), F.lit(2)).try_cast("bigint"),
-    })
-    return out.drop("__m", "stats")
+        "conf", "season",
+        F.col("e.team.id").alias("team_id"),
+        F.col("e.team.location").alias("team_location"),
+        F.col("e.team.name").alias("team_name"),
+        F.col("e.team.abbreviation").alias("team_abb"),
+        F.col("e.team.displayName").alias("team_full"),
+        F.col("e.team.logos")[0]["href"].alias("team_logo"),
+        F.explode_outer("e.stats").alias("st"),
+    )
+    num = F.col("st.value")
+    as_text = F.when(num == F.floor(num), F.floor(num).cast("bigint").cast("string")).otherwise(num.cast("string"))
+    long = teams.select(
+        "conf", "season", "team_id", "team_location", "team_name", "team_abb", "team_full", "team_logo",
+        F.col("st.type").alias("type"),
+        F.coalesce(as_text, F.col("st.displayValue")).alias("value"),
+    )
+    names = F.broadcast(spark.createDataFrame(STAT_NAMES, "type string, abb string"))  # fixed 20-row map
+    long = long.join(names, "type", "left").where(
+        F.col("abb").isNotNull() & (F.col("abb") != "div_clincher") & ~((F.col("abb") == "record_div") & (F.length("value") < 2))
+    )
+    ids = ["conf", "season", "team_id", "team_location", "team_name", "team_abb", "team_full", "team_logo"]
+    abbs = list(dict.fromkeys(a for _, a in STAT_NAMES if a != "div_clincher"))
+    wide = long.groupBy(*ids).pivot("abb", abbs).agg(F.first("value"))
+    for col, prefix in RECORD_SPLITS:
+        wide = wide.withColumns({
+            f"{prefix}_wins": F.split_part(F.col(col), F.lit("-"), F.lit(1)).try_cast("bigint"),
+            f"{prefix}_losses": F.split_part(F.col(col), F.lit("-"), F.lit(2)).try_cast("bigint"),
+        })
+    wide = wide.withColumns({c: F.col(c).try_cast("double") for c in NUMERIC_STATS})
+    w = Window.partitionBy("conf").orderBy(F.col("win_pct").desc_nulls_last(), F.col("g_behind").asc_nulls_last())
+    return wide.withColumn("seed", F.row_number().over(w).cast("double"))
 
 
 def json_field_stats(df: DataFrame, json_col: str, field: str, by: list[str]) -> DataFrame:
@@ -141,3 +187,16 @@ def json_field_stats(df: DataFrame, json_col: str, field: str, by: list[str]) ->
         F.min("__v").alias(f"min_{field}"),
         F.max("__v").alias(f"max_{field}"),
     )
+
+
+# Summary rows that season team tables append after the teams
+TOTAL_ROWS = ["Avg Team", "League Total", "Avg Tm/G"]
+
+
+def team_table(rows: DataFrame, names: list[str], alias: DataFrame, name_col: str = "team", numeric: list[str] | None = None) -> DataFrame:
+    """Season team table (cells already split into rows): named columns, summary rows dropped, numbers converted,
+    and the team name mapped to its code through the alias dimension (``team_name -> team_abb``, broadcast after a
+    size check by the caller)."""
+    t = cells_to_columns(rows, names).where(~F.col(name_col).isin(TOTAL_ROWS))
+    t = t.withColumns({c: F.col(c).try_cast("double") for c in (numeric or [])})
+    return t.join(alias, t[name_col] == alias["team_name"], "left").drop("team_name")
