@@ -64,7 +64,7 @@ def _n_buckets(spark: SparkSession, sf_dir: str, names: tuple[str, ...]) -> int:
     return b
 
 
-_LOCK = threading.Lock()
+_LOCK = threading.RLock()  # re-entrant: building plays reads (or builds) contests
 
 
 def _bucketed(spark: SparkSession, root: str, name: str, build, n: int, sort_by: list[str]) -> DataFrame:
