@@ -37,13 +37,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     Only when it is unset, as in local tests, do we pick a fresh scratch folder.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote sessions have no SparkContext handle
+        sc = None
+    if not path and sc is not None:
+        path = sc.getCheckpointDir()
     if not path:
         path = tempfile.mkdtemp(prefix="contestlab-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(path)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(path)
     return path
 
 

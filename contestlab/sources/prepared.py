@@ -18,7 +18,7 @@ import threading
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
-from . import adapters
+from . import adapters, files
 from .tables import table_path
 
 CONTEST_SOURCES = ("orders", "customer", "nation")
@@ -32,16 +32,9 @@ def _code_version() -> str:
 
 
 def _fingerprint(spark: SparkSession, sf_dir: str, names: tuple[str, ...]) -> str:
-    jvm = spark._jvm  # noqa: SLF001 - file status only
-    conf = spark._jsc.hadoopConfiguration()  # noqa: SLF001
     parts = []
     for n in names:
-        p = jvm.org.apache.hadoop.fs.Path(table_path(sf_dir, n))
-        fs = p.getFileSystem(conf)
-        total, latest = 0, 0
-        for st in fs.listStatus(p):
-            total += st.getLen()
-            latest = max(latest, st.getModificationTime())
+        total, latest = files.size_and_mtime(spark, table_path(sf_dir, n))
         parts.append(f"{n}:{total}:{latest}")
     key = sf_dir + "|" + _code_version() + "|" + "|".join(parts)
     return hashlib.sha1(key.encode()).hexdigest()[:16]
@@ -52,12 +45,7 @@ TARGET_BUCKET_BYTES = 128 << 20
 
 def _n_buckets(spark: SparkSession, sf_dir: str, names: tuple[str, ...]) -> int:
     """Bucket count from the source size: about 128 MB of source per bucket, a power of two, at least 8."""
-    jvm = spark._jvm  # noqa: SLF001
-    conf = spark._jsc.hadoopConfiguration()  # noqa: SLF001
-    total = 0
-    for n in names:
-        p = jvm.org.apache.hadoop.fs.Path(table_path(sf_dir, n))
-        total += p.getFileSystem(conf).getContentSummary(p).getLength()
+    total = sum(files.size_and_mtime(spark, table_path(sf_dir, n))[0] for n in names)
     b = 8
     while b * TARGET_BUCKET_BYTES < total:
         b *= 2
@@ -76,9 +64,7 @@ def _bucketed(spark: SparkSession, root: str, name: str, build, n: int, sort_by:
 
 def _bucketed_locked(spark: SparkSession, root: str, name: str, build, n: int, sort_by: list[str]) -> DataFrame:
     if not spark.catalog.tableExists(name):
-        marker = spark._jvm.org.apache.hadoop.fs.Path(root + "/_SUCCESS")  # noqa: SLF001
-        fs = marker.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
-        if fs.exists(marker):
+        if files.exists(spark, root + "/_SUCCESS"):
             cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(root).schema.fields)
             spark.sql(
                 f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY (contest_id) SORTED BY ({', '.join(sort_by)}) "

@@ -46,8 +46,8 @@ def materialize(spark: SparkSession, path: str, build: Callable[[], DataFrame],
 
     Re-reading the written table also cuts the lineage, so a lost executor never recomputes the build.
     """
-    marker = spark._jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")  # noqa: SLF001 - file-system probe only
-    fs = marker.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
-    if not fs.exists(marker):  # a folder without the commit marker is an unfinished build: rebuild it
+    from .files import exists
+
+    if not exists(spark, path + "/_SUCCESS"):  # a folder without the commit marker is an unfinished build: rebuild it
         save(build(), path, partition_by)
     return load(spark, path)
