@@ -32,10 +32,12 @@ def next_matchups(contests: DataFrame, season: int, week: int) -> DataFrame:
     Same result as two left joins of the fixtures to the snapshot (home team, then away team), but the snapshot is
     computed and joined once: each fixture is split into its two sides, joined on team, and paired again with one
     aggregation per contest."""
-    snap = snapshot(contests, season, week)
-    vals = [c for c in snap.columns if c != "team"]
     ids = ["season", "week", "game_id", "home_team", "away_team", "line"]
     fx = contests.where((F.col("season") == season) & (F.col("week") == week)).select("contest_id", *ids)
+    playing = fx.select(F.col("home_team").alias("team")).unionByName(fx.select(F.col("away_team").alias("team")))
+    # only teams with a fixture need a snapshot (semi join, the %in% filter)
+    snap = snapshot(contests, season, week).join(playing, "team", "left_semi")
+    vals = [c for c in snap.columns if c != "team"]
     two = fx.select(
         "contest_id", *ids,
         F.inline(F.array(
