@@ -87,14 +87,16 @@ def plays(spark: SparkSession, sf_dir: str, contest_df: DataFrame | None = None)
          "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"],
     )
     j = li.join(k, li.l_orderkey == k.contest_id, "inner")
-    w_play = Window.partitionBy("contest_id").orderBy(
-        "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax",
-        "l_returnflag", "l_linestatus", "l_shipdate",
-    )
+    play_order = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax",
+                  "l_returnflag", "l_linestatus", "l_shipdate"]
+    w_play = Window.partitionBy("contest_id").orderBy(*play_order)
+    # the running scores use the same ordering (play_id is its row number), so both windows share one sort
+    w_run = w_play.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     home_off = (F.col("l_linenumber") + F.col("l_orderkey")) % 2 == 0
     scored = F.col("l_tax") > F.lit(0.04)
     p = j.select(
         "contest_id", "season", "week", "game_id", "home_team", "away_team", "line", "div_game", "home_score", "away_score",
+        *play_order,
         F.row_number().over(w_play).cast("bigint").alias("play_id"),
         F.col("l_linenumber").cast("bigint").alias("period"),
         F.when(home_off, F.col("home_team")).otherwise(F.col("away_team")).alias("off_team"),
@@ -115,7 +117,6 @@ def plays(spark: SparkSession, sf_dir: str, contest_df: DataFrame | None = None)
         F.when(F.col("l_linestatus") == "O", 1).otherwise(0).cast("bigint").alias("completed"),
     )
     # running scores inside a contest (a contest holds a handful of plays, so this window is small)
-    w_run = Window.partitionBy("contest_id").orderBy("play_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     home_pts = F.when(F.col("off_team") == F.col("home_team"), F.col("points")).otherwise(0)
     away_pts = F.when(F.col("off_team") == F.col("away_team"), F.col("points")).otherwise(0)
     p = p.withColumns(
@@ -130,7 +131,7 @@ def plays(spark: SparkSession, sf_dir: str, contest_df: DataFrame | None = None)
             "off_score_post": F.when(is_home, F.col("total_home_score")).otherwise(F.col("total_away_score")),
             "def_score_post": F.when(is_home, F.col("total_away_score")).otherwise(F.col("total_home_score")),
         }
-    )
+    ).drop(*play_order)
 
 
 def player_events(spark: SparkSession, sf_dir: str) -> DataFrame:
