@@ -121,8 +121,7 @@ def _exclusive(rows: DataFrame, keys: list[str], order: list[str], levels: list[
     prefix is a window over ``(group, level-k bucket)``; the offsets are combined from the coarsest level down and
     joined to the rows once, on ``(group, level-0 bucket)``.
     """
-    agg_cols = lambda d: {**{f"s_{n}": e for n, e in sums.items()}, **{f"m_{n}": e for n, e in maxes.items()}}
-    cols = agg_cols(None)
+    cols = {**{f"s_{n}": e for n, e in sums.items()}, **{f"m_{n}": e for n, e in maxes.items()}}
 
     def windowed(df: DataFrame, part: list[str], order_cols: list[str], src: dict[str, Column], prefix: str) -> DataFrame:
         w = Window.partitionBy(*part).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
