@@ -19,7 +19,6 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import (
-    BucketedRandomProjectionLSH,
     Bucketizer,
     Imputer,
     OneHotEncoder,
@@ -205,53 +204,97 @@ def upsample(df: DataFrame, label: str, minority: int | str, ratio: float = 1.0,
     return df.unionByName(extra)
 
 
+NEIGHBOUR_BLOCK_ROWS = 2048
+
+
+def nearest_neighbours(left: DataFrame, right: DataFrame, k: int, features: str = "features", id_col: str = "id",
+                       carry: list[str] | None = None, exclude_self: bool = False,
+                       block_rows: int = NEIGHBOUR_BLOCK_ROWS) -> DataFrame:
+    """Exact ``k`` nearest ``right`` rows (Euclidean) for every ``left`` row: ``(left_id, right_id, dist, nn_rank,
+    *carry)``.
+
+    Both sides are cut into blocks of about ``block_rows`` rows; every (left block, right block) pair meets in one
+    cogrouped pandas task (left rows are copied to every right block and right rows to every left block), which
+    computes the distance matrix with numpy and keeps only the ``k`` closest per left row. The final ``k`` per left
+    row are picked from at most ``k x right blocks`` candidates. The work is the exact quadratic search, but no pair
+    list is ever materialised and no block exceeds ``block_rows`` rows.
+    """
+    import numpy as np
+    import pandas as pd
+
+    carry = carry or []
+    n_left, n_right = left.count(), right.count()
+    bl = max(1, -(-n_left // block_rows))
+    br = max(1, -(-n_right // block_rows))
+    lvec = left.select(F.col(id_col).alias("lid"), vector_to_array(F.col(features), "float32").alias("lv"))
+    rvec = right.select(F.col(id_col).alias("rid"), vector_to_array(F.col(features), "float32").alias("rv"), *carry)
+    lrep = lvec.withColumn("lb", F.pmod(F.xxhash64("lid"), F.lit(bl))).withColumn("rb", F.explode(F.sequence(F.lit(0), F.lit(br - 1))))
+    rrep = rvec.withColumn("rb", F.pmod(F.xxhash64("rid"), F.lit(br))).withColumn("lb", F.explode(F.sequence(F.lit(0), F.lit(bl - 1))))
+    carry_schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in right.select(*carry).schema.fields)
+    schema = "lid " + dict(left.dtypes)[id_col] + ", rid " + dict(right.dtypes)[id_col] + ", dist double" + (", " + carry_schema if carry else "")
+
+    def block(_key, lp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
+        if lp.empty or rp.empty:
+            return pd.DataFrame(columns=["lid", "rid", "dist", *carry])
+        a = np.stack(lp["lv"].to_numpy()).astype(np.float64)
+        b = np.stack(rp["rv"].to_numpy()).astype(np.float64)
+        d2 = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * a @ b.T
+        d = np.sqrt(np.maximum(d2, 0.0))
+        if exclude_self:
+            same = lp["lid"].to_numpy()[:, None] == rp["rid"].to_numpy()[None, :]
+            d = np.where(same, np.inf, d)
+        kk = min(k, d.shape[1])
+        idx = np.argpartition(d, kk - 1, axis=1)[:, :kk]
+        rows = np.repeat(np.arange(d.shape[0]), kk)
+        cols = idx.ravel()
+        out = pd.DataFrame({"lid": lp["lid"].to_numpy()[rows], "rid": rp["rid"].to_numpy()[cols], "dist": d[rows, cols]})
+        for c in carry:
+            out[c] = rp[c].to_numpy()[cols]
+        return out[np.isfinite(out["dist"])]
+
+    cand = lrep.groupBy("lb", "rb").cogroup(rrep.groupBy("lb", "rb")).applyInPandas(block, schema)
+    w = Window.partitionBy("lid").orderBy("dist", "rid")
+    top = cand.withColumn("nn_rank", F.row_number().over(w)).where(F.col("nn_rank") <= k)
+    return top.withColumnsRenamed({"lid": "left_id", "rid": "right_id"})
+
+
 def smote(df: DataFrame, label: str, minority, features: str = "features", id_col: str = "id", ratio: float = 0.9,
-          k: int = 5, bucket_length: float = 2.0, num_tables: int = 3, max_distance: float = 8.0, seed: int = 13) -> DataFrame:
+          k: int = 5, seed: int = 13) -> DataFrame:
     """SMOTE: synthetic minority rows on the segment between a minority row and one of its ``k`` nearest minority
-    neighbours, until minority = ``ratio`` x majority. Neighbours come from an LSH similarity self-join of the
-    minority class (approximate by design; a row without candidates is not used as a seed)."""
-    counts = {r[label]: r["count"] for r in df.groupBy(label).count().collect()}
+    neighbours (exact search), until minority = ``ratio`` x majority. Each minority row seeds ``ceil(need / n)``
+    synthetic rows, cycling through its neighbours."""
+    counts = {r[label]: r["count"] for r in df.groupBy(label).count().collect()}  # one row per class
     maj = max(v for kk, v in counts.items() if kk != minority)
     n_min = counts.get(minority, 0)
     need = int(ratio * maj) - n_min
+    base = df.select(F.col(id_col).cast("string").alias(id_col), features, label).withColumn("synthetic", F.lit(0))
     if need <= 0 or n_min < 2:
-        return df.withColumn("synthetic", F.lit(0))
+        return base
     mino = df.where(F.col(label) == minority).select(id_col, features)
-    lsh = BucketedRandomProjectionLSH(inputCol=features, outputCol="__h", bucketLength=bucket_length, numHashTables=num_tables, seed=seed)
-    model = lsh.fit(mino)
-    pairs = model.approxSimilarityJoin(mino, mino, max_distance, distCol="__d").where(F.col(f"datasetA.{id_col}") != F.col(f"datasetB.{id_col}"))
-    w = Window.partitionBy(F.col("a_id")).orderBy("__d", "b_id")
-    nn = pairs.select(
-        F.col(f"datasetA.{id_col}").alias("a_id"), F.col(f"datasetB.{id_col}").alias("b_id"),
-        F.col(f"datasetA.{features}").alias("a_f"), F.col(f"datasetB.{features}").alias("b_f"), "__d",
-    ).withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= k)
-    per_seed = int(-(-need // n_min))  # synthetic rows per minority row
-    gen = nn.where(F.col("__r") <= F.lit(per_seed))
+    nn = nearest_neighbours(mino, mino, k, features, id_col, exclude_self=True)
+    per_seed = int(-(-need // n_min))
+    n_nb = nn.groupBy("left_id").agg(F.max("nn_rank").alias("__m"))
+    seeds = nn.join(n_nb, "left_id").withColumn("__j", F.explode(F.sequence(F.lit(0), F.lit(per_seed - 1))))
+    seeds = seeds.where(((F.col("__j") % F.col("__m")) + 1) == F.col("nn_rank"))
+    a = mino.select(F.col(id_col).alias("left_id"), vector_to_array(F.col(features)).alias("a"))
+    b = mino.select(F.col(id_col).alias("right_id"), vector_to_array(F.col(features)).alias("b"))
+    gen = seeds.join(a, "left_id").join(b, "right_id")
     gap = F.rand(seed)
-    a = vector_to_array("a_f")
-    b = vector_to_array("b_f")
     synth = gen.select(
-        F.concat(F.col("a_id").cast("string"), F.lit("~"), F.col("b_id").cast("string")).alias(id_col),
-        array_to_vector(F.zip_with(a, b, lambda x, y: x + (y - x) * gap)).alias(features),
+        F.concat_ws("~", F.col("left_id").cast("string"), F.col("right_id").cast("string"), F.col("__j").cast("string")).alias(id_col),
+        array_to_vector(F.zip_with("a", "b", lambda x, y: x + (y - x) * gap)).alias(features),
     ).withColumn(label, F.lit(minority)).withColumn("synthetic", F.lit(1))
-    base = df.select(F.col(id_col).cast("string").alias(id_col), features, label).withColumn("synthetic", F.lit(0))
     return base.unionByName(synth.select(id_col, features, label, "synthetic"))
 
 
-def knn_predict(train: DataFrame, test: DataFrame, label: str, features: str = "features", id_col: str = "id", k: int = 5,
-                bucket_length: float = 2.0, num_tables: int = 3, max_distance: float = 8.0, seed: int = 17) -> DataFrame:
-    """k-nearest-neighbour vote: LSH similarity join of test to train rows, the ``k`` closest candidates per test row,
-    majority label (ties broken by the smaller mean distance, then the smaller label)."""
-    lsh = BucketedRandomProjectionLSH(inputCol=features, outputCol="__h", bucketLength=bucket_length, numHashTables=num_tables, seed=seed)
-    model = lsh.fit(train)
-    pairs = model.approxSimilarityJoin(test.select(id_col, features), train.select(id_col, features, label), max_distance, distCol="__d")
-    p = pairs.select(F.col(f"datasetA.{id_col}").alias("test_id"), F.col(f"datasetB.{id_col}").alias("train_id"), F.col(f"datasetB.{label}").alias("nb_label"), "__d")
-    w = Window.partitionBy("test_id").orderBy("__d", "train_id")
-    top = p.withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= k)
-    votes = top.groupBy("test_id", "nb_label").agg(F.count(F.lit(1)).alias("votes"), F.avg("__d").alias("mean_d"))
-    w2 = Window.partitionBy("test_id").orderBy(F.col("votes").desc(), F.col("mean_d").asc(), F.col("nb_label").asc())
+def knn_predict(train: DataFrame, test: DataFrame, label: str, features: str = "features", id_col: str = "id", k: int = 5) -> DataFrame:
+    """k-nearest-neighbour vote with an exact neighbour search: majority label among the ``k`` closest training
+    rows (ties broken by the smaller mean distance, then the smaller label)."""
+    nn = nearest_neighbours(test, train, k, features, id_col, carry=[label])
+    votes = nn.groupBy("left_id", label).agg(F.count(F.lit(1)).alias("votes"), F.avg("dist").alias("mean_d"))
+    w2 = Window.partitionBy("left_id").orderBy(F.col("votes").desc(), F.col("mean_d").asc(), F.col(label).asc())
     best = votes.withColumn("__r", F.row_number().over(w2)).where(F.col("__r") == 1)
-    return best.select(F.col("test_id").alias(id_col), F.col("nb_label").alias("pred"), "votes")
+    return best.select(F.col("left_id").alias(id_col), F.col(label).alias("pred"), "votes")
 
 
 def regression_evaluate(pred: DataFrame, label: str) -> dict[str, float]:

@@ -86,3 +86,37 @@ def test_racing_keeps_leaders(spark, margin):
     grid = ParamGridBuilder().addGrid(est.regParam, [0.0, 10.0]).build()
     res = ml.race(ml.workflow(ml.preprocess_stages(["a"]), est), grid, df, "label", k=4, burn_in=2, margin=margin)
     assert res.kept and all(len(v) >= 2 for v in res.fold_scores.values())
+
+
+def test_nearest_neighbours_are_exact(spark):
+    """Blockwise search equals brute force (small blocks force many block pairs)."""
+    import numpy as np
+
+    from contestlab.plans import models
+    from contestlab.sources.tables import read_table
+
+    from conftest import SF_SMALL
+
+    e = models.embedding_table(read_table(spark, SF_SMALL, "embeddings", ["vec_id", "embedding", "label"])).limit(120)
+    e = spark.createDataFrame(e.collect(), e.schema)
+    left, right = e.where(F.col("id") % 3 == 0), e.where(F.col("id") % 3 != 0)
+    got = {}
+    for r in ml.nearest_neighbours(left, right, 4, block_rows=16).collect():
+        got.setdefault(r.left_id, []).append((r.nn_rank, r.right_id))
+    R = right.toPandas()
+    X = np.stack(R.features.map(lambda v: v.toArray()))
+    for r in left.toPandas().itertuples():
+        d = np.sqrt(((X - r.features.toArray()) ** 2).sum(1))
+        want = list(R.id.values[np.lexsort((R.id.values, d))[:4]])
+        assert [rid for _, rid in sorted(got[r.id])] == want
+
+
+def test_smote_reaches_ratio(spark):
+    rows = [(i, float(i % 7), float(i % 5), 1 if i % 10 == 0 else 0) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, label int")
+    from pyspark.ml.feature import VectorAssembler
+
+    df = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df)
+    out = ml.smote(df, "label", 1, ratio=0.9, k=3)
+    counts = {(r.label, r.synthetic): r["count"] for r in out.groupBy("label", "synthetic").count().collect()}
+    assert counts[(1, 0)] + counts[(1, 1)] >= int(0.9 * counts[(0, 0)])
