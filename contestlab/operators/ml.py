@@ -30,7 +30,7 @@ from pyspark.ml.feature import (
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 

@@ -7,8 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators import records
+from .functions.text import clean_name, clock_to_seconds
+from .operators import evaluation, ml, nested, ratings, records, reshape, rolling, side_stats, stats
+from .operators.reshape import sides
+from .operators.scan import GroupOrder, scan, time_levels
+from .plans import features, models, predictions
+from .plans.matchups import next_matchups
+from .plans.standings import standings
 from .sources import adapters, prepared
+from .sources.tables import bounded_broadcast, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -35,9 +42,6 @@ def q_team_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.team_record(prepared.contests(spark, sf_dir))
 
 
-from .operators import side_stats  # noqa: E402
-
-
 def _plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepared.plays(spark, sf_dir)
 
@@ -82,10 +86,6 @@ def q_pass_splits(spark, sf_dir):
     return side_stats.pass_splits(_plays(spark, sf_dir))
 
 
-from .operators import rolling  # noqa: E402
-from .operators.scan import GroupOrder, scan, time_levels  # noqa: E402
-
-
 def _record(spark, sf_dir):
     return records.with_margin(records.team_record(prepared.contests(spark, sf_dir)))
 
@@ -150,9 +150,6 @@ def q_trailing_mean_p(spark, sf_dir):
     return rolling.trailing_means(ev, go, ["value", "k"], periods=(1, 2, 4, 8, 16), digits=4)
 
 
-from .operators import ratings, stats  # noqa: E402
-
-
 @register("elo")
 def q_elo(spark, sf_dir):
     return ratings.elo_ratings(prepared.contests(spark, sf_dir))
@@ -164,9 +161,6 @@ def q_elo_top20(spark, sf_dir):
     return stats.best_and_worst(elo, ["season", "team"], "elo", "mean_elo", n=20, digits=4)
 
 
-from .plans import features  # noqa: E402
-
-
 @register("pregame_features")
 def q_pregame_features(spark, sf_dir):
     k = prepared.contests(spark, sf_dir)
@@ -187,15 +181,10 @@ def q_postgame_features(spark, sf_dir):
 
 @register("favorite_flags")
 def q_favorite_flags(spark, sf_dir):
-    from .operators.reshape import sides
     s = sides(prepared.contests(spark, sf_dir)).select("contest_id", "team", "home_away", "line")
     return features.favorite_flags(s).withColumn("fav_label", evaluation.favourite_label())
 
 
-from .operators import evaluation  # noqa: E402
-from .plans import predictions  # noqa: E402
-
-
 def _pred(spark, sf_dir):
     return predictions.rating_predictions(prepared.contests(spark, sf_dir))
 
@@ -284,7 +273,6 @@ def q_season_means(spark, sf_dir):
 
 @register("five_number")
 def q_five_number(spark, sf_dir):
-    from .operators.reshape import sides
     s = sides(prepared.contests(spark, sf_dir)).withColumn("margin", F.col("own_score") - F.col("opp_score"))
     return stats.quantiles(s, ["season"], "margin", ["contest_id", "team"])
 
@@ -309,12 +297,6 @@ def q_simple_lm(spark, sf_dir):
     return stats.simple_regression(side_stats.offense_stats(_plays(spark, sf_dir)), "score_diff", "value_added")
 
 
-from .functions import nulls as nullf  # noqa: E402
-from .functions.text import clean_name, clock_to_seconds  # noqa: E402
-from .operators import nested, reshape  # noqa: E402
-from .sources.tables import bounded_broadcast, read_table  # noqa: E402
-
-
 @register("sides_long")
 def q_sides_long(spark, sf_dir):
     return reshape.sides(prepared.contests(spark, sf_dir))
@@ -368,21 +350,15 @@ def q_json_stats(spark, sf_dir):
 
 @register("standings_rank")
 def q_standings_rank(spark, sf_dir):
-    from .plans.standings import standings
     k = prepared.contests(spark, sf_dir)
     return standings(k, bounded_broadcast(adapters.teams(spark, sf_dir), adapters.DIM_MAX_ROWS))
 
 
 @register("next_matchups")
 def q_next_matchups(spark, sf_dir):
-    from .plans.matchups import next_matchups
     return next_matchups(prepared.contests(spark, sf_dir), season=1998, week=27)
 
 
-from .operators import ml  # noqa: E402
-from .plans import models  # noqa: E402
-
-
 def _home_wins(spark, sf_dir):
     k = prepared.contests(spark, sf_dir)
     return k.select("contest_id", (F.col("home_score") > F.col("away_score")).cast("bigint").alias("home_win"))
