@@ -15,8 +15,8 @@ from . import features
 FEATURE_COLS = features.PREGAME_FEATURES + [f"opp_{c}" for c in features.OPP_FEATURES]
 
 
-def model_table(contests: DataFrame, plays: DataFrame) -> DataFrame:
-    t = features.pregame_features(contests, plays)
+def model_table(contests: DataFrame, plays: DataFrame, elo: DataFrame | None = None) -> DataFrame:
+    t = features.pregame_features(contests, plays, elo)
     # model fitting makes many passes over its input: store the table once instead of recomputing its plan
     return materialize_scratch(t.withColumn("label", F.col("win").cast("double")), "model_table")
 

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .functions import nulls as nullf
 from .functions.text import clean_name, clock_to_seconds
 from .operators import evaluation, ml, nested, ratings, records, reshape, rolling, side_stats, stats
 from .operators.reshape import sides
@@ -152,31 +153,32 @@ def q_trailing_mean_p(spark, sf_dir):
 
 @register("elo")
 def q_elo(spark, sf_dir):
-    return ratings.elo_ratings(prepared.contests(spark, sf_dir))
+    e = prepared.ratings(spark, sf_dir)
+    return e.withColumn("elo", nullf.round_half_up(F.col("elo"), 4))
 
 
 @register("elo_top20")
 def q_elo_top20(spark, sf_dir):
-    elo = ratings.elo_ratings(prepared.contests(spark, sf_dir), digits=None)
-    return stats.best_and_worst(elo, ["season", "team"], "elo", "mean_elo", n=20, digits=4)
+    return stats.best_and_worst(prepared.ratings(spark, sf_dir), ["season", "team"], "elo", "mean_elo", n=20, digits=4)
 
 
 @register("pregame_features")
 def q_pregame_features(spark, sf_dir):
     k = prepared.contests(spark, sf_dir)
-    return features.pregame_features(k, prepared.plays(spark, sf_dir))
+    return features.pregame_features(k, prepared.plays(spark, sf_dir), prepared.ratings(spark, sf_dir))
 
 
 @register("reduced_features")
 def q_reduced_features(spark, sf_dir):
     k = prepared.contests(spark, sf_dir)
-    return features.reduced_features(k, prepared.plays(spark, sf_dir))
+    return features.reduced_features(k, prepared.plays(spark, sf_dir), prepared.ratings(spark, sf_dir))
 
 
 @register("postgame_features")
 def q_postgame_features(spark, sf_dir):
     k = prepared.contests(spark, sf_dir)
-    return features.postgame_features(k, prepared.plays(spark, sf_dir))
+    elo = prepared.ratings(spark, sf_dir).withColumn("elo", nullf.round_half_up(F.col("elo"), 4))
+    return features.postgame_features(k, prepared.plays(spark, sf_dir), elo)
 
 
 @register("favorite_flags")
@@ -186,7 +188,7 @@ def q_favorite_flags(spark, sf_dir):
 
 
 def _pred(spark, sf_dir):
-    return predictions.rating_predictions(prepared.contests(spark, sf_dir))
+    return predictions.rating_predictions(prepared.contests(spark, sf_dir), prepared.ratings(spark, sf_dir))
 
 
 @register("confusion")
@@ -378,7 +380,7 @@ def q_fold_counts(spark, sf_dir):
 
 def _model_table(spark, sf_dir):
     k = prepared.contests(spark, sf_dir)
-    return models.model_table(k, prepared.plays(spark, sf_dir))
+    return models.model_table(k, prepared.plays(spark, sf_dir), prepared.ratings(spark, sf_dir))
 
 
 @register("fit_logistic")
@@ -451,7 +453,7 @@ def q_rolling_defense(spark, sf_dir):
 
 @register("rolling_elo")
 def q_rolling_elo(spark, sf_dir):
-    elo = ratings.elo_ratings(prepared.contests(spark, sf_dir), digits=None)
+    elo = prepared.ratings(spark, sf_dir)
     return rolling.lagged(elo.select("season", "contest_id", "gameday", "team", "home_away", "elo"), _season_team(), ["elo"], digits=4)
 
 

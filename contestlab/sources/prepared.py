@@ -96,3 +96,21 @@ def plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, name = _location(spark, "plays", _fingerprint(spark, sf_dir, PLAY_SOURCES), n)
     return _bucketed(spark, root, name, lambda: adapters.plays(spark, sf_dir, contests(spark, sf_dir)), n,
                      ["contest_id", "play_id"])
+
+
+def _file_hash(path: str) -> str:
+    with open(path, "rb") as fh:
+        return hashlib.sha1(fh.read()).hexdigest()[:12]
+
+
+def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Post-contest Elo ratings (default parameters, full precision), stored once per contests snapshot and rating
+    code version, like the other stored intermediates; ``digits`` rounding is left to the caller."""
+    from ..operators import ratings as rating_ops
+    from .tables import materialize
+
+    fp = _fingerprint(spark, sf_dir, CONTEST_SOURCES)
+    ns = spark.conf.get(NAMESPACE_CONF, "shared")
+    root = os.path.join(ensure_checkpoint_dir(spark), "prepared", ns, f"elo-{fp}-{_file_hash(rating_ops.__file__)}")
+    with _LOCK:
+        return materialize(spark, root, lambda: rating_ops.elo_ratings(contests(spark, sf_dir), digits=None))
