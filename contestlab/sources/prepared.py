@@ -63,17 +63,22 @@ def _bucketed(spark: SparkSession, root: str, name: str, build, n: int, sort_by:
 
 
 def _bucketed_locked(spark: SparkSession, root: str, name: str, build, n: int, sort_by: list[str]) -> DataFrame:
-    if not spark.catalog.tableExists(name):
-        if files.exists(spark, root + "/_SUCCESS"):
-            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(root).schema.fields)
-            spark.sql(
-                f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY (contest_id) SORTED BY ({', '.join(sort_by)}) "
-                f"INTO {n} BUCKETS LOCATION '{root}'"
-            )
-        else:
-            (build().write.mode("overwrite").format("parquet").bucketBy(n, "contest_id").sortBy(*sort_by)
-             .option("path", root).saveAsTable(name))
-    return spark.table(name)
+    try:
+        if not spark.catalog.tableExists(name):
+            if files.exists(spark, root + "/_SUCCESS"):
+                cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(root).schema.fields)
+                spark.sql(
+                    f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY (contest_id) SORTED BY ({', '.join(sort_by)}) "
+                    f"INTO {n} BUCKETS LOCATION '{root}'"
+                )
+            else:
+                (build().write.mode("overwrite").format("parquet").bucketBy(n, "contest_id").sortBy(*sort_by)
+                 .option("path", root).saveAsTable(name))
+        return spark.table(name)
+    except Exception:  # noqa: BLE001 - no usable catalog in this session: same table, stored without buckets
+        from .tables import materialize
+
+        return materialize(spark, root + "-plain", build)
 
 
 NAMESPACE_CONF = "contestlab.prepared.namespace"
