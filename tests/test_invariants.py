@@ -40,3 +40,9 @@ def test_shares_sum_to_one(spark):
     s = QUERIES["possession_share"](spark, SF_SMALL)
     bad = s.groupBy("contest_id").agg(F.sum("possession_pct").alias("s")).where(F.abs(F.col("s") - 1) > 1e-3)
     assert bad.count() == 0
+
+
+def test_play_numbers_are_unique_and_dense(spark):
+    p = prepared.plays(spark, SF_SMALL)
+    g = p.groupBy("contest_id").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("play_id").alias("d"), F.max("play_id").alias("m"))
+    assert g.where((F.col("n") != F.col("d")) | (F.col("m") != F.col("n"))).count() == 0
