@@ -23,10 +23,11 @@ def season_order(keys: list[str] | None = None, id_width: int = 1 << 16) -> Grou
     return GroupOrder(keys=keys or ["season", "team"], order=["gameday", "contest_id"], levels=date_levels("gameday", "contest_id", id_width))
 
 
-def team_record(contests: DataFrame, digits: int = 3, id_width: int = 1 << 16) -> DataFrame:
+def team_record(contests: DataFrame, digits: int = 3, id_width: int = 1 << 16, keep: list[str] | None = None) -> DataFrame:
     """Record rows: one per team per contest with win flag, running totals and win %s, rest days and opponent.
 
-    Tie and loss are 0; a contest without a score gives a NULL win and does not change the totals.
+    Tie and loss are 0; a contest without a score gives a NULL win and does not change the totals. ``keep`` passes
+    further contest columns through (e.g. the line), so callers need no join back to the contests.
     """
     s = sides(contests)
     win = F.when(F.col("own_score") > F.col("opp_score"), 1).when(F.col("own_score") <= F.col("opp_score"), 0)
@@ -57,6 +58,7 @@ def team_record(contests: DataFrame, digits: int = 3, id_width: int = 1 << 16) -
         round_half_up(safe_div(F.col("win_total"), F.col("games")), digits).alias("win_pct"),
         round_half_up(F.coalesce(safe_div(F.col("home_win"), F.col("home_games")), F.lit(0.0)), digits).alias("home_win_pct"),
         round_half_up(F.coalesce(safe_div(F.col("away_win"), F.col("away_games")), F.lit(0.0)), digits).alias("away_win_pct"),
+        *(keep or []),
     )
 
 

@@ -41,11 +41,10 @@ def favorite_flags(df: DataFrame, line: str = "line", home_away: str = "home_awa
 
 def side_table(contests: DataFrame, plays: DataFrame, elo: DataFrame | None = None) -> DataFrame:
     """Post-contest side table: record, margin, line, offence, defence and (optionally) rating per contest side."""
-    rec = records.with_margin(records.team_record(contests))
-    line = contests.select("contest_id", "line")
+    rec = records.with_margin(records.team_record(contests, keep=["line"]))
     off = side_stats.offense_stats(plays).drop("season", "week", "game_id")
     deff = side_stats.defense_stats(plays).drop("season", "week", "game_id")
-    t = rec.join(line, "contest_id", "left").join(off.drop("home", "div_game", "pts_scored", "ndrives", "score_drives"), KEYS, "left")
+    t = rec.join(off.drop("home", "div_game", "pts_scored", "ndrives", "score_drives"), KEYS, "left")
     t = t.join(deff.drop("def_ndrives", "def_score_drives"), KEYS, "left")
     if elo is not None:
         t = t.join(elo.select("contest_id", "team", "elo"), KEYS, "left")
