@@ -182,6 +182,15 @@ def scan(
     m_exprs.update({f"car_{n}": F.when(F.col(c).isNotNull(), F.struct(ordkey.alias("o"), F.col(c).alias("v"))) for n, c in carry.items()})
     tag = f"__x{next(_ids)}_"
     levels = go.levels if (go.levels and needs_buckets(df, go.keys)) else []
+    if not levels:
+        # every group fits one task (checked) or no buckets were given: plain window functions
+        w = Window.partitionBy(*go.keys).orderBy(*go.order)
+        run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        plain = {n: F.sum(e).over(run) for n, e in s_exprs.items()}
+        plain.update({n: F.lag(F.col(c)).over(w) for n, c in lags.items()})
+        plain.update({n: F.last(F.col(c), ignorenulls=True).over(run) for n, c in carry.items()})
+        out = df.withColumns(plain)
+        return out.select(*df.columns, *[c for c in plain if c not in df.columns])
     out = _exclusive(rows, go.keys, go.order, levels, s_exprs, m_exprs, tag)
     final: dict[str, Column] = {}
     for n in sums:
