@@ -29,16 +29,17 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, text, ka, kb)``: null texts count as empty, ``(ka, kb)`` identify a row by its id and whole text.
+    """``(doc_id, text, key, tag)``: null texts count as empty; ``key`` (64 bits) and ``tag`` (32 more) identify a row by
+    its id and whole text.
 
-    Rows that agree in both are the same row repeated and always get the same answer, so the 128-bit key is all that
-    later joins need, also where ids are null or repeated. Other columns of ``docs``, whatever their names, stay out.
+    Rows that agree in id and text are the same row repeated and always get the same answer, so these 96 bits are all
+    that later joins need, also where ids are null or repeated. Other columns of ``docs``, whatever their names, stay out.
     """
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     return (
         docs.select(F.col(f"`{id_col}`").alias("doc_id"), text.alias("text"))
-        .withColumn("ka", F.xxhash64("doc_id", "text"))
-        .withColumn("kb", F.xxhash64("text", F.lit("row"), "doc_id"))
+        .withColumn("key", F.xxhash64("doc_id", "text"))
+        .withColumn("tag", F.hash("text", "doc_id"))
     )
 
 

@@ -7,7 +7,7 @@ Method. Let ``D`` be a difference cover modulo ``v``: each remainder is a differ
 places ``i`` and ``j`` there is then an offset below ``v`` at which both are cover positions. So two equal windows of
 ``length`` words always share an aligned anchor of ``length - v + 1`` words that starts at a cover position of either
 document, and only the anchors at cover positions are hashed and shuffled (``len(D) / v`` of all places). Places whose
-anchor occurs twice extend to the windows that contain it, and only those windows are compared, by 128-bit hashes of
+anchor occurs twice extend to the windows that contain it, and only those windows are compared, by 96-bit hashes of
 their whole word sequence.
 
 Scale. One shuffle for anchors, one for candidate windows, one of the texts (read twice). Repeats inside a task's block
@@ -37,58 +37,59 @@ COVERS = {3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16)}
 FLUSH_BYTES = 32 << 20
 
 _U = np.uint64
-_SENT = "h long, g long, ka long, kb long, pos int, len int, n int"
+_SENT = "h long, g int, key long, tag int, pos int, len int, n int"
 
 
-class _Outbox:
+class Outbox:
     """Collects keys with their places; ``flush`` settles repeats among them and yields Arrow batches of ``_SENT``.
 
-    A key seen once goes out with its place and ``n = 1``. A key seen more often goes out once without a place and with
-    ``n = 2``, and each of its places goes out under a key of its own with ``n = 2``: known to repeat, spread evenly.
+    The key is ``h`` (64 bits) and the high half of ``g``. A key seen once goes out with its place and ``n = 1``. A key
+    seen more often goes out once without a place and with ``n = 2``, and each run of its places goes out under a key of
+    its own with ``n = 2``: known to repeat, spread evenly.
     """
 
     def __init__(self) -> None:
         self.parts: list[tuple[np.ndarray, ...]] = []
         self.bytes = 0
 
-    def add(self, h, g, ka, kb, pos, size: int) -> None:
+    def add(self, h, g, key, tag, pos, size: int) -> None:
         if len(h):
-            self.parts.append((h, g, ka, kb, pos))
+            self.parts.append((h, (g >> _U(32)).astype(np.uint32), key, tag, pos))
         self.bytes += size
 
     def flush(self):
         if self.parts:
-            h, g, ka, kb, pos = (np.concatenate(x) for x in zip(*self.parts, strict=True))
+            h, g, key, tag, pos = (np.concatenate(x) for x in zip(*self.parts, strict=True))
             single, witness = once(h, g)
-            yield _batch(h[single], g[single], ka[single], kb[single], pos[single], 1, 1)
+            yield _batch(h[single], g[single], key[single], tag[single], pos[single], 1, 1)
             yield _batch(h[witness], g[witness], None, None, None, 0, 2)
             known = np.flatnonzero(~single)
             if len(known):
-                order = known[np.lexsort((pos[known], kb[known], ka[known]))]
-                a, b, p = ka[order], kb[order], pos[order]
+                order = known[np.lexsort((pos[known], tag[known], key[known]))]
+                a, b, p = key[order], tag[order], pos[order]
                 new = np.ones(len(order), bool)
                 new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (p[1:] > p[:-1] + 1)
                 first = np.flatnonzero(new)
                 last = np.append(first[1:], len(order)) - 1
                 own = mix(a[first].view(_U) ^ mix(p[first].astype(_U)))
-                yield _batch(own, mix(own ^ b[first].view(_U)), a[first], b[first], p[first], p[last] - p[first] + 1, 2)
+                yield _batch(own, mix(own).astype(np.uint32), a[first], b[first], p[first], p[last] - p[first] + 1, 2)
         self.parts, self.bytes = [], 0
 
 
-def _batch(h, g, ka, kb, pos, length, n) -> pa.RecordBatch:
+def _batch(h, g, key, tag, pos, length, n) -> pa.RecordBatch:
     size = len(h)
     null = lambda t: pa.nulls(size, t)
     return pa.RecordBatch.from_arrays(
         [
             pa.array(h.view(np.int64)),
-            pa.array(g.view(np.int64)),
-            null(pa.int64()) if ka is None else pa.array(ka),
-            null(pa.int64()) if kb is None else pa.array(kb),
+            pa.array(g.view(np.int32)),
+            null(pa.int64()) if key is None else pa.array(key),
+            null(pa.int32()) if tag is None else pa.array(tag),
             null(pa.int32()) if pos is None else pa.array(pos.astype(np.int32)),
             pa.array(np.broadcast_to(np.asarray(length, np.int32), size)),
             pa.array(np.full(size, n, np.int32)),
         ],
-        names=["h", "g", "ka", "kb", "pos", "len", "n"],
+        names=["h", "g", "key", "tag", "pos", "len", "n"],
     )
 
 
@@ -98,17 +99,17 @@ def _anchors(length: int, period: int, cover: tuple[int, ...]):
     members[list(cover)] = True
 
     def run(batches):
-        out = _Outbox()
+        out = Outbox()
         for b in batches:
-            ka, kb = (b.column(c).to_numpy() for c in ("ka", "kb"))
+            key = b.column("key").to_numpy()
             for k in blocks(b.column("text")):
                 w = words(k)
                 count = np.diff(w.first)
                 pos = w.position
                 at = np.flatnonzero(members[pos % period] & (pos + size <= count[w.row]) & (count[w.row] >= length))
                 h = window_hash(prefix_hash(w.hash), at, size)
-                r = k.lo + w.row[at]
-                out.add(h, mix(h), ka[r], kb[r], pos[at], len(k.data))
+                # 64 bits and no tag do for anchors: a false match only adds a candidate
+                out.add(h, np.zeros(len(h), _U), key[k.lo + w.row[at]], np.zeros(len(h), np.int32), pos[at], len(k.data))
                 if out.bytes >= FLUSH_BYTES:
                     yield from out.flush()
         yield from out.flush()
@@ -116,31 +117,34 @@ def _anchors(length: int, period: int, cover: tuple[int, ...]):
     return run
 
 
-def _hits(b: pa.RecordBatch, k, name: str):
-    """Rows, positions and lengths of the (pos, len) lists of a block's rows."""
-    col = b.column(name)
+def hits(b: pa.RecordBatch, k, tagged: bool):
+    """Rows (within the block), positions and lengths of the ``hits`` of a block's rows; with ``tagged`` only those that
+    carry the row's tag."""
+    col = b.column("hits")
     row = pa.compute.list_parent_indices(col).to_numpy()
     flat = pa.compute.list_flatten(col)
-    pos, length = (flat.field(i).to_numpy().astype(np.int64) for i in (0, 1))
+    pos, length, tag = (flat.field(i).to_numpy() for i in range(3))
     lo, hi = np.searchsorted(row, [k.lo, k.hi])
-    return row[lo:hi] - k.lo, pos[lo:hi], length[lo:hi]
+    row, pos, length, tag = row[lo:hi], pos[lo:hi].astype(np.int64), length[lo:hi].astype(np.int64), tag[lo:hi]
+    own = b.column("tag").to_numpy()[row] == tag if tagged else np.ones(len(row), bool)
+    return row[own] - k.lo, pos[own], length[own]
 
 
 def _windows(length: int, period: int):
     def run(batches):
-        out = _Outbox()
+        out = Outbox()
         for b in batches:
-            ka, kb = (b.column(c).to_numpy() for c in ("ka", "kb"))
+            key, tag = (b.column(c).to_numpy() for c in ("key", "tag"))
             for k in blocks(b.column("text")):
                 w = words(k)
-                row, pos, size = _hits(b, k, "hits")
+                row, pos, size = hits(b, k, False)
                 lo = w.first[row] + np.maximum(0, pos - (period - 1))
                 hi = np.minimum(w.first[row] + pos + size, w.first[row + 1] - length + 1)
                 at = np.flatnonzero(covered(len(w.row), lo, np.maximum(0, hi - lo)))
                 h = window_hash(prefix_hash(w.hash), at, length)
                 g = window_hash(prefix_hash(mix(w.hash + _U(0x5851F42D4C957F2D))), at, length)
                 r = k.lo + w.row[at]
-                out.add(h, g, ka[r], kb[r], w.position[at], len(k.data))
+                out.add(h, g, key[r], tag[r], w.position[at], len(k.data))
                 if out.bytes >= FLUSH_BYTES:
                     yield from out.flush()
         yield from out.flush()
@@ -148,13 +152,13 @@ def _windows(length: int, period: int):
     return run
 
 
-def _repeated(sent: DataFrame) -> DataFrame:
-    """Places whose key occurs at least twice, listed per row of the input."""
+def repeated(sent: DataFrame) -> DataFrame:
+    """Places whose key occurs at least twice, listed by row key."""
     return (
         sent.withColumn("total", F.sum("n").over(Window.partitionBy("h", "g")))
-        .where((F.col("total") >= 2) & F.col("ka").isNotNull())
-        .groupBy("ka", "kb")
-        .agg(F.collect_list(F.struct("pos", "len")).alias("hits"))
+        .where((F.col("total") >= 2) & F.col("key").isNotNull())
+        .groupBy("key")
+        .agg(F.collect_list(F.struct("pos", "len", "tag")).alias("hits"))
     )
 
 
@@ -164,7 +168,7 @@ def _keep(length: int, texts: bool):
             ids, n_words, n_removed, sha, kept_text = [], [], [], [], []
             for k in blocks(b.column("text")):
                 w = words(k)
-                row, pos, size = _hits(b, k, "hits")
+                row, pos, size = hits(b, k, True)
                 gone = covered(len(w.row), w.first[row] + pos, size + length - 1)
                 kept = np.flatnonzero(~gone)
                 size = w.end[kept] - w.start[kept] + 1  # each kept word and a space
@@ -199,8 +203,8 @@ def substring_dedup(
         raise ValueError(f"{cover} is no difference cover modulo {period} for windows of {length}")
     small_batches(docs.sparkSession)
     rows = keyed(docs, id_col, text_col)
-    anchors = rows.select("ka", "kb", "text").mapInArrow(_anchors(length, period, cover), _SENT)
-    windows = rows.join(_repeated(anchors), ["ka", "kb"]).mapInArrow(_windows(length, period), _SENT)
+    anchors = rows.select("key", "text").mapInArrow(_anchors(length, period, cover), _SENT)
+    windows = rows.join(repeated(anchors), "key").mapInArrow(_windows(length, period), _SENT)
     id_type = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {id_type}, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * texts
-    return rows.join(_repeated(windows), ["ka", "kb"], "left").mapInArrow(_keep(length, texts), schema)
+    return rows.join(repeated(windows), "key", "left").mapInArrow(_keep(length, texts), schema)
