@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import unicodedata
 
 import pyarrow as pa
@@ -87,7 +88,12 @@ class Bpe:
         self.vocab: dict[str, int] = model["vocab"]
         self.suffix: str = model["end_of_word_suffix"] or ""
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
-        self.ranks = {p: i for i, p in enumerate(pairs)}
+        # pair of ids -> rank, and rank -> id of what the pair becomes
+        self.ranks = {self.vocab[a] << 20 | self.vocab[b]: i for i, (a, b) in enumerate(pairs)}
+        self.merged = [self.vocab[a + b] for a, b in pairs]
+        letters = byte_letters()
+        self.inner = [self.vocab[c] for c in letters]
+        self.last = [self.vocab[c + self.suffix] for c in letters]
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens = {i: s for s, i in {**self.vocab, **self.added}.items()}
         split = spec["pre_tokenizer"]["pretokenizers"][0]
@@ -97,77 +103,94 @@ class Bpe:
             pattern = pattern.replace(p, f"[{p}--[{LATE}]]")
         self.late_pattern = regex.compile("(?V1)" + pattern)
         self.cut = regex.compile("(" + "|".join(regex.escape(t) for t in sorted(self.added, key=len, reverse=True)) + ")") if self.added else None
-        self.letters = byte_letters()
-        self.cache_words = cache_words
-        self.cache = _Cache(self)
+        self.words = _Cache(self._word, cache_words)
+        self.cache = _Cache(self._piece, cache_words)
 
     def merge(self, word: str) -> list[int]:
-        """Token ids of one word by the contiguous rank array."""
-        chars = [self.letters[b] for b in word.encode()]
-        if not chars:
+        """Token ids of one word by the contiguous rank array: ``parts[i]`` is the part that begins at boundary ``i`` and
+        ``ranks[i]`` the rank of the pair at the boundary after it."""
+        data = word.encode()
+        if not data:
             return []
-        chars[-1] += self.suffix
-        text = "".join(chars)
-        starts = [0]
-        for c in chars:
-            starts.append(starts[-1] + len(c))
-        get = self.ranks.get
-
-        def rank(i: int) -> int:
-            """Of the pair of parts ``i`` and ``i + 1``."""
-            return get((text[starts[i] : starts[i + 1]], text[starts[i + 1] : starts[i + 2]]), _NO_RANK) if i + 2 < len(starts) else _NO_RANK
-
-        ranks = [rank(i) for i in range(len(starts) - 1)]
-        while len(ranks) > 1:
+        parts = [self.inner[b] for b in data]
+        parts[-1] = self.last[data[-1]]
+        get, merged = self.ranks.get, self.merged
+        ranks = [get(a << 20 | b, _NO_RANK) for a, b in zip(parts, parts[1:], strict=False)]
+        while ranks:
             best = min(ranks)
             if best == _NO_RANK:
                 break
             i = ranks.index(best)
-            del starts[i + 1], ranks[i + 1]
-            ranks[i] = rank(i)
+            parts[i] = merged[best]
+            del parts[i + 1], ranks[i]  # the boundary between the two
             if i:
-                ranks[i - 1] = rank(i - 1)
-        return [self.vocab[text[a:b]] for a, b in zip(starts, starts[1:], strict=False)]
+                ranks[i - 1] = get(parts[i - 1] << 20 | parts[i], _NO_RANK)
+            if i < len(ranks):
+                ranks[i] = get(parts[i] << 20 | parts[i + 1], _NO_RANK)
+        return parts
 
     def pieces(self, text: str) -> list[str]:
-        """Words of a text in order; an added token is a piece of its own."""
-        parts = self.cut.split(text) if self.cut and any(t in text for t in self.added) else [text]
-        out: list[str] = []
-        for i, p in enumerate(parts):
+        """What the file's pattern makes of a text without added tokens."""
+        text = lower(unicodedata.normalize("NFC", text))
+        return (self.pattern if text.isascii() or not _LATE.search(text) else self.late_pattern).findall(text)
+
+    def _found(self, ids: list[int]) -> tuple[int, str, str]:
+        return len(ids), " ".join(map(str, ids)), self.decode(ids)
+
+    def _piece(self, piece: str) -> tuple[int, str, str]:
+        return self._found(self.merge(piece))
+
+    def _word(self, word: str) -> tuple[int, str, str]:
+        found = [self.cache[p] for p in self.pieces(word)]
+        return sum(f[0] for f in found), " ".join([f[1] for f in found]), " ".join([f[2] for f in found])
+
+    def tokens_of(self, text: str) -> list[tuple[int, str, str]]:
+        """Number of tokens, ids and decoded text of each part of a text.
+
+        No piece holds white space and neither NFC nor lower case looks across it, so words between white space are
+        looked up as they stand."""
+        out: list[tuple[int, str, str]] = []
+        cut = self.cut is not None and any(t in text for t in self.added)
+        for i, part in enumerate(self.cut.split(text) if cut else [text]):
             if i % 2:
-                out.append("\0" + p)  # told apart from words, which never hold U+0000 and letters in one match
-            elif p:
-                p = lower(unicodedata.normalize("NFC", p))
-                out += (self.pattern if p.isascii() or not _LATE.search(p) else self.late_pattern).findall(p)
+                out.append(self._found([self.added[part]]))
+                continue
+            words = part.split() if not _PYTHON_SPACE.search(part) else [w for w in _SPACE.split(part) if w]
+            get = self.words
+            out += [get[w] for w in words]
         return out
 
     def encode(self, text: str) -> list[int]:
-        return [i for p in self.pieces(text) for i in self.cache[p][0]]
+        return [int(i) for f in self.tokens_of(text) for i in f[1].split()]
 
     def decode(self, ids: list[int]) -> str:
-        return " ".join(self.tokens[i] for i in ids)
+        return " ".join([self.tokens[i] for i in ids])
 
     def digests(self, text: str) -> tuple[int, str, str]:
-        """Number of tokens, and the SHA-256 of the decimal ids and of the decoded text, from cached words."""
-        found = [self.cache[p] for p in self.pieces(text)]
+        """Number of tokens, and the SHA-256 of the decimal ids and of the decoded text."""
+        found = self.tokens_of(text)
         ids, said = " ".join([f[1] for f in found]), " ".join([f[2] for f in found])
-        return sum([len(f[0]) for f in found]), hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(said.encode()).hexdigest()
+        return sum([f[0] for f in found]), hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(said.encode()).hexdigest()
+
+
+_SPACE = regex.compile(r"\p{White_Space}+")
+#: What ``str.split`` takes for white space and the pattern does not.
+_PYTHON_SPACE = re.compile("[\x1c-\x1f]")
 
 
 class _Cache(dict):
-    """piece -> (ids, ids as text, decoded text); emptied when full, so memory stays bounded."""
+    """Made entries by key; emptied when full, so memory stays bounded."""
 
-    def __init__(self, bpe: Bpe) -> None:
+    def __init__(self, make, size: int) -> None:
         super().__init__()
-        self.bpe = bpe
+        self.make, self.size = make, size
 
-    def __missing__(self, piece: str):
-        ids = [self.bpe.added[piece[1:]]] if piece[0] == "\0" and piece[1:] in self.bpe.added else self.bpe.merge(piece)
-        found = (ids, " ".join(map(str, ids)), self.bpe.decode(ids))
-        if len(piece) <= 64:  # longer ones seldom come back
-            if len(self) >= self.bpe.cache_words:
+    def __missing__(self, key: str):
+        found = self.make(key)
+        if len(key) <= 64:  # longer ones seldom come back
+            if len(self) >= self.size:
                 self.clear()
-            self[piece] = found
+            self[key] = found
         return found
 
 
