@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..sources.tables import read_table
 from .bpe import bpe_encode
 from .substring_dedup import substring_dedup
+from .suffix_dedup import suffix_dedup
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,9 +21,14 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_encode(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_bpe": op2_bpe,
+    "op8_suffix_dedup": op8_suffix_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
