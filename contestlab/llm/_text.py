@@ -12,8 +12,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BATCH_ROWS = 2000
 _U = np.uint64
@@ -43,6 +45,29 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     )
 
 
+def packed(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``text`` (not null) as compressed bytes, for texts that are shuffled and next read by ``text_column``."""
+
+    def run(batches):
+        z = zstandard.ZstdCompressor(level=1, write_checksum=False)
+        for b in batches:
+            i = b.schema.get_field_index("text")
+            text = pa.array([z.compress(t) for t in b.column(i).cast(pa.large_binary()).to_pylist()], pa.binary())
+            yield b.set_column(i, "text", text)
+
+    schema = T.StructType([T.StructField("text", T.BinaryType()) if f.name == "text" else f for f in rows.schema])
+    return rows.mapInArrow(run, schema)
+
+
+def text_column(b: pa.RecordBatch) -> pa.Array:
+    """The texts of a batch, unpacked where they are compressed."""
+    col = b.column("text")
+    if not pa.types.is_binary(col.type):
+        return col
+    z = zstandard.ZstdDecompressor()
+    return pa.array([z.decompress(t) for t in col.to_pylist()], pa.large_binary())
+
+
 @dataclass
 class Block:
     """Some consecutive rows of a batch: ``rows`` (lo, hi), their bytes, and the offset of each row's first byte."""
@@ -55,7 +80,7 @@ class Block:
 
 def blocks(column: pa.Array, max_bytes: int = 4 << 20) -> Iterator[Block]:
     """Cut a text column into blocks of at most ``max_bytes`` bytes, or one text."""
-    column = column.fill_null("").cast(pa.large_string())
+    column = column.fill_null("").cast(pa.large_string()) if not pa.types.is_large_binary(column.type) else column
     n = len(column)
     if not n:
         return

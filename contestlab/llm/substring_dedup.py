@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._text import blocks, covered, keyed, mix, once, prefix_hash, runs, small_batches, window_hash, words
+from ._text import blocks, covered, keyed, mix, once, packed, prefix_hash, small_batches, text_column, window_hash, words
 
 LENGTH = 35
 #: Perfect difference sets (period: members).
@@ -37,13 +37,14 @@ COVERS = {3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16)}
 FLUSH_BYTES = 32 << 20
 
 _U = np.uint64
-_SENT = "h long, g int, key long, tag int, pos int, len int, n int"
+#: What does not change from row to row of a document comes first: shuffled rows compress well.
+_SENT = "n int, len int, tag int, key long, h long, x long"
 
 
 class Outbox:
     """Collects keys with their places; ``flush`` settles repeats among them and yields Arrow batches of ``_SENT``.
 
-    The key is ``h`` (64 bits) and the high half of ``g``. A key seen once goes out with its place and ``n = 1``. A key
+    The key is ``h`` (64 bits) and the high half of ``x``; the low half of ``x`` is the position. A key seen once goes out with its place and ``n = 1``. A key
     seen more often goes out once without a place and with ``n = 2``, and each run of its places goes out under a key of
     its own with ``n = 2``: known to repeat, spread evenly.
     """
@@ -78,18 +79,17 @@ class Outbox:
 
 def _batch(h, g, key, tag, pos, length, n) -> pa.RecordBatch:
     size = len(h)
-    null = lambda t: pa.nulls(size, t)
+    x = (g.astype(np.int64) << 32) | (0 if pos is None else pos.astype(np.int64))
     return pa.RecordBatch.from_arrays(
         [
-            pa.array(h.view(np.int64)),
-            pa.array(g.view(np.int32)),
-            null(pa.int64()) if key is None else pa.array(key),
-            null(pa.int32()) if tag is None else pa.array(tag),
-            null(pa.int32()) if pos is None else pa.array(pos.astype(np.int32)),
-            pa.array(np.broadcast_to(np.asarray(length, np.int32), size)),
             pa.array(np.full(size, n, np.int32)),
+            pa.array(np.broadcast_to(np.asarray(length, np.int32), size)),
+            pa.nulls(size, pa.int32()) if tag is None else pa.array(tag),
+            pa.nulls(size, pa.int64()) if key is None else pa.array(key),
+            pa.array(h.view(np.int64)),
+            pa.array(x),
         ],
-        names=["h", "g", "key", "tag", "pos", "len", "n"],
+        names=["n", "len", "tag", "key", "h", "x"],
     )
 
 
@@ -102,7 +102,7 @@ def _anchors(length: int, period: int, cover: tuple[int, ...]):
         out = Outbox()
         for b in batches:
             key = b.column("key").to_numpy()
-            for k in blocks(b.column("text")):
+            for k in blocks(text_column(b)):
                 w = words(k)
                 count = np.diff(w.first)
                 pos = w.position
@@ -135,7 +135,7 @@ def _windows(length: int, period: int):
         out = Outbox()
         for b in batches:
             key, tag = (b.column(c).to_numpy() for c in ("key", "tag"))
-            for k in blocks(b.column("text")):
+            for k in blocks(text_column(b)):
                 w = words(k)
                 row, pos, size = hits(b, k, False)
                 lo = w.first[row] + np.maximum(0, pos - (period - 1))
@@ -155,10 +155,11 @@ def _windows(length: int, period: int):
 def repeated(sent: DataFrame) -> DataFrame:
     """Places whose key occurs at least twice, listed by row key."""
     return (
-        sent.withColumn("total", F.sum("n").over(Window.partitionBy("h", "g")))
+        sent.withColumn("g", F.shiftright("x", 32))
+        .withColumn("total", F.sum("n").over(Window.partitionBy("h", "g")))
         .where((F.col("total") >= 2) & F.col("key").isNotNull())
         .groupBy("key")
-        .agg(F.collect_list(F.struct("pos", "len", "tag")).alias("hits"))
+        .agg(F.collect_list(F.struct((F.col("x").bitwiseAND(F.lit(0x7FFFFFFF))).cast("int").alias("pos"), "len", "tag")).alias("hits"))
     )
 
 
@@ -166,7 +167,7 @@ def _keep(length: int, texts: bool):
     def run(batches):
         for b in batches:
             ids, n_words, n_removed, sha, kept_text = [], [], [], [], []
-            for k in blocks(b.column("text")):
+            for k in blocks(text_column(b)):
                 w = words(k)
                 row, pos, size = hits(b, k, True)
                 gone = covered(len(w.row), w.first[row] + pos, size + length - 1)
@@ -202,8 +203,9 @@ def substring_dedup(
     if len({(a - b) % period for a in cover for b in cover}) != period or period > length:
         raise ValueError(f"{cover} is no difference cover modulo {period} for windows of {length}")
     small_batches(docs.sparkSession)
-    rows = keyed(docs, id_col, text_col)
-    anchors = rows.select("key", "text").mapInArrow(_anchors(length, period, cover), _SENT)
+    plain = keyed(docs, id_col, text_col)
+    rows = packed(plain)
+    anchors = plain.select("key", "text").mapInArrow(_anchors(length, period, cover), _SENT)
     windows = rows.join(repeated(anchors), "key").mapInArrow(_windows(length, period), _SENT)
     id_type = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {id_type}, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * texts

@@ -37,8 +37,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize_scratch
-from ._text import _BYTES, Block, blocks, covered, keyed, mix, once, prefix_hash, runs, small_batches, window_hash
-from .substring_dedup import FLUSH_BYTES, Outbox, hits, repeated
+from ._text import _BYTES, Block, blocks, covered, keyed, mix, once, packed, prefix_hash, runs, small_batches, text_column, window_hash
+from .substring_dedup import _SENT, FLUSH_BYTES, Outbox, hits, repeated
 
 LENGTH = 400
 ANCHOR = 64
@@ -247,7 +247,7 @@ def _cut(length: int):
         for b in batches:
             key, tag = (b.column(c).to_numpy() for c in ("key", "tag"))
             row, pos, size, h, n = _own(b)
-            for k in blocks(b.column("text")):
+            for k in blocks(text_column(b)):
                 lo, hi = np.searchsorted(row, [k.lo, k.hi])
                 raw = k.data.tobytes()
                 at = k.off[row[lo:hi] - k.lo] + pos[lo:hi]
@@ -300,7 +300,7 @@ def _one_by_one(length: int):
         for b in batches:
             key, tag = (b.column(c).to_numpy() for c in ("key", "tag"))
             row, pos, size, _, n = _own(b)
-            for k in blocks(b.column("text")):
+            for k in blocks(text_column(b)):
                 lo, hi = np.searchsorted(row, [k.lo, k.hi])
                 r, p, s, w = row[lo:hi], pos[lo:hi], size[lo:hi], n[lo:hi]
                 ends = np.cumsum(s)
@@ -323,7 +323,7 @@ def _keep(length: int, texts: bool):
     def run(batches):
         for b in batches:
             n_bytes, n_removed, n_spans, sha, kept = [], [], [], [], []
-            for k in blocks(b.column("text")):
+            for k in blocks(text_column(b)):
                 row, pos, size = hits(b, k, True)
                 gone = covered(len(k.data), k.off[row] + pos, size + length - 1)
                 left = np.concatenate([[0], np.cumsum(~gone)])
@@ -358,8 +358,9 @@ def suffix_dedup(
     if not (anchor <= length and step <= length and length > _SEED):
         raise ValueError("anchor and step must be at most length, and length over 8")
     small_batches(docs.sparkSession)
-    rows = keyed(docs, id_col, text_col)
-    described = materialize_scratch(rows.select("key", "tag", "text").mapInArrow(_describe(length, anchor, step), _PLACE), "runs")
+    plain = keyed(docs, id_col, text_col)
+    rows = packed(plain)
+    described = materialize_scratch(plain.select("key", "tag", "text").mapInArrow(_describe(length, anchor, step), _PLACE), "runs")
 
     # groups that hold two strings or more; a row of a single string has nothing to be compared with
     groups = described.where("n > 0").groupBy("h").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("strings")).where("total >= 2")
@@ -377,7 +378,7 @@ def suffix_dedup(
     with_text = lambda x: rows.join(x.drop("many"), "key")
     strings = with_text(wanted.where("not many")).mapInArrow(_cut(length), "h long, n int, key long, tag int, pos int, string binary")
     indexed = strings.repartition("h").sortWithinPartitions("h").mapInArrow(_index(length), "key long, pos int, len int, tag int")
-    single = repeated(with_text(wanted.where("many")).mapInArrow(_one_by_one(length), "h long, g int, key long, tag int, pos int, len int, n int"))
+    single = repeated(with_text(wanted.where("many")).mapInArrow(_one_by_one(length), _SENT))
 
     known = described.where("n = 0").select("key", "pos", "len", "tag")
     found = known.unionByName(copies).unionByName(indexed).unionByName(single.select("key", F.inline("hits")).select("key", "pos", "len", "tag"))
