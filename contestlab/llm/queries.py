@@ -9,8 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import read_table
 from .bpe import bpe_encode
+from .compression_quality import compression_quality
+from .quality_rules import quality_rules
 from .substring_dedup import substring_dedup
 from .suffix_dedup import suffix_dedup
+from .toxicity import toxicity
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,10 +28,25 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op3_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compression_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_bpe": op2_bpe,
+    "op3_compression_quality": op3_compression_quality,
     "op8_suffix_dedup": op8_suffix_dedup,
+    "op9_toxicity": op9_toxicity,
+    "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLE_SQL: dict[str, str] = {
