@@ -44,12 +44,14 @@ _SENT = "n int, len int, tag int, key long, h long, x long"
 class Outbox:
     """Collects keys with their places; ``flush`` settles repeats among them and yields Arrow batches of ``_SENT``.
 
-    The key is ``h`` (64 bits) and the high half of ``x``; the low half of ``x`` is the position. A key seen once goes out with its place and ``n = 1``. A key
+    The key is ``h`` (64 bits) and, where ``wide``, the low half of ``x``; the high half is then the position, else ``x`` is
+    (the order in which rows compress best). A key seen once goes out with its place and ``n = 1``. A key
     seen more often goes out once without a place and with ``n = 2``, and each run of its places goes out under a key of
     its own with ``n = 2``: known to repeat, spread evenly.
     """
 
-    def __init__(self) -> None:
+    def __init__(self, wide: bool) -> None:
+        self.wide = wide
         self.parts: list[tuple[np.ndarray, ...]] = []
         self.bytes = 0
 
@@ -62,8 +64,8 @@ class Outbox:
         if self.parts:
             h, g, key, tag, pos = (np.concatenate(x) for x in zip(*self.parts, strict=True))
             single, witness = once(h, g)
-            yield _batch(h[single], g[single], key[single], tag[single], pos[single], 1, 1)
-            yield _batch(h[witness], g[witness], None, None, None, 0, 2)
+            yield self._batch(h[single], g[single], key[single], tag[single], pos[single], 1, 1)
+            yield self._batch(h[witness], g[witness], None, None, None, 0, 2)
             known = np.flatnonzero(~single)
             if len(known):
                 order = known[np.lexsort((pos[known], tag[known], key[known]))]
@@ -73,24 +75,23 @@ class Outbox:
                 first = np.flatnonzero(new)
                 last = np.append(first[1:], len(order)) - 1
                 own = mix(a[first].view(_U) ^ mix(p[first].astype(_U)))
-                yield _batch(own, mix(own).astype(np.uint32), a[first], b[first], p[first], p[last] - p[first] + 1, 2)
+                yield self._batch(own, mix(own).astype(np.uint32), a[first], b[first], p[first], p[last] - p[first] + 1, 2)
         self.parts, self.bytes = [], 0
 
-
-def _batch(h, g, key, tag, pos, length, n) -> pa.RecordBatch:
-    size = len(h)
-    x = (g.astype(np.int64) << 32) | (0 if pos is None else pos.astype(np.int64))
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(np.full(size, n, np.int32)),
-            pa.array(np.broadcast_to(np.asarray(length, np.int32), size)),
-            pa.nulls(size, pa.int32()) if tag is None else pa.array(tag),
-            pa.nulls(size, pa.int64()) if key is None else pa.array(key),
-            pa.array(h.view(np.int64)),
-            pa.array(x),
-        ],
-        names=["n", "len", "tag", "key", "h", "x"],
-    )
+    def _batch(self, h, g, key, tag, pos, length, n) -> pa.RecordBatch:
+        size = len(h)
+        x = np.zeros(size, np.int64) if pos is None else pos.astype(np.int64)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.full(size, n, np.int32)),
+                pa.array(np.broadcast_to(np.asarray(length, np.int32), size)),
+                pa.nulls(size, pa.int32()) if tag is None else pa.array(tag),
+                pa.nulls(size, pa.int64()) if key is None else pa.array(key),
+                pa.array(h.view(np.int64)),
+                pa.array(x << 32 | g.astype(np.int64) if self.wide else x),
+            ],
+            names=["n", "len", "tag", "key", "h", "x"],
+        )
 
 
 def _anchors(length: int, period: int, cover: tuple[int, ...]):
@@ -99,7 +100,7 @@ def _anchors(length: int, period: int, cover: tuple[int, ...]):
     members[list(cover)] = True
 
     def run(batches):
-        out = Outbox()
+        out = Outbox(wide=False)
         for b in batches:
             key = b.column("key").to_numpy()
             for k in blocks(text_column(b)):
@@ -118,21 +119,19 @@ def _anchors(length: int, period: int, cover: tuple[int, ...]):
 
 
 def hits(b: pa.RecordBatch, k, tagged: bool):
-    """Rows (within the block), positions and lengths of the ``hits`` of a block's rows; with ``tagged`` only those that
-    carry the row's tag."""
-    col = b.column("hits")
-    row = pa.compute.list_parent_indices(col).to_numpy()
-    flat = pa.compute.list_flatten(col)
-    pos, length, tag = (flat.field(i).to_numpy() for i in range(3))
+    """Rows (within the block), positions and lengths of the listed places of a block's rows; with ``tagged`` only those
+    that carry the row's tag."""
+    row = pa.compute.list_parent_indices(b.column("at")).to_numpy()
+    at, length = (pa.compute.list_flatten(b.column(c)).to_numpy() for c in ("at", "len"))
     lo, hi = np.searchsorted(row, [k.lo, k.hi])
-    row, pos, length, tag = row[lo:hi], pos[lo:hi].astype(np.int64), length[lo:hi].astype(np.int64), tag[lo:hi]
-    own = b.column("tag").to_numpy()[row] == tag if tagged else np.ones(len(row), bool)
-    return row[own] - k.lo, pos[own], length[own]
+    row, at, length = row[lo:hi], at[lo:hi], length[lo:hi].astype(np.int64)
+    own = b.column("tag").to_numpy()[row] == at >> 32 if tagged else np.ones(len(row), bool)
+    return row[own] - k.lo, at[own] & 0x7FFFFFFF, length[own]
 
 
 def _windows(length: int, period: int):
     def run(batches):
-        out = Outbox()
+        out = Outbox(wide=True)
         for b in batches:
             key, tag = (b.column(c).to_numpy() for c in ("key", "tag"))
             for k in blocks(text_column(b)):
@@ -152,15 +151,18 @@ def _windows(length: int, period: int):
     return run
 
 
-def repeated(sent: DataFrame) -> DataFrame:
-    """Places whose key occurs at least twice, listed by row key."""
-    return (
-        sent.withColumn("g", F.shiftright("x", 32))
-        .withColumn("total", F.sum("n").over(Window.partitionBy("h", "g")))
-        .where((F.col("total") >= 2) & F.col("key").isNotNull())
-        .groupBy("key")
-        .agg(F.collect_list(F.struct((F.col("x").bitwiseAND(F.lit(0x7FFFFFFF))).cast("int").alias("pos"), "len", "tag")).alias("hits"))
-    )
+def repeated(sent: DataFrame, wide: bool) -> DataFrame:
+    """Places ``(key, tag, pos, len)`` whose key occurs at least twice."""
+    low = F.col("x").bitwiseAND(F.lit(0xFFFFFFFF))
+    sent = sent.withColumn("g", low if wide else F.lit(0)).withColumn("pos", F.shiftright("x", 32) if wide else low)
+    total = F.sum("n").over(Window.partitionBy("h", "g") if wide else Window.partitionBy("h"))
+    return sent.withColumn("total", total).where((F.col("total") >= 2) & F.col("key").isNotNull()).select("key", "tag", "pos", "len")
+
+
+def listed(places: DataFrame) -> DataFrame:
+    """Places by row key, as two parallel lists: tag and position in one number, and length."""
+    at = F.shiftleft(F.col("tag").cast("long"), 32).bitwiseOR(F.col("pos").cast("long"))
+    return places.groupBy("key").agg(F.collect_list(at).alias("at"), F.collect_list("len").alias("len"))
 
 
 def _keep(length: int, texts: bool):
@@ -206,7 +208,7 @@ def substring_dedup(
     plain = keyed(docs, id_col, text_col)
     rows = packed(plain)
     anchors = plain.select("key", "text").mapInArrow(_anchors(length, period, cover), _SENT)
-    windows = rows.join(repeated(anchors), "key").mapInArrow(_windows(length, period), _SENT)
+    windows = rows.join(listed(repeated(anchors, False)), "key").mapInArrow(_windows(length, period), _SENT)
     id_type = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {id_type}, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * texts
-    return rows.join(repeated(windows), "key", "left").mapInArrow(_keep(length, texts), schema)
+    return rows.join(listed(repeated(windows, True)), "key", "left").mapInArrow(_keep(length, texts), schema)

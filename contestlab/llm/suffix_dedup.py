@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize_scratch
 from ._text import _BYTES, Block, blocks, covered, keyed, mix, once, packed, prefix_hash, runs, small_batches, text_column, window_hash
-from .substring_dedup import _SENT, FLUSH_BYTES, Outbox, hits, repeated
+from .substring_dedup import _SENT, FLUSH_BYTES, Outbox, hits, listed, repeated
 
 LENGTH = 400
 ANCHOR = 64
@@ -296,7 +296,7 @@ def _one_by_one(length: int):
     """Hashes of all bytes of each window of wanted runs, for groups that no single task indexes."""
 
     def run(batches):
-        out = Outbox()
+        out = Outbox(wide=True)
         for b in batches:
             key, tag = (b.column(c).to_numpy() for c in ("key", "tag"))
             row, pos, size, _, n = _own(b)
@@ -378,11 +378,10 @@ def suffix_dedup(
     with_text = lambda x: rows.join(x.drop("many"), "key")
     strings = with_text(wanted.where("not many")).mapInArrow(_cut(length), "h long, n int, key long, tag int, pos int, string binary")
     indexed = strings.repartition("h").sortWithinPartitions("h").mapInArrow(_index(length), "key long, pos int, len int, tag int")
-    single = repeated(with_text(wanted.where("many")).mapInArrow(_one_by_one(length), _SENT))
+    single = repeated(with_text(wanted.where("many")).mapInArrow(_one_by_one(length), _SENT), True)
 
     known = described.where("n = 0").select("key", "pos", "len", "tag")
-    found = known.unionByName(copies).unionByName(indexed).unionByName(single.select("key", F.inline("hits")).select("key", "pos", "len", "tag"))
-    gone = found.groupBy("key").agg(F.collect_list(F.struct("pos", "len", "tag")).alias("hits"))
+    found = known.unionByName(copies).unionByName(indexed).unionByName(single.withColumn("pos", F.col("pos").cast("int")))
     id_type = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {id_type}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * texts
-    return rows.join(gone, "key", "left").mapInArrow(_keep(length, texts), schema)
+    return rows.join(listed(found), "key", "left").mapInArrow(_keep(length, texts), schema)
