@@ -45,12 +45,17 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     )
 
 
-def packed(rows: DataFrame) -> DataFrame:
-    """``rows`` with ``text`` (not null) as compressed bytes, for texts that are shuffled and next read by ``text_column``."""
+def packed(rows: DataFrame, once_a_batch: bool = False) -> DataFrame:
+    """``rows`` with ``text`` (not null) as compressed bytes, for texts that are shuffled and next read by ``text_column``.
+
+    With ``once_a_batch`` a batch sends rows that agree in ``key`` and ``tag`` once."""
 
     def run(batches):
         z = zstandard.ZstdCompressor(level=1, write_checksum=False)
         for b in batches:
+            if once_a_batch:
+                first = {k: i for i, k in reversed(list(enumerate(zip(b.column("key").to_pylist(), b.column("tag").to_pylist(), strict=True))))}
+                b = b.take(pa.array(sorted(first.values()), pa.int64()))
             i = b.schema.get_field_index("text")
             text = pa.array([z.compress(t) for t in b.column(i).cast(pa.large_binary()).to_pylist()], pa.binary())
             yield b.set_column(i, "text", text)

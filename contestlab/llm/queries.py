@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from ..sources.tables import read_table
 from .bpe import bpe_encode
 from .compression_quality import compression_quality
+from .exact_dedup import exact_dedup
+from .mixing import mix_sources
+from .ngram_join import ngram_join
 from .quality_rules import quality_rules
 from .substring_dedup import substring_dedup
 from .suffix_dedup import suffix_dedup
@@ -24,6 +27,18 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_encode(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join(read_table(spark, sf_dir, "documents"))
+
+
+def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup(read_table(spark, sf_dir, "documents"))
+
+
+def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(read_table(spark, sf_dir, "documents")).drop("draw")
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(read_table(spark, sf_dir, "documents"))
 
@@ -44,12 +59,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_bpe": op2_bpe,
     "op3_compression_quality": op3_compression_quality,
+    "op5_ngram_join": op5_ngram_join,
+    "op6_exact_dedup": op6_exact_dedup,
+    "op7_mix_sources": op7_mix_sources,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op6_exact_dedup": """
+WITH d AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+), g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
+SELECT doc_id, keep_id, group_size::BIGINT AS group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM d JOIN g USING (t)
+""",
     "op1_substring_dedup": r"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
