@@ -13,6 +13,7 @@ from .compression_quality import compression_quality
 from .exact_dedup import exact_dedup
 from .mixing import mix_sources
 from .ngram_join import ngram_join
+from .pii import find_pii
 from .quality_rules import quality_rules
 from .substring_dedup import substring_dedup
 from .suffix_dedup import suffix_dedup
@@ -27,6 +28,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_encode(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_pii(read_table(spark, sf_dir, "documents"))
+
+
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(read_table(spark, sf_dir, "documents"))
 
@@ -59,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_bpe": op2_bpe,
     "op3_compression_quality": op3_compression_quality,
+    "op4_pii": op4_pii,
     "op5_ngram_join": op5_ngram_join,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_mix_sources": op7_mix_sources,
