@@ -37,7 +37,6 @@ _HOST = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_DIGIT = re.compile("[0-9]")
 
 
 def luhn(digits: str) -> bool:
@@ -60,7 +59,7 @@ def base_spans(text: str) -> list[Span]:
             out.append((start, 0, m.end()))
         floor = m.end() if m else at + 1
         at = text.find("@", floor)
-    if _DIGIT.search(text):
+    if any(d in text for d in "0123456789"):
         if "." in text:
             for m in _IP.finditer(text):
                 if all(len(p.lstrip("0")) < 4 and int(p[-3:]) <= 255 for p in m[0].split(".")):
@@ -96,7 +95,8 @@ def _look_alikes() -> dict[str, str]:
 
 
 _ALIKE = _look_alikes()
-_ALIKE_ANY = re.compile("[" + "".join(map(re.escape, _ALIKE)) + "]")
+#: All that is neither ASCII nor a Latin letter with an accent.
+_FOREIGN = re.compile("[^\x00-\x7f\xc0-\u024f]")
 _AT = re.compile(r"\s*(?:\[\s*(?:at|@)\s*\]|\(\s*(?:at|@)\s*\)|\{\s*(?:at|@)\s*\}|<\s*(?:at|@)\s*>)\s*", re.I)
 _DOT = re.compile(r"\s*(?:\[\s*(?:dot|\.)\s*\]|\(\s*(?:dot|\.)\s*\)|\{\s*(?:dot|\.)\s*\}|<\s*(?:dot|\.)\s*>)\s*", re.I)
 #: Last labels that end an address whose ``at`` and ``dot`` are plain words; those that are common English words are left out.
@@ -107,6 +107,7 @@ _WORD_AT, _WORD_DOT = re.compile(r"\s+at\s+", re.I), re.compile(r"\s+dot\s+", re
 _SPELLED = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9"}
 _ONE = "(?:" + "|".join(_SPELLED) + ")"
 _RUN = re.compile(rf"(?<![A-Za-z0-9])(?:plus[\s-]+)?{_ONE}(?:[\s,-]+(?:dot[\s,-]+)?{_ONE}){{3,}}(?![A-Za-z0-9])", re.I)
+_SPELLED_WORD = re.compile(rf"[^a-z0-9]{_ONE}(?![a-z0-9])")
 _TOKEN = re.compile("plus|dot|" + "|".join(_SPELLED), re.I)
 
 
@@ -114,7 +115,7 @@ class Mapped:
     """A rewritten text; character ``i`` stands for the source characters ``start[i]`` to ``end[i]``."""
 
     def __init__(self, text: str) -> None:
-        self.text, self.start, self.end = text, list(range(len(text))), list(range(1, len(text) + 1))
+        self.text, self.start, self.end = text, range(len(text)), range(1, len(text) + 1)
 
     def write(self, edits: list[tuple[int, int, str]]) -> None:
         """Replace disjoint ranges, given in order. What replaces a range stands for all of it."""
@@ -123,11 +124,11 @@ class Mapped:
         text, start, end, last = [], [], [], 0
         for a, b, new in edits:
             text += [self.text[last:a], new]
-            start += self.start[last:a] + [self.start[a]] * len(new)
-            end += self.end[last:a] + [self.end[b - 1]] * len(new)
+            start += [*self.start[last:a], *[self.start[a]] * len(new)]
+            end += [*self.end[last:a], *[self.end[b - 1]] * len(new)]
             last = b
         self.text = "".join([*text, self.text[last:]])
-        self.start, self.end = start + self.start[last:], end + self.end[last:]
+        self.start, self.end = [*start, *self.start[last:]], [*end, *self.end[last:]]
 
 
 def _spelled(m: re.Match) -> list[tuple[int, int, str]]:
@@ -146,8 +147,8 @@ def _spelled(m: re.Match) -> list[tuple[int, int, str]]:
 def deobfuscated(text: str) -> Mapped | None:
     """The rewritten text, or nothing when no transducer changes it."""
     out = Mapped(text)
-    if not text.isascii() and _ALIKE_ANY.search(text):
-        out.write([(m.start(), m.end(), _ALIKE[m[0]]) for m in _ALIKE_ANY.finditer(out.text)])
+    if not text.isascii():
+        out.write([(m.start(), m.end(), _ALIKE[m[0]]) for m in _FOREIGN.finditer(out.text) if m[0] in _ALIKE])
     low = out.text.lower()
     if "at" in low or "@" in low:
         if any(c in low for c in "[({<"):
@@ -160,7 +161,7 @@ def deobfuscated(text: str) -> Mapped | None:
                 edits += [(a, m.end(1), "@")] if m[1] != "@" else []
                 edits += [(d.start(), d.end(), ".") for d in _WORD_DOT.finditer(out.text, m.end(1), m.end())]
             out.write(edits)
-    if sum(low.count(w) for w in _SPELLED) >= 4:
+    if sum(low.count(w) for w in _SPELLED) >= 4 and len(_SPELLED_WORD.findall(f" {low} ")) >= 4:
         out.write([e for m in _RUN.finditer(out.text) for e in _spelled(m)])
     return out if out.text != text else None
 
