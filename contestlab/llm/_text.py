@@ -30,19 +30,17 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
-def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", by_text: bool = False) -> DataFrame:
     """``(doc_id, text, key, tag)``: null texts count as empty; ``key`` (64 bits) and ``tag`` (32 more) identify a row by
-    its id and whole text.
+    its id and whole text, or with ``by_text`` by its text alone.
 
     Rows that agree in id and text are the same row repeated and always get the same answer, so these 96 bits are all
-    that later joins need, also where ids are null or repeated. Other columns of ``docs``, whatever their names, stay out.
+    that later joins need, also where ids are null or repeated. Where the answer depends on the text alone, ``by_text``
+    brings copies together. Other columns of ``docs``, whatever their names, stay out.
     """
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    return (
-        docs.select(F.col(f"`{id_col}`").alias("doc_id"), text.alias("text"))
-        .withColumn("key", F.xxhash64("doc_id", "text"))
-        .withColumn("tag", F.hash("text", "doc_id"))
-    )
+    of = ["text"] if by_text else ["doc_id", "text"]
+    return docs.select(F.col(f"`{id_col}`").alias("doc_id"), text.alias("text")).withColumn("key", F.xxhash64(*of)).withColumn("tag", F.hash(*reversed(of)))
 
 
 def packed(rows: DataFrame, once_a_batch: bool = False) -> DataFrame:

@@ -205,7 +205,7 @@ def substring_dedup(
     if len({(a - b) % period for a in cover for b in cover}) != period or period > length:
         raise ValueError(f"{cover} is no difference cover modulo {period} for windows of {length}")
     small_batches(docs.sparkSession)
-    plain = keyed(docs, id_col, text_col)
+    plain = keyed(docs, id_col, text_col, by_text=True)  # copies have the same words removed
     rows = packed(plain)
     anchors = plain.select("key", "text").mapInArrow(_anchors(length, period, cover), _SENT)
     windows = rows.join(listed(repeated(anchors, False)), "key").mapInArrow(_windows(length, period), _SENT)
