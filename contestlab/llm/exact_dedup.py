@@ -26,8 +26,13 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_STORE = "spark.sql.streaming.stateStore."
+#: The state lies in RocksDB; batches are committed as changes, and files take the space that they fill.
+STATE = {
+    _STORE + "providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    _STORE + "rocksdb.changelogCheckpointing.enabled": "true",
+    _STORE + "rocksdb.allowFAllocate": "false",
+}
 #: Bytes of records that one micro-batch reads.
 MAX_BYTES = 64 << 30
 
@@ -50,15 +55,17 @@ def keyed_state(spark: SparkSession, records: DataFrame, max_bytes: int = MAX_BY
     """What the stream over ``(digest, doc_id, _file, _row)`` leaves in its state: ``digest, n, keep``."""
     log, state = scratch_path(spark, "records"), scratch_path(spark, "state")
     records.write.parquet(log)
-    before = spark.conf.get(PROVIDER)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {k: spark.conf.get(k, None) for k in STATE}
+    for k, v in STATE.items():
+        spark.conf.set(k, v)
     try:
         stream = spark.readStream.schema(records.schema).option("maxBytesPerTrigger", max_bytes).parquet(log)
         kept = stream.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("doc_id", "_file", "_row")).alias("keep"))
         query = kept.writeStream.outputMode("update").format("noop").option("checkpointLocation", state).trigger(availableNow=True).start()
         query.awaitTermination()
     finally:
-        spark.conf.set(PROVIDER, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     if not spark.read.parquet(log).take(1):
         return spark.createDataFrame([], kept.schema)
     found = spark.read.format("statestore").load(state)
