@@ -12,11 +12,11 @@ depends on the text only.
 Targets are shares of tokens by value for each margin; by default the tempered shares of the input (share to the power
 ``TEMPER``), which raise small sources, languages and topics.
 
-Scale. One pass over the texts without a shuffle; the cells, a pre-aggregated table, are raked by aggregations and joins on
-one margin at a time, and written every round. The driver sees one number a round. Cells may be many: nothing is collected.
+Scale. One pass over the texts without a shuffle; the cells, a pre-aggregated table, are raked by aggregations
+on one margin at a time; only the margins' factors change, and are written at each step. The driver sees one number a round. Cells may be many: nothing is collected.
 
 Defined cases: null text counts as empty (no tokens, so its draw decides nothing about tokens); null source and language
-are values like any other; rows that repeat id and text share a draw; values without a target keep their share; targets
+are values like any other; rows that repeat id and text share a draw; values without a target keep factor 1; targets
 without documents are left out; other columns are ignored by ``mix_sources`` and kept by ``mixed``; an empty table gives an
 empty result.
 """
@@ -71,29 +71,43 @@ def default_targets(cells: DataFrame, margin: str, temper: float = TEMPER) -> Da
     return cells.groupBy(margin).agg(F.pow(F.sum("tokens").cast("double"), F.lit(temper)).alias("target"))
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
-    """``cells`` (margins and ``tokens``) with ``weight``: as many tokens in all, with the targets' shares by margin.
+def _weighted(cells: DataFrame, factors: dict[str, DataFrame]) -> DataFrame:
+    """``cells`` with ``weight``: their tokens times the factor of each margin's value."""
+    weight = F.col("tokens").cast("double")
+    for m, f in factors.items():
+        f = f.select(F.col("value").alias(f"v_{m}"), F.col("factor").alias(f"f_{m}"))
+        cells = cells.join(f, cells[m].eqNullSafe(f[f"v_{m}"]), "left")
+        weight = weight * F.coalesce(f"f_{m}", F.lit(1.0))
+    return cells.withColumn("weight", weight).drop(*(f"{x}_{m}" for m in factors for x in "vf"))
+
 
-    A target's values need not sum to 1; they are scaled to the tokens of the values that both sides have."""
-    cells = materialize_scratch(cells.withColumn("weight", F.col("tokens").cast("double")), "cells")
+def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
+    """``cells`` (margins and ``tokens``) with ``weight``: the targets' shares by margin of the tokens of all values that
+    have a target.
+
+    A weight is the cell's tokens times one factor for each margin. A step sums the cells under the other margins' factors
+    and sets its own margin's factors to goal over sum: one aggregation over the cells, written, three to a round."""
+    goals = {}
+    for m in MARGINS:
+        t = targets[m].select(F.col(m).alias("value"), "target")
+        now = cells.groupBy(m).agg(F.sum("tokens").alias("now")).where("now > 0")
+        both = now.join(t, now[m].eqNullSafe(t["value"])).select(now[m].alias("value"), "now", "target")
+        scale = both.agg((F.sum("now") / F.sum("target")).alias("scale"))  # one row
+        goals[m] = materialize_scratch(both.crossJoin(F.broadcast(scale)).select("value", (F.col("target") * F.col("scale")).alias("goal")), "goals")
+    factors: dict[str, DataFrame] = {}
     for _ in range(rounds):
-        worst = F.lit(0.0)
-        out = cells.withColumn("worst", worst)
         for m in MARGINS:
-            sums = out.groupBy(m).agg(F.sum("weight").alias("now"))
-            t = targets[m].select(F.col(m).alias("value"), "target")
-            both = sums.join(t, sums[m].eqNullSafe(t["value"]), "left").select(m, "now", "target")
-            scale = both.where("target is not null").agg((F.sum("now") / F.sum("target")).alias("scale"))
-            factor = both.crossJoin(F.broadcast(scale))  # one row
-            factor = factor.select(F.col(m).alias("value"), F.when((F.col("now") > 0) & F.col("target").isNotNull(), F.col("target") * F.col("scale") / F.col("now")).otherwise(1.0).alias("factor"))
-            out = out.join(factor, out[m].eqNullSafe(factor["value"]), "left").withColumn("weight", F.col("weight") * F.coalesce("factor", F.lit(1.0)))
-            out = out.withColumn("worst", F.greatest("worst", F.abs(F.coalesce("factor", F.lit(1.0)) - 1))).drop("value", "factor")
-        cells = materialize_scratch(out, "cells")
-        off = cells.where("tokens > 0").agg(F.max("worst")).first()[0]
-        cells = cells.drop("worst")
-        if off is None or off < tolerance:
+            now = _weighted(cells, {k: f for k, f in factors.items() if k != m}).groupBy(m).agg(F.sum("weight").alias("now"))
+            new = goals[m].join(now, now[m].eqNullSafe(goals[m]["value"])).where("now > 0").select("value", (F.col("goal") / F.col("now")).alias("factor"))
+            old = factors[m].select(F.col("value").alias("before"), F.col("factor").alias("last")) if m in factors else None
+            new = new.join(old, new["value"].eqNullSafe(old["before"])).select("value", "factor", F.abs(F.col("factor") / F.col("last") - 1).alias("shift")) if old else new.withColumn("shift", F.lit(1.0))
+            factors[m] = materialize_scratch(new, "factors")
+        worst = factors[MARGINS[0]].select("shift")
+        for m in MARGINS[1:]:
+            worst = worst.unionByName(factors[m].select("shift"))
+        if (worst.agg(F.max("shift")).first()[0] or 0) < tolerance:
             break
-    return cells
+    return materialize_scratch(_weighted(cells, factors), "cells")
 
 
 def with_probability(cells: DataFrame, budget: float) -> DataFrame:
