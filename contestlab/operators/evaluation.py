@@ -98,14 +98,14 @@ def roc_auc(df: DataFrame, prob: str = "prob", truth: str = "truth", digits: int
     go = GroupOrder(keys=[], order=["score"], levels=numeric_levels("score", SCORE_WIDTHS))
     cum = scan(st, go, sums={"neg_upto": F.col("neg")})
     contrib = cum.select(
-        (F.col("pos") * (F.col("neg_upto") - F.col("neg"))).alias("below"),
-        (F.col("pos") * F.col("neg")).alias("ties"),
+        (F.col("pos").cast("double") * (F.col("neg_upto") - F.col("neg"))).alias("below"),
+        (F.col("pos").cast("double") * F.col("neg")).alias("ties"),
         "pos", "neg",
     )
     agg = contrib.agg(F.sum("below").alias("below"), F.sum("ties").alias("ties"), F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     return agg.select(
         F.col("P").cast("bigint").alias("positives"), F.col("N").cast("bigint").alias("negatives"),
-        round_half_up(safe_div(F.col("below") + F.col("ties") / 2.0, F.col("P") * F.col("N")), digits).alias("roc_auc"),
+        round_half_up(safe_div(F.col("below") + F.col("ties") / 2.0, F.col("P").cast("double") * F.col("N")), digits).alias("roc_auc"),
     )
 
 

@@ -75,7 +75,7 @@ def quantile_strata(df: DataFrame, col: str, n_bins: int = 4, rel_error: float =
 
 def temporal_holdout(df: DataFrame, season_col: str, holdout_season: int) -> tuple[DataFrame, DataFrame]:
     """Everything before the hold-out season for training, the hold-out season for scoring."""
-    return df.where(F.col(season_col) != holdout_season), df.where(F.col(season_col) == holdout_season)
+    return df.where(F.col(season_col) < holdout_season), df.where(F.col(season_col) == holdout_season)
 
 
 def preprocess_stages(numeric: list[str], categorical: list[str] | None = None, scale: bool = True,
@@ -226,8 +226,8 @@ def nearest_neighbours(left: DataFrame, right: DataFrame, k: int, features: str
     n_left, n_right = left.count(), right.count()
     bl = max(1, -(-n_left // block_rows))
     br = max(1, -(-n_right // block_rows))
-    lvec = left.select(F.col(id_col).alias("lid"), vector_to_array(F.col(features), "float32").alias("lv"))
-    rvec = right.select(F.col(id_col).alias("rid"), vector_to_array(F.col(features), "float32").alias("rv"), *carry)
+    lvec = left.select(F.col(id_col).alias("lid"), vector_to_array(F.col(features)).alias("lv"))
+    rvec = right.select(F.col(id_col).alias("rid"), vector_to_array(F.col(features)).alias("rv"), *carry)
     lrep = lvec.withColumn("lb", F.pmod(F.xxhash64("lid"), F.lit(bl))).withColumn("rb", F.explode(F.sequence(F.lit(0), F.lit(br - 1))))
     rrep = rvec.withColumn("rb", F.pmod(F.xxhash64("rid"), F.lit(br))).withColumn("lb", F.explode(F.sequence(F.lit(0), F.lit(bl - 1))))
     carry_schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in right.select(*carry).schema.fields)
@@ -236,15 +236,18 @@ def nearest_neighbours(left: DataFrame, right: DataFrame, k: int, features: str
     def block(_key, lp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
         if lp.empty or rp.empty:
             return pd.DataFrame(columns=["lid", "rid", "dist", *carry])
-        a = np.stack(lp["lv"].to_numpy()).astype(np.float64)
-        b = np.stack(rp["rv"].to_numpy()).astype(np.float64)
-        d2 = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * a @ b.T
-        d = np.sqrt(np.maximum(d2, 0.0))
+        rp = rp.sort_values("rid", ignore_index=True)  # among equal distances the smaller id comes first
+        a = np.stack(lp["lv"].to_numpy())
+        b = np.stack(rp["rv"].to_numpy())
+        d = np.zeros((len(a), len(b)))
+        for i in range(a.shape[1]):  # plain differences: the same value in whatever block a pair meets
+            d += (a[:, i, None] - b[None, :, i]) ** 2
+        d = np.sqrt(d)
         if exclude_self:
             same = lp["lid"].to_numpy()[:, None] == rp["rid"].to_numpy()[None, :]
             d = np.where(same, np.inf, d)
         kk = min(k, d.shape[1])
-        idx = np.argpartition(d, kk - 1, axis=1)[:, :kk]
+        idx = np.argsort(d, axis=1, kind="stable")[:, :kk]
         rows = np.repeat(np.arange(d.shape[0]), kk)
         cols = idx.ravel()
         out = pd.DataFrame({"lid": lp["lid"].to_numpy()[rows], "rid": rp["rid"].to_numpy()[cols], "dist": d[rows, cols]})
@@ -261,8 +264,10 @@ def nearest_neighbours(left: DataFrame, right: DataFrame, k: int, features: str
 def smote(df: DataFrame, label: str, minority, features: str = "features", id_col: str = "id", ratio: float = 0.9,
           k: int = 5, seed: int = 13) -> DataFrame:
     """SMOTE: synthetic minority rows on the segment between a minority row and one of its ``k`` nearest minority
-    neighbours (exact search), until minority = ``ratio`` x majority. Each minority row seeds ``ceil(need / n)``
-    synthetic rows, cycling through its neighbours."""
+    neighbours (exact search), until minority = ``floor(ratio x majority)`` exactly. Each minority row seeds
+    ``floor(need / n)`` synthetic rows, cycling through its neighbours, and the first rows by a hash of the id seed one
+    more. The place on the segment is one draw for each synthetic row, a hash of the two ids and the turn, so it does not
+    depend on partitions."""
     counts = {r[label]: r["count"] for r in df.groupBy(label).count().collect()}  # one row per class
     maj = max(v for kk, v in counts.items() if kk != minority)
     n_min = counts.get(minority, 0)
@@ -272,17 +277,19 @@ def smote(df: DataFrame, label: str, minority, features: str = "features", id_co
         return base
     mino = df.where(F.col(label) == minority).select(id_col, features)
     nn = nearest_neighbours(mino, mino, k, features, id_col, exclude_self=True)
-    per_seed = int(-(-need // n_min))
-    n_nb = nn.groupBy("left_id").agg(F.max("nn_rank").alias("__m"))
-    seeds = nn.join(n_nb, "left_id").withColumn("__j", F.explode(F.sequence(F.lit(0), F.lit(per_seed - 1))))
+    each, rest = divmod(need, n_min)
+    first = mino.orderBy(F.xxhash64(id_col, F.lit(seed)), id_col).limit(rest).select(F.col(id_col).alias("left_id"), F.lit(1).alias("__extra"))
+    n_nb = nn.groupBy("left_id").agg(F.max("nn_rank").alias("__m")).join(first, "left_id", "left")
+    turns = F.lit(each) + F.coalesce("__extra", F.lit(0))
+    seeds = nn.join(n_nb, "left_id").where(turns > 0).withColumn("__j", F.explode(F.sequence(F.lit(0), turns - 1)))
     seeds = seeds.where(((F.col("__j") % F.col("__m")) + 1) == F.col("nn_rank"))
     a = mino.select(F.col(id_col).alias("left_id"), vector_to_array(F.col(features)).alias("a"))
     b = mino.select(F.col(id_col).alias("right_id"), vector_to_array(F.col(features)).alias("b"))
     gen = seeds.join(a, "left_id").join(b, "right_id")
-    gap = F.rand(seed)
+    gen = gen.withColumn("gap", F.shiftrightunsigned(F.xxhash64(F.lit(seed), "left_id", "right_id", "__j"), 11) / F.lit(float(1 << 53)))
     synth = gen.select(
         F.concat_ws("~", F.col("left_id").cast("string"), F.col("right_id").cast("string"), F.col("__j").cast("string")).alias(id_col),
-        array_to_vector(F.zip_with("a", "b", lambda x, y: x + (y - x) * gap)).alias(features),
+        array_to_vector(F.zip_with("a", "b", lambda x, y: x + (y - x) * F.col("gap"))).alias(features),
     ).withColumn(label, F.lit(minority)).withColumn("synthetic", F.lit(1))
     return base.unionByName(synth.select(id_col, features, label, "synthetic"))
 

@@ -149,7 +149,7 @@ def standings_from_json(docs: DataFrame, json_col: str = "json") -> DataFrame:
         F.col("e.team.name").alias("team_name"),
         F.col("e.team.abbreviation").alias("team_abb"),
         F.col("e.team.displayName").alias("team_full"),
-        F.col("e.team.logos")[0]["href"].alias("team_logo"),
+        F.get("e.team.logos", F.lit(0))["href"].alias("team_logo"),
         F.explode_outer("e.stats").alias("st"),
     )
     num = F.col("st.value")
@@ -172,7 +172,7 @@ def standings_from_json(docs: DataFrame, json_col: str = "json") -> DataFrame:
             f"{prefix}_losses": F.split_part(F.col(col), F.lit("-"), F.lit(2)).try_cast("bigint"),
         })
     wide = wide.withColumns({c: F.col(c).try_cast("double") for c in NUMERIC_STATS})
-    w = Window.partitionBy("conf").orderBy(F.col("win_pct").desc_nulls_last(), F.col("g_behind").asc_nulls_last())
+    w = Window.partitionBy("conf", "season").orderBy(F.col("win_pct").desc_nulls_last(), F.col("g_behind").asc_nulls_last(), "team_id")
     return wide.withColumn("seed", F.row_number().over(w).cast("double"))
 
 

@@ -9,10 +9,10 @@ operations, ``sum`` and ``max`` of a struct keyed by the sort order, evaluated a
     prefix(row) = combine(prefix of the earlier buckets, prefix of the earlier rows in the same bucket)
 
 The in-bucket part is a window over ``(group, bucket)``. The part over earlier buckets is the same problem one level
-up, on a pre-aggregated summary with one row per bucket (aggregated straight from the input, one partial+final
-aggregate per level); only the coarsest summary (a few rows per group) is scanned with a window over the group
-alone. The offsets are combined from the coarsest level down and joined back on ``(group, bucket)``, the partitioning
-the in-bucket window already has. No task holds more than one bucket of one level.
+up, on a pre-aggregated summary with one row per bucket; each coarser summary is aggregated from the one below, so the
+input is read twice whatever the number of levels. Only the coarsest summary (a few rows per group) is scanned with a
+window over the group alone. The offsets are combined from the coarsest level down and joined back on the bucket, the
+partitioning the in-bucket window already has. No task holds more than one bucket of one level.
 
 From the two prefixes: running sum = exclusive sum + own value; lag = the value inside the exclusive max of
 ``struct(order, value)``; carry-forward = own value, else the exclusive max over non-NULL values.
@@ -23,9 +23,9 @@ inside one chunk.
 
 All order columns are ascending and together unique within a group.
 
-When a size check (one aggregate) shows that the largest group holds at most ``contestlab.scan.maxGroupRows`` rows
-(default 2,000,000), the scan is a single window per group instead: that is the cheaper plan while every group fits
-in one task, the same way a broadcast is only chosen behind a size check.
+There is one path, whatever the size of a group. Group and bucket columns meet in one struct per level, which is never
+NULL itself and equal where its fields are equal or both NULL: rows with a NULL key are a group like any other, and the
+in-bucket windows and the offset joins share one partitioning.
 """
 
 from __future__ import annotations
@@ -37,30 +37,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_CHUNK_ROWS = 1 << 20
-# A group is scanned by one plain window only when a size check shows it holds at most this many rows; larger (or
-# unknown) groups take the bucketed path. Session conf ``contestlab.scan.maxGroupRows`` overrides it (0 = always
-# bucketed).
-MAX_GROUP_ROWS_CONF = "contestlab.scan.maxGroupRows"
-DEFAULT_MAX_GROUP_ROWS = 2_000_000
 _ids = count()
 
 
-def _largest_group(df: DataFrame, keys: list[str]) -> int:
-    """Rows in the largest group (one aggregate; only this number reaches the driver)."""
-    if not keys:
-        return df.count()
-    row = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()
-    return int(row[0] or 0)
-
-
-def needs_buckets(df: DataFrame, keys: list[str]) -> bool:
-    """True unless the largest group was checked to fit one task (see ``MAX_GROUP_ROWS_CONF``)."""
-    limit = int(df.sparkSession.conf.get(MAX_GROUP_ROWS_CONF, str(DEFAULT_MAX_GROUP_ROWS)))
-    if limit <= 0:
-        return True
-    return _largest_group(df, keys) > limit
-
-
 @dataclass
 class GroupOrder:
     """``keys`` (group), ``order`` (unique ascending sort key), ``levels`` (bucket columns, finest first)."""
@@ -116,16 +95,18 @@ def _exclusive(rows: DataFrame, keys: list[str], order: list[str], levels: list[
                sums: dict[str, Column], maxes: dict[str, Column], tag: str) -> DataFrame:
     """Add ``{tag}s_{n}`` (sum over earlier rows of the group) and ``{tag}m_{n}`` (max over earlier rows).
 
-    Level ``k`` has one summary row per level-``k-1`` bucket, aggregated straight from ``rows`` (so each level costs
-    one partial+final aggregate of the input, never a recomputation of another level). Its in-bucket exclusive
-    prefix is a window over ``(group, level-k bucket)``; the offsets are combined from the coarsest level down and
-    joined to the rows once, on ``(group, level-0 bucket)``.
+    ``{tag}g{k}`` is the level-``k`` bucket with its group (``k = n``: the group alone). Summary ``k`` has one row per
+    level-``k`` bucket; its exclusive prefix within the level-``k + 1`` bucket is a window, and the offsets are combined
+    from the coarsest level down and joined to the rows once.
     """
     cols = {**{f"s_{n}": e for n, e in sums.items()}, **{f"m_{n}": e for n, e in maxes.items()}}
+    agg = lambda c: F.sum if c.startswith("s_") else F.max
+    n = len(levels)
+    g = [f"{tag}g{k}" for k in range(n + 1)]
 
-    def windowed(df: DataFrame, part: list[str], order_cols: list[str], src: dict[str, Column], prefix: str) -> DataFrame:
-        w = Window.partitionBy(*part).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
-        return df.withColumns({f"{prefix}{c}": (F.sum if c.startswith("s_") else F.max)(e).over(w) for c, e in src.items()})
+    def windowed(df: DataFrame, part: str, order_cols: list[str], src: dict[str, Column], prefix: str) -> DataFrame:
+        w = Window.partitionBy(part).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
+        return df.withColumns({f"{prefix}{c}": agg(c)(e).over(w) for c, e in src.items()})
 
     def combine(off: str, loc: str) -> dict[str, Column]:
         out = {}
@@ -136,25 +117,25 @@ def _exclusive(rows: DataFrame, keys: list[str], order: list[str], levels: list[
                 out[f"{tag}{c}"] = F.greatest(F.col(f"{off}{c}"), F.col(f"{loc}{c}"))
         return out
 
-    buckets = [list(lv) for lv in levels]
-    n = len(buckets)
-    part0 = keys + (buckets[0] if n else [])
-    base = windowed(rows, part0, order, cols, f"{tag}l")
+    buckets = [[F.col(c) for c in [*keys, *(levels[k] if k < n else [])]] or [F.lit(0)] for k in range(n + 1)]
+    rows = rows.withColumns({g[k]: F.struct(*buckets[k]) for k in range(n + 1)})
+    base = windowed(rows, g[0], order, cols, f"{tag}l")
     if n == 0:
-        return base.withColumnsRenamed({f"{tag}l{c}": f"{tag}{c}" for c in cols})
+        return base.withColumnsRenamed({f"{tag}l{c}": f"{tag}{c}" for c in cols}).drop(*g)
 
+    summaries = [rows.groupBy(*g).agg(*[agg(c)(e).alias(f"{tag}t{c}") for c, e in cols.items()])]
+    for k in range(1, n):
+        summaries.append(summaries[-1].groupBy(*g[k:]).agg(*[agg(c)(F.col(f"{tag}t{c}")).alias(f"{tag}t{c}") for c in cols]))
     offs = None
-    for k in range(n, 0, -1):
-        own, upper = buckets[k - 1], (buckets[k] if k < n else [])
-        tk = rows.groupBy(*keys, *own, *upper).agg(*[(F.sum if c.startswith("s_") else F.max)(e).alias(f"{tag}t{c}") for c, e in cols.items()])
-        tk = windowed(tk, keys + upper, own, {c: F.col(f"{tag}t{c}") for c in cols}, f"{tag}l")
+    for k in range(n - 1, -1, -1):
+        tk = windowed(summaries[k], g[k + 1], [g[k]], {c: F.col(f"{tag}t{c}") for c in cols}, f"{tag}l")
         if offs is not None:
-            tk = tk.join(offs, keys + upper, "left").withColumns(combine(f"{tag}o", f"{tag}l"))
+            tk = tk.join(offs, g[k + 1], "left").withColumns(combine(f"{tag}o", f"{tag}l"))
         else:
             tk = tk.withColumnsRenamed({f"{tag}l{c}": f"{tag}{c}" for c in cols})
-        offs = tk.select(*keys, *own, *[F.col(f"{tag}{c}").alias(f"{tag}o{c}") for c in cols])
-    out = base.join(offs, keys + buckets[0], "left").withColumns(combine(f"{tag}o", f"{tag}l"))
-    return out.drop(*[f"{tag}{p}{c}" for c in cols for p in ("l", "o")])
+        offs = tk.select(g[k], *[F.col(f"{tag}{c}").alias(f"{tag}o{c}") for c in cols])
+    out = base.join(offs, g[0], "left").withColumns(combine(f"{tag}o", f"{tag}l"))
+    return out.drop(*g, *[f"{tag}{p}{c}" for c in cols for p in ("l", "o")])
 
 
 def scan(
@@ -181,17 +162,7 @@ def scan(
     m_exprs = {f"lag_{n}": F.struct(ordkey.alias("o"), F.col(c).alias("v")) for n, c in lags.items()}
     m_exprs.update({f"car_{n}": F.when(F.col(c).isNotNull(), F.struct(ordkey.alias("o"), F.col(c).alias("v"))) for n, c in carry.items()})
     tag = f"__x{next(_ids)}_"
-    levels = go.levels if (go.levels and needs_buckets(df, go.keys)) else []
-    if not levels:
-        # every group fits one task (checked) or no buckets were given: plain window functions
-        w = Window.partitionBy(*go.keys).orderBy(*go.order)
-        run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        plain = {n: F.sum(e).over(run) for n, e in s_exprs.items()}
-        plain.update({n: F.lag(F.col(c)).over(w) for n, c in lags.items()})
-        plain.update({n: F.last(F.col(c), ignorenulls=True).over(run) for n, c in carry.items()})
-        out = df.withColumns(plain)
-        return out.select(*df.columns, *[c for c in plain if c not in df.columns])
-    out = _exclusive(rows, go.keys, go.order, levels, s_exprs, m_exprs, tag)
+    out = _exclusive(rows, go.keys, go.order, go.levels, s_exprs, m_exprs, tag)
     final: dict[str, Column] = {}
     for n in sums:
         final[n] = F.coalesce(F.col(f"{tag}s_{n}"), F.lit(0)) + s_exprs[n]
@@ -224,9 +195,6 @@ def framed(
     """
     if chunk_rows < max(1, halo):
         raise ValueError("chunk_rows must be at least the halo size")
-    if not needs_buckets(df, go.keys):
-        # every group was checked to fit one task: one window over the group
-        return df.withColumns(exprs_builder(Window.partitionBy(*go.keys).orderBy(*go.order)))
     p = positions(df, go, "__pos")
     p = p.withColumn("__chunk", F.floor((F.col("__pos") - 1) / F.lit(chunk_rows)))
     base = p.withColumn("__halo", F.lit(False))

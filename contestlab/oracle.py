@@ -347,7 +347,7 @@ from record
 
 SQL["locf"] = with_ctes(CONTESTS, SIDES, RECORD) + f"""
 , h as (
-  select *, case when is_home = 1 then {div('home_win', 'games - win_total + win_total')} end as home_row_value
+  select *, case when is_home = 1 then {div('home_win', 'games')} end as home_row_value
   from record
 )
 select season, team, contest_id, cast(gameday as varchar) as gameday, home_row_value,

@@ -40,7 +40,7 @@ def register(name: str):
 
 @register("team_record")
 def q_team_record(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return records.team_record(prepared.contests(spark, sf_dir))
+    return prepared.record(spark, sf_dir).drop("spread")
 
 
 def _plays(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,7 +88,7 @@ def q_pass_splits(spark, sf_dir):
 
 
 def _record(spark, sf_dir):
-    return records.with_margin(records.team_record(prepared.contests(spark, sf_dir)))
+    return prepared.record(spark, sf_dir)
 
 
 def _season_team():

@@ -22,7 +22,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -34,7 +34,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the platform sets it to a shared (distributed) path and we only read it.
-    Only when it is unset, as in local tests, do we pick a fresh scratch folder.
+    Only in local mode, and when it is unset, as in tests, do we pick a fresh scratch folder; a cluster session without
+    the setting is an error, because executors would each write to a disk of their own.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -44,6 +45,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not path and sc is not None:
         path = sc.getCheckpointDir()
     if not path:
+        if sc is None or not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="contestlab-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if sc is not None and not sc.getCheckpointDir():

@@ -43,11 +43,16 @@ def _fingerprint(spark: SparkSession, sf_dir: str, names: tuple[str, ...]) -> st
 TARGET_BUCKET_BYTES = 128 << 20
 
 
+#: Spark accepts at most 100,000 buckets.
+MAX_BUCKETS = 1 << 16
+
+
 def _n_buckets(spark: SparkSession, sf_dir: str, names: tuple[str, ...]) -> int:
-    """Bucket count from the source size: about 128 MB of source per bucket, a power of two, at least 8."""
+    """Bucket count from the source size: about 128 MB of source per bucket, a power of two, 8 to ``MAX_BUCKETS``
+    (above 8 TB the buckets grow instead)."""
     total = sum(files.size_and_mtime(spark, table_path(sf_dir, n))[0] for n in names)
     b = 8
-    while b * TARGET_BUCKET_BYTES < total:
+    while b * TARGET_BUCKET_BYTES < total and b < MAX_BUCKETS:
         b *= 2
     return b
 
@@ -63,22 +68,17 @@ def _bucketed(spark: SparkSession, root: str, name: str, build, n: int, sort_by:
 
 
 def _bucketed_locked(spark: SparkSession, root: str, name: str, build, n: int, sort_by: list[str]) -> DataFrame:
-    try:
-        if not spark.catalog.tableExists(name):
-            if files.exists(spark, root + "/_SUCCESS"):
-                cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(root).schema.fields)
-                spark.sql(
-                    f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY (contest_id) SORTED BY ({', '.join(sort_by)}) "
-                    f"INTO {n} BUCKETS LOCATION '{root}'"
-                )
-            else:
-                (build().write.mode("overwrite").format("parquet").bucketBy(n, "contest_id").sortBy(*sort_by)
-                 .option("path", root).saveAsTable(name))
-        return spark.table(name)
-    except Exception:  # noqa: BLE001 - no usable catalog in this session: same table, stored without buckets
-        from .tables import materialize
-
-        return materialize(spark, root + "-plain", build)
+    if not spark.catalog.tableExists(name):
+        if files.exists(spark, root + "/_SUCCESS"):
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(root).schema.fields)
+            spark.sql(
+                f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY (contest_id) SORTED BY ({', '.join(sort_by)}) "
+                f"INTO {n} BUCKETS LOCATION '{root}'"
+            )
+        else:  # one task per bucket, hence one file per bucket
+            (build().repartition(n, "contest_id").write.mode("overwrite").format("parquet").bucketBy(n, "contest_id").sortBy(*sort_by)
+             .option("path", root).saveAsTable(name))
+    return spark.table(name)
 
 
 NAMESPACE_CONF = "contestlab.prepared.namespace"
@@ -108,14 +108,26 @@ def _file_hash(path: str) -> str:
         return hashlib.sha1(fh.read()).hexdigest()[:12]
 
 
-def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Post-contest Elo ratings (default parameters, full precision), stored once per contests snapshot and rating
-    code version, like the other stored intermediates; ``digits`` rounding is left to the caller."""
-    from ..operators import ratings as rating_ops
+def _stored(spark: SparkSession, sf_dir: str, name: str, modules: tuple, build) -> DataFrame:
+    """Read-or-build of a table derived from the contests: once per contests snapshot and version of the modules."""
     from .tables import materialize
 
-    fp = _fingerprint(spark, sf_dir, CONTEST_SOURCES)
+    version = hashlib.sha1("".join(_file_hash(m.__file__) for m in modules).encode()).hexdigest()[:12]
     ns = spark.conf.get(NAMESPACE_CONF, "shared")
-    root = os.path.join(ensure_checkpoint_dir(spark), "prepared", ns, f"elo-{fp}-{_file_hash(rating_ops.__file__)}")
+    root = os.path.join(ensure_checkpoint_dir(spark), "prepared", ns, f"{name}-{_fingerprint(spark, sf_dir, CONTEST_SOURCES)}-{version}")
     with _LOCK:
-        return materialize(spark, root, lambda: rating_ops.elo_ratings(contests(spark, sf_dir), digits=None))
+        return materialize(spark, root, build)
+
+
+def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Post-contest Elo ratings (default parameters, full precision); ``digits`` rounding is left to the caller."""
+    from ..operators import ratings as rating_ops
+
+    return _stored(spark, sf_dir, "elo", (rating_ops,), lambda: rating_ops.elo_ratings(contests(spark, sf_dir), digits=None))
+
+
+def record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The running record with margins, read by every query that lags, carries or averages it."""
+    from ..operators import records, scan
+
+    return _stored(spark, sf_dir, "record", (records, scan), lambda: records.with_margin(records.team_record(contests(spark, sf_dir))))

