@@ -141,6 +141,12 @@ class Bpe:
         return self._found(self.merge(piece))
 
     def _word(self, word: str) -> tuple[int, str, str]:
+        low = lower(unicodedata.normalize("NFC", word))
+        if low.isalpha():  # letters only are one piece of the pattern
+            return self.cache[low]
+        if low[-1] in ".,;:!?" and low[:-1].isalpha():
+            a, b = self.cache[low[:-1]], self.cache[low[-1]]
+            return a[0] + b[0], f"{a[1]} {b[1]}", f"{a[2]} {b[2]}"
         found = [self.cache[p] for p in self.pieces(word)]
         return sum(f[0] for f in found), " ".join([f[1] for f in found]), " ".join([f[2] for f in found])
 
