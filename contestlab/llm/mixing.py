@@ -35,7 +35,7 @@ TOPICS = 16
 TEMPER = 0.7
 #: Expected tokens of the sample as a share of all tokens.
 BUDGET = 0.8
-ROUNDS, TOLERANCE = 12, 1e-3
+ROUNDS, TOLERANCE = 8, 1e-3
 MARGINS = ("source", "lang", "topic")
 
 _U = np.uint64

@@ -49,6 +49,8 @@ def test_each_stage_against_brute_force(spark, tmp_path):
     assert rows[5].keys() == rows[4].keys()
 
 
-def test_run_is_the_stages_in_order(spark):
+def test_run_is_the_stages_in_order(spark, monkeypatch):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality rules", "exact dedup", "n-gram Jaccard join", "mixing sources", "BPE"]
-    assert corpus_pipeline.run(spark, SF).columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    stages = [("one", lambda s, d, p: d.where("doc_id > 5")), ("two", lambda s, d, p: d.where("doc_id < 9")), ("three", lambda s, d, p: d.select("doc_id"))]
+    monkeypatch.setattr(corpus_pipeline, "STAGES", stages)
+    assert sorted(corpus_pipeline.run(spark, SF).collect()) == [(6,), (7,), (8,)]
