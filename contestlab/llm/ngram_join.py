@@ -99,7 +99,8 @@ def components(spark: SparkSession, edges: DataFrame, most: int = 50) -> DataFra
     edges, before = materialize_scratch(edges, "edges"), None
     for _ in range(most):
         both = edges.select(F.col("v").alias("x"), F.col("root").alias("y")).unionByName(edges.select(F.col("root").alias("x"), F.col("v").alias("y")))
-        least = both.groupBy("x").agg(F.min(F.least("x", "y")).alias("m"))
+        # written, so that the join's sides are both plain shuffles and Spark can split a hot node's edges
+        least = materialize_scratch(both.groupBy("x").agg(F.min(F.least("x", "y")).alias("m")), "least")
         large = both.where("y > x").join(least, "x").select(F.col("y").alias("v"), F.col("m").alias("root")).distinct()
         lower = large.groupBy("v").agg(F.min("root").alias("m"))
         joined = large.join(lower, "v")
