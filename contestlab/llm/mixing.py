@@ -2,8 +2,13 @@
 
 Documents are counted by cell (source, language, topic), in tokens (words ``[^\\x20\\x09-\\x0D]+``). Raking multiplies the
 cells' weights so that their sums by source, by language and by topic reach the targets, one margin after the other, over
-and over. A cell's ratio (raked weight to its tokens), scaled so that the expected tokens reach the budget and cut at 1,
-is the probability of its documents, and a hash of each document is held against it.
+and over. The bound is inside the fit: a cell's probability is the product of its factors, at most 1, and a step sets a
+margin's factors so that what cells below 1 give is the goal less what cells at 1 give. A hash of each document is held
+against its cell's probability.
+
+A target that asks for more tokens than its value has cannot be met at the budget: all of the value is taken, and the
+margin's other goals are raised by their targets, so that the budget holds. Targets of different margins may contradict
+each other as well. ``mix_report`` and the ``_miss`` columns say what was reached against what was wanted.
 
 The topic is a column if ``topic_col`` names one. Otherwise it is a bucket of the document's most frequent word of at
 least six bytes (the least hash of equally frequent ones; ``TOPICS`` buckets, -1 without such a word): a stand-in that
@@ -12,17 +17,21 @@ depends on the text only.
 Targets are shares of tokens by value for each margin; by default the tempered shares of the input (share to the power
 ``TEMPER``), which raise small sources, languages and topics.
 
-Scale. One pass over the texts without a shuffle; the cells, a pre-aggregated table, are raked by aggregations
-on one margin at a time; only the margins' factors change, and are written at each step. The driver sees one number a round. Cells may be many: nothing is collected.
+Scale. One pass over the texts without a shuffle; the cells, a pre-aggregated table, are raked by
+aggregations on one margin at a time; only the margins' factors change, and are written at each step. The driver sees one
+number a round. Cells may be many: nothing is collected.
 
 Defined cases: null text counts as empty (no tokens, so its draw decides nothing about tokens); null source and language
-are values like any other; rows that repeat id and text share a draw; values without a target keep factor 1; targets
+are values like any other; rows that repeat id and text share a draw; values without a target
+keep, together, their share of the margin; targets
 without documents are left out; other columns are ignored by ``mix_sources`` and kept by ``mixed``; an empty table gives an
 empty result.
 """
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -37,6 +46,9 @@ TEMPER = 0.7
 BUDGET = 0.8
 ROUNDS, TOLERANCE = 8, 1e-3
 MARGINS = ("source", "lang", "topic")
+MISSES = tuple(f"{m}_miss" for m in MARGINS)
+#: Bound of a factor and of its inverse, where targets contradict each other.
+LEAST = 1e-90
 
 _U = np.uint64
 
@@ -71,60 +83,117 @@ def default_targets(cells: DataFrame, margin: str, temper: float = TEMPER) -> Da
     return cells.groupBy(margin).agg(F.pow(F.sum("tokens").cast("double"), F.lit(temper)).alias("target"))
 
 
-def _weighted(cells: DataFrame, factors: dict[str, DataFrame]) -> DataFrame:
-    """``cells`` with ``weight``: their tokens times the factor of each margin's value."""
-    weight = F.col("tokens").cast("double")
-    for m, f in factors.items():
-        f = f.select(F.col("value").alias(f"v_{m}"), F.col("factor").alias(f"f_{m}"))
-        cells = cells.join(f, cells[m].eqNullSafe(f[f"v_{m}"]), "left")
-        weight = weight * F.coalesce(f"f_{m}", F.lit(1.0))
-    return cells.withColumn("weight", weight).drop(*(f"{x}_{m}" for m in factors for x in "vf"))
+def _coded(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
+    """``cells`` with a key ``k_`` (a string, never null; one for all values without a target) and ``t_``, the target, for each
+    margin."""
+    for m in MARGINS:
+        t = targets[m].where("target IS NOT NULL").select(F.col(m).alias("value"), F.col("target").cast("double").alias(f"t_{m}"))
+        key = F.when(F.col(f"t_{m}").isNull(), "r").otherwise(F.coalesce(F.concat(F.lit("v"), F.col(m).cast("string")), F.lit("n")))
+        cells = cells.join(t, cells[m].eqNullSafe(t["value"]), "left").withColumn(f"k_{m}", key).drop("value")
+    return cells
+
+
+def _goals(coded: DataFrame, m: str, part: float, bounded: bool) -> DataFrame:
+    """``key, tokens, wanted, goal`` of a margin's values, in tokens. ``wanted`` has the targets' shares of ``part`` of the tokens.
+    A bounded goal is at most the value's tokens; what such values cannot give is dealt to the others by their targets."""
+    t = coded.groupBy(F.col(f"k_{m}").alias("key")).agg(F.sum("tokens").alias("tokens"), F.first(f"t_{m}").alias("target")).where("tokens > 0")
+    t = materialize_scratch(t, "goals")
+    given = t.where("target IS NOT NULL")
+    tokens, target = given.agg(F.sum("tokens"), F.sum("target")).first()
+    first = scale = part * tokens / target if target else 0.0
+    while bounded and target:
+        full = F.col("tokens") <= F.col("target") * scale
+        taken, rest = given.agg(F.sum(F.when(full, F.col("tokens"))), F.sum(F.when(~full, F.col("target")))).first()
+        if not rest or (after := (part * tokens - (taken or 0)) / rest) <= scale * (1 + 1e-12):
+            break
+        scale = after
+    goal = F.least(F.col("tokens").cast("double"), F.col("target") * scale) if bounded else F.col("target") * scale
+    kept = F.col("tokens") * part
+    return materialize_scratch(t.select("key", "tokens", F.coalesce(F.col("target") * first, kept).alias("wanted"), F.coalesce(goal, kept).alias("goal")), "goals")
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
-    """``cells`` (margins and ``tokens``) with ``weight``: the targets' shares by margin of the tokens of all values that
-    have a target.
+def _product(coded: DataFrame, factors: dict[str, DataFrame]) -> DataFrame:
+    """``coded`` with ``x``, the product of its factors."""
+    x = F.lit(1.0)
+    for m, f in factors.items():
+        coded = coded.join(f.select(F.col("key").alias(f"k_{m}"), F.col("factor").alias(f"f_{m}")), f"k_{m}", "left")
+        x = x * F.coalesce(f"f_{m}", F.lit(1.0))
+    return coded.withColumn("x", x).drop(*(f"f_{m}" for m in factors))
 
-    A weight is the cell's tokens times one factor for each margin. A step sums the cells under the other margins' factors
-    and sets its own margin's factors to goal over sum: one aggregation over the cells, written, three to a round."""
-    goals = {}
-    for m in MARGINS:
-        t = targets[m].select(F.col(m).alias("value"), "target")
-        now = cells.groupBy(m).agg(F.sum("tokens").alias("now")).where("now > 0")
-        both = now.join(t, now[m].eqNullSafe(t["value"])).select(now[m].alias("value"), "now", "target")
-        scale = both.agg((F.sum("now") / F.sum("target")).alias("scale"))  # one row
-        goals[m] = materialize_scratch(both.crossJoin(F.broadcast(scale)).select("value", (F.col("target") * F.col("scale")).alias("goal")), "goals")
-    factors: dict[str, DataFrame] = {}
+
+def _fit(coded: DataFrame, goals: dict[str, DataFrame], part: float, cap: float, rounds: int, tolerance: float) -> dict[str, DataFrame]:
+    """The margins' factors. A step is one aggregation over the cells, written, three to a round."""
+    factors = {m: goals[m].select("key", F.lit(part if m == MARGINS[0] else 1.0).alias("factor")) for m in MARGINS}
     for _ in range(rounds):
         for m in MARGINS:
-            now = _weighted(cells, {k: f for k, f in factors.items() if k != m}).groupBy(m).agg(F.sum("weight").alias("now"))
-            new = goals[m].join(now, now[m].eqNullSafe(goals[m]["value"])).where("now > 0").select("value", (F.col("goal") / F.col("now")).alias("factor"))
-            old = factors[m].select(F.col("value").alias("before"), F.col("factor").alias("last")) if m in factors else None
-            new = new.join(old, new["value"].eqNullSafe(old["before"])).select("value", "factor", F.abs(F.col("factor") / F.col("last") - 1).alias("shift")) if old else new.withColumn("shift", F.lit(1.0))
+            x = _product(coded, {k: f for k, f in factors.items() if k != m}).join(factors[m].withColumnRenamed("key", f"k_{m}"), f"k_{m}")
+            over, w = F.col("x") * F.col("factor") >= cap, F.col("tokens") * F.col("x")
+            sums = x.groupBy(F.col(f"k_{m}").alias("key")).agg(
+                F.first("factor").alias("last"), F.coalesce(F.sum(F.when(over, F.col("tokens").cast("double"))), F.lit(0.0)).alias("fixed"),
+                F.coalesce(F.sum(F.when(~over, w)), F.lit(0.0)).alias("free"), F.sum(w).alias("all"),
+            )
+            factor = (
+                F.when((F.col("free") > 0) & (F.col("goal") > F.col("fixed")), (F.col("goal") - F.col("fixed")) / F.col("free"))
+                .when((F.col("free") <= 0) & (F.col("goal") >= F.col("fixed") * (1 - 1e-12)), F.col("last"))
+                .otherwise(F.col("goal") / F.col("all"))
+            )
+            off = F.abs(F.col("fixed") + F.col("last") * F.col("free") - F.col("goal")) / F.greatest(F.col("goal"), F.lit(1.0))
+            new = goals[m].join(sums, "key").select("key", F.least(F.greatest(factor, F.lit(LEAST)), F.lit(1 / LEAST)).alias("factor"), off.alias("off"))
             factors[m] = materialize_scratch(new, "factors")
-        worst = factors[MARGINS[0]].select("shift")
+        worst = factors[MARGINS[0]].select("off")
         for m in MARGINS[1:]:
-            worst = worst.unionByName(factors[m].select("shift"))
-        if (worst.agg(F.max("shift")).first()[0] or 0) < tolerance:
+            worst = worst.unionByName(factors[m].select("off"))
+        factors = {m: f.select("key", "factor") for m, f in factors.items()}
+        if (worst.agg(F.max("off")).first()[0] or 0) < tolerance:
             break
-    return materialize_scratch(_weighted(cells, factors), "cells")
-
-
-def with_probability(cells: DataFrame, budget: float) -> DataFrame:
-    """``probability`` = ratio times a scale, at most 1, so that the expected tokens are ``budget`` of all. The scale is
-    narrowed by aggregations that try 32 values at a time; where too few cells are left below 1, it is the largest tried."""
-    ratio = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(F.lit(None).cast("double"))
-    cells = cells.withColumn("ratio", ratio)
-    total, least = cells.agg(F.sum("tokens"), F.min("ratio")).first()
-    if not total:
-        return cells.withColumn("probability", F.lit(float(budget)))
-    lo, hi = 0.0, 1.0 / max(least, 1e-9)
-    for _ in range(6):
-        tries = [lo + (hi - lo) * i / 32 for i in range(1, 33)]
-        sums = cells.agg(*(F.sum(F.col("tokens") * F.least(F.lit(1.0), F.col("ratio") * s)).alias(f"s{i}") for i, s in enumerate(tries))).first()
-        i = next((i for i, s in enumerate(sums) if s >= budget * total), 31)
-        lo, hi = ([lo, *tries][i], tries[i])
-    return cells.withColumn("probability", F.coalesce(F.least(F.lit(1.0), F.col("ratio") * hi), F.lit(float(budget))))
+    return factors
+
+
+def _raked(cells: DataFrame, targets: dict[str, DataFrame], budget: float | None, rounds: int, tolerance: float) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """``cells`` with keys and ``x``, their weight by token, and the margins' goals."""
+    coded = materialize_scratch(_coded(cells, targets), "coded")
+    part, cap = (1.0, float("inf")) if budget is None else (min(float(budget), 1.0), 1.0)
+    goals = {m: _goals(coded, m, part, budget is not None) for m in MARGINS}
+    x = _product(coded, _fit(coded.where("tokens > 0"), goals, part, cap, rounds, tolerance))
+    return materialize_scratch(x.withColumn("x", F.least("x", F.lit(cap))), "cells"), goals
+
+
+def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
+    """``cells`` (margins and ``tokens``) with ``weight``, not bounded: the targets' shares by margin of the tokens of all values
+    that have a target."""
+    raked, _ = _raked(cells, targets, None, rounds, tolerance)
+    return raked.select(*cells.columns, (F.col("tokens") * F.col("x")).alias("weight"))
+
+
+def with_probability(
+    cells: DataFrame, targets: dict[str, DataFrame], budget: float, rounds: int = ROUNDS, tolerance: float = TOLERANCE
+) -> tuple[DataFrame, DataFrame]:
+    """``cells`` with ``probability`` and ``{margin}_miss``; and the report: for each margin and value its ``tokens`` and the
+    expected tokens ``wanted`` by the target, ``goal`` (the nearest that the budget allows) and ``reached``, ``feasible`` (wanted is
+    no more than there is) and ``miss``, reached over wanted less 1. Warns of targets that are infeasible or missed."""
+    raked, goals = _raked(cells, targets, budget, rounds, tolerance)
+    report = None
+    for m in MARGINS:
+        reached = raked.groupBy(F.col(f"k_{m}").alias("key"), F.col(m).cast("string").alias("value")).agg(F.sum("tokens").alias("tokens"), F.sum(F.col("tokens") * F.col("x")).alias("reached"))
+        by_key = reached.groupBy("key").agg(F.sum("reached").alias("r"))
+        g = goals[m].select("key", F.col("tokens").alias("of"), "wanted", "goal").join(by_key, "key")
+        own = F.col("tokens") / F.col("of")  # values without a target share a goal
+        rows = reached.join(g, "key").select(
+            F.lit(m).alias("margin"), "key", "value", "tokens", (F.col("wanted") * own).alias("wanted"), (F.col("goal") * own).alias("goal"), "reached",
+            (F.col("wanted") <= F.col("of") * (1 + 1e-9)).alias("feasible"),
+            F.when(F.col("wanted") > 0, F.col("r") / F.col("wanted") - 1).alias("miss"),
+            (F.abs(F.col("r") - F.col("goal")) / F.greatest(F.col("goal"), F.lit(1.0))).alias("off"),
+        )
+        report = rows if report is None else report.unionByName(rows)
+    report = materialize_scratch(report, "report")
+    cut, off = report.agg(F.count(F.when(~F.col("feasible"), 1)), F.max("off")).first()
+    if cut or (off or 0) >= tolerance:
+        warnings.warn(f"mix_sources: at budget {budget}, {cut} targets ask for more tokens than there are; worst distance from a goal {off or 0:.2g}", stacklevel=2)
+    for m in MARGINS:
+        miss = report.where(F.col("margin") == m).groupBy(F.col("key").alias(f"k_{m}")).agg(F.first("miss").alias(f"{m}_miss"))
+        raked = raked.join(miss, f"k_{m}", "left")
+    probability = F.when(F.col("tokens") > 0, F.col("x")).otherwise(F.lit(min(float(budget), 1.0)))
+    return raked.select(*cells.columns, probability.alias("probability"), *MISSES), report.drop("key", "off")
 
 
 def _counted(docs: DataFrame, id_col: str, text_col: str, topic_col: str | None) -> DataFrame:
@@ -140,17 +209,32 @@ def _counted(docs: DataFrame, id_col: str, text_col: str, topic_col: str | None)
     return counted.withColumn("topic", F.col("given")).drop("given") if topic_col else counted
 
 
-def mix_sources(
-    docs: DataFrame, targets: dict[str, DataFrame] | None = None, budget: float = BUDGET, id_col: str = "doc_id", text_col: str = "text", topic_col: str | None = None
-) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id, source, lang, topic, tokens, probability, sampled``."""
+def _mixing(docs: DataFrame, targets: dict[str, DataFrame] | None, budget: float, id_col: str, text_col: str, topic_col: str | None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Counted documents, cells with their probability, and the report."""
     counted = materialize_scratch(_counted(docs, id_col, text_col, topic_col), "counted")
     cells = materialize_scratch(counted.groupBy(*MARGINS).agg(F.sum("tokens").alias("tokens")), "cells")
     targets = {m: (targets or {}).get(m) if (targets or {}).get(m) is not None else default_targets(cells, m) for m in MARGINS}
-    cells = with_probability(rake(cells, targets), budget).select(*(F.col(m).alias(f"c_{m}") for m in MARGINS), "probability")
+    return counted, *with_probability(cells, targets, budget)
+
+
+def mix_sources(
+    docs: DataFrame, targets: dict[str, DataFrame] | None = None, budget: float = BUDGET, id_col: str = "doc_id", text_col: str = "text", topic_col: str | None = None
+) -> DataFrame:
+    """One row per row of ``docs``: ``doc_id, source, lang, topic, tokens, probability, sampled``; and ``source_miss, lang_miss,
+    topic_miss``: by how much the expected tokens of its source, language and topic are off what the targets want (-0.1: a
+    tenth less), null where nothing is wanted."""
+    counted, cells, _ = _mixing(docs, targets, budget, id_col, text_col, topic_col)
+    cells = cells.select(*(F.col(m).alias(f"c_{m}") for m in MARGINS), "probability", *MISSES)
     same = [counted[m].eqNullSafe(cells[f"c_{m}"]) for m in MARGINS]
     uniform = (F.shiftrightunsigned("draw", 11) / F.lit(float(1 << 53))).cast("double")
-    return counted.join(cells, same).select("doc_id", *MARGINS, "tokens", "probability", (uniform < F.col("probability")).alias("sampled"), "draw")
+    return counted.join(cells, same).select("doc_id", *MARGINS, "tokens", "probability", (uniform < F.col("probability")).alias("sampled"), *MISSES, "draw")
+
+
+def mix_report(
+    docs: DataFrame, targets: dict[str, DataFrame] | None = None, budget: float = BUDGET, id_col: str = "doc_id", text_col: str = "text", topic_col: str | None = None
+) -> DataFrame:
+    """One row per margin and value: ``margin, value, tokens, wanted, goal, reached, feasible, miss`` (see ``with_probability``)."""
+    return _mixing(docs, targets, budget, id_col, text_col, topic_col)[2]
 
 
 def mixed(docs: DataFrame, budget: float = BUDGET) -> DataFrame:

@@ -1,9 +1,10 @@
 import random
 from collections import defaultdict
 
+import pytest
 from cases import frame, rows
 
-from contestlab.llm.mixing import mix_sources, mixed, rake
+from contestlab.llm.mixing import mix_report, mix_sources, mixed, rake
 
 
 def test_raking_matches_plain_loops(spark):
@@ -54,3 +55,44 @@ def test_awkward_rows(spark):
     assert kept.columns == df.columns
     assert kept.count() == sum(r.sampled for r in got)
     assert mix_sources(frame(spark, [])).count() == 0 and mixed(frame(spark, [])).count() == 0
+
+
+def skewed():
+    """A large source and language, small ones that are associated."""
+    r = random.Random(3)
+    out = []
+    for i in range(2400):
+        s = r.choice(["hot"] * 30 + ["mid"] * 10 + ["small"] * 2 + ["tiny"])
+        lang = r.choice(["en"] * 12 + ["de"] * (1 if s == "hot" else 4))
+        out.append((i, " ".join(r.choice(["alphabet", "bicycles", "dandelion", "of"]) for _ in range(r.randrange(5, 40))), lang, s, 0, 0, 0, "", ""))
+    return out
+
+
+def test_expected_shares_meet_targets_that_are_cut_at_one(spark):
+    df = frame(spark, skewed())
+    kind = {"source": "string", "lang": "string"}
+    goal = {"source": {"hot": 0.645, "mid": 0.255, "small": 0.07, "tiny": 0.03}, "lang": {"en": 0.84, "de": 0.16}}
+    targets = {m: spark.createDataFrame(list(t.items()), f"{m} {kind[m]}, target double") for m, t in goal.items()}
+    got = mix_sources(df, targets, budget=0.75).collect()
+    assert max(r.probability for r in got) == 1 and any(r.probability == 1 for r in got)  # the bound matters
+    expected = sum(r.tokens * r.probability for r in got)
+    assert abs(expected / sum(r.tokens for r in got) - 0.75) < 2e-3
+    for m, t in goal.items():
+        for v, share in t.items():
+            assert abs(sum(r.tokens * r.probability for r in got if r[m] == v) / expected - share) < 3e-3 * share, (m, v)
+            assert all(abs(r[f"{m}_miss"]) < 3e-3 for r in got if r[m] == v)
+
+
+def test_infeasible_targets_are_said(spark):
+    df = frame(spark, skewed())
+    wanted = spark.createDataFrame([("hot", 1.0), ("mid", 1.0), ("small", 1.0), ("tiny", 1.0)], "source string, target double")
+    with pytest.warns(UserWarning, match="ask for more tokens"):
+        report = {(r.margin, r.value): r for r in mix_report(df, {"source": wanted}, budget=0.5).collect()}
+    tokens = {v: report["source", v].tokens for v in ["hot", "mid", "small", "tiny"]}
+    total = sum(tokens.values())
+    for v in ("mid", "small", "tiny", "hot"):
+        r = report["source", v]
+        assert abs(r.wanted - total / 8) < 1e-6 * total and r.feasible == (tokens[v] >= r.wanted)
+        assert r.feasible == (v in ("hot", "mid")) and abs(r.miss - (r.reached / r.wanted - 1)) < 1e-9
+        assert abs(r.reached - r.goal) < 3e-3 * r.goal
+    assert report["source", "tiny"].goal == tokens["tiny"] and abs(sum(report["source", v].reached for v in tokens) - total / 2) < 2e-3 * total
