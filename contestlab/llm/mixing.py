@@ -19,7 +19,7 @@ Targets are shares of tokens by value for each margin; by default the tempered s
 
 Scale. One pass over the texts without a shuffle; the cells, a pre-aggregated table, are raked by
 aggregations on one margin at a time; only the margins' factors change, and are written at each step. The driver sees one
-number a round. Cells may be many: nothing is collected.
+number a round. Up to ``HERE`` cells are raked by the same steps on the driver; cells may be many: more are not collected.
 
 Defined cases: null text counts as empty (no tokens, so its draw decides nothing about tokens); null source and language
 are values like any other; rows that repeat id and text share a draw; values without a target
@@ -44,7 +44,11 @@ TOPICS = 16
 TEMPER = 0.7
 #: Expected tokens of the sample as a share of all tokens.
 BUDGET = 0.8
-ROUNDS, TOLERANCE = 8, 1e-3
+#: Raking goes on until all margins are within TOLERANCE of their goals. ROUNDS is only a safety limit, as targets may
+#: contradict each other; what is left then is said.
+ROUNDS, TOLERANCE = 1000, 1e-3
+#: So many cells at most (three numbers each) are raked on the driver, where a round costs no job.
+HERE = 200_000
 MARGINS = ("source", "lang", "topic")
 MISSES = tuple(f"{m}_miss" for m in MARGINS)
 #: Bound of a factor and of its inverse, where targets contradict each other.
@@ -122,7 +126,7 @@ def _product(coded: DataFrame, factors: dict[str, DataFrame]) -> DataFrame:
 
 
 def _fit(coded: DataFrame, goals: dict[str, DataFrame], part: float, cap: float, rounds: int, tolerance: float) -> dict[str, DataFrame]:
-    """The margins' factors. A step is one aggregation over the cells, written, three to a round."""
+    """The margins' factors. A step is one aggregation over the cells, written, three to a round; see ``_fit_here`` for few cells."""
     factors = {m: goals[m].select("key", F.lit(part if m == MARGINS[0] else 1.0).alias("factor")) for m in MARGINS}
     for _ in range(rounds):
         for m in MARGINS:
@@ -149,12 +153,43 @@ def _fit(coded: DataFrame, goals: dict[str, DataFrame], part: float, cap: float,
     return factors
 
 
+def _fit_here(coded: DataFrame, goals: dict[str, DataFrame], part: float, cap: float, rounds: int, tolerance: float) -> dict[str, DataFrame]:
+    """The same steps as ``_fit`` on the driver."""
+    table = coded.select(*(f"k_{m}" for m in MARGINS), "tokens").toArrow()
+    tokens = table["tokens"].to_numpy().astype(float)
+    keys, code, goal, factor = {}, {}, {}, {}
+    for m in MARGINS:
+        d = table[f"k_{m}"].combine_chunks().dictionary_encode()
+        keys[m], code[m] = d.dictionary, d.indices.to_numpy()
+        by_key = {r.key: r.goal for r in goals[m].select("key", "goal").collect()}
+        goal[m] = np.array([by_key[k] for k in keys[m].to_pylist()])
+        factor[m] = np.full(len(keys[m]), part if m == MARGINS[0] else 1.0)
+    for _ in range(rounds):
+        worst = 0.0
+        for m in MARGINS:
+            x = np.ones(len(tokens))
+            for k in MARGINS:
+                x = x * factor[k][code[k]] if k != m else x
+            last, g, n = factor[m], goal[m], len(goal[m])
+            over, w = x * last[code[m]] >= cap, tokens * x
+            fixed, free = np.bincount(code[m], np.where(over, tokens, 0.0), n), np.bincount(code[m], np.where(over, 0.0, w), n)
+            worst = max(worst, (np.abs(fixed + last * free - g) / np.maximum(g, 1.0)).max(initial=0.0))
+            with np.errstate(divide="ignore", invalid="ignore", over="ignore"):
+                new = np.where((free > 0) & (g > fixed), (g - fixed) / free, np.where((free <= 0) & (g >= fixed * (1 - 1e-12)), last, g / np.bincount(code[m], w, n)))
+            factor[m] = np.clip(new, LEAST, 1 / LEAST)
+        if worst < tolerance:
+            break
+    return {m: coded.sparkSession.createDataFrame(pa.table({"key": keys[m].cast(pa.string()), "factor": pa.array(factor[m], pa.float64())})) for m in MARGINS}
+
+
 def _raked(cells: DataFrame, targets: dict[str, DataFrame], budget: float | None, rounds: int, tolerance: float) -> tuple[DataFrame, dict[str, DataFrame]]:
     """``cells`` with keys and ``x``, their weight by token, and the margins' goals."""
     coded = materialize_scratch(_coded(cells, targets), "coded")
     part, cap = (1.0, float("inf")) if budget is None else (min(float(budget), 1.0), 1.0)
     goals = {m: _goals(coded, m, part, budget is not None) for m in MARGINS}
-    x = _product(coded, _fit(coded.where("tokens > 0"), goals, part, cap, rounds, tolerance))
+    some = coded.where("tokens > 0")
+    fit = _fit_here if some.count() <= HERE else _fit
+    x = _product(coded, fit(some, goals, part, cap, rounds, tolerance))
     return materialize_scratch(x.withColumn("x", F.least("x", F.lit(cap))), "cells"), goals
 
 

@@ -4,7 +4,8 @@ from collections import defaultdict
 import pytest
 from cases import frame, rows
 
-from contestlab.llm.mixing import mix_report, mix_sources, mixed, rake
+from contestlab.llm import mixing
+from contestlab.llm.mixing import default_targets, mix_report, mix_sources, mixed, rake, with_probability
 
 
 def test_raking_matches_plain_loops(spark):
@@ -96,3 +97,37 @@ def test_infeasible_targets_are_said(spark):
         assert r.feasible == (v in ("hot", "mid")) and abs(r.miss - (r.reached / r.wanted - 1)) < 1e-9
         assert abs(r.reached - r.goal) < 3e-3 * r.goal
     assert report["source", "tiny"].goal == tokens["tiny"] and abs(sum(report["source", v].reached for v in tokens) - total / 2) < 2e-3 * total
+
+
+def associated():
+    """Cells near the diagonal: margins settle slowly."""
+    return [(f"s{i}", f"l{j}", 0, 1000 if i == j else 10 if abs(i - j) == 1 else 0) for i in range(4) for j in range(4)]
+
+
+def test_raking_goes_on_until_margins_settle(spark):
+    cells = spark.createDataFrame(associated(), "source string, lang string, topic int, tokens long").where("tokens > 0")
+    goal = {"source": {"s0": 0.3, "s1": 0.2, "s2": 0.25, "s3": 0.25}, "lang": {"l0": 0.26, "l1": 0.24, "l2": 0.23, "l3": 0.27}}
+    kind = {"source": "string", "lang": "string"}
+    targets = {m: spark.createDataFrame(list(t.items()), f"{m} {kind[m]}, target double") for m, t in goal.items()}
+    targets["topic"] = spark.createDataFrame([(0, 1.0)], "topic int, target double")
+
+    def worst(rounds):
+        got = rake(cells, targets, **rounds).collect()
+        total = sum(r.weight for r in got)
+        return max(abs(sum(r.weight for r in got if r[m] == v) / total - share) / share for m, t in goal.items() for v, share in t.items())
+
+    assert worst({"rounds": 8}) > 1e-2  # the former limit
+    assert worst({}) < 2e-3
+
+
+def test_both_fits_take_the_same_steps(spark, monkeypatch):
+    cells = spark.createDataFrame([("a", "x", 0, 600), ("a", "y", 1, 100), ("b", "x", 1, 200), ("b", "y", 0, 150), (None, "x", 0, 30), ("c", "y", 1, 0)], "source string, lang string, topic int, tokens long")
+    targets = {m: default_targets(cells, m) for m in ("source", "lang", "topic")}
+    targets["topic"] = targets["topic"].where("topic = 0")
+    got = []
+    for here in (0, 10):
+        monkeypatch.setattr(mixing, "HERE", here)
+        out, _ = with_probability(cells, targets, 0.8, rounds=3)
+        got.append({r[:3]: r.probability for r in out.collect()})
+    assert len(got[0]) == 6 and got[0]["c", "y", 1] == 0.8 and got[0][None, "x", 0] == pytest.approx(1)
+    assert got[0] == pytest.approx(got[1])

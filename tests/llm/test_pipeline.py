@@ -54,3 +54,9 @@ def test_run_is_the_stages_in_order(spark, monkeypatch):
     stages = [("one", lambda s, d, p: d.where("doc_id > 5")), ("two", lambda s, d, p: d.where("doc_id < 9")), ("three", lambda s, d, p: d.select("doc_id"))]
     monkeypatch.setattr(corpus_pipeline, "STAGES", stages)
     assert sorted(corpus_pipeline.run(spark, SF).collect()) == [(6,), (7,), (8,)]
+
+
+def test_run_of_the_real_stages(spark):
+    got = corpus_pipeline.run(spark, SF)
+    assert got.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    assert 0 < got.count() < spark.read.parquet(f"{SF}/documents.parquet").count()
