@@ -8,8 +8,8 @@ writes, the range of source characters that it stands for. (1) Letters that look
 width, mathematical), decimal digits of other scripts, dashes, spaces and dots become ASCII; invisible characters vanish.
 (2) ``[at]``, ``(dot)`` and the like, and ``name at host dot com`` (with a well-known last label), become ``@`` and ``.``. (3) Four or more spelled
 digits in a row become digits, with ``plus`` before and ``dot`` between. The same patterns are then run over the result, and
-what they find is mapped back to source characters. Found ranges that meet no base range of their kind are added; base
-ranges always stay. A text in which no transducer changes anything has its base ranges only.
+what they find is mapped back to source characters. Found ranges that lie in no base range of their kind are added, also
+where they overlap one (a partly disguised identifier); base ranges always stay. A text in which no transducer changes anything has its base ranges only.
 
 Offsets are code points, ends exclusive. Scale: one pass over Arrow batches without a shuffle; work is linear in the text.
 
@@ -22,6 +22,7 @@ from __future__ import annotations
 import hashlib
 import re
 import unicodedata
+from bisect import bisect_right
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -172,11 +173,15 @@ def all_spans(text: str) -> tuple[list[Span], list[Span]]:
     new = deobfuscated(text)
     if new is None:
         return base, base
-    more = []
+    own = [[(s, e) for s, k, e in base if k == kind] for kind in range(len(KINDS))]  # disjoint and in order
+    more: list[Span] = []
+    last = [(0, 0)] * len(KINDS)
     for a, kind, b in base_spans(new.text):
         start, end = new.start[a], new.end[b - 1]
-        if not any(k == kind and s < end and start < e for s, k, e in [*base, *more]):
+        i = bisect_right(own[kind], (start, len(text) + 1)) - 1
+        if not (i >= 0 and end <= own[kind][i][1] or last[kind][0] <= start and end <= last[kind][1]):
             more.append((start, kind, end))
+            last[kind] = (start, end)
     return base, sorted([*base, *more])
 
 

@@ -66,6 +66,19 @@ def test_disguises(text, want):
     assert found(text) == want
 
 
+@pytest.mark.parametrize(
+    "text,kind,base,whole",
+    [
+        ("é bоb@example.com é", "email", "b@example.com", "bоb@example.com"),  # Cyrillic o in the local part only
+        ("to bob@example.co[dot]uk now", "email", "bob@example.co", "bob@example.co[dot]uk"),
+        ("ip ９2.168.1.10 up", "ip", "2.168.1.10", "９2.168.1.10"),
+    ],
+)
+def test_partly_disguised(text, kind, base, whole):
+    assert sorted(found(text)) == sorted([(kind, base), (kind, whole)])
+    assert [text[s:e] for s, _, e in all_spans(text)[0]] == [base]
+
+
 def test_long_texts_are_quick():
     for text in ("a" * 300_000, "1" * 300_000, "1." * 100_000, "+1" + "-" * 200_000, "@" * 100_000, "one " * 50_000, "a at " * 50_000 + "dot", "( " * 100_000 + "at"):
         all_spans(text)
