@@ -6,8 +6,9 @@ Base. Each kind has a pattern, leftmost and non-overlapping; matches that fail t
 Method. Offset-preserving deobfuscation: a chain of transducers rewrites the text and keeps, for every character it
 writes, the range of source characters that it stands for. (1) Letters that look like ASCII ones (Cyrillic, Greek, full
 width, mathematical), decimal digits of other scripts, dashes, spaces and dots become ASCII; invisible characters vanish.
-(2) ``[at]``, ``(dot)`` and the like, and ``name at host dot com`` (with a well-known last label), become ``@`` and ``.``. (3) Four or more spelled
-digits in a row become digits, with ``plus`` before and ``dot`` between. The same patterns are then run over the result, and
+(2) ``[at]``, ``(dot)`` and the like, and ``name at host dot com`` (with a well-known or a country's last label), become ``@`` and ``.``. (3) Four or
+more spelled digits in a row, or fewer next to numerals or a plus, become digits, with ``plus`` before and ``dot`` between, also
+between numerals. Each is tried wherever its own pattern can occur. The same patterns are then run over the result, and
 what they find is mapped back to source characters. Found ranges that lie in no base range of their kind are added, also
 where they overlap one (a partly disguised identifier); base ranges always stay. A text in which no transducer changes anything has its base ranges only.
 
@@ -98,18 +99,27 @@ def _look_alikes() -> dict[str, str]:
 _ALIKE = _look_alikes()
 #: All that is neither ASCII nor a Latin letter with an accent.
 _FOREIGN = re.compile("[^\x00-\x7f\xc0-\u024f]")
-_AT = re.compile(r"\s*(?:\[\s*(?:at|@)\s*\]|\(\s*(?:at|@)\s*\)|\{\s*(?:at|@)\s*\}|<\s*(?:at|@)\s*>)\s*", re.I)
-_DOT = re.compile(r"\s*(?:\[\s*(?:dot|\.)\s*\]|\(\s*(?:dot|\.)\s*\)|\{\s*(?:dot|\.)\s*\}|<\s*(?:dot|\.)\s*>)\s*", re.I)
-#: Last labels that end an address whose ``at`` and ``dot`` are plain words; those that are common English words are left out.
-_ENDS = "com org net edu gov mil int info biz io co ai app dev tv uk de fr es nl eu ca au jp cn br ru ch se dk fi pl pt ie nz mx kr"
+_AT = re.compile(r"(?:\[\s*(?:at|@)\s*\]|\(\s*(?:at|@)\s*\)|\{\s*(?:at|@)\s*\}|<\s*(?:at|@)\s*>)", re.I)
+_DOT = re.compile(r"(?:\[\s*(?:dot|\.)\s*\]|\(\s*(?:dot|\.)\s*\)|\{\s*(?:dot|\.)\s*\}|<\s*(?:dot|\.)\s*>)", re.I)
+#: Last labels that end an address whose ``at`` or ``dot`` are plain words: generic ones and all of countries.
+_ENDS = (
+    "com org net edu gov mil int arpa info biz name pro aero coop museum jobs mobi travel tel cat asia post xxx app dev online site store tech xyz blog cloud shop club email page wiki news live agency digital "
+    "ac ad ae af ag ai al am ao aq ar as at au aw ax az ba bb bd be bf bg bh bi bj bm bn bo br bs bt bw by bz ca cc cd cf cg ch ci ck cl cm cn co cr cu cv cw cx cy cz de dj dk dm do dz ec ee eg er es et eu "
+    "fi fj fk fm fo fr ga gd ge gf gg gh gi gl gm gn gp gq gr gs gt gu gw gy hk hm hn hr ht hu id ie il im in io iq ir is it je jm jo jp ke kg kh ki km kn kp kr kw ky kz la lb lc li lk lr ls lt lu lv ly "
+    "ma mc md me mg mh mk ml mm mn mo mp mq mr ms mt mu mv mw mx my mz na nc ne nf ng ni nl no np nr nu nz om pa pe pf pg ph pk pl pm pn pr ps pt pw py qa re ro rs ru rw sa sb sc sd se sg sh si sk sl sm sn so sr ss st su sv sx sy sz "
+    "tc td tf tg th tj tk tl tm tn to tr tt tv tw tz ua ug uk us uy uz va vc ve vg vi vn vu wf ws ye yt za zm zw"
+)
 #: Names with at most 64 characters, so that the search stays linear.
-_WORDS = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}(\s+at\s+|@)[A-Za-z0-9-]{1,64}(?:(?:\s+dot\s+|\.)[A-Za-z0-9-]{1,64})*(?:\s+dot\s+|\.)(?:" + _ENDS.replace(" ", "|") + r")(?![A-Za-z0-9-])", re.I)
+_WORDS = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+(\s+at\s+|@)[A-Za-z0-9-]{1,64}+(?:(?:\s+dot\s+|\.)[A-Za-z0-9-]{1,64}+)*(?:\s+dot\s+|\.)(?:" + _ENDS.replace(" ", "|") + r")(?![A-Za-z0-9-])", re.I)
 _WORD_AT, _WORD_DOT = re.compile(r"\s+at\s+", re.I), re.compile(r"\s+dot\s+", re.I)
 _SPELLED = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9"}
 _ONE = "(?:" + "|".join(_SPELLED) + ")"
-_RUN = re.compile(rf"(?<![A-Za-z0-9])(?:plus[\s-]+)?{_ONE}(?:[\s,-]+(?:dot[\s,-]+)?{_ONE}){{3,}}(?![A-Za-z0-9])", re.I)
+_ITEM = rf"(?:{_ONE}(?![A-Za-z0-9])|[0-9]++(?![A-Za-z]))"
+#: Spelled digits and numerals in a row.
+_RUN = re.compile(rf"(?<![A-Za-z0-9])(?:plus[\s(-]+)?{_ITEM}(?:(?:[\s,()-]++(?:dot[\s,-]++)?|\.){_ITEM})*+", re.I)
 _SPELLED_WORD = re.compile(rf"[^a-z0-9]{_ONE}(?![a-z0-9])")
-_TOKEN = re.compile("plus|dot|" + "|".join(_SPELLED), re.I)
+_TOKEN = re.compile("plus|dot|[0-9]+|" + "|".join(_SPELLED), re.I)
+_NUMERAL_DOT = re.compile(r"[0-9]\s+dot\s")
 
 
 class Mapped:
@@ -132,16 +142,38 @@ class Mapped:
         self.start, self.end = [*start, *self.start[last:]], [*end, *self.end[last:]]
 
 
+def _bracketed(pattern: re.Pattern, text: str, new: str) -> list[tuple[int, int, str]]:
+    """Each match, with the blanks around it, becomes ``new``."""
+    out, last = [], 0
+    for m in pattern.finditer(text):
+        a, b = m.span()
+        while a > last and text[a - 1].isspace():
+            a -= 1
+        while b < len(text) and text[b].isspace():
+            b += 1
+        out.append((a, b, new))
+        last = b
+    return out
+
+
 def _spelled(m: re.Match) -> list[tuple[int, int, str]]:
-    """Each spelled word of a run becomes its character; what separates them vanishes."""
-    out, last = [], m.start()
-    for t in _TOKEN.finditer(m[0]):
-        a, b = m.start() + t.start(), m.start() + t.end()
-        if a > last:
+    """Each spelled word of a run becomes its character; what separates spelled words vanishes, and what surrounds ``dot`` or
+    follows ``plus``. Numerals stay, with what separates them. A run without numerals or plus needs four spelled digits."""
+    tokens = [(m.start() + t.start(), m.start() + t.end(), t[0].lower()) for t in _TOKEN.finditer(m[0])]
+    words = sum(w in _SPELLED for _, _, w in tokens)
+    numerals = any(w[0].isdecimal() for _, _, w in tokens)
+    plus = tokens[0][2] == "plus" or m.string[m.start() - 1 : m.start()] == "+"
+    if not (words >= 4 or words and (numerals or plus) or any(w == "dot" for _, _, w in tokens) and numerals or tokens[0][2] == "plus"):
+        return []
+    out, before, last = [], "", m.start()
+    for a, b, word in tokens:
+        between = m.string[last:a]
+        joined = "dot" in (word, before) or before in _SPELLED and word in _SPELLED
+        if between and (before == "plus" and "(" not in between or joined and not set(between) & set("().")):
             out.append((last, a, ""))
-        word = t[0].lower()
-        out.append((a, b, "+" if word == "plus" else "." if word == "dot" else _SPELLED[word]))
-        last = b
+        if not word[0].isdecimal():
+            out.append((a, b, "+" if word == "plus" else "." if word == "dot" else _SPELLED[word]))
+        before, last = word, b
     return out
 
 
@@ -151,18 +183,19 @@ def deobfuscated(text: str) -> Mapped | None:
     if not text.isascii():
         out.write([(m.start(), m.end(), _ALIKE[m[0]]) for m in _FOREIGN.finditer(out.text) if m[0] in _ALIKE])
     low = out.text.lower()
-    if "at" in low or "@" in low:
-        if any(c in low for c in "[({<"):
-            out.write([(m.start(), m.end(), "@") for m in _AT.finditer(out.text)])
-            out.write([(m.start(), m.end(), ".") for m in _DOT.finditer(out.text)])
-        if "dot" in low:
-            edits = []
-            for m in _WORDS.finditer(out.text):
-                a = m.start(1)
-                edits += [(a, m.end(1), "@")] if m[1] != "@" else []
-                edits += [(d.start(), d.end(), ".") for d in _WORD_DOT.finditer(out.text, m.end(1), m.end())]
-            out.write(edits)
-    if sum(low.count(w) for w in _SPELLED) >= 4 and len(_SPELLED_WORD.findall(f" {low} ")) >= 4:
+    if any(c in low for c in "[({<"):
+        if "at" in low or "@" in low:
+            out.write(_bracketed(_AT, out.text, "@"))
+        if "dot" in low or "." in low:
+            out.write(_bracketed(_DOT, out.text, "."))
+    if "at" in low or "dot" in low and "@" in out.text:
+        edits = []
+        for m in _WORDS.finditer(out.text):
+            a = m.start(1)
+            edits += [(a, m.end(1), "@")] if m[1] != "@" else []
+            edits += [(d.start(), d.end(), ".") for d in _WORD_DOT.finditer(out.text, m.end(1), m.end())]
+        out.write(edits)
+    if any(w in low for w in _SPELLED) and _SPELLED_WORD.search(f" {low} ") or "dot" in low and _NUMERAL_DOT.search(low) or "plus" in low:
         out.write([e for m in _RUN.finditer(out.text) for e in _spelled(m)])
     return out if out.text != text else None
 

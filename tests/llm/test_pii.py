@@ -79,6 +79,31 @@ def test_partly_disguised(text, kind, base, whole):
     assert [text[s:e] for s, _, e in all_spans(text)[0]] == [base]
 
 
+@pytest.mark.parametrize(
+    "text,want",
+    [
+        ("ip 10[.]0[.]0[.]1 is down", [("ip", "10[.]0[.]0[.]1")]),
+        ("ip 10(dot)0(dot)0(dot)1 is down", [("ip", "10(dot)0(dot)0(dot)1")]),
+        ("bob at example.com", [("email", "bob at example.com")]),
+        ("192 dot 168 dot 1 dot 1", [("ip", "192 dot 168 dot 1 dot 1")]),
+        ("host 192.168 dot one.1 up", [("ip", "192.168 dot one.1")]),
+        ("plus one 415 five five five 2671", [("phone", "plus one 415 five five five 2671")]),
+        ("plus 1 (415) five five five 2671.", [("phone", "plus 1 (415) five five five 2671")]),
+        ("call +one 415 555 2671", [("phone", "+one 415 555 2671")]),
+        ("card 4111 1111 1111 one one one one", [("card", "4111 1111 1111 one one one one")]),
+        *((f"bob at mail dot example dot {e}", [("email", f"bob at mail dot example dot {e}")]) for e in ["it", "us", "me", "at", "no", "be", "info"]),
+        ("one of 3 data, two at home, plus 4 dots", []),
+    ],
+)
+def test_each_disguise_stands_alone(text, want):
+    assert found(text) == want
+
+
+def test_blank_runs_are_quick():
+    for text in (" " * 200_000 + "[.] at", "one" + " " * 200_000 + "x", "1 dot" + " " * 200_000 + "x one", "one 1 " * 50_000, "1a" * 100_000 + " one", "a at b." * 50_000):
+        all_spans(text)
+
+
 def test_long_texts_are_quick():
     for text in ("a" * 300_000, "1" * 300_000, "1." * 100_000, "+1" + "-" * 200_000, "@" * 100_000, "one " * 50_000, "a at " * 50_000 + "dot", "( " * 100_000 + "at"):
         all_spans(text)
