@@ -95,7 +95,7 @@ def test_nearest_neighbours_are_exact(spark):
     from contestlab.plans import models
     from contestlab.sources.tables import read_table
 
-    from conftest import SF_SMALL
+    from testdata_paths import SF_SMALL
 
     e = models.embedding_table(read_table(spark, SF_SMALL, "embeddings", ["vec_id", "embedding", "label"])).limit(120)
     e = spark.createDataFrame(e.collect(), e.schema)

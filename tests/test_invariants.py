@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from testdata_paths import SF_SMALL
 from contestlab.operators import ml, ratings
 from contestlab.registry import QUERIES
 from contestlab.sources import prepared

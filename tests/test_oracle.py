@@ -1,7 +1,7 @@
 """Every registered query with a SQL twin gives the same rows as DuckDB on the smallest tables."""
 
 import pytest
-from conftest import SF_SMALL
+from testdata_paths import SF_SMALL
 from oracle_compare import compare
 
 import __spark_entry__ as entry

@@ -2,7 +2,7 @@
 
 import re
 
-from conftest import SF_SMALL
+from testdata_paths import SF_SMALL
 from pyspark.sql import functions as F
 
 from contestlab.operators import side_stats
