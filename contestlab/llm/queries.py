@@ -11,6 +11,7 @@ from ..sources.tables import read_table
 from .bpe import bpe_encode
 from .compression_quality import compression_quality
 from .exact_dedup import exact_dedup
+from .html_text import html_text
 from .mixing import mix_sources
 from .ngram_join import ngram_join
 from .pii import find_pii
@@ -60,6 +61,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op13_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text(read_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_bpe": op2_bpe,
@@ -71,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_quality_rules": op10_quality_rules,
+    "op13_html_text": op13_html_text,
 }
 
 ORACLE_SQL: dict[str, str] = {
