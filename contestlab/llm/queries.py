@@ -12,6 +12,7 @@ from .bpe import bpe_encode
 from .compression_quality import compression_quality
 from .exact_dedup import exact_dedup
 from .html_text import html_text
+from .lexical_search import lexical_search
 from .mixing import mix_sources
 from .ngram_join import ngram_join
 from .pii import find_pii
@@ -61,6 +62,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op13_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text(read_table(spark, sf_dir, "pages"))
 
@@ -76,10 +81,32 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_quality_rules": op10_quality_rules,
+    "op11_lexical_search": op11_lexical_search,
     "op13_html_text": op13_html_text,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op11_lexical_search": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+    regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), o AS (SELECT rid, doc_id, len(w) AS n, unnest(w) AS term FROM d WHERE len(w) > 0),
+c AS (SELECT count(DISTINCT rid)::BIGINT AS docs, count(*)::BIGINT AS terms FROM o),
+p AS (SELECT rid, doc_id, term, any_value(n)::BIGINT AS n, count(*)::BIGINT AS tf FROM o GROUP BY ALL),
+t AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM p, c GROUP BY term, docs),
+q AS (
+  SELECT DISTINCT item_id, text,
+    unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), s AS (
+  SELECT item_id, text, rid, doc_id,
+    sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms))))::BIGINT AS score
+  FROM q JOIN p USING (term) JOIN t USING (term), c GROUP BY ALL
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0) WHERE rank <= 10
+""",
     "op6_exact_dedup": """
 WITH d AS (
   SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
