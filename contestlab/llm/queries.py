@@ -19,6 +19,7 @@ from .pii import find_pii
 from .quality_rules import quality_rules
 from .substring_dedup import substring_dedup
 from .suffix_dedup import suffix_dedup
+from .token_alignment import align_tokenizers
 from .toxicity import toxicity
 
 
@@ -66,6 +67,10 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokenizers(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op13_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text(read_table(spark, sf_dir, "pages"))
 
@@ -82,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": op9_toxicity,
     "op10_quality_rules": op10_quality_rules,
     "op11_lexical_search": op11_lexical_search,
+    "op12_token_alignment": op12_token_alignment,
     "op13_html_text": op13_html_text,
 }
 
