@@ -1,4 +1,11 @@
-"""Elo ratings: an order-dependent fold per season, run as a sequence of bounded chunks.
+"""Elo ratings, by rating period or contest by contest.
+
+``period_ratings`` moves all ratings of a period (a week) together: each contest changes its sides' ratings by what the
+ratings at the start of the period expected, and the changes are added up. Where a side plays once a period, as in a
+schedule of weekly rounds, that is the contest-by-contest rating. A period needs only sums (contests and home wins of each
+pair of teams), so contests of any number are aggregated first, in parallel; what is left is one small table of pairs.
+
+``elo_ratings`` is the order-dependent fold contest by contest, run as a sequence of bounded chunks.
 
 Elo is not a combinable aggregate: each result moves two ratings and the next expected score depends on them. What
 can be split is the *data*: every season is independent (so seasons run in parallel), and within a season the
@@ -16,16 +23,19 @@ from __future__ import annotations
 import math
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.nulls import round_half_up
-from ..session import scratch_path
+from ..session import materialize_scratch, scratch_path
+from ..sources.tables import bounded_broadcast
 
 START_RATING = 1500.0
 K_FACTOR = 20.0
 SCALE = 400.0
 DEFAULT_CHUNK_ROWS = 2_000_000
+#: Rows (season, period, team) of the rating table that are broadcast; a larger one is shuffled.
+MAX_RATING_ROWS = 200_000
 
 RATING_SCHEMA = (
     "kind string, season bigint, contest_id bigint, gameday date, seq bigint, team string, opponent string, "
@@ -59,9 +69,75 @@ def _fold(k: float, start: float, scale: float):
     return run
 
 
+def period_ratings(contests: DataFrame, period: str = "week", k: float = K_FACTOR, start: float = START_RATING, scale: float = SCALE) -> DataFrame:
+    """Ratings of both sides: ``season, contest_id, gameday, team, opponent, home_away, win, elo, prior_elo``; ``elo`` is the
+    rating at the end of the contest's period, ``prior_elo`` the one at its start (NULL before the side's first period).
+
+    ``period`` is the column that orders the rating periods of a season. Contests are counted by (season, period, home,
+    away); a season's periods are then one array, folded by a JVM expression over one rating per team. That array is
+    bounded by periods x pairs of teams, whatever the number of contests. Seasons run in parallel.
+    """
+    home_win = F.when(F.col("home_score") > F.col("away_score"), 1).otherwise(0)
+    pairs = contests.groupBy("season", F.col(period).alias("period"), "home_team", "away_team").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(home_win).alias("wins")
+    )
+    # each pair seen from both sides; d is what the side wins: its sign, times k, times (home wins less what was expected)
+    view = lambda team, other, sign: F.struct(F.col(team).alias("team"), F.col(other).alias("other"), F.lit(sign).alias("sign"))
+    seen = pairs.select("season", "period", "n", "wins", F.inline(F.array(view("home_team", "away_team", 1.0), view("away_team", "home_team", -1.0))))
+    teams = seen.groupBy("season").agg(F.array_sort(F.collect_set("team")).alias("teams"))
+    own = seen.join(teams, "season").withColumn("other", F.array_position("teams", F.col("other")))
+    side = own.groupBy("season", "period", "team").agg(F.array_sort(F.collect_list(F.struct("other", "sign", "n", "wins"))).alias("games"))
+    by_period = side.groupBy("season", "period").agg(F.map_from_entries(F.collect_list(F.struct("team", "games"))).alias("games"))
+    seasons = by_period.groupBy("season").agg(F.array_sort(F.collect_list(F.struct("period", F.map_entries("games").alias("games")))).alias("periods")).join(teams, "season")
+
+    def moved(before: Column, i: Column, games: Column) -> Column:
+        """The change of team ``i`` in a period."""
+        rating = F.element_at(before, i)
+
+        def change(total: Column, g: Column) -> Column:
+            other = F.element_at(before, g["other"].cast("int"))
+            expected = 1.0 / (1.0 + F.pow(F.lit(10.0), (other - rating) * g["sign"] / F.lit(scale)))  # of the home side
+            return total + g["sign"] * F.lit(k) * (g["wins"] - g["n"] * expected)
+
+        return F.aggregate(games, F.lit(0.0), change)
+
+    def step(state: Column, p: Column) -> Column:
+        before, held = state["ratings"], F.map_from_entries(p["games"])
+
+        def rated(team: Column, i: Column) -> Column:
+            return F.element_at(before, i + 1) + F.coalesce(moved(before, i + 1, F.try_element_at(held, team)), F.lit(0.0))
+
+        after = F.transform(F.col("teams"), rated)
+        row = F.struct(p["period"].alias("period"), before.alias("before"), after.alias("after"))
+        return F.struct(after.alias("ratings"), F.concat(state["rows"], F.array(row)).alias("rows"))
+
+    kind = dict(seen.dtypes)["period"]
+    first = F.struct(
+        F.transform("teams", lambda _: F.lit(float(start))).alias("ratings"),
+        F.array().cast(f"array<struct<period:{kind},before:array<double>,after:array<double>>>").alias("rows"),
+    )
+    folded = seasons.select("season", "teams", F.inline(F.aggregate("periods", first, step)["rows"]))
+    table = folded.select("season", "period", F.inline(F.arrays_zip(F.col("teams").alias("team"), F.col("before"), F.col("after").alias("elo"))))
+    began = seen.groupBy("season", "team").agg(F.min("period").alias("began"))
+    table = table.join(began, ["season", "team"]).select("season", "period", "team", "elo", F.when(F.col("period") > F.col("began"), F.col("before")).alias("prior_elo"))
+    table = bounded_broadcast(materialize_scratch(table, "period-ratings"), MAX_RATING_ROWS)
+
+    away_win = F.when(F.col("away_score") > F.col("home_score"), 1).otherwise(0)
+    row = lambda team, other, where, win: F.struct(
+        F.col(team).alias("team"), F.col(other).alias("opponent"), F.lit(where).alias("home_away"), win.cast("bigint").alias("win")
+    )
+    sides = contests.select(
+        "season", "contest_id", "gameday", F.col(period).alias("period"),
+        F.inline(F.array(row("home_team", "away_team", "home", home_win), row("away_team", "home_team", "away", away_win))),
+    )
+    return sides.join(table, ["season", "period", "team"]).select("season", "contest_id", "gameday", "team", "opponent", "home_away", "win", "elo", "prior_elo")
+
+
 def pregame_ratings(elo: DataFrame, start: float = START_RATING) -> DataFrame:
     """Rating each side takes into a contest: its previous post-contest rating in the season (``start`` before the
-    first), via a bucketed lag per (season, team)."""
+    first): the rating at the start of its period, or a bucketed lag per (season, team)."""
+    if "prior_elo" in elo.columns:
+        return elo.withColumn("pre_elo", F.coalesce("prior_elo", F.lit(start)))
     from .records import season_order
     from .scan import scan
 

@@ -402,40 +402,48 @@ select player_id, cast(ts as varchar) as ts, event_id, value, k, """ + ",\n
 
 ELO = """
 g as (
-  select season, contest_id, gameday, home_team, away_team,
-         case when home_score > away_score then 1.0 else 0.0 end as w,
-         cast(case when away_score > home_score then 1 else 0 end as bigint) as aw,
-         row_number() over (partition by season order by gameday, contest_id) as rn
+  select season, contest_id, gameday, week, home_team, away_team,
+         case when home_score > away_score then 1 else 0 end as w,
+         cast(case when away_score > home_score then 1 else 0 end as bigint) as aw
   from contests
 ), tm as (
   select team, cast(row_number() over (order by team) as integer) as ti
   from (select home_team as team from contests union select away_team from contests)
-), g2 as (
-  select g.*, h.ti as hi, a.ti as ai from g join tm h on h.team = g.home_team join tm a on a.team = g.away_team
-), walk(season, rn, ratings, rh, ra) as (
-  select season, cast(0 as bigint), list_transform(range((select count(*) from tm)), lambda x: 1500.0::double),
-         cast(null as double), cast(null as double)
-  from (select distinct season from g2)
+), pair_week as (
+  select season, week, home_team, away_team, count(*) as n, sum(w) as wins from g group by season, week, home_team, away_team
+), pv as (
+  select q.season, q.week, h.ti as i, a.ti as o, 1.0::double as s, n, wins from pair_week q join tm h on h.team = home_team join tm a on a.team = away_team
   union all
-  select season, rn, list_transform(ratings, lambda x, i: case when i = hi then x + d when i = ai then x - d else x end),
-         ratings[hi] + d, ratings[ai] - d
-  from (
-    select w.season, w.rn + 1 as rn, w.ratings, g2.hi, g2.ai,
-           20.0 * (g2.w - 1.0 / (1.0 + pow(10.0, (w.ratings[g2.ai] - w.ratings[g2.hi]) / 400.0))) as d
-    from walk w join g2 on g2.season = w.season and g2.rn = w.rn + 1
-  )
+  select q.season, q.week, a.ti, h.ti, -1.0::double, n, wins from pair_week q join tm h on h.team = home_team join tm a on a.team = away_team
+), wk as (
+  select season, week, row_number() over (partition by season order by week) as rn,
+         list(struct_pack(i := i, o := o, s := s, n := n, wins := wins) order by i, o, s) as games
+  from pv group by season, week
+), walk(season, rn, before, ratings) as (
+  select season, cast(0 as bigint), cast(null as double[]), list_transform(range((select count(*) from tm)), lambda x: 1500.0::double)
+  from (select distinct season from wk)
+  union all
+  select w.season, w.rn + 1, w.ratings,
+         list_transform(w.ratings, lambda x, j: x + coalesce(list_sum(list_transform(list_filter(wk.games, lambda e: e.i = j),
+           lambda e: e.s * 20.0 * (e.wins - e.n / (1.0 + pow(10.0, (w.ratings[e.o] - x) * e.s / 400.0))))), 0.0))
+  from walk w join wk on wk.season = w.season and wk.rn = w.rn + 1
+), pe as (
+  select wk.season, wk.week, tm.team, walk.ratings[tm.ti] as elo,
+         case when wk.week > (select min(week) from pv where pv.season = wk.season and pv.i = tm.ti) then walk.before[tm.ti] end as prior_elo
+  from walk join wk on wk.season = walk.season and wk.rn = walk.rn, tm
 ), elo as (
-  select g2.season, g2.contest_id, g2.gameday, g2.home_team as team, g2.away_team as opponent, 'home' as home_away,
-         cast(g2.w as bigint) as win, walk.rh as elo
-  from g2 join walk on walk.season = g2.season and walk.rn = g2.rn
+  select g.season, g.contest_id, g.gameday, g.home_team as team, g.away_team as opponent, 'home' as home_away,
+         cast(g.w as bigint) as win, pe.elo, pe.prior_elo
+  from g join pe on pe.season = g.season and pe.week = g.week and pe.team = g.home_team
   union all
-  select g2.season, g2.contest_id, g2.gameday, g2.away_team as team, g2.home_team as opponent, 'away' as home_away,
-         g2.aw as win, walk.ra as elo
-  from g2 join walk on walk.season = g2.season and walk.rn = g2.rn
+  select g.season, g.contest_id, g.gameday, g.away_team as team, g.home_team as opponent, 'away' as home_away,
+         g.aw as win, pe.elo, pe.prior_elo
+  from g join pe on pe.season = g.season and pe.week = g.week and pe.team = g.away_team
 )"""
 
 SQL["elo"] = "with recursive " + CONTESTS.strip() + ",\n" + ELO.strip() + f"""
-select season, contest_id, cast(gameday as varchar) as gameday, team, opponent, home_away, win, {r('elo', 4)} as elo from elo
+select season, contest_id, cast(gameday as varchar) as gameday, team, opponent, home_away, win, {r('elo', 4)} as elo,
+       {r('prior_elo', 4)} as prior_elo from elo
 """
 
 SQL["elo_top20"] = "with recursive " + CONTESTS.strip() + ",\n" + ELO.strip() + f"""
@@ -453,7 +461,7 @@ FEATURE_BASE = "with recursive " + ",\n".join(
     c.strip() for c in (CONTESTS, SIDES, PLAYS, REG, DREG, RECORD, ELO, OFF_CTE, DEF_CTE)
 ) + """,
 st as (
-  select rc.*, k.line, """ + ", ".join(f"o.{c}" for c in OFFENSE_MEANS) + ", " + ", ".join(f"d.{c}" for c in DEFENSE_MEANS) + """, e.elo
+  select rc.*, k.line, """ + ", ".join(f"o.{c}" for c in OFFENSE_MEANS) + ", " + ", ".join(f"d.{c}" for c in DEFENSE_MEANS) + """, e.elo, e.prior_elo
   from record rc
   left join contests k on k.contest_id = rc.contest_id
   left join off o on o.contest_id = rc.contest_id and o.team = rc.team
@@ -470,7 +478,7 @@ def scaled_prev_mean(col: str, digits: int = 3, input_digits: int = 3, frame: st
 
 def _prior_select(mean_cols: list[str], lag_cols: list[str]) -> str:
     parts = [f"{scaled_prev_mean(c, 3)} as {c}" for c in mean_cols]
-    parts += [f"{r(f'lag({c}) over ({PREV})', 4)} as {c}" for c in lag_cols]
+    parts += [f"{r('prior_elo' if c == 'elo' else f'lag({c}) over ({PREV})', 4)} as {c}" for c in lag_cols]
     return ",\n         ".join(parts)
 
 
@@ -532,7 +540,7 @@ PRED = f"""
 eg as (select * from elo),
 pre as (
   select contest_id, team, home_away,
-         coalesce(lag(elo) over (partition by season, team order by gameday, contest_id), 1500.0) as pre_elo
+         coalesce(prior_elo, 1500.0) as pre_elo
   from eg
 ), pred0 as (
   select k.season, k.week, k.contest_id, k.home_team as team, k.line, h.pre_elo as home_pre, a.pre_elo as away_pre,
@@ -904,7 +912,7 @@ select season, team, contest_id, cast(gameday as varchar) as gameday, """ + ", "
 
 SQL["rolling_elo"] = "with recursive " + CONTESTS.strip() + ",\n" + ELO.strip() + f"""
 select season, contest_id, cast(gameday as varchar) as gameday, team, home_away,
-       {r(f'lag(elo) over ({PREV})', 4)} as elo
+       {r('prior_elo', 4)} as elo
 from elo
 """
 

@@ -47,10 +47,23 @@ def side_table(contests: DataFrame, plays: DataFrame, elo: DataFrame | None = No
     t = rec.join(off.drop("home", "div_game", "pts_scored", "ndrives", "score_drives"), KEYS, "left")
     t = t.join(deff.drop("def_ndrives", "def_score_drives"), KEYS, "left")
     if elo is not None:
-        t = t.join(elo.select("contest_id", "team", "elo"), KEYS, "left")
+        t = t.join(_with_prior(elo), KEYS, "left")
     return t
 
 
+def _with_prior(elo: DataFrame) -> DataFrame:
+    """The rating columns of a side: ``elo`` and, where the table has it, the rating before the contest's period."""
+    return elo.select("contest_id", "team", "elo", *[c for c in ("prior_elo",) if c in elo.columns])
+
+
+def _prior(t: DataFrame, mean_cols: list[str]) -> DataFrame:
+    """``prior_values`` of a side table, with ``elo`` replaced by the rating before the contest's period (or, of a table
+    rated contest by contest, by the previous contest's)."""
+    if "prior_elo" not in t.columns:
+        return prior_values(t, mean_cols, RECORD_LAGS + ["elo"])
+    return prior_values(t, mean_cols, RECORD_LAGS).withColumn("elo", round_half_up(F.col("prior_elo"), 4)).drop("prior_elo")
+
+
 def prior_values(
     df: DataFrame,
     mean_cols: list[str],
@@ -129,10 +142,10 @@ def pregame_features(contests: DataFrame, plays: DataFrame, elo: DataFrame | Non
     Only values known before the contest are used. Rows with any missing feature are dropped (first contests of a
     season have no history).
     """
-    elo = elo if elo is not None else ratings.elo_ratings(contests, digits=None)
+    elo = elo if elo is not None else ratings.period_ratings(contests)
     # the side table is the join of four side-level inputs; the bucketed scan reads it twice, so store it once
     t = materialize_scratch(side_table(contests, plays, elo), "side_table")
-    t = prior_values(t, OFFENSE_MEANS + DEFENSE_MEANS, RECORD_LAGS + ["elo"])
+    t = _prior(t, OFFENSE_MEANS + DEFENSE_MEANS)
     t = favorite_flags(t)
     ids = ["season", "week", "gameday", "contest_id", "game_id", "team", "opponent"]
     m = matchup_rows(t, ids, [c for c in PREGAME_FEATURES if c not in ("line", "home_fav", "abs_spread_line")] + ["line", "home_fav", "abs_spread_line"])
@@ -144,7 +157,7 @@ def pregame_features(contests: DataFrame, plays: DataFrame, elo: DataFrame | Non
 def postgame_features(contests: DataFrame, plays: DataFrame, elo: DataFrame | None = None) -> DataFrame:
     """Both sides of every contest with their own post-contest values and the opponent's as ``opp_*``, plus points
     for, points against and the margin."""
-    elo = elo if elo is not None else ratings.elo_ratings(contests, digits=4)
+    elo = elo if elo is not None else ratings.period_ratings(contests)
     t = side_table(contests, plays, elo)
     t = t.withColumns({"points_for": F.col("own_score"), "points_against": F.col("opp_score")})
     feats = ["win_pct", "elo", *OFFENSE_MEANS, *DEFENSE_MEANS]
@@ -159,12 +172,12 @@ REDUCED = ["spread", "turnovers", *RECORD_LAGS, "elo"]
 def reduced_features(contests: DataFrame, plays: DataFrame, elo: DataFrame | None = None) -> DataFrame:
     """Reduced model table: season-to-date margin and turnovers, lagged record and lagged rating, home view with
     ``opp_*`` for the away side."""
-    elo = elo if elo is not None else ratings.elo_ratings(contests, digits=None)
+    elo = elo if elo is not None else ratings.period_ratings(contests)
     rec = records.with_margin(records.team_record(contests))
     off = side_stats.offense_stats(plays).select("contest_id", "team", "turnovers")
-    t = rec.join(off, KEYS, "left").join(elo.select("contest_id", "team", "elo"), KEYS, "left")
+    t = rec.join(off, KEYS, "left").join(_with_prior(elo), KEYS, "left")
     t = materialize_scratch(t, "reduced_side_table")
-    t = prior_values(t, ["spread", "turnovers"], RECORD_LAGS + ["elo"])
+    t = _prior(t, ["spread", "turnovers"])
     ids = ["season", "week", "gameday", "contest_id", "game_id", "team", "opponent"]
     m = matchup_rows(t, ids, REDUCED)
     cols = ids + ["win"] + REDUCED + [f"opp_{c}" for c in REDUCED]

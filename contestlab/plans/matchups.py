@@ -14,7 +14,7 @@ def snapshot(contests: DataFrame, season: int, week: int, digits: int = 4) -> Da
     contest, its rating after it, and its mean margin so far. The latest row is a ``max_by`` on the order key."""
     k = contests.where(F.col("season") == season)
     rec = records.with_margin(records.team_record(k)).where(F.col("week") < week)
-    elo = ratings.elo_ratings(k, digits=None).select("contest_id", "team", "elo")
+    elo = ratings.period_ratings(k).select("contest_id", "team", "elo")
     t = rec.join(elo, ["contest_id", "team"], "left")
     order = F.struct("gameday", "contest_id")
     return t.groupBy("team").agg(

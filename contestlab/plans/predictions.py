@@ -16,7 +16,7 @@ POINTS_PER_RATING = 25.0
 
 
 def rating_predictions(contests: DataFrame, elo: DataFrame | None = None) -> DataFrame:
-    elo = elo if elo is not None else ratings.elo_ratings(contests, digits=None)
+    elo = elo if elo is not None else ratings.period_ratings(contests)
     pre = ratings.pregame_ratings(elo)
     pair = pre.groupBy("contest_id").agg(
         F.first(F.when(F.col("home_away") == "home", F.col("pre_elo")), ignorenulls=True).alias("home_pre"),

@@ -154,7 +154,7 @@ def q_trailing_mean_p(spark, sf_dir):
 @register("elo")
 def q_elo(spark, sf_dir):
     e = prepared.ratings(spark, sf_dir)
-    return e.withColumn("elo", nullf.round_half_up(F.col("elo"), 4))
+    return e.withColumns({c: nullf.round_half_up(F.col(c), 4) for c in ("elo", "prior_elo")})
 
 
 @register("elo_top20")
@@ -454,7 +454,7 @@ def q_rolling_defense(spark, sf_dir):
 @register("rolling_elo")
 def q_rolling_elo(spark, sf_dir):
     elo = prepared.ratings(spark, sf_dir)
-    return rolling.lagged(elo.select("season", "contest_id", "gameday", "team", "home_away", "elo"), _season_team(), ["elo"], digits=4)
+    return elo.select("season", "contest_id", "gameday", "team", "home_away", nullf.round_half_up(F.col("prior_elo"), 4).alias("elo"))
 
 
 @register("trailing_mean_group")

@@ -120,10 +120,10 @@ def _stored(spark: SparkSession, sf_dir: str, name: str, modules: tuple, build)
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Post-contest Elo ratings (default parameters, full precision); ``digits`` rounding is left to the caller."""
+    """Elo ratings by week (default parameters, full precision); rounding is left to the caller."""
     from ..operators import ratings as rating_ops
 
-    return _stored(spark, sf_dir, "elo", (rating_ops,), lambda: rating_ops.elo_ratings(contests(spark, sf_dir), digits=None))
+    return _stored(spark, sf_dir, "elo", (rating_ops,), lambda: rating_ops.period_ratings(contests(spark, sf_dir)))
 
 
 def record(spark: SparkSession, sf_dir: str) -> DataFrame:

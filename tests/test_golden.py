@@ -27,6 +27,61 @@ def test_elo_first_team_values(spark):
     assert [r["elo"] for r in out.collect()] == [1490.0, 1500.288, 1490.279, 1480.559, 1491.118]
 
 
+def test_period_ratings_first_team_values(spark):
+    """With one contest a side and period, the printed ratings."""
+    res = [(10, 20), (20, 10), (10, 20), (10, 20), (20, 10)]
+    d0 = dt.date(2021, 9, 12)
+    rows = [(2021, i + 1, d0 + dt.timedelta(days=7 * i), i + 1, f"g{i}", "ARI", f"OP{i}", h, a, 0.0, 0) for i, (h, a) in enumerate(res)]
+    out = ratings.period_ratings(_contests(spark, rows)).where(F.col("team") == "ARI").orderBy("contest_id").collect()
+    assert [round(r.elo, 3) for r in out] == [1490.0, 1500.288, 1490.279, 1480.559, 1491.118]
+    assert [r.prior_elo and round(r.prior_elo, 3) for r in out] == [None, 1490.0, 1500.288, 1490.279, 1480.559]
+
+
+def _rounds(seasons=2, teams=6, weeks=9):
+    """Schedules in which every team plays once a week."""
+    rows = []
+    for season in range(seasons):
+        for week in range(weeks):
+            order = [(t * (2 * week + 1) + season) % teams for t in range(teams)] if teams % 2 else sorted(range(teams), key=lambda t: (t * 7 + week * 5) % teams)
+            for i in range(0, teams, 2):
+                c = len(rows) + 1
+                day = dt.date(2020 + season, 9, 1) + dt.timedelta(days=7 * week + i % 3)
+                rows.append((2020 + season, week + 1, day, c, f"g{c}", f"T{order[i]}", f"T{order[i + 1]}", (c * 7) % 31, (c * 11) % 29, 0.0, 0))
+    return rows
+
+
+def test_period_ratings_equal_the_fold_in_weekly_rounds(spark):
+    k = _contests(spark, _rounds())
+    one = {(r.contest_id, r.team): round(r.elo, 6) for r in ratings.elo_ratings(k, digits=None).collect()}
+    assert one == {(r.contest_id, r.team): round(r.elo, 6) for r in ratings.period_ratings(k).collect()}
+
+
+def test_period_ratings_of_crowded_periods(spark):
+    """Many contests of a side in one period, repeated pairs, both venues, periods a team sits out."""
+    rows = []
+    for c in range(300):
+        h, a = c * c % 7, (c * 3 + 1) % 7
+        if h != a:
+            rows.append((2020 + c % 2, c // 40, dt.date(2020, 1, 1), c, "g", f"T{h}", f"T{a}", c * 7 % 31, c * 11 % 29, 0.0, 0))
+    want, state, began = {}, {}, {}
+    for season, week in sorted({r[:2] for r in rows}):
+        before = dict(state.get(season, {}))
+        now = state.setdefault(season, {})
+        for r in (r for r in rows if r[:2] == (season, week)):
+            h, a = (before.get(t, 1500.0) for t in r[5:7])
+            d = 20 * ((r[7] > r[8]) - 1 / (1 + 10 ** ((a - h) / 400)))
+            for t, x in ((r[5], d), (r[6], -d)):
+                now[t] = now.get(t, 1500.0) + x
+                began.setdefault((season, t), week)
+        for r in (r for r in rows if r[:2] == (season, week)):
+            for t in r[5:7]:
+                prior = before.get(t, 1500.0) if began[season, t] < week else None
+                want[r[3], t] = (round(now[t], 6), None if prior is None else round(prior, 6))
+    got = {(r.contest_id, r.team): (round(r.elo, 6), None if r.prior_elo is None else round(r.prior_elo, 6)) for r in ratings.period_ratings(_contests(spark, rows)).collect()}
+    assert got == want
+    assert ratings.period_ratings(_contests(spark, [])).count() == 0
+
+
 def test_elo_order_option_and_chunks_agree(spark):
     rows = []
     d0 = dt.date(2020, 9, 1)

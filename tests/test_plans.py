@@ -39,3 +39,19 @@ def test_broadcast_only_after_size_check(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert joined.count() == 5000
+
+
+def test_period_ratings_run_in_the_jvm_and_count_pairs_first(spark):
+    """No Python in the plan, and what reaches the fold is counts of pairs, pre-aggregated where the contests lie."""
+    from contestlab.operators import ratings
+
+    held = []
+    keep = ratings.materialize_scratch
+    ratings.materialize_scratch = lambda df, name: held.append(_plan(df)) or keep(df, name)
+    try:
+        out = ratings.period_ratings(prepared.contests(spark, SF_SMALL))
+    finally:
+        ratings.materialize_scratch = keep
+    for plan in (*held, _plan(out)):
+        assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+    assert "partial_count(1)" in held[0] and "home_team" in held[0]
