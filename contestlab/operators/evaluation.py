@@ -91,6 +91,25 @@ def roc_points(df: DataFrame, prob: str = "prob", truth: str = "truth", digits:
     )
 
 
+def roc_points_by(df: DataFrame, fold: str, prob: str = "prob", truth: str = "truth", digits: int = 6) -> DataFrame:
+    """ROC curves of every fold and of all rows (``curve`` = ``all``), in one scan with the curve as its group: rows
+    ``curve, threshold, tp, fp, tpr, fpr``. A row counts for its fold and for ``all``; scores are pre-aggregated first."""
+    both = df.select(F.explode(F.array(F.col(fold).cast("string"), F.lit("all"))).alias("curve"), F.col(prob).alias("score"), F.col(truth).alias("t"))
+    st = both.groupBy("curve", "score").agg(
+        F.sum(F.when(F.col("t") == 1, 1).otherwise(0)).cast("bigint").alias("pos"),
+        F.sum(F.when(F.col("t") == 0, 1).otherwise(0)).cast("bigint").alias("neg"),
+    ).withColumn("__neg_score", -F.col("score"))
+    go = GroupOrder(keys=["curve"], order=["__neg_score"], levels=numeric_levels("__neg_score", SCORE_WIDTHS))
+    cum = scan(st, go, sums={"tp": F.col("pos"), "fp": F.col("neg")})
+    totals = st.groupBy("curve").agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    return cum.join(totals, "curve").select(
+        "curve", F.col("score").alias("threshold"),
+        F.col("tp").cast("bigint").alias("tp"), F.col("fp").cast("bigint").alias("fp"),
+        round_half_up(safe_div(F.col("tp"), F.col("P")), digits).alias("tpr"),
+        round_half_up(safe_div(F.col("fp"), F.col("N")), digits).alias("fpr"),
+    )
+
+
 def roc_auc(df: DataFrame, prob: str = "prob", truth: str = "truth", digits: int = 6) -> DataFrame:
     """Area under the ROC curve as the Mann-Whitney statistic: P(score of a positive > score of a negative) plus
     half the probability of a tie."""

@@ -193,15 +193,27 @@ def importance(model: PipelineModel, names: list[str]) -> list[tuple[str, float]
     return list(zip(names, vals))
 
 
-def upsample(df: DataFrame, label: str, minority: int | str, ratio: float = 1.0, seed: int = 11) -> DataFrame:
-    """Plain up-sampling: add sampled-with-replacement minority rows until minority = ``ratio`` x majority."""
+def upsample(df: DataFrame, label: str, minority: int | str, id_col: str, ratio: float = 1.0, seed: int = 11) -> DataFrame:
+    """Plain up-sampling: minority rows drawn with replacement until minority = ``floor(ratio x majority)`` exactly.
+
+    Draw ``t`` takes the row whose position among the minority rows, in hash order of the id, is a hash of ``(t, seed)``
+    modulo their number: multinomial multiplicities with an exact total that do not depend on partitions. Draws are counted
+    by position before they meet the rows. Without minority rows, or with enough, ``df`` comes back as it is.
+    """
+    from .scan import positions
+
     counts = {r[label]: r["count"] for r in df.groupBy(label).count().collect()}  # one row per class
-    maj = max(v for k, v in counts.items() if k != minority)
-    need = ratio * maj - counts.get(minority, 0)
-    if need <= 0:
+    most = max((v for k, v in counts.items() if k != minority), default=0)
+    n = counts.get(minority, 0)
+    need = int(ratio * most) - n
+    if need <= 0 or not n:
         return df
-    extra = df.where(F.col(label) == minority).sample(withReplacement=True, fraction=need / counts[minority], seed=seed)
-    return df.unionByName(extra)
+    rows = df.where(F.col(label) == minority).withColumn("__h", _hash(id_col, seed))
+    go = GroupOrder(keys=[], order=["__h", id_col], levels=prefix_levels("__h", HASH_PREFIXES))
+    placed = positions(rows, go, "__pos").drop("__h")
+    draws = df.sparkSession.range(need).groupBy((F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(n)) + 1).alias("__pos")).agg(F.count(F.lit(1)).cast("int").alias("__n"))
+    extra = placed.join(draws, "__pos").withColumn("__turn", F.explode(F.sequence(F.lit(1), F.col("__n"))))
+    return df.unionByName(extra.select(df.columns))
 
 
 NEIGHBOUR_BLOCK_ROWS = 2048
@@ -269,7 +281,7 @@ def smote(df: DataFrame, label: str, minority, features: str = "features", id_co
     more. The place on the segment is one draw for each synthetic row, a hash of the two ids and the turn, so it does not
     depend on partitions."""
     counts = {r[label]: r["count"] for r in df.groupBy(label).count().collect()}  # one row per class
-    maj = max(v for kk, v in counts.items() if kk != minority)
+    maj = max((v for kk, v in counts.items() if kk != minority), default=0)
     n_min = counts.get(minority, 0)
     need = int(ratio * maj) - n_min
     base = df.select(F.col(id_col).cast("string").alias(id_col), features, label).withColumn("synthetic", F.lit(0))

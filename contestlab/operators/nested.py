@@ -59,15 +59,16 @@ def cells_to_columns(rows: DataFrame, names: list[str], keep: list[str] | None =
     return rows.select(*(keep or []), *[F.get(F.col("cells"), i).alias(n) for i, n in enumerate(names)])
 
 
-def fixtures(rows: DataFrame, season: int | Column, week: int | Column) -> DataFrame:
+def fixtures(rows: DataFrame, season: int | Column, week: int | Column, keep: list | None = None) -> DataFrame:
     """Coming fixtures from two cells ``"City CODE"`` and ``"at City CODE"``: codes from the last token and the
     composite contest key. Rows whose first cell is ``BYE`` are skipped."""
     a = F.get(F.col("cells"), 0)
     h = F.get(F.col("cells"), 1)
     s = F.lit(season) if isinstance(season, int) else season
     w = F.lit(week) if isinstance(week, int) else week
-    out = rows.where(F.upper(F.trim(a)) != "BYE").select(last_token(a).alias("away_team"), last_token(h).alias("home_team"))
-    return out.withColumn("game_id", F.format_string("%d_%02d_%s_%s", s, w, F.col("away_team"), F.col("home_team")))
+    away, home = last_token(a), last_token(h)
+    game_id = F.format_string("%d_%02d_%s_%s", s, w, away, home)
+    return rows.where(F.upper(F.trim(a)) != "BYE").select(*(keep or []), away.alias("away_team"), home.alias("home_team"), game_id.alias("game_id"))
 
 
 def parse_dates(df: DataFrame, month_day: str, year: int | Column, out: str = "gameday") -> DataFrame:
@@ -193,10 +194,11 @@ def json_field_stats(df: DataFrame, json_col: str, field: str, by: list[str]) ->
 TOTAL_ROWS = ["Avg Team", "League Total", "Avg Tm/G"]
 
 
-def team_table(rows: DataFrame, names: list[str], alias: DataFrame, name_col: str = "team", numeric: list[str] | None = None) -> DataFrame:
+def team_table(rows: DataFrame, names: list[str], alias: DataFrame, name_col: str = "team", numeric: list[str] | None = None,
+               keep: list[str] | None = None) -> DataFrame:
     """Season team table (cells already split into rows): named columns, summary rows dropped, numbers converted,
     and the team name mapped to its code through the alias dimension (``team_name -> team_abb``, broadcast after a
     size check by the caller)."""
-    t = cells_to_columns(rows, names).where(~F.col(name_col).isin(TOTAL_ROWS))
+    t = cells_to_columns(rows, names, keep).where(~F.col(name_col).isin(TOTAL_ROWS))
     t = t.withColumns({c: F.col(c).try_cast("double") for c in (numeric or [])})
     return t.join(alias, t[name_col] == alias["team_name"], "left").drop("team_name")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -143,6 +146,80 @@ def simple_regression(df: DataFrame, y: str, x: str, digits: int = 4) -> DataFra
     )
 
 
+def t_two_sided(t: float, df: float) -> float:
+    """P(|T| >= |t|) of Student's t distribution: the regularised incomplete beta function by its continued fraction."""
+    a, b, x = df / 2, 0.5, df / (df + t * t)
+    if x >= 1:
+        return 1.0
+    if x <= 0:
+        return 0.0
+    swap = x > (a + 1) / (a + b + 2)
+    if swap:
+        a, b, x = b, a, 1 - x
+    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)) / a
+    f, c, d = 1.0, 1.0, 0.0
+    for i in range(400):
+        m = i // 2
+        if i == 0:
+            term = 1.0
+        elif i % 2 == 0:
+            term = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
+        else:
+            term = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
+        d = 1 / max(1 + term * d, 1e-300) if 1 + term * d > 0 else 1 / min(1 + term * d, -1e-300)
+        c = 1 + term / c
+        f *= c * d
+        if abs(1 - c * d) < 1e-14:
+            break
+    value = front * (f - 1)
+    return 1 - value if swap else value
+
+
+def multiple_regression(df: DataFrame, y: str, xs: list[str], digits: int = 4) -> DataFrame:
+    """Least squares of ``y`` on ``xs``: rows ``term, estimate, std_error, t_value, p_value, n, r2, adj_r2``.
+
+    One aggregation gives the centred Gram matrix (means and co-moments, which Spark merges without cancellation); the
+    p x p matrix, whatever the number of rows, is factored by Cholesky on the driver. Rows with a missing value are left
+    out. Regressors that depend on each other, and fewer rows than terms, raise ``ValueError``.
+    """
+    cols = [*xs, y]
+    d = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).where(" and ".join(f"`{c}` is not null" for c in cols))
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    row = d.agg(
+        F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)],
+        *[(F.covar_pop(cols[i], cols[j]) * F.count(F.lit(1))).alias(f"s{i}_{j}") for i, j in pairs],
+    ).first()
+    n, p = row["n"], len(xs)
+    if n <= p + 1:
+        raise ValueError("fewer rows than terms")
+    gram = np.zeros((p + 1, p + 1))
+    for i, j in pairs:
+        gram[i, j] = gram[j, i] = row[f"s{i}_{j}"]
+    sxx, sxy, syy = gram[:p, :p], gram[:p, p], gram[p, p]
+    scale = np.sqrt(np.diag(sxx))
+    if not scale.all():
+        raise ValueError("a regressor is constant")
+    corr = sxx / np.outer(scale, scale)
+    if np.linalg.eigvalsh(corr)[0] < 1e-12:
+        raise ValueError("regressors depend on each other")
+    lower = np.linalg.cholesky(corr)
+    half = np.linalg.solve(lower, np.eye(p))
+    inverse = half.T @ half / np.outer(scale, scale)
+    beta = inverse @ sxy
+    mean = np.array([row[f"m{i}"] for i in range(p)])
+    rss, free = max(0.0, syy - beta @ sxy), n - p - 1
+    sigma2 = rss / free
+    estimates = [row[f"m{p}"] - beta @ mean, *beta]
+    errors = [math.sqrt(sigma2 * (1 / n + mean @ inverse @ mean)), *np.sqrt(sigma2 * np.diag(inverse))]
+    r2 = 1 - rss / syy if syy else math.nan
+    out = []
+    for term, e, se in zip(["(intercept)", *xs], estimates, errors, strict=True):
+        t = e / se if se else math.inf
+        out.append((term, float(e), float(se), float(t), t_two_sided(float(t), free), n, float(r2), 1 - (1 - float(r2)) * (n - 1) / free))
+    made = df.sparkSession.createDataFrame(out, "term string, estimate double, std_error double, t_value double, p_value double, n long, r2 double, adj_r2 double")
+    return made.withColumns({c: round_half_up(F.col(c), 6 if c == "p_value" else digits) for c, t in made.dtypes if t == "double"})
+
+
 def metric_by_wins(side_rows: DataFrame, metric: str, digits: int = 4) -> DataFrame:
     """Metric against outcome: per (season, team) the wins and the mean metric, then per win total the mean of
     those team means and the number of team seasons."""

@@ -897,13 +897,16 @@ def scaled_prev_mean_strict(col: str, digits: int = 3, input_digits: int = 3, fr
     return r(f"case when {cond} then {num} / (count({col}) over ({frame})) / {float(scale)} end", digits)
 
 
-_OFF_ROLL = ["third_down_pct", "turnovers", "value_added", "score_drives_pct", "score_diff"]
-_DEF_ROLL = ["def_third_down_pct", "def_turnovers", "def_value_added", "def_score_drives_pct"]
-
-SQL["rolling_offense"] = with_ctes(CONTESTS, PLAYS, REG, OFF_CTE) + """
-, t as (select o.*, k.gameday from off o join contests k on k.contest_id = o.contest_id)
-select season, team, contest_id, cast(gameday as varchar) as gameday, """ + ", ".join(
-    f"{scaled_prev_mean_strict(c)} as {c}" for c in _OFF_ROLL) + "\nfrom t\n"
+_QTR = range(1, 5)
+_OFF_ROLL = [
+    *[f"qtr_pts_{q}" for q in _QTR], "pts_scored", "third_down_pct", "turnovers", "value_added", "score_diff",
+    "possession_sec", "possession_pct", *[f"score_diff_qtr_{q}" for q in _QTR], *[f"dscore_diff_qtr_{q}" for q in _QTR],
+    "ndrives", "score_drives", "score_drives_pct",
+]
+_DEF_ROLL = [
+    *[f"def_qtr_pts_{q}" for q in _QTR], "def_value_added", "def_third_down_pct", "def_turnovers",
+    "def_ndrives", "def_score_drives", "def_score_drives_pct",
+]
 
 SQL["rolling_defense"] = with_ctes(CONTESTS, PLAYS, DREG, DEF_CTE) + """
 , t as (select d.*, k.gameday from deff d join contests k on k.contest_id = d.contest_id)
@@ -1013,3 +1016,94 @@ pr as (
   from st
 ), fl as (select * from pr)
 """ + _matchup_sql([], SPREAD_FEATURES, SPREAD_OPP, label="spread")
+
+SQL["rolling_offense"] = with_ctes(CONTESTS, PLAYS, REG, OFF_CTE, POSS_CTE, MARG_CTE) + ", gs as (" + SQL["game_stats"].split(MARG_CTE)[1].strip() + """)
+, t as (select gs.*, k.gameday from gs join contests k on k.contest_id = gs.contest_id)
+select season, team, contest_id, cast(gameday as varchar) as gameday, """ + ", ".join(
+    f"{scaled_prev_mean_strict(c)} as {c}" for c in _OFF_ROLL) + "\nfrom t\n"
+
+SQL["roc_points_by_fold"] = PRED_BASE + f"""
+, fd as (
+  select truth, prob,
+         cast((row_number() over (partition by truth order by md5(cast(contest_id as varchar) || '-234'), contest_id) - 1) % 10 as varchar) as fold
+  from pred
+), both_ as (select fold as curve, truth, prob from fd union all select 'all', truth, prob from fd),
+st as (
+  select curve, prob as score, cast(sum(case when truth = 1 then 1 else 0 end) as bigint) as pos,
+         cast(sum(case when truth = 0 then 1 else 0 end) as bigint) as neg
+  from both_ group by curve, prob
+), cum as (
+  select curve, score, sum(pos) over w as tp, sum(neg) over w as fp, sum(pos) over (partition by curve) as P, sum(neg) over (partition by curve) as N
+  from st window w as (partition by curve order by score desc rows between unbounded preceding and current row)
+)
+select curve, score as threshold, cast(tp as bigint) as tp, cast(fp as bigint) as fp,
+       {r(div('tp', 'P'), 6)} as tpr, {r(div('fp', 'N'), 6)} as fpr
+from cum
+"""
+
+# least squares with two regressors in closed form; the t distribution by Simpson's rule
+SQL["multiple_lm"] = with_ctes(CONTESTS, PLAYS, REG, OFF_CTE) + f"""
+, d as (select score_diff::double as y, value_added::double as a, turnovers::double as b from off
+        where score_diff is not null and value_added is not null and turnovers is not null),
+g as (
+  select count(*)::double as n, avg(y) as my, avg(a) as ma, avg(b) as mb, var_pop(y) * count(*) as syy, var_pop(a) * count(*) as saa,
+         var_pop(b) * count(*) as sbb, covar_pop(a, b) * count(*) as sab, covar_pop(a, y) * count(*) as say, covar_pop(b, y) * count(*) as sby
+  from d
+), c as (
+  select *, saa * sbb - sab * sab as det, (say * sbb - sby * sab) / (saa * sbb - sab * sab) as ba, (sby * saa - say * sab) / (saa * sbb - sab * sab) as bb
+  from g
+), e as (select *, syy - ba * say - bb * sby as rss, n - 3 as df from c),
+tt as (
+  select 0 as ord, '(intercept)' as term, my - ba * ma - bb * mb as est,
+         sqrt(rss / df * (1 / n + (ma * ma * sbb - 2 * ma * mb * sab + mb * mb * saa) / det)) as se, n, df, 1 - rss / syy as r2 from e
+  union all select 1, 'value_added', ba, sqrt(rss / df * sbb / det), n, df, 1 - rss / syy from e
+  union all select 2, 'turnovers', bb, sqrt(rss / df * saa / det), n, df, 1 - rss / syy from e
+), tv as (select *, est / se as t, least(abs(est / se), 40.0) / 4000 as h from tt),
+pv as (
+  select tv.term, 1 - 2 * exp(lgamma((any_value(df) + 1) / 2) - lgamma(any_value(df) / 2)) / sqrt(any_value(df) * pi()) * any_value(h) / 3
+           * sum((case when i = 0 or i = 4000 then 1 when i % 2 = 1 then 4 else 2 end) * pow(1 + (i * h) * (i * h) / df, -(df + 1) / 2)) as p
+  from tv, (select unnest(range(4001)) as i) group by tv.term
+)
+select tv.term, {r('est', 4)} as estimate, {r('se', 4)} as std_error, {r('t', 4)} as t_value, {r('greatest(p, 0.0)', 6)} as p_value,
+       cast(n as bigint) as n, {r('r2', 4)} as r2, {r('1 - (1 - r2) * (n - 1) / df', 4)} as adj_r2
+from tv join pv on pv.term = tv.term
+"""
+
+SQL["upsample_counts"] = """
+with c as (select cast(label = 0 as integer) as label, count(*) as n from embeddings group by 1)
+select label, case when label = 1 then greatest(n, coalesce((select n from c where label = 0), 0)) else n end as n from c
+"""
+
+SQL["html_table_rows"] = f"""
+select s_nationkey as page_id, s_suppkey as supplier, s_name as name, case when s_suppkey % 7 <> 0 then s_acctbal::double end as balance
+from supplier
+"""
+
+SQL["fixture_rows"] = with_ctes(CONTESTS) + """
+select season, week, contest_id, away_team, home_team, printf('%d_%02d_%s_%s', season, week, away_team, home_team) as game_id from contests
+"""
+
+SQL["team_table"] = with_ctes(CONTESTS, SIDES) + """
+select season, lower(team) as team, cast(count(*) as double) as games,
+       cast(sum(case when own_score > opp_score then 1 else 0 end) as double) as wins, cast(sum(own_score) as double) as points, team as team_abb
+from sides group by season, team
+"""
+
+SQL["standings_json"] = with_ctes(CONTESTS, SIDES) + f"""
+, b as (
+  select season, team, case when own_score > opp_score then 1 else 0 end as w, is_home, own_score, opp_score from sides
+), a as (
+  select season, team, sum(w) as wins, sum(1 - w) as losses, round(sum(w) / count(*) * 10000.0) / 10000.0 as win_pct,
+         sum(own_score) as pf, sum(opp_score) as pa, sum(w * is_home) as hw, sum((1 - w) * is_home) as hl,
+         sum(w * (1 - is_home)) as aw, sum((1 - w) * (1 - is_home)) as al
+  from b group by season, team
+), l as (
+  select a.*, t.team_id, r_name as conf from a join (select n_nationkey as team_id, team, cast(n_regionkey as varchar) as r_name from teams) t using (team)
+), s as (select *, max(wins - losses) over (partition by season, conf) as top from l)
+select conf, season, cast(team_id as varchar) as team_id, team as team_abb,
+       cast(row_number() over (partition by conf, season order by win_pct desc, (top - (wins - losses)) / 2.0, cast(team_id as varchar)) as double) as seed,
+       cast(wins as double) as wins, cast(losses as double) as losses, win_pct, (top - (wins - losses)) / 2.0 as g_behind,
+       cast(pf as double) as pts_for, cast(pa as double) as pts_against, cast(pf - pa as double) as pts_diff,
+       cast(hw as bigint) as home_wins, cast(hl as bigint) as home_losses, cast(aw as bigint) as away_wins, cast(al as bigint) as away_losses
+from s
+"""

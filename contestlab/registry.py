@@ -12,9 +12,10 @@ from .functions.text import clean_name, clock_to_seconds
 from .operators import evaluation, ml, nested, ratings, records, reshape, rolling, side_stats, stats
 from .operators.reshape import sides
 from .operators.scan import GroupOrder, scan, time_levels
-from .plans import features, models, predictions
+from .plans import documents, features, models, predictions
 from .plans.matchups import next_matchups
 from .plans.standings import standings
+from .session import materialize_scratch
 from .sources import adapters, prepared
 from .sources.tables import bounded_broadcast, read_table
 
@@ -206,6 +207,12 @@ def q_log_loss(spark, sf_dir):
     return evaluation.log_loss(_pred(spark, sf_dir), prob="prob", truth="truth")
 
 
+@register("roc_points_by_fold")
+def q_roc_points_by_fold(spark, sf_dir):
+    folded = ml.stratified_folds(_pred(spark, sf_dir).select("contest_id", "truth", "prob"), ["truth"], "contest_id", k=10, seed=234)
+    return evaluation.roc_points_by(folded, "fold")
+
+
 @register("roc_points")
 def q_roc_points(spark, sf_dir):
     return evaluation.roc_points(_pred(spark, sf_dir), prob="prob", truth="truth")
@@ -294,6 +301,12 @@ def q_home_fav_pct(spark, sf_dir):
     return stats.favourite_win_rates(prepared.contests(spark, sf_dir))
 
 
+@register("multiple_lm")
+def q_multiple_lm(spark, sf_dir):
+    off = side_stats.offense_stats(_plays(spark, sf_dir))
+    return stats.multiple_regression(off, "score_diff", ["value_added", "turnovers"])
+
+
 @register("simple_lm")
 def q_simple_lm(spark, sf_dir):
     return stats.simple_regression(side_stats.offense_stats(_plays(spark, sf_dir)), "score_diff", "value_added")
@@ -345,6 +358,27 @@ def q_html_rows(spark, sf_dir):
     return nested.list_items(read_table(spark, sf_dir, "pages", ["page_id", "html"]))
 
 
+@register("html_table_rows")
+def q_html_table_rows(spark, sf_dir):
+    return documents.supplier_rows(read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"]))
+
+
+@register("fixture_rows")
+def q_fixture_rows(spark, sf_dir):
+    return documents.fixture_rows(prepared.contests(spark, sf_dir))
+
+
+@register("team_table")
+def q_team_table(spark, sf_dir):
+    alias = bounded_broadcast(adapters.teams(spark, sf_dir).select(F.lower("team").alias("team_name"), F.col("team").alias("team_abb")), adapters.DIM_MAX_ROWS)
+    return documents.team_rows(_record(spark, sf_dir), alias)
+
+
+@register("standings_json")
+def q_standings_json(spark, sf_dir):
+    return documents.standings_rows(_record(spark, sf_dir), bounded_broadcast(adapters.teams(spark, sf_dir), adapters.DIM_MAX_ROWS))
+
+
 @register("json_stats")
 def q_json_stats(spark, sf_dir):
     return nested.json_field_stats(read_table(spark, sf_dir, "events", ["event_type", "props"]), "props", "k", ["event_type"])
@@ -428,11 +462,19 @@ def q_smote_counts(spark, sf_dir):
 @register("upsample_counts")
 def q_upsample_counts(spark, sf_dir):
     e = _emb(spark, sf_dir).withColumn("label", (F.col("label") == 0).cast("int"))
-    return ml.upsample(e, "label", 1, ratio=1.0).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    return ml.upsample(e, "label", 1, "id", ratio=1.0).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
 
 
-_OFF_ROLL = ["third_down_pct", "turnovers", "value_added", "score_drives_pct", "score_diff"]
-_DEF_ROLL = ["def_third_down_pct", "def_turnovers", "def_value_added", "def_score_drives_pct"]
+_QTR = range(1, 5)
+_OFF_ROLL = [
+    *[f"qtr_pts_{q}" for q in _QTR], "pts_scored", "third_down_pct", "turnovers", "value_added", "score_diff",
+    "possession_sec", "possession_pct", *[f"score_diff_qtr_{q}" for q in _QTR], *[f"dscore_diff_qtr_{q}" for q in _QTR],
+    "ndrives", "score_drives", "score_drives_pct",
+]
+_DEF_ROLL = [
+    *[f"def_qtr_pts_{q}" for q in _QTR], "def_value_added", "def_third_down_pct", "def_turnovers",
+    "def_ndrives", "def_score_drives", "def_score_drives_pct",
+]
 
 
 def _with_day(spark, sf_dir, df):
@@ -441,13 +483,15 @@ def _with_day(spark, sf_dir, df):
 
 @register("rolling_offense")
 def q_rolling_offense(spark, sf_dir):
-    off = _with_day(spark, sf_dir, side_stats.offense_stats(_plays(spark, sf_dir)).select("season", "team", "contest_id", *_OFF_ROLL))
+    off = _with_day(spark, sf_dir, side_stats.game_stats(_plays(spark, sf_dir)).select("season", "team", "contest_id", *_OFF_ROLL))
+    off = materialize_scratch(off, "offense_sides")  # the scan reads its input more than once
     return features.prior_values(off, _OFF_ROLL, [], strict=True).select("season", "team", "contest_id", "gameday", *_OFF_ROLL)
 
 
 @register("rolling_defense")
 def q_rolling_defense(spark, sf_dir):
     d = _with_day(spark, sf_dir, side_stats.defense_stats(_plays(spark, sf_dir)).select("season", "team", "contest_id", *_DEF_ROLL))
+    d = materialize_scratch(d, "defense_sides")
     return features.prior_values(d, _DEF_ROLL, [], strict=True).select("season", "team", "contest_id", "gameday", *_DEF_ROLL)
 
 
