@@ -101,8 +101,8 @@ def roc_points_by(df: DataFrame, fold: str, prob: str = "prob", truth: str = "tr
     ).withColumn("__neg_score", -F.col("score"))
     go = GroupOrder(keys=["curve"], order=["__neg_score"], levels=numeric_levels("__neg_score", SCORE_WIDTHS))
     cum = scan(st, go, sums={"tp": F.col("pos"), "fp": F.col("neg")})
-    totals = st.groupBy("curve").agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    return cum.join(totals, "curve").select(
+    totals = st.groupBy(F.col("curve").alias("__curve")).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    return cum.join(totals, F.col("curve").eqNullSafe(F.col("__curve"))).select(
         "curve", F.col("score").alias("threshold"),
         F.col("tp").cast("bigint").alias("tp"), F.col("fp").cast("bigint").alias("fp"),
         round_half_up(safe_div(F.col("tp"), F.col("P")), digits).alias("tpr"),

@@ -7,6 +7,7 @@ hex digits of the hash), so a large class is never ranked in one task.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -34,6 +35,7 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize_scratch
 from .scan import GroupOrder, prefix_levels, scan
 
 HASH_PREFIXES = (5, 3, 1)  # bucket levels of the rank scan: 16^5, 16^3 and 16 hash prefixes per stratum
@@ -217,60 +219,154 @@ def upsample(df: DataFrame, label: str, minority: int | str, id_col: str, ratio:
 
 
 NEIGHBOUR_BLOCK_ROWS = 2048
+#: Cells of the neighbour index at most, and sampled rows a cell that its centres are fitted on (a bounded sample; every
+#: row is indexed, and results do not depend on it).
+MAX_CELLS, SAMPLE_PER_CELL = 1024, 16
+_SLACK = 1e-9
 
 
-def nearest_neighbours(left: DataFrame, right: DataFrame, k: int, features: str = "features", id_col: str = "id",
-                       carry: list[str] | None = None, exclude_self: bool = False,
-                       block_rows: int = NEIGHBOUR_BLOCK_ROWS) -> DataFrame:
-    """Exact ``k`` nearest ``right`` rows (Euclidean) for every ``left`` row: ``(left_id, right_id, dist, nn_rank,
-    *carry)``.
+def _distances(a, b):
+    """Euclidean distances of the rows of two matrices, by plain differences: the same value in whatever block a pair meets."""
+    import numpy as np
 
-    Both sides are cut into blocks of about ``block_rows`` rows; every (left block, right block) pair meets in one
-    cogrouped pandas task (left rows are copied to every right block and right rows to every left block), which
-    computes the distance matrix with numpy and keeps only the ``k`` closest per left row. The final ``k`` per left
-    row are picked from at most ``k x right blocks`` candidates. The work is the exact quadratic search, but no pair
-    list is ever materialised and no block exceeds ``block_rows`` rows.
-    """
+    d = np.zeros((len(a), len(b)))
+    for i in range(a.shape[1]):
+        d += (a[:, i, None] - b[None, :, i]) ** 2
+    return np.sqrt(d)
+
+
+def _centres(sample, m: int, turns: int = 4):
+    """Centres of ``m`` cells by Lloyd's steps from the first ``m`` different rows of the sample."""
+    import numpy as np
+
+    _, first = np.unique(sample, axis=0, return_index=True)
+    centres = sample[np.sort(first)[:m]]
+    for _ in range(turns):
+        cell = np.concatenate([_distances(sample[i : i + 1024], centres).argmin(axis=1) for i in range(0, len(sample), 1024)])
+        n = np.bincount(cell, minlength=len(centres))
+        total = np.zeros_like(centres)
+        np.add.at(total, cell, sample)
+        centres = np.where(n[:, None] > 0, total / np.maximum(n, 1)[:, None], centres)
+    return centres
+
+
+def _meet(visits: DataFrame, rows: DataFrame, k: int, exclude_self: bool, carry: list[str], block_rows: int, schema: str) -> DataFrame:
+    """The ``k`` closest rows of a cell's block for each left row that visits the cell. Cells are cut into blocks of about
+    ``block_rows`` rows and so are their visitors; a task holds one block of each."""
     import numpy as np
     import pandas as pd
 
-    carry = carry or []
-    n_left, n_right = left.count(), right.count()
-    bl = max(1, -(-n_left // block_rows))
-    br = max(1, -(-n_right // block_rows))
-    lvec = left.select(F.col(id_col).alias("lid"), vector_to_array(F.col(features)).alias("lv"))
-    rvec = right.select(F.col(id_col).alias("rid"), vector_to_array(F.col(features)).alias("rv"), *carry)
-    lrep = lvec.withColumn("lb", F.pmod(F.xxhash64("lid"), F.lit(bl))).withColumn("rb", F.explode(F.sequence(F.lit(0), F.lit(br - 1))))
-    rrep = rvec.withColumn("rb", F.pmod(F.xxhash64("rid"), F.lit(br))).withColumn("lb", F.explode(F.sequence(F.lit(0), F.lit(bl - 1))))
-    carry_schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in right.select(*carry).schema.fields)
-    schema = "lid " + dict(left.dtypes)[id_col] + ", rid " + dict(right.dtypes)[id_col] + ", dist double" + (", " + carry_schema if carry else "")
+    def cut(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias(name))
+
+    sizes = cut(visits, "lbs").join(cut(rows, "rbs"), "cell")  # a row a cell
+    spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = visits.join(sizes, "cell").withColumn("lb", F.pmod(F.xxhash64("lid"), F.col("lbs")).cast("int")).withColumn("rb", spread("rbs"))
+    right = rows.join(sizes, "cell").withColumn("rb", F.pmod(F.xxhash64("rid"), F.col("rbs")).cast("int")).withColumn("lb", spread("lbs"))
 
     def block(_key, lp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
         if lp.empty or rp.empty:
             return pd.DataFrame(columns=["lid", "rid", "dist", *carry])
         rp = rp.sort_values("rid", ignore_index=True)  # among equal distances the smaller id comes first
-        a = np.stack(lp["lv"].to_numpy())
-        b = np.stack(rp["rv"].to_numpy())
-        d = np.zeros((len(a), len(b)))
-        for i in range(a.shape[1]):  # plain differences: the same value in whatever block a pair meets
-            d += (a[:, i, None] - b[None, :, i]) ** 2
-        d = np.sqrt(d)
+        d = _distances(np.stack(lp["lv"].to_numpy()), np.stack(rp["rv"].to_numpy()))
         if exclude_self:
-            same = lp["lid"].to_numpy()[:, None] == rp["rid"].to_numpy()[None, :]
-            d = np.where(same, np.inf, d)
+            d = np.where(lp["lid"].to_numpy()[:, None] == rp["rid"].to_numpy()[None, :], np.inf, d)
         kk = min(k, d.shape[1])
         idx = np.argsort(d, axis=1, kind="stable")[:, :kk]
-        rows = np.repeat(np.arange(d.shape[0]), kk)
-        cols = idx.ravel()
-        out = pd.DataFrame({"lid": lp["lid"].to_numpy()[rows], "rid": rp["rid"].to_numpy()[cols], "dist": d[rows, cols]})
+        at, cols = np.repeat(np.arange(d.shape[0]), kk), idx.ravel()
+        out = pd.DataFrame({"lid": lp["lid"].to_numpy()[at], "rid": rp["rid"].to_numpy()[cols], "dist": d[at, cols]})
         for c in carry:
             out[c] = rp[c].to_numpy()[cols]
         return out[np.isfinite(out["dist"])]
 
-    cand = lrep.groupBy("lb", "rb").cogroup(rrep.groupBy("lb", "rb")).applyInPandas(block, schema)
-    w = Window.partitionBy("lid").orderBy("dist", "rid")
-    top = cand.withColumn("nn_rank", F.row_number().over(w)).where(F.col("nn_rank") <= k)
-    return top.withColumnsRenamed({"lid": "left_id", "rid": "right_id"})
+    key = ["cell", "lb", "rb"]
+    return left.select(*key, "lid", "lv").groupBy(*key).cogroup(right.select(*key, "rid", "rv", *carry).groupBy(*key)).applyInPandas(block, schema)
+
+
+def nearest_neighbours(left: DataFrame, right: DataFrame, k: int, features: str = "features", id_col: str = "id",
+                       carry: list[str] | None = None, exclude_self: bool = False,
+                       block_rows: int = NEIGHBOUR_BLOCK_ROWS, cells: int | None = None, compared: dict | None = None) -> DataFrame:
+    """Exact ``k`` nearest ``right`` rows (Euclidean) for every ``left`` row: ``(left_id, right_id, dist, nn_rank,
+    *carry)``; equal distances go by id.
+
+    A metric index: every right row lies in the cell of its nearest centre (about the root of the number of rows, at most
+    ``MAX_CELLS``), and a cell's radius is its farthest row. A left row first visits its nearest cells, until they hold
+    ``k`` rows: its ``k``-th distance there bounds the search. By the triangle inequality a cell can hold a closer row only
+    if the distance to its centre, less its radius, is at most that bound; only those cells are visited in the second turn.
+    Visits, not pairs, are shuffled; cells and their visitors are cut into blocks, so a cell that holds a third of all rows
+    is many tasks. What the driver holds is the centres and one row a cell. ``compared`` gets the number of pairs compared.
+    """
+    import numpy as np
+    import pandas as pd
+
+    carry = carry or []
+    kind = {"l": dict(left.dtypes)[id_col], "r": dict(right.dtypes)[id_col]}
+    carry_schema = "".join(f", {f.name} {f.dataType.simpleString()}" for f in right.select(*carry).schema.fields)
+    schema = f"lid {kind['l']}, rid {kind['r']}, dist double{carry_schema}"
+    out_names = {"lid": "left_id", "rid": "right_id"}
+    spark = left.sparkSession
+    rvec = right.select(F.col(id_col).alias("rid"), vector_to_array(F.col(features)).alias("rv"), *carry)
+    n_right = rvec.count()
+    if not n_right:
+        return spark.createDataFrame([], schema + ", nn_rank int").withColumnsRenamed(out_names)
+    m = min(cells or max(1, math.isqrt(n_right)), MAX_CELLS)
+    sample = rvec.orderBy(F.xxhash64("rid"), "rid").select("rv").limit(m * SAMPLE_PER_CELL).collect()
+    centres = _centres(np.array([r.rv for r in sample], float), m)
+
+    def assigned(batches):
+        for b in batches:
+            if len(b):
+                d = _distances(np.stack(b["rv"].to_numpy()), centres)
+                b["cell"] = d.argmin(axis=1)
+                b["far"] = d.min(axis=1)
+                yield b
+
+    rows = materialize_scratch(rvec.mapInPandas(assigned, f"rid {kind['r']}, rv array<double>{carry_schema}, cell long, far double"), "cells")
+    held = rows.groupBy("cell").agg(F.max("far").alias("radius"), F.count(F.lit(1)).alias("n")).orderBy("cell").collect()  # a row a cell
+    cell, radius, size = (np.array([r[c] for r in held]) for c in ("cell", "radius", "n"))
+    own = centres[cell]
+    wanted = k + int(exclude_self)
+
+    def near(lv):
+        """Distances to the centres, and which cells the first turn visits."""
+        d = _distances(lv, own)
+        order = np.argsort(d, axis=1, kind="stable")
+        before = np.cumsum(size[order], axis=1) - size[order]
+        first = np.zeros(d.shape, bool)
+        np.put_along_axis(first, order, before < wanted, axis=1)
+        return d, first
+
+    def visiting(b, chosen):
+        at, which = np.nonzero(chosen)
+        return pd.DataFrame({"lid": b["lid"].to_numpy()[at], "lv": b["lv"].to_numpy()[at], "cell": cell[which]})
+
+    def first_turn(batches):
+        for b in batches:
+            if len(b):
+                yield visiting(b, near(np.stack(b["lv"].to_numpy()))[1])
+
+    def second_turn(batches):
+        for b in batches:
+            if len(b):
+                d, first = near(np.stack(b["lv"].to_numpy()))
+                bound = b["bound"].to_numpy()[:, None]
+                yield visiting(b, ~first & (d - radius[None, :] <= bound + _SLACK * (1 + bound)))
+
+    visit = f"lid {kind['l']}, lv array<double>, cell long"
+    lvec = materialize_scratch(left.select(F.col(id_col).alias("lid"), vector_to_array(F.col(features)).alias("lv")), "left")
+    by = Window.partitionBy("lid").orderBy("dist", "rid")
+    best = lambda found: found.withColumn("nn_rank", F.row_number().over(by)).where(F.col("nn_rank") <= k)
+    turn1 = materialize_scratch(lvec.mapInPandas(first_turn, visit), "visits")
+    found = materialize_scratch(best(_meet(turn1, rows, k, exclude_self, carry, block_rows, schema)).drop("nn_rank"), "first-neighbours")
+    bound = found.groupBy("lid").agg(F.when(F.count(F.lit(1)) >= k, F.max("dist")).otherwise(F.lit(float("inf"))).alias("bound"))
+    bounded = lvec.join(bound, "lid", "left").fillna(float("inf"), "bound")
+    turn2 = materialize_scratch(bounded.mapInPandas(second_turn, visit), "visits")
+    if compared is not None:
+        per = spark.createDataFrame([(int(c), int(n)) for c, n in zip(cell, size)], "cell long, n long")
+        compared["pairs"] = turn1.unionByName(turn2).join(F.broadcast(per), "cell").agg(F.sum("n")).first()[0]
+        compared["all"] = n_right * lvec.count()
+    more = _meet(turn2, rows, k, exclude_self, carry, block_rows, schema)
+    return best(found.unionByName(more)).withColumnsRenamed(out_names)
 
 
 def smote(df: DataFrame, label: str, minority, features: str = "features", id_col: str = "id", ratio: float = 0.9,

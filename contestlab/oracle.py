@@ -1107,3 +1107,25 @@ select conf, season, cast(team_id as varchar) as team_id, team as team_abb,
        cast(hw as bigint) as home_wins, cast(hl as bigint) as home_losses, cast(aw as bigint) as away_wins, cast(al as bigint) as away_losses
 from s
 """
+
+SQL["smote_counts"] = """
+with c as (select cast(label = 0 as integer) as label, count(*) as n from embeddings group by 1),
+x as (select coalesce((select n from c where label = 1), 0) as mino, coalesce((select n from c where label = 0), 0) as maj)
+select label, cast(0 as integer) as synthetic, n from c
+union all
+select 1, 1, cast(floor(0.9 * maj) as bigint) - mino from x where floor(0.9 * maj) > mino and mino >= 2
+"""
+
+SQL["knn_vote"] = """
+with e as (select vec_id as id, label, list_transform(embedding, lambda x: x::double) as v from embeddings),
+h as (select *, row_number() over (partition by label order by md5(cast(id as varchar) || '-234'), id) as pos, count(*) over (partition by label) as n from e),
+s as (select id, label, v, case when pos <= floor(0.75 * n + 0.5) then 'train' else 'test' end as split from h),
+d as (
+  select q.id, q.label, t.id as rid, t.label as vote,
+         sqrt(list_sum(list_transform(list_zip(q.v, t.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))) as dist
+  from (select * from s where split = 'test') q, (select * from s where split = 'train') t
+), k as (select *, row_number() over (partition by id order by dist, rid) as rn from d),
+votes as (select id, label, vote, count(*) as votes, avg(dist) as mean_d from k where rn <= 5 group by id, label, vote)
+select id, label, vote as pred, votes
+from (select *, row_number() over (partition by id order by votes desc, mean_d, vote) as r from votes) where r = 1
+"""

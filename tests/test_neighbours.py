@@ -37,3 +37,45 @@ def test_equal_distances_go_by_id(spark, block):
     df = points(spark, data)
     got = nearest_neighbours(df.where("id = 500"), df, 3, exclude_self=True, block_rows=block).collect()
     assert sorted(x.right_id for x in got) == [0, 1, 2]
+
+
+def brute(left, right, k, exclude_self):
+    out = set()
+    for i, v, _ in left:
+        d = sorted((sum((a - b) ** 2 for a, b in zip(v, w, strict=True)) ** 0.5, j) for j, w, _ in right if not (exclude_self and i == j))
+        out |= {(i, j, n + 1) for n, (_, j) in enumerate(d[:k])}
+    return out
+
+
+@pytest.mark.parametrize("block,cells", [(1024, None), (16, 40), (7, 1)])
+@pytest.mark.parametrize("exclude_self", [False, True])
+def test_cells_equal_brute_force_under_ties(spark, block, cells, exclude_self):
+    """A grid with many equal distances, and a vector that a third of all rows share."""
+    r = random.Random(6)
+    data = [(i, [float(r.randrange(6)), float(r.randrange(6)), float(r.randrange(3))], 0) for i in range(200)] + [(1000 + i, [2.0, 2.0, 1.0], 0) for i in range(100)]
+    left = data if exclude_self else data[::7] + [(5000, [99.0, 99.0, 99.0], 0)]
+    got = nearest_neighbours(points(spark, left), points(spark, data), 4, exclude_self=exclude_self, block_rows=block, cells=cells)
+    assert {(x.left_id, x.right_id, x.nn_rank) for x in got.collect()} == brute(left, data, 4, exclude_self)
+
+
+def test_few_rows_and_no_rows(spark):
+    data = [(1, [0.0], 0), (2, [3.0], 0)]
+    got = nearest_neighbours(points(spark, data), points(spark, data), 5, exclude_self=True).collect()
+    assert {(x.left_id, x.right_id, x.nn_rank) for x in got} == {(1, 2, 1), (2, 1, 1)}
+    none = points(spark, data).limit(0)
+    assert nearest_neighbours(points(spark, data), none, 2).count() == 0
+    assert nearest_neighbours(none, points(spark, data), 2).count() == 0
+
+
+def test_clustered_rows_compare_few_pairs(spark):
+    """In clusters only cells near a row are visited, and the share of compared pairs falls as rows are added."""
+    share = []
+    for n in (1000, 4000):
+        r = random.Random(n)
+        centre = [[r.uniform(-100, 100) for _ in range(6)] for _ in range(30)]
+        data = [(i, [c + r.gauss(0, 1) for c in centre[i % 30]], 0) for i in range(n)]
+        seen = {}
+        got = nearest_neighbours(points(spark, data[::20]), points(spark, data), 3, exclude_self=True, compared=seen)
+        assert {(x.left_id, x.right_id, x.nn_rank) for x in got.collect()} == brute(data[::20], data, 3, True)
+        share.append(seen["pairs"] / seen["all"])
+    assert share[0] < 0.2 and share[1] < share[0]
