@@ -276,5 +276,6 @@ def mixed(docs: DataFrame, budget: float = BUDGET) -> DataFrame:
     """The rows of ``docs`` that are sampled, with all their columns."""
     cells = mix_sources(docs, budget=budget).where("sampled").select("draw").distinct()
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    own = docs.withColumn("_draw", F.xxhash64("doc_id", text, F.lit("draw")))
-    return own.join(cells.withColumnRenamed("draw", "_draw"), "_draw", "left_semi").select([F.col(f"`{c}`") for c in docs.columns])
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))  # whatever the columns' names
+    own = docs.select(row.alias("row"), F.xxhash64("doc_id", text, F.lit("draw")).alias("draw"))
+    return own.join(cells, "draw", "left_semi").select(*(F.col("row").getField(c).alias(c) for c in docs.columns))

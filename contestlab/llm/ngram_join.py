@@ -237,11 +237,15 @@ def ngram_join(
 
 
 def one_of_each_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns: of each class the row with the least id (then the least row
-    key), and every row without words. Rows that repeat id and text are the same row and stay together."""
+    """The rows of ``docs`` that stay, with all their columns, whatever their names: of each class the row with the least id
+    (then the least row key; one of them where rows repeat id and text), and every row without words."""
     sketch, reps = _classes(docs, N, THRESHOLD, TREES, DEPTH, RECALL, BLOCK, id_col, text_col)
     first = sketch.where("rep is not null").groupBy("rep").agg(F.min(F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "key", "tag")).alias("row")).join(reps, "rep")
-    keep = first.groupBy("root").agg(F.min("row").alias("row")).select("row.key", "row.tag").unionByName(sketch.where("rep is null").select("key", "tag")).distinct()
+    keep = first.groupBy("root").agg(F.min("row").alias("row")).select("row.key", "row.tag")
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    key, tag = F.xxhash64(F.col(f"`{id_col}`"), text), F.hash(text, F.col(f"`{id_col}`"))
-    return docs.withColumns({"_key": key, "_tag": tag}).join(keep.select(F.col("key").alias("_key"), F.col("tag").alias("_tag")), ["_key", "_tag"], "left_semi").select([F.col(f"`{c}`") for c in docs.columns])
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    key, tag = F.xxhash64(F.col(f"`{id_col}`"), text).alias("key"), F.hash(text, F.col(f"`{id_col}`")).alias("tag")
+    worded = text.rlike(r"[^\x20\x09-\x0D]")
+    kept = docs.where(worded).select(row, key, tag).join(keep, ["key", "tag"], "left_semi").dropDuplicates(["key", "tag"]).select("row")
+    kept = kept.unionByName(docs.where(~worded).select(row))
+    return kept.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))

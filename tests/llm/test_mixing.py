@@ -131,3 +131,13 @@ def test_both_fits_take_the_same_steps(spark, monkeypatch):
         got.append({r[:3]: r.probability for r in out.collect()})
     assert len(got[0]) == 6 and got[0]["c", "y", 1] == 0.8 and got[0][None, "x", 0] == pytest.approx(1)
     assert got[0] == pytest.approx(got[1])
+
+
+def test_mixed_keeps_columns_of_any_name(spark):
+    from contestlab.llm.mixing import mixed
+
+    data = [(i, f"some words of text {i}", "en", "s", f"d{i}", f"x{i}", f"r{i}") for i in range(60)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, _draw string, draw string, row string")
+    kept = mixed(docs)
+    assert kept.schema == docs.schema
+    assert 0 < kept.count() < 60 and set(map(tuple, kept.collect())) <= set(data)

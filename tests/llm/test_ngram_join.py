@@ -68,6 +68,15 @@ def test_matches_brute_force(spark, block):
         assert sorted(classes[r.n_chars] for r in kept) == sorted(set(classes))
 
 
+def test_one_of_each_class_keeps_columns_of_any_name(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    data = [(2, text, "k2", "t2", "r2", "d2"), (1, text + " tail", "k1", "t1", "r1", "d1"), (3, "other words", "k3", "t3", "r3", "d3"), (4, None, None, "t4", "r4", "d4")]
+    docs = spark.createDataFrame(data, "doc_id long, text string, key string, _tag string, row string, _key string")
+    kept = one_of_each_class(docs)
+    assert kept.schema == docs.schema
+    assert sorted(map(tuple, kept.collect())) == [data[1], data[2], data[3]]
+
+
 def test_empty_table(spark):
     assert ngram_join(frame(spark, [])).count() == 0
 
