@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize_scratch
 from .scan import GroupOrder, prefix_levels, scan
+from .stats import t_two_sided
 
 HASH_PREFIXES = (5, 3, 1)  # bucket levels of the rank scan: 16^5, 16^3 and 16 hash prefixes per stratum
 
@@ -157,25 +158,49 @@ def tune(pipeline: Pipeline, grid: list, train: DataFrame, label: str, fold_col:
 class RaceResult:
     kept: list[int]
     fold_scores: dict[int, list[float]]
+    steps: list[tuple[int, int, float, bool]]  # candidate, fold, score, alive after the fold
 
 
-def race(pipeline: Pipeline, grid: list, train: DataFrame, label: str, fold_col: str = "fold", k: int = 10,
-         burn_in: int = 3, margin: float = 0.01, metric: str = "areaUnderROC") -> RaceResult:
-    """Racing: evaluate all candidates on the first ``burn_in`` folds, then after each further fold drop candidates
-    whose mean score trails the leader by more than ``margin``. Each fit is a Spark job; only scores reach the driver."""
-    ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction", metricName=metric)
-    alive = list(range(len(grid)))
+def trails(leader: list[float], other: list[float], alpha: float = 0.05, margin: float = 0.0) -> bool:
+    """Whether the leader beats a candidate by more than ``margin``, by the differences on the same folds: the one-sided
+    confidence bound of their mean (Student's t, level ``alpha``) lies above it. Differences that are all equal decide as
+    they are."""
+    d = [a - b - margin for a, b in zip(leader, other, strict=True)]
+    n, mean = len(d), sum(d) / len(d)
+    if n < 2 or mean <= 0:
+        return False
+    error = math.sqrt(sum((x - mean) ** 2 for x in d) / (n - 1) / n)
+    return error < 1e-12 or t_two_sided(mean / error, n - 1) / 2 < alpha
+
+
+def race_folds(score, candidates: int, k: int, burn_in: int = 3, alpha: float = 0.05, margin: float = 0.0) -> RaceResult:
+    """Racing over folds: ``score(candidate, fold)`` is asked for every candidate on the first ``burn_in`` folds, then after
+    each fold for those only that do not trail the leader, the best mean of the folds so far (the first of equal ones)."""
+    alive = list(range(candidates))
     scores: dict[int, list[float]] = {i: [] for i in alive}
+    steps = []
     for f in range(k):
-        fit_df, val_df = train.where(F.col(fold_col) != f), train.where(F.col(fold_col) == f)
         for i in alive:
-            model = pipeline.fit(fit_df, grid[i])
-            scores[i].append(ev.evaluate(model.transform(val_df)))
+            scores[i].append(score(i, f))
+        before = alive
         if f + 1 >= burn_in and len(alive) > 1:
-            means = {i: sum(scores[i]) / len(scores[i]) for i in alive}
-            best = max(means.values())
-            alive = [i for i in alive if means[i] >= best - margin]
-    return RaceResult(kept=alive, fold_scores=scores)
+            leader = max(alive, key=lambda i: (sum(scores[i]), -i))
+            alive = [i for i in alive if i == leader or not trails(scores[leader], scores[i], alpha, margin)]
+        steps += [(i, f, scores[i][-1], i in alive) for i in before]
+    return RaceResult(kept=alive, fold_scores=scores, steps=steps)
+
+
+def race(pipeline: Pipeline, grid: list, train: DataFrame, label: str, fold_col: str = "fold", k: int = 10,
+         burn_in: int = 3, alpha: float = 0.05, margin: float = 0.0, metric: str = "areaUnderROC") -> RaceResult:
+    """``race_folds`` over the candidates of a grid: each score is a fit on the other folds and an evaluation on the fold,
+    both Spark jobs; only scores reach the driver."""
+    ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction", metricName=metric)
+
+    def score(i: int, f: int) -> float:
+        model = pipeline.fit(train.where(F.col(fold_col) != f), grid[i])
+        return ev.evaluate(model.transform(train.where(F.col(fold_col) == f)))
+
+    return race_folds(score, len(grid), k, burn_in, alpha, margin)
 
 
 def with_probability(pred: DataFrame, out: str = "prob") -> DataFrame:

@@ -52,6 +52,16 @@ def tune_logistic(table: DataFrame, seed: int = 234, k: int = 10, parallelism: i
     return [(*r, rank[r[0]]) for r in rows]
 
 
+def race_logistic(table: DataFrame, seed: int = 234, k: int = 5, burn_in: int = 3) -> list[tuple]:
+    """Racing over regularisation strengths on stratified folds: rows ``(candidate, reg_param, fold, auc, alive)``."""
+    s = ml.stratified_split(table, ["win"], "contest_id", prop=0.75, seed=seed).where(F.col("split") == "train")
+    folded = materialize_scratch(ml.stratified_folds(s, ["win"], "contest_id", k=k, seed=seed), "folds")
+    est = ml.classifiers("label")["logistic"]
+    grid = ParamGridBuilder().addGrid(est.regParam, [0.0001, 0.01, 0.3, 3.0]).build()
+    found = ml.race(ml.workflow(ml.preprocess_stages(FEATURE_COLS), est), grid, folded, "label", k=k, burn_in=burn_in)
+    return [(i, float(grid[i][est.regParam]), f, float(x), alive) for i, f, x, alive in found.steps]
+
+
 def holdout_scores(spark: SparkSession, table: DataFrame, holdout_season: int) -> DataFrame:
     """Temporal hold-out: fit on earlier seasons, save the fitted pipeline, load it back and score the hold-out
     season (the stored model is what a weekly scoring job would load)."""

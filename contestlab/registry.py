@@ -433,6 +433,12 @@ def q_tune_logistic(spark, sf_dir):
     return spark.createDataFrame(rows, "candidate long, reg_param double, elastic_net double, mean_auc double, rank long")
 
 
+@register("race_steps")
+def q_race_steps(spark, sf_dir):
+    rows = models.race_logistic(_model_table(spark, sf_dir))
+    return spark.createDataFrame(rows, "candidate long, reg_param double, fold long, auc double, alive boolean")
+
+
 @register("holdout_scores")
 def q_holdout_scores(spark, sf_dir):
     t = _model_table(spark, sf_dir)

@@ -99,3 +99,21 @@ def test_standings_document_is_nested_text(spark):
     got = {r.team_abb: r for r in documents.standings_rows(record, teams).collect()}
     assert (got["A"].wins, got["A"].home_wins, got["A"].away_losses, got["A"].pts_diff, got["A"].win_pct, got["A"].seed) == (1, 1, 1, 4, 0.5, 1)
     assert (got["B"].g_behind, got["B"].seed, got["B"].conf) == (0, 2, "5")
+
+
+def test_race_fits_only_survivors():
+    """Scores by fold are given: a clear loser goes after the burn-in, a close candidate stays, equal ones stay."""
+    asked = []
+    noise = [0.01, -0.02, 0.015, 0.0, -0.01, 0.02, 0.005, -0.005, 0.01, 0.0]
+
+    def score(i, f):
+        asked.append((i, f))
+        return [0.9 + noise[f], 0.6 + noise[-f], 0.9 + noise[(f + 3) % 10], 0.9 + noise[f], 0.88 + noise[f]][i]
+
+    found = ml.race_folds(score, 5, 10, burn_in=3)
+    assert len(asked) < 50 and {f for i, f in asked if i == 1} == {0, 1, 2}
+    assert {0, 2, 3} <= set(found.kept) and 1 not in found.kept
+    assert 4 not in found.kept  # always 0.02 behind the leader: its differences do not vary
+    assert [s[:2] for s in found.steps] == asked
+    assert all(alive == (i in found.kept) for i, f, _, alive in found.steps if f == 9)
+    assert not ml.trails([0.5], [0.1]) and not ml.trails([0.5, 0.6], [0.6, 0.5]) and ml.trails([0.5, 0.6], [0.4, 0.5])
