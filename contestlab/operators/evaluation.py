@@ -7,7 +7,7 @@ are scanned in one place.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.nulls import round_half_up, safe_div
@@ -202,3 +202,35 @@ def favourite_label(line: str = "line", home_away: str = "home_away"):
         .when((is_home & (ln > 0)) | (~is_home & (ln < 0)), "favourite")
         .otherwise("underdog")
     )
+
+
+def metric_table(df: DataFrame, by: list[str], truth: str = "truth", pred: str = "pred", prob: str = "prob", score: str = "score",
+                 eps: float = 1e-15, digits: int = 6) -> DataFrame:
+    """All class metrics of every group of a scoring table, long: rows ``(*by, metric, value)`` with accuracy, kappa, log loss,
+    ROC AUC, sensitivity, specificity, precision and Youden's J. A metric that a group has no value for (log loss without
+    probabilities, AUC of one class) is NULL. One aggregation for the counts; the AUC ranks distinct scores of all groups in
+    one scan, so neither a large group nor many groups meet in one task."""
+    p, t = F.col(pred), F.col(truth)
+    clipped = F.least(F.greatest(F.col(prob), F.lit(eps)), F.lit(1 - eps))
+    loss = F.when(F.col(prob).isNotNull(), F.when(t == 1, -F.log(clipped)).otherwise(-F.log(1 - clipped)))
+
+    def cell(a: int, b: int) -> Column:
+        return F.sum(F.when((p == a) & (t == b), 1.0).otherwise(0.0))
+
+    cells = df.groupBy(*by).agg(cell(1, 1).alias("tp"), cell(1, 0).alias("fp"), cell(0, 1).alias("fn"), cell(0, 0).alias("tn"), F.avg(loss).alias("log_loss"))
+    group = F.struct(*by).alias("__g")
+    st = df.where(F.col(score).isNotNull()).groupBy(group, F.col(score).alias("score")).agg(
+        F.sum(F.when(t == 1, 1).otherwise(0)).cast("bigint").alias("pos"), F.sum(F.when(t == 0, 1).otherwise(0)).cast("bigint").alias("neg"))
+    cum = scan(st, GroupOrder(keys=["__g"], order=["score"], levels=numeric_levels("score", SCORE_WIDTHS)), sums={"upto": F.col("neg")})
+    below = F.col("pos").cast("double") * (F.col("upto") - F.col("neg") / 2.0)
+    area = cum.groupBy("__g").agg(safe_div(F.sum(below), F.sum("pos").cast("double") * F.sum("neg")).alias("roc_auc"))
+    tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
+    n = tp + fp + fn + tn
+    acc, sens, spec = safe_div(tp + tn, n), safe_div(tp, tp + fn), safe_div(tn, tn + fp)
+    chance = safe_div((tp + fp) * (tp + fn) + (fn + tn) * (fp + tn), n * n)
+    values = {
+        "accuracy": acc, "kappa": safe_div(acc - chance, 1 - chance), "log_loss": F.col("log_loss"), "roc_auc": F.col("roc_auc"),
+        "sensitivity": sens, "specificity": spec, "precision": safe_div(tp, tp + fp), "j_index": sens + spec - 1,
+    }
+    rows = F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), round_half_up(v, digits).alias("value")) for m, v in values.items()]))
+    return cells.withColumn("__g", group).join(area, "__g", "left").select(*by, rows)

@@ -1129,3 +1129,44 @@ votes as (select id, label, vote, count(*) as votes, avg(dist) as mean_d from k
 select id, label, vote as pred, votes
 from (select *, row_number() over (partition by id order by votes desc, mean_d, vote) as r from votes) where r = 1
 """
+
+SQL["tune_fold_sizes"] = "with pg as (" + SQL["pregame_features"] + """), sp as (
+  select contest_id, win, md5(cast(contest_id as varchar) || '-234') as h,
+         row_number() over (partition by win order by md5(cast(contest_id as varchar) || '-234'), contest_id) as pos,
+         count(*) over (partition by win) as n
+  from pg
+), fd as (
+  select win, (row_number() over (partition by win order by h, contest_id) - 1) % 5 as fold from sp where pos <= floor(0.75 * n + 0.5)
+), sizes as (select cast(fold as integer) as fold, count(*) as n_rows, cast(sum(win) as bigint) as n_wins from fd group by fold)
+select w.workflow, cast(c.candidate as bigint) as candidate, fold, n_rows, n_wins
+from sizes, (values ('scaled__logistic'), ('plain__forest')) w(workflow), range(20) c(candidate)
+"""
+
+SQL["spread_split"] = "with sf as (" + SQL["spread_features"] + """), b as (
+  select contest_id, spread, cast(floor(4.0 * (rank() over (order by spread) - 1) / count(*) over ()) as bigint) as bin from sf
+), p as (
+  select *, row_number() over (partition by bin order by md5(cast(contest_id as varchar) || '-234'), contest_id) as pos, count(*) over (partition by bin) as n from b
+)
+select contest_id, spread, bin, case when pos <= floor(0.75 * n + 0.5) then 'train' else 'test' end as split from p
+"""
+
+_STATE = "partition by team"
+SQL["coming_week_features"] = FEATURE_BASE + f""",
+hist as (
+  select *, row_number() over (partition by team order by gameday desc, contest_id desc) as rn from st where season = 1998 and week < 27
+), state0 as (
+  select team, rn, gameday as last_day, """ + ", ".join(f"{r(c, 4)} as {c}" for c in (*RECORD_LAGS, "elo")) + ", " + ", ".join(
+    f"{scaled_prev_mean(c, 3, frame=_STATE)} as {c}" for c in OFFENSE_MEANS + DEFENSE_MEANS) + """
+  from hist
+), state as (select * from state0 where rn = 1),
+fx as (
+  select season, week, gameday, contest_id, game_id, home_team as team, away_team as opponent, line, 'home' as home_away from contests where season = 1998 and week = 27
+  union all
+  select season, week, gameday, contest_id, game_id, away_team, home_team, line, 'away' from contests where season = 1998 and week = 27
+), fl as (
+  select fx.*, 0 as win, cast(coalesce(datediff('day', s.last_day, fx.gameday), 7) as bigint) as rest_days,
+         cast(case when line > 0 then 1 else 0 end as bigint) as home_fav, abs(line) as abs_spread_line,
+         """ + ", ".join(f"s.{c}" for c in (*RECORD_LAGS, "elo", *OFFENSE_MEANS, *DEFENSE_MEANS)) + """
+  from fx left join state s on s.team = fx.team
+)
+""" + _matchup_sql([], PREGAME_FEATURES, OPP_FEATURES).replace("h.win,", "", 1)

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from .functions import nulls as nullf
 from .functions.text import clean_name, clock_to_seconds
-from .operators import evaluation, ml, nested, ratings, records, reshape, rolling, side_stats, stats
+from .operators import evaluation, ml, nested, ratings, records, reshape, rolling, side_stats, stats, tuning
 from .operators.reshape import sides
 from .operators.scan import GroupOrder, scan, time_levels
-from .plans import documents, features, models, predictions
+from .plans import documents, features, models, predictions, workflows
 from .plans.matchups import next_matchups
 from .plans.standings import standings
 from .session import materialize_scratch
@@ -571,3 +571,75 @@ def q_variable_importance(spark, sf_dir):
     model = ml.workflow(ml.preprocess_stages(models.FEATURE_COLS, drop_zero_variance=False), est).fit(t)
     rows = ml.importance(model, models.FEATURE_COLS)
     return spark.createDataFrame(rows, "feature string, importance double")
+
+
+TUNED_PAIRS, TUNED_FOLDS = [("scaled", "logistic"), ("plain", "forest")], 5
+
+
+def _tuned(spark, sf_dir):
+    """The scoring table of the workflow set, stored once per contests snapshot and version of the code that makes it."""
+    def build():
+        return workflows.tuned_scores(spark, _model_table(spark, sf_dir), workflows.win_workflows(pairs=TUNED_PAIRS), k=TUNED_FOLDS)
+    return prepared.stored(spark, sf_dir, "tuned", (workflows, tuning, ml, features, models, side_stats, records, ratings), build)
+
+
+@register("tune_workflows")
+def q_tune_workflows(spark, sf_dir):
+    return workflows.tuned_metrics(_tuned(spark, sf_dir))
+
+
+@register("tune_ranking")
+def q_tune_ranking(spark, sf_dir):
+    return tuning.ranking(spark, workflows.win_workflows(pairs=TUNED_PAIRS), workflows.tuned_metrics(_tuned(spark, sf_dir)))
+
+
+@register("tune_fold_sizes")
+def q_tune_fold_sizes(spark, sf_dir):
+    return _tuned(spark, sf_dir).groupBy("workflow", "candidate", "fold").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("truth").alias("n_wins"))
+
+
+def _spread_split(spark, sf_dir):
+    def build():
+        t = features.spread_features(prepared.contests(spark, sf_dir), prepared.plays(spark, sf_dir))
+        return workflows.spread_split(materialize_scratch(t, "spread_table"))
+    return prepared.stored(spark, sf_dir, "spread_split", (workflows, ml, features, side_stats, records), build)
+
+
+@register("spread_split")
+def q_spread_split(spark, sf_dir):
+    return _spread_split(spark, sf_dir).select("contest_id", "spread", "bin", "split")
+
+
+def _register_spread(model: str) -> None:
+    @register(f"fit_spread_{model}")
+    def q_fit_spread(spark, sf_dir):
+        return workflows.fit_spread(_spread_split(spark, sf_dir), model)
+
+
+for _model in ("linear", "gbt", "forest", "bagged"):
+    _register_spread(_model)
+
+
+@register("spread_model_metrics")
+def q_spread_model_metrics(spark, sf_dir):
+    split = _spread_split(spark, sf_dir)
+    parts = [evaluation.regression_metrics(workflows.fit_spread(split, m), actual="truth").withColumn("model", F.lit(m)) for m in ("linear", "bagged")]
+    return parts[0].unionByName(parts[1])
+
+
+COMING = (1998, 27)
+
+
+def _coming(spark, sf_dir):
+    k = prepared.contests(spark, sf_dir)
+    return workflows.coming_week(k, features.side_table(k, prepared.plays(spark, sf_dir), prepared.ratings(spark, sf_dir)), *COMING)
+
+
+@register("coming_week_features")
+def q_coming_week_features(spark, sf_dir):
+    return _coming(spark, sf_dir)
+
+
+@register("coming_week_scores")
+def q_coming_week_scores(spark, sf_dir):
+    return workflows.coming_week_scores(spark, _model_table(spark, sf_dir), _coming(spark, sf_dir), *COMING)

@@ -108,7 +108,7 @@ def _file_hash(path: str) -> str:
         return hashlib.sha1(fh.read()).hexdigest()[:12]
 
 
-def _stored(spark: SparkSession, sf_dir: str, name: str, modules: tuple, build) -> DataFrame:
+def stored(spark: SparkSession, sf_dir: str, name: str, modules: tuple, build) -> DataFrame:
     """Read-or-build of a table derived from the contests: once per contests snapshot and version of the modules."""
     from .tables import materialize
 
@@ -123,11 +123,11 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Elo ratings by week (default parameters, full precision); rounding is left to the caller."""
     from ..operators import ratings as rating_ops
 
-    return _stored(spark, sf_dir, "elo", (rating_ops,), lambda: rating_ops.period_ratings(contests(spark, sf_dir)))
+    return stored(spark, sf_dir, "elo", (rating_ops,), lambda: rating_ops.period_ratings(contests(spark, sf_dir)))
 
 
 def record(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The running record with margins, read by every query that lags, carries or averages it."""
     from ..operators import records, scan
 
-    return _stored(spark, sf_dir, "record", (records, scan), lambda: records.with_margin(records.team_record(contests(spark, sf_dir))))
+    return stored(spark, sf_dir, "record", (records, scan), lambda: records.with_margin(records.team_record(contests(spark, sf_dir))))
