@@ -453,19 +453,39 @@ union all
 select * from (select 'worst' as side, season, team, mean_elo from m order by mean_elo asc, season, team limit 20)
 """
 
-OFFENSE_MEANS = ["third_down_pct", "turnovers", "value_added", "score_drives_pct", "score_diff"]
-DEFENSE_MEANS = ["def_third_down_pct", "def_turnovers", "def_value_added", "def_score_drives_pct"]
+_PRE_REG = with_ctes(CONTESTS, PLAYS, REG)
+POSS_CTE = "poss as (with " + SQL["possession_share"][len(_PRE_REG):].lstrip().lstrip(",") + ")"
+MARG_CTE = "marg as (with " + SQL["period_margin"][len(_PRE_REG):].lstrip().lstrip(",") + ")"
+
+OFFENSE_MEANS = ["third_down_pct", "turnovers", "value_added", "score_drives", "score_drives_pct", "score_diff", "possession_sec", "possession_pct"]
+DEFENSE_MEANS = ["def_third_down_pct", "def_turnovers", "def_value_added", "def_score_drives", "def_score_drives_pct"]
+CHANGES = [f"dscore_diff_qtr_{k}" for k in range(1, 5)]
+PERIOD_MEANS = [
+    "ndrives", "def_ndrives", "pts_scored", *[f"qtr_pts_{k}" for k in range(1, 5)], *[f"score_diff_qtr_{k}" for k in range(1, 5)], *CHANGES,
+    *[f"def_qtr_pts_{k}" for k in range(1, 5)],
+]
 RECORD_LAGS = ["win_pct", "home_win_pct", "away_win_pct"]
 
+def _feature_source(c: str) -> str:
+    """The subquery that has a column of the side table."""
+    if c.startswith("def_"):
+        return f"d.{c}"
+    if c.startswith("possession"):
+        return f"p.{c}"
+    return f"m.{c}" if "score_diff_qtr" in c else f"o.{c}"
+
+
 FEATURE_BASE = "with recursive " + ",\n".join(
-    c.strip() for c in (CONTESTS, SIDES, PLAYS, REG, DREG, RECORD, ELO, OFF_CTE, DEF_CTE)
+    c.strip() for c in (CONTESTS, SIDES, PLAYS, REG, DREG, RECORD, ELO, OFF_CTE, DEF_CTE, POSS_CTE, MARG_CTE)
 ) + """,
 st as (
-  select rc.*, k.line, """ + ", ".join(f"o.{c}" for c in OFFENSE_MEANS) + ", " + ", ".join(f"d.{c}" for c in DEFENSE_MEANS) + """, e.elo, e.prior_elo
+  select rc.*, k.line, """ + ", ".join(_feature_source(c) for c in OFFENSE_MEANS + DEFENSE_MEANS + PERIOD_MEANS) + """, e.elo, e.prior_elo
   from record rc
   left join contests k on k.contest_id = rc.contest_id
   left join off o on o.contest_id = rc.contest_id and o.team = rc.team
   left join deff d on d.contest_id = rc.contest_id and d.team = rc.team
+  left join poss p on p.contest_id = rc.contest_id and p.team = rc.team
+  left join marg m on m.contest_id = rc.contest_id and m.team = rc.team
   left join elo e on e.contest_id = rc.contest_id and e.team = rc.team
 )"""
 
@@ -515,11 +535,13 @@ fl as (
 )
 """ + _matchup_sql([], REDUCED, REDUCED)
 
-_POST_FEATS = ["win_pct", "elo", *OFFENSE_MEANS, *DEFENSE_MEANS]
+_POST_FEATS = ["rest_days", *RECORD_LAGS, "elo", *OFFENSE_MEANS, *DEFENSE_MEANS, *PERIOD_MEANS]
 SQL["postgame_features"] = FEATURE_BASE + """,
 t as (
   select season, week, contest_id, team, opponent, home_away, win, own_score as points_for, opp_score as points_against,
-         spread, line, win_pct, """ + r("elo", 4) + " as elo, " + ", ".join(OFFENSE_MEANS + DEFENSE_MEANS) + """
+         spread, line, cast(case when line > 0 then 1 else 0 end as bigint) as home_fav,
+         cast(case when (home_away = 'home' and line > 0) or (home_away = 'away' and line < 0) then 1 else 0 end as bigint) as fav,
+         abs(line) as abs_spread_line, """ + ", ".join(r("elo", 4) + " as elo" if c == "elo" else c for c in _POST_FEATS) + """
   from st
 )
 select t.*, """ + ", ".join(f"o.{c} as opp_{c}" for c in _POST_FEATS) + """
@@ -951,10 +973,6 @@ select count(*) as n,
 from pred
 """
 
-_PRE_REG = with_ctes(CONTESTS, PLAYS, REG)
-POSS_CTE = "poss as (with " + SQL["possession_share"][len(_PRE_REG):].lstrip().lstrip(",") + ")"
-MARG_CTE = "marg as (with " + SQL["period_margin"][len(_PRE_REG):].lstrip().lstrip(",") + ")"
-
 SQL["game_stats"] = with_ctes(CONTESTS, PLAYS, REG, OFF_CTE, POSS_CTE, MARG_CTE) + """
 select o.*, p.possession_sec, p.possession_pct, """ + ", ".join(
     [f"m.score_diff_qtr_{k}" for k in range(1, 5)] + [f"m.dscore_diff_qtr_{k}" for k in range(1, 5)]
@@ -1007,15 +1025,21 @@ SPREAD_MEANS = [*OFFENSE_MEANS, *DEFENSE_MEANS, "spread_lag"]
 SPREAD_FEATURES = ["line", "rest", *RECORD_LAGS, *SPREAD_MEANS]
 SPREAD_OPP = ["rest", *RECORD_LAGS, *SPREAD_MEANS]
 
+def _carried(side: str, prefix: str) -> list[str]:
+    pts = {n: " + ".join(f"{side}.{c}_{k}" for k in range(1, 5)) for n, c in (("pts_for", "qtr_pts"), ("pts_against", "def_qtr_pts"))}
+    cols = [f"coalesce({side}.{c}, 0.0) as {prefix}{c}" if c in CHANGES else f"{side}.{c} as {prefix}{c}" for c in PERIOD_MEANS]
+    return cols + [f"{e} as {prefix}{n}" for n, e in pts.items()] + [f"({pts['pts_for']}) - ({pts['pts_against']}) as {prefix}point_diff"]
+
+
 SQL["spread_features"] = FEATURE_BASE + f""",
 pr as (
   select season, week, gameday, contest_id, game_id, team, opponent, home_away, spread, line,
          case when rest_days < 7 then 'short' when rest_days = 7 then 'normal' when rest_days > 7 then 'long' end as rest,
-         {_prior_select(OFFENSE_MEANS + DEFENSE_MEANS, RECORD_LAGS)},
+         {_prior_select(OFFENSE_MEANS + DEFENSE_MEANS + PERIOD_MEANS, RECORD_LAGS)},
          {scaled_prev_mean('spread', 3)} as spread_lag
   from st
 ), fl as (select * from pr)
-""" + _matchup_sql([], SPREAD_FEATURES, SPREAD_OPP, label="spread")
+""" + _matchup_sql([], SPREAD_FEATURES, SPREAD_OPP, label="spread").replace("\nfrom fl h", ",\n       " + ",\n       ".join(_carried("h", "") + _carried("a", "opp_")) + "\nfrom fl h", 1)
 
 SQL["rolling_offense"] = with_ctes(CONTESTS, PLAYS, REG, OFF_CTE, POSS_CTE, MARG_CTE) + ", gs as (" + SQL["game_stats"].split(MARG_CTE)[1].strip() + """)
 , t as (select gs.*, k.gameday from gs join contests k on k.contest_id = gs.contest_id)

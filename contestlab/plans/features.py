@@ -21,10 +21,16 @@ from ..operators.scan import scan
 from ..session import materialize_scratch
 
 KEYS = ["contest_id", "team"]
-# Season-to-date inputs. Period points are left out by default: with a handful of plays per contest most periods
-# hold a single play per side, which gives NULL, and a strict running mean stays NULL after the first one.
-OFFENSE_MEANS = ["third_down_pct", "turnovers", "value_added", "score_drives_pct", "score_diff"]
-DEFENSE_MEANS = ["def_third_down_pct", "def_turnovers", "def_value_added", "def_score_drives_pct"]
+# Season-to-date inputs that every contest with plays has.
+OFFENSE_MEANS = ["third_down_pct", "turnovers", "value_added", "score_drives", "score_drives_pct", "score_diff", "possession_sec", "possession_pct"]
+DEFENSE_MEANS = ["def_third_down_pct", "def_turnovers", "def_value_added", "def_score_drives", "def_score_drives_pct"]
+# Drive counts and period values. With a handful of plays per contest most periods hold a single play per side, which gives
+# NULL; so they are carried where the wide tables have them, but no row is dropped for lacking one.
+CHANGES = [f"dscore_diff_qtr_{k}" for k in side_stats.REGULAR_PERIODS]
+PERIOD_MEANS = [
+    "ndrives", "def_ndrives", "pts_scored", *[f"qtr_pts_{k}" for k in side_stats.REGULAR_PERIODS],
+    *[f"score_diff_qtr_{k}" for k in side_stats.REGULAR_PERIODS], *CHANGES, *[f"def_qtr_pts_{k}" for k in side_stats.REGULAR_PERIODS],
+]
 RECORD_LAGS = ["win_pct", "home_win_pct", "away_win_pct"]
 
 
@@ -39,13 +45,14 @@ def favorite_flags(df: DataFrame, line: str = "line", home_away: str = "home_awa
     return df.withColumns({"home_fav": home_fav, "fav": fav, "abs_spread_line": F.abs(ln)})
 
 
-def side_table(contests: DataFrame, plays: DataFrame, elo: DataFrame | None = None) -> DataFrame:
-    """Post-contest side table: record, margin, line, offence, defence and (optionally) rating per contest side."""
+def side_table(contests: DataFrame, plays: DataFrame, elo: DataFrame | None = None, periods: bool = False) -> DataFrame:
+    """Post-contest side table: record, margin, line, offence, possession, defence and (optionally) period margins and rating
+    per contest side."""
     rec = records.with_margin(records.team_record(contests, keep=["line"]))
-    off = side_stats.offense_stats(plays).drop("season", "week", "game_id")
+    off = side_stats.game_stats(plays) if periods else side_stats.offense_stats(plays).join(side_stats.possession_share(plays), KEYS, "left")
     deff = side_stats.defense_stats(plays).drop("season", "week", "game_id")
-    t = rec.join(off.drop("home", "div_game", "pts_scored", "ndrives", "score_drives"), KEYS, "left")
-    t = t.join(deff.drop("def_ndrives", "def_score_drives"), KEYS, "left")
+    t = rec.join(off.drop("season", "week", "game_id", "home", "div_game"), KEYS, "left")
+    t = t.join(deff, KEYS, "left")
     if elo is not None:
         t = t.join(_with_prior(elo), KEYS, "left")
     return t
@@ -154,16 +161,17 @@ def pregame_features(contests: DataFrame, plays: DataFrame, elo: DataFrame | Non
     return drop_incomplete(m.select(*cols), subset=PREGAME_FEATURES + [f"opp_{c}" for c in OPP_FEATURES])
 
 
+POST_FEATURES = ["rest_days", *RECORD_LAGS, "elo", *OFFENSE_MEANS, *DEFENSE_MEANS, *PERIOD_MEANS]
+
+
 def postgame_features(contests: DataFrame, plays: DataFrame, elo: DataFrame | None = None) -> DataFrame:
     """Both sides of every contest with their own post-contest values and the opponent's as ``opp_*``, plus points
-    for, points against and the margin."""
+    for, points against, the margin, the line and who it favours."""
     elo = elo if elo is not None else ratings.period_ratings(contests)
-    t = side_table(contests, plays, elo)
+    t = favorite_flags(side_table(contests, plays, elo, periods=True))
     t = t.withColumns({"points_for": F.col("own_score"), "points_against": F.col("opp_score")})
-    feats = ["win_pct", "elo", *OFFENSE_MEANS, *DEFENSE_MEANS]
-    out = opponent_mirror(t.select("season", "week", "contest_id", "team", "opponent", "home_away", "win", "points_for",
-                                   "points_against", "spread", "line", *feats), feats)
-    return out
+    return opponent_mirror(t.select("season", "week", "contest_id", "team", "opponent", "home_away", "win", "points_for", "points_against",
+                                    "spread", "line", "home_fav", "fav", "abs_spread_line", *POST_FEATURES), POST_FEATURES)
 
 
 REDUCED = ["spread", "turnovers", *RECORD_LAGS, "elo"]
@@ -190,13 +198,21 @@ SPREAD_OPP = ["rest", *RECORD_LAGS, *SPREAD_MEANS]
 
 
 def spread_features(contests: DataFrame, plays: DataFrame) -> DataFrame:
-    """Margin model table: home margin as label, line, rest category, lagged record, season-to-date offence,
-    defence and margin (``spread_lag``), with the away side's values as ``opp_*``."""
-    t = side_table(contests, plays).withColumn("spread_lag", F.col("spread"))
+    """Margin model table: home margin as label, line, rest category, lagged record, season-to-date offence, defence, period
+    values and margin (``spread_lag``), with the away side's values as ``opp_*``. Missing changes between periods are 0;
+    ``pts_for``, ``pts_against`` and ``point_diff`` are sums of the period means (NULL where one is)."""
+    t = side_table(contests, plays, periods=True).withColumn("spread_lag", F.col("spread"))
     t = materialize_scratch(t, "spread_side_table")
-    t = prior_values(t, SPREAD_MEANS, RECORD_LAGS)
+    t = prior_values(t, [*SPREAD_MEANS, *PERIOD_MEANS], RECORD_LAGS)
     t = t.withColumn("rest", records.rest_bucket())
     ids = ["season", "week", "gameday", "contest_id", "game_id", "team", "opponent"]
-    m = matchup_rows(t, ids, [c for c in SPREAD_FEATURES if c != "line"] + ["line"], label="spread").drop("opp_line")
-    cols = ids + ["spread"] + SPREAD_FEATURES + [f"opp_{c}" for c in SPREAD_OPP]
+    m = matchup_rows(t, ids, [c for c in SPREAD_FEATURES if c != "line"] + PERIOD_MEANS + ["line"], label="spread").drop("opp_line")
+    m = m.fillna(0.0, subset=[f"{p}{c}" for p in ("", "opp_") for c in CHANGES])
+    for p in ("", "opp_"):
+        for name, c in (("pts_for", "qtr_pts"), ("pts_against", "def_qtr_pts")):
+            a, *more = [F.col(f"{p}{c}_{k}") for k in side_stats.REGULAR_PERIODS]
+            m = m.withColumn(f"{p}{name}", sum(more, a))
+        m = m.withColumn(f"{p}point_diff", F.col(f"{p}pts_for") - F.col(f"{p}pts_against"))
+    carried = [*PERIOD_MEANS, "pts_for", "pts_against", "point_diff"]
+    cols = ids + ["spread"] + SPREAD_FEATURES + carried + [f"opp_{c}" for c in [*SPREAD_OPP, *carried]]
     return drop_incomplete(m.select(*cols), subset=SPREAD_FEATURES + [f"opp_{c}" for c in SPREAD_OPP])
