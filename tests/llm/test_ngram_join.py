@@ -1,10 +1,11 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from cases import frame, rows
 
-from contestlab.llm.ngram_join import components, ngram_join, one_of_each_class, prefix_length
+from contestlab.llm.ngram_join import components, matched_lengths, ngram_join, one_of_each_class, prefix_length, shared_values
 
 
 def grams(text):
@@ -86,6 +87,32 @@ def test_prefix_length():
     assert 1 - (1 - 0.8**4) ** 16 > 0.9995
 
 
+def test_matched_lengths_are_longer_in_crowded_branches_and_keep_the_recall():
+    floor, trees, lengths = 3, 16, 6
+    empty = np.ones((trees, lengths), int)
+    crowded = np.tile([5000, 900, 80, 9, 2, 2], (trees, 1))
+    mixed = np.where(np.arange(trees)[:, None] < 6, crowded, empty)
+    out = matched_lengths(np.stack([empty, crowded, mixed]), floor, 0.8, 0.9995)
+    assert (out[0] == 3).all()  # nothing to gain from long prefixes
+    assert (out[1] == 4).all()  # crowded everywhere: only as short as the recall asks for
+    assert (out[2, 6:] == 3).all() and (out[2, :6] > 4).all()  # empty trees make up for the crowded ones
+    for row in out:
+        assert 1 - np.prod([1 - 0.8**d for d in row if d]) >= 0.9995
+
+
+def test_matched_lengths_where_whole_signatures_agree():
+    """A group of copies larger than any neighbourhood tried at first is still matched."""
+    sizes = np.full((1, 16, 6), 100_000)
+    assert (matched_lengths(sizes, 3, 0.8, 0.9995) == 3).all()
+
+
+def test_shared_values():
+    sigs = np.random.default_rng(3).integers(0, 3, (150, 128)).astype(np.uint16)
+    want = [[int((a == b).sum()) for b in sigs] for a in sigs]
+    assert shared_values(sigs).tolist() == want
+    assert shared_values(sigs[:4]).tolist() == [row[:4] for row in want[:4]]
+
+
 def test_components(spark):
     r = random.Random(2)
     pairs = [(f"{r.randrange(200):03d}", f"{r.randrange(200):03d}") for _ in range(150)] + [(f"c{i:03d}", f"c{i + 1:03d}") for i in range(60)]
