@@ -1194,3 +1194,49 @@ fx as (
   from fx left join state s on s.team = fx.team
 )
 """ + _matchup_sql([], PREGAME_FEATURES, OPP_FEATURES).replace("h.win,", "", 1)
+
+_CONTEST_COLUMNS = [
+    ("season", "bigint", "year in which the contest is played"),
+    ("week", "bigint", "week of the season, from 1"),
+    ("gameday", "date", "date of the contest"),
+    ("contest_id", "bigint", "identifier of the contest"),
+    ("game_id", "string", "season, week, away team and home team in one key"),
+    ("home_team", "string", "team that plays at home"),
+    ("away_team", "string", "team that travels"),
+    ("home_score", "bigint", "points of the home team at the end"),
+    ("away_score", "bigint", "points of the away team at the end"),
+    ("line", "double", "bookmaker''s line; above 0 the home team is the favourite"),
+    ("div_game", "bigint", "1 if both teams are of one division, else 0"),
+]
+
+SQL["contest_dictionary"] = with_ctes(CONTESTS) + "\nunion all\n".join(
+    f"select '{c}' as column_name, cast({i} as bigint) as position, '{t}' as column_type, '{d}' as description, "
+    f"count({c}) as n_filled, count(*) - count({c}) as n_missing from contests"
+    for i, (c, t, d) in enumerate(_CONTEST_COLUMNS, 1)
+)
+
+SQL["second_last_score"] = with_ctes(CONTESTS, SIDES) + """
+select season, team, own_score as second_last_score from sides
+qualify row_number() over (partition by season, team order by gameday desc, contest_id desc) = 2
+"""
+
+SQL["team_season_ids"] = with_ctes(CONTESTS, SIDES) + """
+select season, team, contest_id, dense_rank() over (order by season, team) as group_id from sides
+"""
+
+SQL["team_totals"] = with_ctes(CONTESTS, SIDES) + """
+select season, team, cast(sum(own_score) as bigint) as own_score, cast(sum(opp_score) as bigint) as opp_score,
+       cast(sum(is_home) as bigint) as is_home, cast(sum(div_game) as bigint) as div_game
+from sides group by season, team
+"""
+
+SQL["margin_summary"] = with_ctes(CONTESTS) + f"""
+, m as (select season, stddev_samp(home_score - away_score) as sd, avg(home_score - away_score) as mean from contests group by season)
+select season, {r('sd', 4)} as sd, {r('mean', 4)} as mean, {r(div('mean', 'sd'), 4)} as scaled_mean from m
+"""
+
+SQL["requested_weeks"] = with_ctes(CONTESTS) + """
+select season, greatest(season, 2002) as asked_season,
+       least(greatest(week, 2), case when greatest(season, 2002) >= 2021 then 18 else 17 end) as asked_week, count(*) as contests
+from contests group by 1, 2, 3
+"""

@@ -16,7 +16,7 @@ from .plans import documents, features, models, predictions, workflows
 from .plans.matchups import next_matchups
 from .plans.standings import standings
 from .session import materialize_scratch
-from .sources import adapters, prepared
+from .sources import adapters, dictionary, prepared
 from .sources.tables import bounded_broadcast, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -643,3 +643,40 @@ def q_coming_week_features(spark, sf_dir):
 @register("coming_week_scores")
 def q_coming_week_scores(spark, sf_dir):
     return workflows.coming_week_scores(spark, _model_table(spark, sf_dir), _coming(spark, sf_dir), *COMING)
+
+
+@register("contest_dictionary")
+def q_contest_dictionary(spark, sf_dir):
+    return dictionary.dictionary(dictionary.described(prepared.contests(spark, sf_dir), dictionary.CONTESTS))
+
+
+def _dated_sides(spark, sf_dir):
+    return sides(prepared.contests(spark, sf_dir)).withColumn("played", F.struct("gameday", "contest_id"))
+
+
+@register("second_last_score")
+def q_second_last_score(spark, sf_dir):
+    return stats.second_to_last(_dated_sides(spark, sf_dir), ["season", "team"], "played", "own_score", "second_last_score")
+
+
+@register("team_season_ids")
+def q_team_season_ids(spark, sf_dir):
+    return stats.group_ids(sides(prepared.contests(spark, sf_dir)).select("season", "team", "contest_id"), ["season", "team"])
+
+
+@register("team_totals")
+def q_team_totals(spark, sf_dir):
+    s = sides(prepared.contests(spark, sf_dir)).select("season", "team", "opponent", "own_score", "opp_score", "is_home", "div_game")
+    return stats.numeric_totals(s, ["season", "team"])
+
+
+@register("margin_summary")
+def q_margin_summary(spark, sf_dir):
+    return stats.spread_summary(prepared.contests(spark, sf_dir).withColumn("margin", F.col("home_score") - F.col("away_score")), "margin", ["season"])
+
+
+@register("requested_weeks")
+def q_requested_weeks(spark, sf_dir):
+    week = nullf.clamp_week(F.col("season"), F.col("week")).cast("bigint").alias("asked_week")
+    asked = prepared.contests(spark, sf_dir).select("season", F.greatest("season", F.lit(2002)).cast("bigint").alias("asked_season"), week)
+    return asked.groupBy("season", "asked_season", "asked_week").agg(F.count(F.lit(1)).alias("contests"))
