@@ -16,11 +16,11 @@ POINTS_PER_RATING = 25.0
 
 
 def rating_predictions(contests: DataFrame, elo: DataFrame | None = None) -> DataFrame:
-    elo = elo if elo is not None else ratings.period_ratings(contests)
+    elo = elo if elo is not None else ratings.elo_ratings(contests, digits=None)
     pre = ratings.pregame_ratings(elo)
     pair = pre.groupBy("contest_id").agg(
-        F.first(F.when(F.col("home_away") == "home", F.col("pre_elo")), ignorenulls=True).alias("home_pre"),
-        F.first(F.when(F.col("home_away") == "away", F.col("pre_elo")), ignorenulls=True).alias("away_pre"),
+        F.max(F.when(F.col("home_away") == "home", F.col("pre_elo"))).alias("home_pre"),
+        F.max(F.when(F.col("home_away") == "away", F.col("pre_elo"))).alias("away_pre"),
     )
     k = contests.select("season", "week", "contest_id", F.col("home_team").alias("team"), "line", "home_score", "away_score")
     j = k.join(pair, "contest_id", "inner")

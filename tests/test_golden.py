@@ -5,6 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from contestlab.operators import ratings, records
+from contestlab.plans import predictions
 
 
 def _contests(spark, rows):
@@ -103,6 +104,33 @@ def test_elo_order_option_and_chunks_agree(spark):
     assert len(deltas) == len(rows)
 
 
+def test_ratings_and_predictions_follow_every_contest(spark):
+    """Teams that play several times a week, contests without a season or a team, chunks that cut seasons."""
+    rows = []
+    for c in range(200):
+        h, a = c * c % 7, (c * 3 + 1) % 7
+        if h != a:
+            rows.append((2020 + c % 2, c // 80, dt.date(2020, 1, 1) + dt.timedelta(days=c // 9), c, "g", f"T{h}", f"T{a}", c * 7 % 31, c * 11 % 29, 0.0, 0))
+    odd = [(None, None, None, 900, "g", "T1", "T2", 3, 1, 0.0, 0), (2020, 1, dt.date(2020, 1, 5), 901, "g", None, "T2", 3, 1, 0.0, 0)]
+    now, want, prob = {}, {}, {}
+    for r in sorted([*rows, odd[1]], key=lambda r: (r[0], r[2], r[3])):
+        h, a = (now.get((r[0], t)) for t in r[5:7])
+        p = 1 / (1 + 10 ** (((a or 1500.0) - (h or 1500.0)) / 400))
+        d = 20 * ((r[7] > r[8]) - p) if r[5] else 0.0
+        prob[r[3]] = p
+        for t, x, was in ((r[5], d, h), (r[6], -d, a)):
+            if t:
+                now[r[0], t] = (was or 1500.0) + x
+                want[r[3], t] = (round(now[r[0], t], 6), was and round(was, 6))
+    k = _contests(spark, rows + odd)
+    for chunk_rows in (7, 1000):
+        got = ratings.elo_ratings(k, digits=None, chunk_rows=chunk_rows).collect()
+        assert {(r.contest_id, r.team): (round(r.elo, 6), r.prior_elo and round(r.prior_elo, 6)) for r in got} == want
+        assert len(got) == len(want)
+    predicted = {r.contest_id: r.prob for r in predictions.rating_predictions(_contests(spark, rows)).collect()}
+    assert predicted.keys() == {r[3] for r in rows} and all(abs(p - prob[c]) < 1e-6 for c, p in predicted.items())
+
+
 def test_record_rest_days_and_win_pct(spark):
     # rest 7 (first), 7, 8, 6, 7, 7, 14 and results W L L L W L W
     gaps = [0, 7, 8, 6, 7, 7, 14]
