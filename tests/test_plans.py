@@ -55,3 +55,15 @@ def test_period_ratings_run_in_the_jvm_and_count_pairs_first(spark):
     for plan in (*held, _plan(out)):
         assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
     assert "partial_count(1)" in held[0] and "home_team" in held[0]
+
+
+def test_buckets_and_reads_of_the_stored_tables_hold_bounded_rows(spark, tmp_path):
+    """Rows count, not bytes: these compress to almost nothing."""
+    for name, n in (("orders", 600_000), ("lineitem", 4_300_000)):
+        spark.range(n).select((F.col("id") % 1).alias("k")).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert prepared._n_buckets(spark, str(tmp_path), prepared.CONTEST_SOURCES) == 16
+    assert prepared._n_buckets(spark, str(tmp_path), prepared.PLAY_SOURCES) == 32
+    assert prepared._split_bytes(spark, str(tmp_path), prepared.PLAY_SOURCES) == 1 << 20
+    before = spark.conf.get(prepared.SPLIT_CONF)
+    prepared.contests(spark, SF_SMALL)
+    assert spark.conf.get(prepared.SPLIT_CONF) == before
