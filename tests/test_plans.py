@@ -67,3 +67,36 @@ def test_buckets_and_reads_of_the_stored_tables_hold_bounded_rows(spark, tmp_pat
     before = spark.conf.get(prepared.SPLIT_CONF)
     prepared.contests(spark, SF_SMALL)
     assert spark.conf.get(prepared.SPLIT_CONF) == before
+
+
+def test_the_margin_split_shuffles_no_wide_rows(spark, tmp_path):
+    """Bins and last train rows are small tables: the stored rows are read, not dealt again, and split as rows ranked whole."""
+    from contestlab.operators import ml
+    from contestlab.plans import workflows
+
+    odd = F.when(F.col("id") % 50 != 0, F.col("id") * 7 % 23)
+    spark.range(1000).select(F.col("id").alias("contest_id"), odd.alias("spread"), *[F.lit(i).alias(f"c{i}") for i in range(5)]).write.parquet(f"{tmp_path}/t")
+    t = spark.read.parquet(f"{tmp_path}/t")
+    got = workflows.spread_split(t)
+    assert "Exchange hashpartitioning" not in _plan(got) and "Exchange rangepartitioning" not in _plan(got)
+    want = ml.stratified_split(workflows.value_bins(t, "spread"), ["bin"], "contest_id")
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.select(got.columns).collect())) and got.count() == 1000
+
+
+def test_scans_and_pairing_shuffle_each_row_once_and_summaries_stay_short(spark):
+    """The exchange of a scan carries no column a sum beside the rows, sides are not aggregated before they are dealt, and a day's
+    ids share a bucket."""
+    import datetime as dt
+
+    from contestlab.operators import records
+    from contestlab.plans import features
+
+    day = dt.date(2000, 1, 1)
+    rows = [(2000, "A" if s else "B", day, c * 5000, "home" if s else "away", float(c)) for c in range(200) for s in (0, 1)]
+    t = spark.createDataFrame(rows, "season bigint, team string, gameday date, contest_id bigint, home_away string, x double")
+    level = records.season_order().levels[0]
+    assert t.withColumns(level).select("team", *level).distinct().count() == 2
+    plan = _plan(features.prior_values(t, ["x"], []))
+    assert "REPARTITION_BY_COL" in plan
+    paired = _plan(features.matchup_rows(t, ["contest_id", "season"], ["x"], label=None))
+    assert paired.count("Exchange") == 1 and "REPARTITION_BY_COL" in paired
