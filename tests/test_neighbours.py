@@ -2,9 +2,11 @@
 
 import random
 
+import pandas as pd
 import pytest
 from pyspark.ml.linalg import Vectors
 
+from contestlab.operators import ml
 from contestlab.operators.ml import nearest_neighbours, smote
 
 
@@ -79,3 +81,20 @@ def test_clustered_rows_compare_few_pairs(spark):
         assert {(x.left_id, x.right_id, x.nn_rank) for x in got.collect()} == brute(data[::20], data, 3, True)
         share.append(seen["pairs"] / seen["all"])
     assert share[0] < 0.2 and share[1] < share[0]
+
+
+def test_index_tasks_work_in_bounded_pieces(spark):
+    """Where nothing can be ruled out a row visits every cell; what a task holds and hands over at a time stays bounded."""
+    batch = pd.DataFrame({"lid": range(10_000)})
+    for cells in (1, 40, 1024, 1 << 20):
+        pieces = list(ml._slices([batch, batch.iloc[:0], batch], cells))
+        assert all(len(p) * cells <= max(ml.SLICE_CELLS, cells) for p in pieces)
+        assert [i for p in pieces for i in p["lid"]] == [*range(10_000)] * 2
+    r = random.Random(3)
+    data = [(i, [r.gauss(0, 1) for _ in range(24)], 0) for i in range(900)]
+    df = points(spark, data)
+    seen: dict = {}
+    got = nearest_neighbours(df.where("id < 300"), df, 3, exclude_self=True, compared=seen).collect()
+    for i in range(0, 300, 37):
+        want = sorted((sum((a - b) ** 2 for a, b in zip(data[i][1], v)), j) for j, v, _ in data if j != i)[:3]
+        assert [x.right_id for x in sorted((x for x in got if x.left_id == i), key=lambda x: x.nn_rank)] == [j for _, j in want]
