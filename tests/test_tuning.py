@@ -6,12 +6,13 @@ import random
 import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LinearSVC, LogisticRegression
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import functions as F
 from testdata_paths import SF_SMALL
 
-from contestlab.operators import evaluation, ratings
+from contestlab.operators import evaluation, ml, ratings
 from contestlab.operators.tuning import Span, bagged_prediction, bagged_trees, latin_hypercube, poisson_weight, ranking, score_folds, workflow_set
 from contestlab.plans import features, workflows
 from contestlab.sources import prepared
@@ -149,3 +150,26 @@ def test_stored_pipelines_name_the_columns_that_rows_lack(spark):
     workflows.require_inputs(model, df)
     with pytest.raises(ValueError, match="a, b"):
         workflows.require_inputs(model, df.select(F.col("a").cast("string").alias("a"), "label"))
+
+
+def test_a_folds_candidates_share_the_fitted_recipe(spark, monkeypatch):
+    """The stages before the model are fitted once a fold, and scores equal those of whole pipelines."""
+    r = random.Random(5)
+    rows = [(i, i % 3, float(x := r.gauss(0, 1)), float(x + r.gauss(0, 1) > 0)) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, fold int, a double, label double")
+    est = LogisticRegression(labelCol="label")
+    pipe = ml.workflow(ml.preprocess_stages(["a"]), est)
+    grid = [{est.regParam: x} for x in (0.0, 0.1, 5.0)]
+    fitted = []
+    fit = Pipeline._fit
+    monkeypatch.setattr(Pipeline, "_fit", lambda self, rows: fitted.append(len(self.getStages())) or fit(self, rows))
+    best, means = ml.tune(pipe, grid, df, "label", k=3)
+    whole = len(pipe.getStages())
+    assert fitted == [whole - 1] * 3 + [whole] and best.stages[-1].getRegParam() == grid[max(range(3), key=means.__getitem__)][est.regParam]
+    fitted.clear()
+    steps = ml.race(pipe, grid, df, "label", k=3).steps
+    assert fitted == [whole - 1] * 3 and len(steps) == 9
+    ev = BinaryClassificationEvaluator(labelCol="label")
+    want = {(i, f): ev.evaluate(pipe.fit(df.where(f"fold <> {f}"), g).transform(df.where(f"fold = {f}"))) for i, g in enumerate(grid) for f in range(3)}
+    assert all(x == pytest.approx(want[i, f]) for i, f, x, _ in steps)
+    assert means == [pytest.approx(sum(want[i, f] for f in range(3)) / 3) for i in range(3)]
