@@ -100,3 +100,22 @@ def test_scans_and_pairing_shuffle_each_row_once_and_summaries_stay_short(spark)
     assert "REPARTITION_BY_COL" in plan
     paired = _plan(features.matchup_rows(t, ["contest_id", "season"], ["x"], label=None))
     assert paired.count("Exchange") == 1 and "REPARTITION_BY_COL" in paired
+
+
+def test_the_summary_of_a_scan_is_made_of_dealt_rows(spark, tmp_path):
+    """Reading tasks aggregate nothing: no partial aggregate sorts all that a task of the input reads, with a column a sum."""
+    import datetime as dt
+
+    from contestlab.plans import features
+
+    day = dt.date(2000, 1, 1)
+    rows = [(2000, "AB"[c % 2], day + dt.timedelta(c % 3), c, float(c), c) for c in range(60)]
+    spark.createDataFrame(rows, "season bigint, team string, gameday date, contest_id bigint, x double, y bigint").write.parquet(f"{tmp_path}/t")
+    got = features.prior_values(spark.read.parquet(f"{tmp_path}/t"), ["x"], ["y"])
+    lines = _plan(got).splitlines()
+    assert any("Aggregate" in line for line in lines)
+    for i, line in enumerate(lines):
+        if "FileScan" in line:  # the nodes above an input, from the nearest up
+            above = [x for x in reversed(lines[:i]) if "Exchange" in x or "Aggregate" in x]
+            assert "REPARTITION_BY_COL" in above[0]
+    assert got.count() == 60
