@@ -119,3 +119,34 @@ def test_the_summary_of_a_scan_is_made_of_dealt_rows(spark, tmp_path):
             above = [x for x in reversed(lines[:i]) if "Exchange" in x or "Aggregate" in x]
             assert "REPARTITION_BY_COL" in above[0]
     assert got.count() == 60
+
+
+def test_shuffles_have_more_partitions_as_tables_grow(spark, monkeypatch):
+    """The session's partition number is fixed; a table with more rows than that many tasks should hold is dealt to more."""
+    from contestlab.operators import ml
+    from contestlab.plans import features
+    from contestlab.sources import tables
+
+    k, p = prepared.contests(spark, SF_SMALL), prepared.plays(spark, SF_SMALL)
+    own = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cases = {
+        "pregame": lambda: features.pregame_features(k, p, prepared.period_ratings(spark, SF_SMALL)),
+        "spread": lambda: features.spread_features(k, p),
+        "split": lambda: ml.stratified_split(k.select("contest_id", "season"), ["season"], "contest_id"),
+    }
+    before = {n: sorted(map(str, f().collect())) for n, f in cases.items()}
+    monkeypatch.setattr(tables, "TASK_ROWS", 100)
+    n_sides, n_plays = -(-2 * k.count() // 100), -(-p.count() // 100)
+    assert n_sides > own and n_plays > own
+    for n, f in cases.items():
+        got = f()
+        assert "REPARTITION_BY_NUM" in _plan(got)
+        assert sorted(map(str, got.collect())) == before[n]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = _plan(features.side_table(k, p, periods=True)).splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    joined = [x for x in lines if re.search(r"Exchange hashpartitioning\(contest_id#\d+L, (off_|def_)?team#", x)]
+    assert joined and all(f", {n_plays})" in x for x in joined)
+    assert any(f", {n_sides}), REPARTITION_BY_NUM" in x for x in lines)
