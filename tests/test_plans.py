@@ -150,3 +150,28 @@ def test_shuffles_have_more_partitions_as_tables_grow(spark, monkeypatch):
     joined = [x for x in lines if re.search(r"Exchange hashpartitioning\(contest_id#\d+L, (off_|def_)?team#", x)]
     assert joined and all(f", {n_plays})" in x for x in joined)
     assert any(f", {n_sides}), REPARTITION_BY_NUM" in x for x in lines)
+
+
+def test_wide_sides_are_paired_as_one_value_and_stored_as_whole_numbers(spark, tmp_path, monkeypatch):
+    """An aggregate a column was a sorted one, never compiled; a side that came twice still gives the first value of each column."""
+    from contestlab.functions.nulls import nearest_whole
+    from contestlab.plans import features
+
+    cols = ["x", "name"]
+    rows = [(1, "home", 1.5, "a"), (1, "away", None, "b"), (2, "home", None, "c"), (2, "home", 2.5, "d"), (3, "away", 3.5, "e"), (4, "home", 4.5, None), (None, "home", 0.5, "n"), (5, None, 0.5, "n")]
+    t = spark.createDataFrame(rows, "contest_id bigint, home_away string, x double, name string").coalesce(1)
+    got = features.matchup_rows(t, ["contest_id"], cols, label=None)
+    assert "SortAggregate" not in _plan(got)
+    assert got.columns == ["contest_id", "x", "name", "opp_x", "opp_name"]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([(1, 1.5, "a", None, "b"), (2, 2.5, "c", None, None), (4, 4.5, None, None, None), (None, 0.5, "n", None, None)], key=str)
+
+    kept = {}
+    monkeypatch.setattr(features, "materialize_scratch", lambda df, name: kept.setdefault(name, df))
+    k, p = prepared.contests(spark, SF_SMALL), prepared.plays(spark, SF_SMALL)
+    features.spread_features(k, p)
+    stored = dict(kept["spread_side_table"].dtypes)
+    assert all(stored[c] == "bigint" for c in [*features.SPREAD_MEANS, *features.PERIOD_MEANS])
+
+    values = [0.0, -0.0, 0.49999999999999994, 0.5, -0.5, 1.5, 2.5, -2.5, 8191.5, 12345.499999999998, 0.4999, 4503599627370497.0, 1e300, float("inf"), float("nan"), None, *[i * 0.1 * 7 / 3 for i in range(-200, 200)]]
+    df = spark.createDataFrame([(v,) for v in values], "v double").select(nearest_whole(F.col("v")).alias("a"), F.round("v").alias("b"))
+    assert all(str(r.a) == str(r.b) for r in df.collect())
