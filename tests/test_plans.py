@@ -175,3 +175,19 @@ def test_wide_sides_are_paired_as_one_value_and_stored_as_whole_numbers(spark, t
     values = [0.0, -0.0, 0.49999999999999994, 0.5, -0.5, 1.5, 2.5, -2.5, 8191.5, 12345.499999999998, 0.4999, 4503599627370497.0, 1e300, float("inf"), float("nan"), None, *[i * 0.1 * 7 / 3 for i in range(-200, 200)]]
     df = spark.createDataFrame([(v,) for v in values], "v double").select(nearest_whole(F.col("v")).alias("a"), F.round("v").alias("b"))
     assert all(str(r.a) == str(r.b) for r in df.collect())
+
+
+def test_a_scan_reads_and_deals_its_rows_once(spark, tmp_path):
+    """The window, the summary and the next summary need the same columns, so that Spark shuffles for all of them together."""
+    import datetime as dt
+
+    from contestlab.plans import features
+
+    day = dt.date(2000, 1, 1)
+    rows = [(2000, "AB"[c % 2], day + dt.timedelta(c % 3), c, float(c), c) for c in range(60)]
+    spark.createDataFrame(rows, "season bigint, team string, gameday date, contest_id bigint, x double, y bigint").write.parquet(f"{tmp_path}/t")
+    got = features.prior_values(spark.read.parquet(f"{tmp_path}/t"), ["x"], ["y"])
+    assert got.count() == 60
+    got.collect()
+    ran = _plan(got).split("== Initial Plan ==")[0]
+    assert ran.count("FileScan") == 1 and ran.count("ReusedExchange") >= 2
