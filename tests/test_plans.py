@@ -165,6 +165,11 @@ def test_wide_sides_are_paired_as_one_value_and_stored_as_whole_numbers(spark, t
     assert got.columns == ["contest_id", "x", "name", "opp_x", "opp_name"]
     assert sorted(map(tuple, got.collect()), key=str) == sorted([(1, 1.5, "a", None, "b"), (2, 2.5, "c", None, None), (4, 4.5, None, None, None), (None, 0.5, "n", None, None)], key=str)
 
+    wide = t.select("contest_id", "home_away", *[F.col("x").alias(f"x{i}") for i in range(40)])
+    full = features.matchup_rows(wide, ["contest_id"], [f"x{i}" for i in range(40)], label=None, digits={"x1": 1}).na.drop(subset=["x0", *[f"x{i}" for i in range(2, 40)]])
+    joined = full.join(t.select("contest_id"), "contest_id", "left_semi")  # no constraint for every subset of the columns
+    assert sorted((r.contest_id, r.x1) for r in joined.collect()) == [(1, 0.15), (2, 0.25), (4, 0.45)]
+
     kept = {}
     monkeypatch.setattr(features, "materialize_scratch", lambda df, name: kept.setdefault(name, df))
     k, p = prepared.contests(spark, SF_SMALL), prepared.plays(spark, SF_SMALL)
